@@ -1,0 +1,198 @@
+"""Registered queries: each key pairs a Spark job over the driver tables with
+an equivalent DuckDB SQL text (the oracle), or none when the operator is not
+expressible in SQL (streams, injected model calls, the model graph).
+
+Result columns are plain scalars: arrays are rendered to strings and
+timestamps formatted, so both sides hash the same way.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chanlake.functions import arrays, dates, text
+from chanlake.plans import fixtures as fx
+from chanlake.plans.cleaning import clean_frame
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, QueryFn] = {}
+ORACLES: dict[str, str] = {}
+
+AS_OF = "2025-01-01 00:00:00"      # stands in for "now" in D2, so runs repeat
+
+
+def register(key: str, oracle: str | None = None):
+    def deco(fn: QueryFn) -> QueryFn:
+        QUERIES[key] = fn
+        if oracle is not None:
+            ORACLES[key] = oracle
+        return fn
+    return deco
+
+
+def q(s: str) -> str:
+    """SQL string literal (no backslash escapes: DuckDB reads them literally)."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+# --- DuckDB spellings of the text functions ---------------------------------
+
+def d_re(x: str, pattern: str, repl: str) -> str:
+    return f"regexp_replace({x}, {q(pattern)}, {q(repl)}, 'g')"
+
+
+def d_collapse(x: str) -> str:
+    # RE2 has no back-references: drop each character equal to its
+    # predecessor unless it is a newline.
+    chars = f"string_split({x}, '')"
+    return (f"CASE WHEN {x} IS NULL THEN NULL ELSE array_to_string(list_transform(list_filter("
+            f"list_zip({chars}, list_prepend(NULL, {chars})), "
+            f"lambda p: p[2] IS NULL OR p[1] <> p[2] OR p[1] = chr(10)), lambda p: p[1]), '') END")
+
+
+D_STEPS = {
+    "amharic": lambda x: f"translate({x}, {q(text.AMHARIC_FOLD_FROM)}, {q(text.AMHARIC_FOLD_TO)})",
+    "punct": lambda x: d_re(x, text.PUNCT_RUN, " "),
+    "emoji": lambda x: d_re(x, text.EMOJI_CLASS, ""),
+    "repeat": d_collapse,
+    "url": lambda x: d_re(x, text.URL_ANYWHERE, ""),
+    "link": lambda x: d_re(x, text.LINK_QUERY, "\\1"),
+    "space": lambda x: f"trim({d_re(x, text.WS_CLASS + '+', ' ')})",
+}
+PIPELINE = ["amharic", "punct", "emoji", "repeat", "url", "link", "space"]
+
+
+def d_chain(src: str, key: str, col: str, steps: list[str], keep: str = "") -> str:
+    """CTE chain applying DuckDB text steps one per CTE (no nested repeats)."""
+    ctes = [f"s0 AS (SELECT {key}, {keep}{col} AS m0, {col} AS m FROM {src} src)"]
+    for i, step in enumerate(steps, 1):
+        ctes.append(f"s{i} AS (SELECT * REPLACE ({D_STEPS[step]('m')} AS m) FROM s{i - 1})")
+    return "WITH " + ",\n".join(ctes) + f"\n", f"s{len(steps)}"
+
+
+def _texts(spark, sf):
+    return fx.for_spark(spark, sf, fx.texts)
+
+
+# --- text functions over whole documents (T1-T12, T14) ----------------------
+
+def _text_query(key: str, fn, duck_expr) -> None:
+    oracle = f"SELECT doc_id, {duck_expr('message')} AS out FROM {fx.for_duck(fx.texts)} t"
+
+    @register(key, oracle)
+    def _q(spark, sf, fn=fn):
+        return _texts(spark, sf).select("doc_id", fn(F.col("message")).alias("out"))
+
+
+_text_query("amharic_normalize", text.normalize_amharic, D_STEPS["amharic"])
+_text_query("amharic_only", text.remove_non_amharic, lambda x: d_re(x, text.NON_AMHARIC, ""))
+_text_query("amharic_punct", text.remove_punctuation, D_STEPS["punct"])
+_text_query("emoji_remove", text.remove_emojis, D_STEPS["emoji"])
+_text_query("collapse_repeats", text.collapse_repeats, d_collapse)
+_text_query("url_remove", text.remove_urls, D_STEPS["url"])
+_text_query("link_normalize", text.normalize_links, D_STEPS["link"])
+_text_query("space_normalize", text.normalize_spaces, D_STEPS["space"])
+_text_query(
+    "emoji_extract", text.extract_emojis,
+    lambda x: (f"CASE WHEN {x} IS NULL OR {x} = '' OR {d_re(x, text.NOT_EMOJI_CLASS, '')} = '' "
+               f"THEN {q(text.NO_EMOJI)} ELSE {d_re(x, text.NOT_EMOJI_CLASS, '')} END"))
+_text_query(
+    "newline_clean", text.clean_newlines,
+    lambda x: (f"CASE WHEN {x} IS NULL THEN {q(text.NO_MESSAGE)} "
+               f"ELSE {d_re(d_re(x, chr(10) + '+', ' '), text.EDGE_WS, '')} END"))
+
+
+def _links_duck(x: str, pattern: str, group: int, blank_empty: bool) -> str:
+    found = f"regexp_extract_all({x}, {q(pattern)}, {group})"
+    if blank_empty:
+        return f"CASE WHEN {x} IS NULL OR {x} = '' THEN CAST([] AS VARCHAR[]) ELSE {found} END"
+    return f"coalesce({found}, CAST([] AS VARCHAR[]))"
+
+
+register("link_extract", f"""
+SELECT doc_id, array_to_string(l, ' ') AS links, CAST(len(l) AS INTEGER) AS n_links
+FROM (SELECT doc_id, {_links_duck('message', text.LINK, 1, True)} AS l FROM {fx.for_duck(fx.texts)} t) x
+""")(lambda spark, sf: _texts(spark, sf)
+     .select("doc_id", text.extract_links("message").alias("l"))
+     .select("doc_id", F.array_join("l", " ").alias("links"), F.size("l").alias("n_links")))
+
+_ctes, _last = d_chain(fx.for_duck(fx.texts), "doc_id", "message", PIPELINE)
+register("clean_text", _ctes + f"""
+SELECT doc_id, CASE WHEN m0 IS NULL OR m0 = '' THEN '' ELSE m END AS out FROM {_last}
+""")(lambda spark, sf: _texts(spark, sf).select("doc_id", text.clean_text("message").alias("out")))
+
+
+# --- frame pipeline (T15) -----------------------------------------------------
+
+def _d_coerce(x: str, as_of: str) -> str:
+    """DuckDB twin of D2, independent of the DuckDB session time zone."""
+    aware = f"regexp_matches({x}, '(Z|[+-][0-9][0-9]:?[0-9][0-9])$')"
+    return (f"coalesce(CASE WHEN {aware} THEN try_cast({x} AS TIMESTAMPTZ) AT TIME ZONE 'UTC' "
+            f"ELSE try_cast({x} AS TIMESTAMP) END, TIMESTAMP {q(as_of)})")
+
+
+_fctes, _flast = d_chain(f"(SELECT *, {d_re('message', text.URL_ANYWHERE, '')} AS m_nourl "
+                         f"FROM {fx.for_duck(fx.frame)} f)", "group_id",
+                         f"coalesce(m_nourl, {q(text.NO_MESSAGE)})", PIPELINE,
+                         keep="message AS raw, channel, date, media_path, ")
+register("clean_frame", _fctes + f"""
+SELECT group_id,
+  CASE WHEN raw IS NULL OR raw = '' OR {d_re('raw', text.NOT_EMOJI_CLASS, '')} = ''
+       THEN {q(text.NO_EMOJI)} ELSE {d_re('raw', text.NOT_EMOJI_CLASS, '')} END AS emojis,
+  array_to_string({_links_duck('raw', text.LINK, 1, True)}, ' ') AS links,
+  CASE WHEN m0 = '' THEN '' ELSE m END AS message,
+  array_to_string(coalesce(media_path, ['No Media']), ',') AS media_path,
+  strftime({_d_coerce('date', AS_OF)}, '%Y-%m-%d %H:%M:%S') AS date,
+  {d_re('channel', text.EDGE_WS, '')} AS channel
+FROM {_flast}
+""")(lambda spark, sf: clean_frame(fx.for_spark(spark, sf, fx.frame), AS_OF).select(
+    "group_id", "emojis", F.array_join("links", " ").alias("links"), "message",
+    F.array_join("media_path", ",").alias("media_path"),
+    dates.sql_format("date").alias("date"), "channel"))
+
+
+# --- T13 over whole conversations -------------------------------------------
+
+register("combine_messages", f"""
+SELECT conv_id, array_to_string(list_filter(list_transform(list(text ORDER BY turn),
+         lambda x: {d_re('x', text.EDGE_WS, '')}), lambda x: x <> ''), chr(10)) AS combined
+FROM conversations GROUP BY conv_id
+""")(lambda spark, sf: spark.read.parquet(f"{sf}/conversations.parquet")
+     .groupBy("conv_id")
+     .agg(arrays.ordered_list("text", F.col("turn")).alias("texts"))
+     .select("conv_id", text.combine_messages("texts").alias("combined")))
+
+
+# --- dates (D2-D4, S13) -------------------------------------------------------
+
+register("date_coerce", f"""
+SELECT o_orderkey, strftime({_d_coerce('raw_date', AS_OF)}, '%Y-%m-%d %H:%M:%S') AS ts
+FROM {fx.for_duck(fx.order_dates)} o
+""")(lambda spark, sf: fx.for_spark(spark, sf, fx.order_dates).select(
+    "o_orderkey", dates.sql_format(dates.coerce_timestamp("raw_date", AS_OF)).alias("ts")))
+
+register("iso_encode", """
+SELECT CAST(event_id AS VARCHAR) AS id,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 = 0 THEN ''
+    ELSE '.' || lpad(CAST(microsecond(ts) % 1000000 AS VARCHAR), 6, '0') END AS iso
+FROM events
+""")(lambda spark, sf: spark.read.parquet(f"{sf}/events.parquet").select(
+    F.col("event_id").cast("string").alias("id"), dates.iso_format(F.col("ts")).alias("iso")))
+
+register("utc_convert", """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS utc_naive,
+  strftime(ts - INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') AS utc_from_addis
+FROM events
+""")(lambda spark, sf: spark.read.parquet(f"{sf}/events.parquet").select(
+    "event_id", dates.sql_format(dates.to_utc("ts")).alias("utc_naive"),
+    dates.sql_format(dates.to_utc("ts", "Africa/Addis_Ababa")).alias("utc_from_addis")))
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings the queries rely on (UTC rendering, shared folder)."""
+    from chanlake.session import ensure_checkpoint_dir
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
