@@ -123,7 +123,7 @@ def msgs_dup(d: Dialect) -> str:
     """Per-message staging rows with re-sent copies: older copies, copies
     with a NULL date (newest under DESC NULLS FIRST) and exact date ties."""
     m = f"({msgs(d)})"
-    cols = "message_id, sender, message_text, message_date, media_path, channel"
+    cols = "message_id, sender AS sender_id, message_text, message_date, media_path, channel"
     return f"""
 SELECT {cols} FROM {m} m0
 UNION ALL
