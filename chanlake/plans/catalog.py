@@ -333,3 +333,266 @@ def _dq_oracle() -> str:
 
 
 register("dq_report", _dq_oracle())(_dq_report)
+
+
+# --- albums, media and stores (P9, P10, P15, P16, A1, J1-J3, W2, S9) --------------
+
+def _msgs(spark, sf) -> DataFrame:
+    return fx.for_spark(spark, sf, fx.msgs)
+
+
+D_GKEY = "coalesce(CASE WHEN grouped_id <> 0 THEN grouped_id END, message_id)"
+
+
+def _d_first_truthy(v: str, falsy: str) -> str:
+    return (f"list({v} ORDER BY ({falsy}), CASE WHEN {falsy} THEN message_id "
+            f"ELSE -message_id END)[1]")
+
+
+D_ALBUMS = f"""
+SELECT channel, {D_GKEY} AS group_id,
+  list(message_id ORDER BY message_id DESC) AS message_ids,
+  {_d_first_truthy('message_text', "message_text IS NULL OR message_text = ''")} AS text,
+  {_d_first_truthy('raw_message', "raw_message IS NULL OR raw_message = ''")} AS message,
+  (list(message_date ORDER BY message_id DESC) FILTER (WHERE message_date IS NOT NULL))[1] AS date,
+  {_d_first_truthy('sender_id', "sender_id IS NULL OR sender_id = 0")} AS sender_id,
+  CAST(count(media_kind) AS BIGINT) AS media_slots
+FROM {fx.for_duck(fx.msgs)} m GROUP BY 1, 2"""
+
+
+def _albums(spark, sf) -> DataFrame:
+    from chanlake.operators.albums import fold_albums
+    return fold_albums(_msgs(spark, sf), msg_id="message_id", text="message_text",
+                       message="raw_message", date="message_date",
+                       has_media=F.col("media_kind").isNotNull())
+
+
+register("album_group", f"""
+SELECT channel, group_id, array_to_string(message_ids, ',') AS message_ids, text, message, date,
+  sender_id, media_slots FROM ({D_ALBUMS}) a""")(
+    lambda spark, sf: _albums(spark, sf).withColumn("message_ids", F.array_join("message_ids", ",")))
+
+register("album_filter", f"""
+SELECT channel, group_id, CAST(len(message_ids) AS INTEGER) AS n_messages
+FROM ({D_ALBUMS}) a WHERE len(message_ids) > 1""")(
+    lambda spark, sf: __import__("chanlake.operators.albums", fromlist=["x"]).albums_only(
+        _albums(spark, sf)).select("channel", "group_id", F.size("message_ids").alias("n_messages")))
+
+
+def _media_attach(spark, sf):
+    from chanlake.operators.albums import attach_media
+    out = attach_media(_msgs(spark, sf), fx.for_spark(spark, sf, fx.media), msg_id="message_id")
+    return out.select("channel", "group_id", F.array_join("media_paths", ",").alias("media_paths"))
+
+
+register("media_attach", f"""
+SELECT m.channel, {D_GKEY.replace('grouped_id', 'm.grouped_id').replace('message_id', 'm.message_id')} AS group_id,
+  array_to_string(coalesce(list(md.path ORDER BY m.message_id DESC) FILTER (WHERE md.path IS NOT NULL),
+    CAST([] AS VARCHAR[])), ',') AS media_paths
+FROM {fx.for_duck(fx.msgs)} m LEFT JOIN {fx.for_duck(fx.media)} md
+  ON m.channel = md.channel AND m.message_id = md.id
+GROUP BY 1, 2""")(_media_attach)
+
+NEWEST_N = 10     # messages per channel and run in the scraper's main
+
+
+def _newest(spark, sf):
+    from chanlake.operators.albums import newest_per_channel
+    out = newest_per_channel(_msgs(spark, sf), NEWEST_N, msg_id="message_id")
+    return out.select("channel", "message_id", F.col("rank").cast("bigint").alias("rank"))
+
+
+register("newest_per_channel", f"""
+SELECT channel, message_id, rank FROM (
+  SELECT channel, message_id, row_number() OVER (PARTITION BY channel ORDER BY message_id DESC) AS rank
+  FROM {fx.for_duck(fx.msgs)} m) r WHERE rank <= {NEWEST_N}""")(_newest)
+
+# Saved marks: channels 0-4 have one (a message id inside their range),
+# channels 5 and 6 have none and start from 0.
+STATE_SQL = """SELECT channel, CAST(max(message_id) - 250 AS BIGINT) AS last_id FROM {m} s
+WHERE channel NOT IN ('chan5', 'chan6') GROUP BY channel"""
+
+
+def _incremental(spark, sf):
+    from chanlake.sources.store import advance_marks, new_since
+    m = _msgs(spark, sf)
+    state = spark.sql(STATE_SQL, m=m)
+    loaded = new_since(m, state, msg_id="message_id")
+    return advance_marks(state, loaded, msg_id="message_id")
+
+
+register("incremental_load", f"""
+WITH m AS {fx.for_duck(fx.msgs)}, st AS ({STATE_SQL.format(m='m')}),
+new AS (SELECT m.channel, m.message_id FROM m LEFT JOIN st ON m.channel = st.channel
+        WHERE m.message_id > coalesce(st.last_id, 0)),
+agg AS (SELECT channel, max(message_id) AS mx, count(*) AS n FROM new GROUP BY channel)
+SELECT coalesce(st.channel, agg.channel) AS channel,
+  CAST(greatest(coalesce(st.last_id, 0), coalesce(agg.mx, 0)) AS BIGINT) AS last_id,
+  CAST(coalesce(agg.n, 0) AS BIGINT) AS n_new
+FROM st FULL OUTER JOIN agg ON st.channel = agg.channel""")(_incremental)
+
+
+def _unique_append(spark, sf):
+    from chanlake.operators.albums import group_key
+    from chanlake.sources.store import unique_violations
+    batch = _msgs(spark, sf).select(group_key("grouped_id", "message_id").alias("group_id"))
+    target = fx.for_spark(spark, sf, fx.raw_data)
+    return unique_violations(batch, target, "group_id")
+
+
+register("unique_append", f"""
+WITH b AS (SELECT {D_GKEY} AS group_id FROM {fx.for_duck(fx.msgs)} m),
+bc AS (SELECT group_id, count(*) AS n_in_batch FROM b GROUP BY group_id),
+t AS (SELECT DISTINCT group_id FROM {fx.for_duck(fx.raw_data)} r WHERE group_id IS NOT NULL)
+SELECT bc.group_id, CAST(bc.n_in_batch AS BIGINT) AS n_in_batch, (t.group_id IS NOT NULL) AS in_target
+FROM bc LEFT JOIN t ON bc.group_id = t.group_id
+WHERE bc.n_in_batch > 1 OR t.group_id IS NOT NULL""")(_unique_append)
+
+MEDIA_DIR = "media"
+ALLOWED_MEDIA = ("photo", "document")
+
+
+def _media_path_derive(spark, sf):
+    from chanlake.operators.albums import media_file_path
+    return _msgs(spark, sf).select(
+        "channel", "message_id",
+        media_file_path(MEDIA_DIR, ALLOWED_MEDIA, msg_id="message_id").alias("path"))
+
+
+register("media_path_derive", f"""
+SELECT channel, message_id,
+  CASE WHEN media_kind = 'photo' THEN '{MEDIA_DIR}/' || channel || '/' || CAST(message_id AS VARCHAR) || '.jpg'
+       WHEN media_kind = 'document' THEN '{MEDIA_DIR}/' || channel || '/' || CAST(message_id AS VARCHAR) || '.'
+         || CASE WHEN mime_type IS NULL OR mime_type = '' THEN 'bin' ELSE string_split(mime_type, '/')[-1] END
+  END AS path
+FROM {fx.for_duck(fx.msgs)} m""")(_media_path_derive)
+
+
+def _media_paths(spark, sf):
+    from chanlake.sources.store import image_copies
+    return image_copies(fx.for_spark(spark, sf, fx.raw_data), "media_paths", "out/images",
+                        keep=["group_id"])
+
+
+register("media_paths", f"""
+SELECT group_id, src, 'out/images/' || regexp_extract(src, '[^/]*$', 0) AS target FROM (
+  SELECT group_id, UNNEST(media_paths) AS src FROM {fx.for_duck(fx.raw_data)} r
+  WHERE media_paths IS NOT NULL) x
+WHERE regexp_matches(src, '\\.(jpg|png|jpeg)$')""")(_media_paths)
+
+
+# --- served reads, profile, detections (P6-P8, P12, P14, L1-L3, A6, A7, N3) -----
+
+REGEX_PATTERN = "customer#0000001"
+EQ_QUERY = {"c_mktsegment": "BUILDING", "c_nationkey": 3}
+
+
+def _customer(spark, sf):
+    return spark.read.parquet(f"{sf}/customer.parquet")
+
+
+register("eq_filter", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+WHERE c_mktsegment = 'BUILDING' AND c_nationkey = 3""")(
+    lambda spark, sf: __import__("chanlake.sources.store", fromlist=["x"]).eq_filter(
+        _customer(spark, sf), EQ_QUERY))
+
+
+def _regex_filter(spark, sf):
+    from chanlake.operators.reads import regex_filter
+    return regex_filter(fx.for_spark(spark, sf, fx.biz), "business_name", REGEX_PATTERN).select(
+        "id", "business_name", "phone_number", "address", "scraped_date")
+
+
+register("regex_filter", f"""
+SELECT CAST(id AS VARCHAR) AS id, business_name, phone_number, address, scraped_date
+FROM {fx.for_duck(fx.biz)} b WHERE regexp_matches(business_name, {q(REGEX_PATTERN)}, 'i')
+ORDER BY b.id LIMIT 10""")(_regex_filter)
+
+register("slice_rows", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+ORDER BY c_custkey LIMIT 5 OFFSET 10""")(
+    lambda spark, sf: __import__("chanlake.operators.reads", fromlist=["x"]).slice_rows(
+        _customer(spark, sf), "c_custkey", 10, 15))
+
+
+def _served(spark, sf):
+    from chanlake.operators.reads import served_rows
+    out = served_rows(fx.for_spark(spark, sf, fx.biz), limit=None)
+    return out.select("id", "business_name", "phone_number", "address", "scraped_date",
+                      F.array_join("media_paths", ",").alias("media_paths"),
+                      F.array_join("links", ",").alias("links"),
+                      F.size("links").alias("n_links"))
+
+
+register("served_rows", f"""
+SELECT id, business_name, phone_number, address, scraped_date,
+  array_to_string(coalesce(CAST(media_paths AS JSON)::VARCHAR[], CAST([] AS VARCHAR[])), ',') AS media_paths,
+  array_to_string(coalesce(CAST(links AS JSON)::VARCHAR[], CAST([] AS VARCHAR[])), ',') AS links,
+  CAST(len(coalesce(CAST(links AS JSON)::VARCHAR[], CAST([] AS VARCHAR[]))) AS INTEGER) AS n_links
+FROM {fx.for_duck(fx.biz)} b WHERE business_name IS NOT NULL AND scraped_date IS NOT NULL""")(_served)
+
+
+def _profile(spark, sf):
+    from chanlake.operators.reads import profile
+    return profile(fx.for_spark(spark, sf, fx.biz))
+
+
+def _d_profile() -> str:
+    cols = [("id", "bigint"), ("business_name", "string"), ("phone_number", "string"),
+            ("address", "string"), ("scraped_date", "string"), ("media_paths", "string"),
+            ("links", "string")]
+    parts = [f"SELECT '{c}' AS \"column\", '{t}' AS dtype, count({c}) AS non_null, count(*) AS \"rows\" "
+             f"FROM {fx.for_duck(fx.biz)} b" for c, t in cols]
+    return "\nUNION ALL\n".join(parts)
+
+
+register("profile", _d_profile())(_profile)
+
+
+def _nested(spark, sf):
+    from chanlake.operators.media import nest_detections
+    return nest_detections(fx.for_spark(spark, sf, fx.dets))
+
+
+D_NESTED = f"""
+SELECT image_path, list(class ORDER BY box_no, class, confidence, bbox) AS classes,
+  list(confidence ORDER BY box_no, class, confidence, bbox) AS confs,
+  count(*) AS n FROM {fx.for_duck(fx.dets)} d GROUP BY image_path"""
+
+register("detections_nest", f"""
+SELECT image_path, CAST(n AS INTEGER) AS n_detections, array_to_string(classes, '|') AS classes,
+  array_to_string(list_transform(confs, lambda c: CAST(round(c * 100) AS BIGINT)), ',') AS confidence_pct
+FROM ({D_NESTED}) n""")(lambda spark, sf: _nested(spark, sf).select(
+    "image_path", F.size("detections").alias("n_detections"),
+    F.array_join(F.transform("detections", lambda d: d["class"]), "|").alias("classes"),
+    F.array_join(F.transform("detections", lambda d: F.round(d["confidence"] * 100).cast("bigint")),
+                 ",").alias("confidence_pct")))
+
+
+def _flat(spark, sf):
+    from chanlake.operators.media import flatten_detections
+    out = flatten_detections(_nested(spark, sf))
+    return out.select("image_path", F.col("box_no").cast("int").alias("box_no"), "class",
+                      "confidence", "x1", "y1", "x2", "y2")
+
+
+register("detections_flat", f"""
+SELECT image_path,
+  CAST(row_number() OVER (PARTITION BY image_path ORDER BY box_no, class, confidence, bbox) AS INTEGER) AS box_no,
+  class, confidence, bbox[1] AS x1, bbox[2] AS y1, bbox[3] AS x2, bbox[4] AS y2
+FROM {fx.for_duck(fx.dets)} d""")(_flat)
+
+DETECTION_PATTERN = "BOX"
+
+
+def _detection_filter(spark, sf):
+    from chanlake.operators.reads import detection_filter
+    out = detection_filter(_nested(spark, sf), DETECTION_PATTERN, limit=None)
+    return out.select("image_path", F.size("detections").alias("n_detections"))
+
+
+register("detection_filter", f"""
+SELECT image_path, CAST(count(*) AS INTEGER) AS n_detections FROM {fx.for_duck(fx.dets)} d
+GROUP BY image_path HAVING bool_or(regexp_matches(class, {q(DETECTION_PATTERN)}, 'i'))""")(
+    _detection_filter)

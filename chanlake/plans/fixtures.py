@@ -109,7 +109,11 @@ SELECT
   CASE turn % 3 WHEN 0 THEN NULL WHEN 1 THEN 'photo' ELSE 'document' END AS media_kind,
   CASE WHEN turn % 3 = 2 AND conv_id % 2 = 0 THEN 'image/png' END AS mime_type,
   CASE WHEN turn % 2 = 0 THEN 'media/chan' || CAST(conv_id % 7 AS STRING) || '/'
-       || CAST(conv_id * 100 + turn + 1 AS STRING) || '.jpg' END AS media_path,
+       || CAST(conv_id * 100 + turn + 1 AS STRING)
+       || CASE turn % 8 WHEN 0 THEN '.jpg' WHEN 2 THEN '.png' WHEN 4 THEN '.JPG' ELSE '.jpeg' END
+       END AS media_path,
+  CASE WHEN turn % 3 = 1 THEN '' WHEN turn % 5 = 0 THEN NULL
+       ELSE text || ' #' || CAST(turn AS STRING) END AS raw_message,
   CASE WHEN (conv_id + turn) % 19 = 0 THEN NULL
        WHEN (conv_id + turn) % 23 = 0 THEN 'not a date'
        ELSE '2024-01-' || lpad(CAST(1 + conv_id % 28 AS STRING), 2, '0') || ' '
