@@ -596,3 +596,131 @@ register("detection_filter", f"""
 SELECT image_path, CAST(count(*) AS INTEGER) AS n_detections FROM {fx.for_duck(fx.dets)} d
 GROUP BY image_path HAVING bool_or(regexp_matches(class, {q(DETECTION_PATTERN)}, 'i'))""")(
     _detection_filter)
+
+
+# --- file sources and sinks (S1-S8, S12) ------------------------------------------
+
+def _work(spark, name: str) -> str:
+    from chanlake.session import shared_path
+    return shared_path(spark, "io", name)
+
+
+def _conv(spark, sf):
+    return spark.read.parquet(f"{sf}/conversations.parquet")
+
+
+def _csv_roundtrip(spark, sf):
+    from chanlake.sources import files
+    src = _conv(spark, sf)
+    path = _work(spark, "conversations.csv")
+    files.save_csv(src, path)
+    return files.load_csv(spark, path, schema=src.schema, lossless=True)
+
+
+register("csv_roundtrip", "SELECT conv_id, turn, role, text FROM conversations")(_csv_roundtrip)
+
+
+def _scan_csv(spark, sf):
+    from chanlake.sources import files
+    path = _work(spark, "customer.csv")
+    files.save_csv(_customer(spark, sf), path, lossless=False)
+    return files.load_csv(spark, path, infer=True)
+
+
+register("scan_csv", """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey,
+  c_acctbal, c_mktsegment FROM customer""")(_scan_csv)
+
+
+def _json_roundtrip(spark, sf):
+    from chanlake.sources import files
+    path = _work(spark, "conversations.json")
+    files.save_json(_conv(spark, sf), path)
+    return files.load_json(spark, path, array_form=False).select("conv_id", "turn", "role", "text")
+
+
+register("json_roundtrip", "SELECT conv_id, turn, role, text FROM conversations")(_json_roundtrip)
+
+
+def _scan_json(spark, sf):
+    from chanlake.sources import files
+    path = _work(spark, "customer_arrays.json")
+    files.save_json_array(_customer(spark, sf), path)
+    out = files.load_json(spark, path, array_form=True)
+    return out.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+register("scan_json", """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment
+FROM customer""")(_scan_json)
+
+
+def _conll_source(spark, sf):
+    """Sentences from whole conversation turns: tokens split on whitespace,
+    a label per token by length; every fifth conversation has one label
+    fewer than tokens (the writer cuts to the shorter list)."""
+    tokens = F.filter(F.split("text", text.WS_CLASS + "+"), lambda t: t != F.lit(""))
+    c = _conv(spark, sf).select("conv_id", tokens.alias("tokens"))
+    labels = F.transform("tokens", lambda t: F.when(F.length(t) > 6, "B-LONG").otherwise("O"))
+    labels = F.when(F.col("conv_id") % 5 == 0, F.slice(labels, 1, F.greatest(F.size("tokens") - 1, F.lit(0)))) \
+        .otherwise(labels)
+    return c.select("tokens", labels.alias("labels"))
+
+
+def _conll_roundtrip(spark, sf):
+    from chanlake.sources import files
+    path = _work(spark, "sentences.conll")
+    files.save_conll(_conll_source(spark, sf), path)
+    back = files.load_conll(spark, path)
+    return back.select(F.array_join("tokens", " ").alias("tokens"),
+                       F.array_join("labels", " ").alias("labels"),
+                       F.size("tokens").alias("n_tokens"))
+
+
+register("conll_roundtrip", f"""
+WITH t AS (SELECT conv_id, list_filter(regexp_split_to_array(text, {q(text.WS_CLASS + '+')}), lambda x: x <> '')
+             AS tokens FROM conversations),
+l AS (SELECT conv_id, tokens, list_transform(tokens, lambda x: CASE WHEN length(x) > 6 THEN 'B-LONG' ELSE 'O' END)
+        AS labels FROM t),
+c AS (SELECT tokens, CASE WHEN conv_id % 5 = 0 THEN labels[1:greatest(len(tokens) - 1, 0)] ELSE labels END AS labels
+      FROM l),
+z AS (SELECT tokens[1:least(len(tokens), len(labels))] AS tokens,
+             labels[1:least(len(tokens), len(labels))] AS labels FROM c)
+SELECT array_to_string(tokens, ' ') AS tokens, array_to_string(labels, ' ') AS labels,
+  CAST(len(tokens) AS INTEGER) AS n_tokens FROM z WHERE len(tokens) > 0""")(_conll_roundtrip)
+
+MSG_COLS = ["message_id", "grouped_id", "sender_id", "message_text", "media_path", "message_date",
+            "channel"]
+
+
+def _channel_store(spark, sf):
+    from chanlake.sources import files
+    m = _msgs(spark, sf).select(*MSG_COLS)
+    path = _work(spark, "by_channel")
+    files.save_by_channel(m, path, fmt="json")
+    schema = m.drop("channel").schema
+    return spark.read.schema(schema).json(path).select(*MSG_COLS)
+
+
+register("channel_store", f"SELECT {', '.join(MSG_COLS)} FROM {fx.for_duck(fx.msgs)} m")(_channel_store)
+
+ALBUM_COLS = ["group_id", "message_ids", "text", "message", "date", "sender_id", "media_slots"]
+CSV_CHANNELS = ("chan4", "chan5", "chan6")
+
+
+def _merge_channels(spark, sf):
+    from chanlake.sources import files
+    albums = _albums(spark, sf).select("channel", *ALBUM_COLS)
+    jpath, cpath = _work(spark, "landed_json"), _work(spark, "landed_csv")
+    files.save_by_channel(albums.where(~F.col("channel").isin(*CSV_CHANNELS)), jpath, fmt="json")
+    files.save_by_channel(albums.where(F.col("channel").isin(*CSV_CHANNELS)), cpath, fmt="csv")
+    schema = albums.drop("channel").schema
+    merged = files.merge_channels(spark, schema, json_glob=f"{jpath}/*/*.json",
+                                  csv_glob=f"{cpath}/*/*.csv")
+    return merged.select("channel", "group_id", F.array_join("message_ids", ",").alias("message_ids"),
+                         "text", "message", "date", "sender_id", "media_slots")
+
+
+register("merge_channels", f"""
+SELECT channel, group_id, array_to_string(message_ids, ',') AS message_ids, text, message, date,
+  sender_id, media_slots FROM ({D_ALBUMS}) a""")(_merge_channels)
