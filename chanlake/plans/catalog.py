@@ -724,3 +724,137 @@ def _merge_channels(spark, sf):
 register("merge_channels", f"""
 SELECT channel, group_id, array_to_string(message_ids, ',') AS message_ids, text, message, date,
   sender_id, media_slots FROM ({D_ALBUMS}) a""")(_merge_channels)
+
+
+# --- session folding, batch and stream (A5, ST1-ST5, N6) ---------------------------
+
+SESSION_GAP_HOURS = 6     # smallest per-user gap in events is seconds; 6 h groups real bursts
+
+
+def _events(spark, sf) -> DataFrame:
+    return spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _fold_events(df: DataFrame) -> DataFrame:
+    from chanlake.streaming.sessions import fold_sessions
+    return fold_sessions(df, ["user_id"], "ts", "event_id", f"{SESSION_GAP_HOURS} hours",
+                         texts=["event_type"], firsts=["value"])
+
+
+def _render_sessions(df: DataFrame) -> DataFrame:
+    return df.select("user_id", dates.sql_format("session_start").alias("session_start"),
+                     dates.sql_format("session_end").alias("session_end"), "n_messages",
+                     F.array_join("message_ids", ",").alias("message_ids"),
+                     F.col("event_type").alias("types"), F.col("value").alias("first_value"))
+
+
+register("session_fold", f"""
+WITH e AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL {SESSION_GAP_HOURS} HOUR
+                          THEN 1 ELSE 0 END AS brk
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM e)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start,
+  strftime(max(ts) + INTERVAL {SESSION_GAP_HOURS} HOUR, '%Y-%m-%d %H:%M:%S') AS session_end,
+  count(*) AS n_messages, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ts, event_id) AS message_ids,
+  coalesce(string_agg(event_type, chr(10) ORDER BY ts, event_id) FILTER (WHERE event_type <> ''), '') AS types,
+  arg_min(value, (ts, event_id)) AS first_value
+FROM s GROUP BY user_id, sid""")(lambda spark, sf: _render_sessions(_fold_events(_events(spark, sf))))
+
+STREAM_CHANNELS = ("chan0", "chan2", "chan3", "chan5")
+
+
+def _stream_messages(spark, sf):
+    from chanlake.streaming.sessions import read_landed, subscribe, write_append
+    m = _msgs(spark, sf).select(*MSG_COLS)
+    landing, sink, ckpt = _work(spark, "landing_msgs"), _work(spark, "sink_msgs"), _work(spark, "ckpt_msgs")
+    m.write.mode("overwrite").json(landing)
+    s = subscribe(read_landed(spark, landing, m.schema, fmt="json", max_files=2), STREAM_CHANNELS)
+    write_append(s, sink, ckpt).awaitTermination()
+    return spark.read.schema(m.schema).parquet(sink)
+
+
+register("stream_messages", f"""
+SELECT {', '.join(MSG_COLS)} FROM {fx.for_duck(fx.msgs)} m
+WHERE channel IN ({', '.join(q(c) for c in STREAM_CHANNELS)})""")(_stream_messages)
+
+
+def _stream_session(spark, sf):
+    """ST2-ST5 over landed events: closed sessions once the watermark passes."""
+    from chanlake.streaming.sessions import run_session_stream
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    landing, sink, ckpt = _work(spark, "landing_events"), _work(spark, "sink_sessions"), _work(spark, "ckpt_sessions")
+    ev.write.mode("overwrite").parquet(landing)
+    run_session_stream(spark, landing, ev.schema, sink, ckpt, ["user_id"], "ts", "event_id",
+                       f"{SESSION_GAP_HOURS} hours", "1 hour", texts=["event_type"],
+                       firsts=["value"]).awaitTermination()
+    return _render_sessions(spark.read.parquet(sink))
+
+
+register("stream_session")(_stream_session)
+
+
+# --- model calls with injected functions (F2, F3) ----------------------------------
+
+def fake_detector_loader():
+    """Deterministic stand-in detector (no model weights here): boxes derived
+    from a checksum of the path."""
+    import zlib
+
+    def detect(path: str) -> list[dict]:
+        h = zlib.crc32(path.encode())
+        return [{"class": ("person", "bottle", "pill")[(h >> k) % 3], "confidence": ((h >> k) % 100) / 100.0,
+                 "bbox": [float(k), float(k + 1), float(k + 10), float(k + 11)]} for k in range(h % 4)]
+    return detect
+
+
+def fake_ocr(path: str) -> str:
+    if path.endswith("3.jpg"):
+        raise OSError("unreadable image")
+    return "ጽሑፍ " + path.rsplit("/", 1)[-1]
+
+
+def _detect_udf(spark, sf):
+    from chanlake.operators.media import detect
+    images = fx.for_spark(spark, sf, fx.dets).select("image_path").distinct()
+    out = detect(images, fake_detector_loader)
+    return out.select("image_path", F.size("detections").alias("n_detections"),
+                      F.array_join(F.transform("detections", lambda d: d["class"]), "|").alias("classes"))
+
+
+def _ocr_udf(spark, sf):
+    from chanlake.operators.media import extract_text
+    images = fx.for_spark(spark, sf, fx.dets).select("image_path").distinct()
+    return extract_text(images, fake_ocr)
+
+
+register("detect_udf")(_detect_udf)
+register("ocr_udf")(_ocr_udf)
+
+
+# --- model graph and materialisation (M1, M2) ----------------------------------------
+
+D_TRANSFORMED = f"""SELECT group_id, sender FROM ({D_STG}) s GROUP BY group_id, sender"""
+WAREHOUSE_COUNTS = {
+    "stg_telegram": D_STG, "dim_businesses": D_DIM, "fact_business_interactions": D_FACT,
+    "transformed_telegram_data": D_TRANSFORMED, "cleaned_data": D_CLEANED_DATA,
+    "clean_messages": D_CLEAN_MESSAGES, "remove_duplicates": D_DEDUP, "handle_missing": D_FILLED,
+    "standardized": D_STANDARDIZED,
+}
+
+
+def _warehouse_build(spark, sf):
+    from chanlake.plans import warehouse
+    built = warehouse.build(_wh_sources(spark, sf))
+    done = warehouse.materialize(spark, built, how={"stg_telegram": "table"},
+                                 location=_work(spark, "warehouse"))
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("model"), "n_rows")
+             for name, df in done.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+register("warehouse_build", "\nUNION ALL\n".join(
+    f"SELECT {q(name)} AS model, count(*) AS n_rows FROM ({sql}) m"
+    for name, sql in WAREHOUSE_COUNTS.items()))(_warehouse_build)
