@@ -59,6 +59,8 @@ def load_json(spark: SparkSession, path: str, array_form: bool = True,
     row per element, as the reference's array files); otherwise JSON Lines,
     which splits across tasks."""
     r = spark.read.option("multiLine", "true" if array_form else "false")
+    if array_form:
+        r = r.option("recursiveFileLookup", "true")     # one document per file, any folder
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)
@@ -72,13 +74,14 @@ def save_json(df: DataFrame, path: str) -> None:
 def save_json_array(df: DataFrame, path: str) -> None:
     """S5 (store variant): every output file is one JSON array of records.
 
-    Records are encoded on the executors; each file holds the rows of one
-    input partition, so a file is bounded by the partition size."""
+    Records are encoded on the executors; the records of one input partition
+    form one array, written to its own folder so a file never holds two
+    documents. A file is bounded by the partition size."""
     rec = df.select(F.to_json(F.struct(*df.columns)).alias("r"),
-                    F.spark_partition_id().alias("_p"))
-    files = rec.groupBy("_p").agg(F.collect_list("r").alias("rs"))
-    files.select(F.concat(F.lit("[\n"), F.array_join("rs", ",\n"), F.lit("\n]")).alias("value")) \
-        .write.mode("overwrite").text(path)
+                    F.spark_partition_id().alias("file_no"))
+    docs = rec.groupBy("file_no").agg(F.collect_list("r").alias("rs"))
+    docs.select("file_no", F.concat(F.lit("[\n"), F.array_join("rs", ",\n"), F.lit("\n]")).alias("value")) \
+        .write.mode("overwrite").partitionBy("file_no").text(path)
 
 
 # --- S3 / S6 ---------------------------------------------------------------------
