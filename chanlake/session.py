@@ -26,6 +26,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # streaming session windows: merge sessions inside each partition before
+    # the shuffle, so a busy key ships partial sessions, not every event
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
 }

@@ -26,18 +26,53 @@ INACTIVITY_GAP = "5 seconds"      # the listener's inactivity gap
 
 
 def fold_sessions(df: DataFrame, keys: Sequence[str], ts: str, msg_id: str, gap: str,
-                  texts: Sequence[str] = (), firsts: Sequence[str] = ()) -> DataFrame:
+                  texts: Sequence[str] = (), firsts: Sequence[str] = (),
+                  bucket_seconds: int | None = 86400) -> DataFrame:
     """One row per (keys, session): ``session_start``, ``session_end`` (last
     arrival + gap), ``n_messages``, ``message_ids`` in arrival order, each of
     ``texts`` as its non-blank values joined by newline, and each of
-    ``firsts`` taken from the first arrival (``min_by``, partial aggregate)."""
-    order = F.struct(F.col(ts), F.col(msg_id))
-    members = F.array_sort(F.collect_list(F.struct(
+    ``firsts`` taken from the first arrival.
+
+    Batch input is folded in two phases so one very active key does not land
+    in a single task: (1) sessions inside ``(keys, time bucket)``, shuffled on
+    the bucket too; (2) those partial sessions merged per key with a session
+    window whose gap is each partial session's span plus ``gap``, which joins
+    exactly the partial sessions that the one-phase fold would join. Phase 2
+    sees one row per partial session, not per message. A stream uses the
+    one-phase fold (Spark merges sessions per partition before its shuffle).
+    """
+    if df.isStreaming or not bucket_seconds:
+        return _present(_fold_rows(df, keys, ts, msg_id, gap, texts, firsts), keys, texts, firsts)
+    gap_us = _micros(gap)
+    bucket = F.floor(F.unix_micros(F.col(ts)) / F.lit(bucket_seconds * 1_000_000)).alias("_bucket")
+    local = df.groupBy(*keys, bucket, F.session_window(ts, gap).alias("_w")).agg(
+        F.count(F.lit(1)).alias("_n"), _members(ts, msg_id, texts).alias("_m"),
+        F.min(ts).alias("_s"), F.max(ts).alias("_l"),
+        F.min(F.struct(F.col(ts), F.col(msg_id))).alias("_first"),
+        *[F.min_by(F.col(c), F.struct(F.col(ts), F.col(msg_id))).alias(c) for c in firsts])
+    span_gap = F.expr("make_interval(0, 0, 0, 0, 0, 0, CAST(unix_micros(_l) - unix_micros(_s) + "
+                      f"{gap_us} AS DECIMAL(18, 0)) / 1000000)")
+    merged = local.groupBy(F.session_window("_s", span_gap).alias("session"), *keys).agg(
+        F.sum("_n").cast("bigint").alias("n_messages"),
+        F.array_sort(F.flatten(F.collect_list("_m"))).alias("_m"),
+        *[F.min_by(F.col(c), F.col("_first")).alias(c) for c in firsts])
+    return _present(merged, keys, texts, firsts)
+
+
+def _members(ts: str, msg_id: str, texts: Sequence[str]):
+    return F.array_sort(F.collect_list(F.struct(
         F.col(ts).alias("_ts"), F.col(msg_id).alias("_id"),
         *[F.col(t).alias(f"_t{i}") for i, t in enumerate(texts)])))
-    g = df.groupBy(F.session_window(ts, gap).alias("session"), *keys).agg(
-        F.count(F.lit(1)).alias("n_messages"), members.alias("_m"),
+
+
+def _fold_rows(df: DataFrame, keys, ts, msg_id, gap, texts, firsts) -> DataFrame:
+    order = F.struct(F.col(ts), F.col(msg_id))
+    return df.groupBy(F.session_window(ts, gap).alias("session"), *keys).agg(
+        F.count(F.lit(1)).alias("n_messages"), _members(ts, msg_id, texts).alias("_m"),
         *[F.min_by(F.col(c), order).alias(c) for c in firsts])
+
+
+def _present(g: DataFrame, keys, texts, firsts) -> DataFrame:
     return g.select(
         *keys, F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"),
         "n_messages", F.transform("_m", lambda m: m["_id"]).alias("message_ids"),
@@ -45,6 +80,16 @@ def fold_sessions(df: DataFrame, keys: Sequence[str], ts: str, msg_id: str, gap:
         *firsts)
 
 
+_UNIT_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000, "minute": 60_000_000,
+            "hour": 3_600_000_000, "day": 86_400_000_000}
+
+
+def _micros(duration: str) -> int:
+    """'6 hours' -> microseconds (a session gap is a fixed duration)."""
+    n, unit = duration.split()
+    return int(float(n) * _UNIT_US[unit.lower().rstrip("s")])
+
+
 def _field(name: str):
     # one-parameter lambda: a second parameter would receive the index
     return lambda m: m[name]

@@ -38,3 +38,16 @@ def test_stream_equals_batch(spark, workdir):
     a = sorted(tuple(r) for r in streamed.select(*cols).collect())
     b = sorted(tuple(r) for r in batch.select(*cols).collect())
     assert len(a) == len(b) > 0 and a == b
+
+
+def test_two_phase_equals_one_phase_across_buckets(spark):
+    # one hot key whose sessions straddle many small buckets
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet") \
+        .withColumn("ts", F.col("ts").cast("timestamp")).withColumn("user_id", F.col("user_id") % 3)
+    args = (["user_id"], "ts", "event_id", "20 minutes")
+    cols = ["user_id", "session_start", "session_end", "n_messages", "message_ids", "event_type", "value"]
+    two = fold_sessions(ev, *args, texts=["event_type"], firsts=["value"], bucket_seconds=600)
+    one = fold_sessions(ev, *args, texts=["event_type"], firsts=["value"], bucket_seconds=None)
+    a = sorted(tuple(r) for r in two.select(*cols).collect())
+    b = sorted(tuple(r) for r in one.select(*cols).collect())
+    assert a == b and any(r[3] > 3 for r in a)
