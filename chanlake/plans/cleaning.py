@@ -13,6 +13,24 @@ from chanlake.functions import dates, text
 
 NO_MEDIA = "No Media"
 
+# --- fixed values: scraped record fields -> standard column names (P13) ----
+STANDARD_NAMES = {
+    "Channel": "channel",
+    "Group ID": "group_id",
+    "Message IDs": "message_ids",
+    "Message": "message",
+    "Text": "text",
+    "Sender ID": "sender_id",
+    "Date": "message_date",
+    "Media Path": "media_path",
+}
+# --- end of fixed values ------------------------------------------------------
+
+
+def standardize_columns(df: DataFrame, names: dict[str, str] = STANDARD_NAMES) -> DataFrame:
+    """Rename the scraped record fields that are present (a projection)."""
+    return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
+
 
 def clean_frame(df: DataFrame, as_of: str, message: str = "message", media: str = "media_path",
                 date: str = "date", channel: str = "channel") -> DataFrame:

@@ -127,3 +127,9 @@ def test_fuzz_pipeline(spark):
     got = {r["i"]: r["o"] for r in df.select("i", T.clean_text("s").alias("o")).collect()}
     for i, s in enumerate(data):
         assert got[i] == py_pipeline(s), repr(s)
+
+
+def test_standardize_columns(spark):
+    from chanlake.plans.cleaning import standardize_columns
+    df = spark.createDataFrame([(1, "x", "c")], "`Group ID` int, Message string, other string")
+    assert standardize_columns(df).columns == ["group_id", "message", "other"]
