@@ -57,12 +57,19 @@ NO_MESSAGE = "No Message"
 
 
 def _class_body(spec: str) -> str:
-    """'A9 2194-2199' -> '\\x{A9}\\x{2194}-\\x{2199}' (regex class body)."""
-    out = []
+    """'9 A B 2194-2199' -> '\\x{9}-\\x{B}\\x{2194}-\\x{2199}' (regex class body).
+    Adjacent code points are merged: Java tests class items one by one."""
+    items = []
     for token in spec.split():
         lo, _, hi = token.partition("-")
-        out.append(f"\\x{{{lo}}}" + (f"-\\x{{{hi}}}" if hi else ""))
-    return "".join(out)
+        items.append((int(lo, 16), int(hi or lo, 16)))
+    spans: list[list[int]] = []
+    for a, b in sorted(items):
+        if spans and a <= spans[-1][1] + 1:
+            spans[-1][1] = max(spans[-1][1], b)
+        else:
+            spans.append([a, b])
+    return "".join(f"\\x{{{a:X}}}" + (f"-\\x{{{b:X}}}" if b > a else "") for a, b in spans)
 
 
 def _hint_body(spec: str, max_gap: int = 0x1000) -> str:

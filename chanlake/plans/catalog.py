@@ -160,7 +160,7 @@ register("combine_messages", f"""
 SELECT conv_id, array_to_string(list_filter(list_transform(list(text ORDER BY turn),
          lambda x: {d_re('x', text.EDGE_WS, '')}), lambda x: x <> ''), chr(10)) AS combined
 FROM conversations GROUP BY conv_id
-""")(lambda spark, sf: spark.read.parquet(f"{sf}/conversations.parquet")
+""")(lambda spark, sf: fx.read_table(spark, sf, "conversations")
      .groupBy("conv_id")
      .agg(arrays.ordered_list("text", F.col("turn")).alias("texts"))
      .select("conv_id", text.combine_messages("texts").alias("combined")))
@@ -179,14 +179,14 @@ SELECT CAST(event_id AS VARCHAR) AS id,
   strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 = 0 THEN ''
     ELSE '.' || lpad(CAST(microsecond(ts) % 1000000 AS VARCHAR), 6, '0') END AS iso
 FROM events
-""")(lambda spark, sf: spark.read.parquet(f"{sf}/events.parquet").select(
+""")(lambda spark, sf: fx.read_table(spark, sf, "events").select(
     F.col("event_id").cast("string").alias("id"), dates.iso_format(F.col("ts")).alias("iso")))
 
 register("utc_convert", """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS utc_naive,
   strftime(ts - INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') AS utc_from_addis
 FROM events
-""")(lambda spark, sf: spark.read.parquet(f"{sf}/events.parquet").select(
+""")(lambda spark, sf: fx.read_table(spark, sf, "events").select(
     "event_id", dates.sql_format(dates.to_utc("ts")).alias("utc_naive"),
     dates.sql_format(dates.to_utc("ts", "Africa/Addis_Ababa")).alias("utc_from_addis")))
 
@@ -488,7 +488,7 @@ EQ_QUERY = {"c_mktsegment": "BUILDING", "c_nationkey": 3}
 
 
 def _customer(spark, sf):
-    return spark.read.parquet(f"{sf}/customer.parquet")
+    return fx.read_table(spark, sf, "customer")
 
 
 register("eq_filter", """
@@ -606,7 +606,7 @@ def _work(spark, name: str) -> str:
 
 
 def _conv(spark, sf):
-    return spark.read.parquet(f"{sf}/conversations.parquet")
+    return fx.read_table(spark, sf, "conversations")
 
 
 def _csv_roundtrip(spark, sf):
@@ -732,7 +732,7 @@ SESSION_GAP_HOURS = 6     # smallest per-user gap in events is seconds; 6 h grou
 
 
 def _events(spark, sf) -> DataFrame:
-    return spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return fx.read_table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _fold_events(df: DataFrame) -> DataFrame:
@@ -781,7 +781,7 @@ WHERE channel IN ({', '.join(q(c) for c in STREAM_CHANNELS)})""")(_stream_messag
 def _stream_session(spark, sf):
     """ST2-ST5 over landed events: closed sessions once the watermark passes."""
     from chanlake.streaming.sessions import run_session_stream
-    ev = spark.read.parquet(f"{sf}/events.parquet")
+    ev = fx.read_table(spark, sf, "events")
     landing, sink, ckpt = _work(spark, "landing_events"), _work(spark, "sink_sessions"), _work(spark, "ckpt_sessions")
     ev.write.mode("overwrite").parquet(landing)
     run_session_stream(spark, landing, ev.schema, sink, ckpt, ["user_id"], "ts", "event_id",

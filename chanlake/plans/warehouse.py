@@ -181,3 +181,16 @@ def materialize(spark: SparkSession, models: dict[str, DataFrame], how: dict[str
         df.createOrReplaceTempView(name)
         result[name] = df
     return result
+
+
+def run(spark: SparkSession, sources: dict[str, DataFrame], location: str,
+        how: dict[str, str] | None = None, tests=None) -> DataFrame:
+    """M3: build every model, materialise them (tables by default, in the
+    shared ``location``, so the tests read stored rows instead of recomputing
+    the chain), run the data tests and raise if any fails. Returns the report."""
+    from chanlake.operators import quality
+    built = build(sources)
+    how = how or {name: "table" for name in built}
+    stored = materialize(spark, built, how=how, location=location)
+    report = quality.run_tests(stored, tests or quality.DECLARED_TESTS)
+    return quality.gate(report)

@@ -76,3 +76,20 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         name = f"{name}-{uuid.uuid4().hex[:12]}"
     return base.rstrip("/") + "/" + name
+
+
+def spread(df, min_bytes: int = 4 * 1024 * 1024):
+    """Spread a scan over the cluster when its input is too coarse.
+
+    A file written as one row group scans as one task, so CPU-heavy work after
+    it (text cleaning) runs on one core. When the scan yields fewer
+    partitions than the default parallelism and its estimated size is above
+    ``min_bytes``, redistribute it round robin; a well-split input (the
+    normal case at scale) is returned untouched, with no extra shuffle."""
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    size = int(size) if isinstance(size, int) else int(size.toString())   # BigInt via py4j
+    return df.repartition(target) if size >= min_bytes else df

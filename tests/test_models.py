@@ -135,3 +135,12 @@ def test_media_path_rules(spark):
     both = [r[0] for r in df.select(albums.media_file_path("m", ["photo", "document"])).collect()]
     assert only_photo == ["m/c/1.jpg", None, None, None]
     assert sorted(x for x in both if x) == ["m/c/1.jpg", "m/c/2.mp4", "m/c/3.bin"]
+
+
+def test_run_gate(spark, workdir):
+    tests = [t for t in quality.DECLARED_TESTS if t.column != "extracted_link"]
+    raw = _tiny_warehouse(spark)   # sources come from the helper's inputs
+    report = warehouse.run(spark, {"raw_data": raw["stg_telegram"].withColumnRenamed("raw_id", "_id").drop("links"),
+                                   "stg_telegram_messages": raw["clean_messages"]},
+                           workdir + "/wh", tests=tests)
+    assert report.where("failures > 0").count() == 0
