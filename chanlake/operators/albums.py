@@ -41,19 +41,26 @@ def first_truthy(value: str, walk: Column, kind: str = "text") -> Column:
 def fold_albums(messages: DataFrame, channel: str = "channel", msg_id: str = "id",
                 grouped_id: str = "grouped_id", text: str = "text", message: str = "message",
                 date: str = "date", sender_id: str = "sender_id",
-                has_media: Column | None = None) -> DataFrame:
+                has_media: Column | None = None, media_path: str | None = None) -> DataFrame:
     """A1: one record per ``(channel, group)``.
 
     Output: ``channel, group_id, message_ids`` (walk order, newest first),
     ``text, message, sender_id`` (first truthy, else last walked), ``date``
     (first non-null), ``media_slots`` (messages that carry media).
     Keyed by channel too: a fallback key is a message id, which is only
-    unique inside a channel.
+    unique inside a channel. With ``media_path`` (a per-message downloaded
+    path, NULL when absent or failed) the record also gets ``media_paths``
+    in walk order (J1/J2).
     """
     walk = -F.col(msg_id)          # the API yields newest (largest id) first
     d = F.col(date)
     media_flag = has_media if has_media is not None else F.lit(False)
     keyed = messages.withColumn("group_id", group_key(grouped_id, msg_id))
+    extra = []
+    if media_path is not None:
+        p = F.col(media_path)
+        hits = F.collect_list(F.when(p.isNotNull(), F.struct(walk.alias("pos"), p.alias("path"))))
+        extra.append(F.transform(F.array_sort(hits), lambda h: h["path"]).alias("media_paths"))
     return keyed.groupBy(channel, "group_id").agg(
         F.sort_array(F.collect_list(F.col(msg_id)), asc=False).alias("message_ids"),
         first_truthy(text, walk).alias("text"),
@@ -61,9 +68,26 @@ def fold_albums(messages: DataFrame, channel: str = "channel", msg_id: str = "id
         F.min_by(d, F.when(d.isNotNull(), walk)).alias("date"),
         first_truthy(sender_id, walk, kind="number").alias("sender_id"),
         F.sum(F.when(media_flag, 1).otherwise(0)).cast("bigint").alias("media_slots"),
+        *extra,
     )
 
 
+def scrape_records(messages: DataFrame, media: DataFrame, limit: int, channel: str = "channel",
+                   msg_id: str = "id", **fold_args) -> DataFrame:
+    """The batch scrape of every channel at once: the ``limit`` newest
+    messages per channel (W2), folded into group records (A1) carrying the
+    downloaded paths of their messages (J1/J2).
+
+    One window with a partial group limit, one equi-join on ``(channel, id)``
+    (AQE broadcasts the media side when it is small), one aggregate."""
+    newest = newest_per_channel(messages, limit, channel, msg_id).drop("rank")
+    m = media.select(F.col(channel).alias("_ch"), F.col("id").alias("_mid"),
+                     F.col("path").alias("_path")).where(F.col("_path").isNotNull())
+    joined = newest.join(m, (newest[channel] == m["_ch"]) & (newest[msg_id] == m["_mid"]), "left") \
+        .drop("_ch", "_mid")
+    return fold_albums(joined, channel=channel, msg_id=msg_id, media_path="_path", **fold_args)
+
+
 def attach_media(messages: DataFrame, media: DataFrame, channel: str = "channel",
                  msg_id: str = "id", grouped_id: str = "grouped_id") -> DataFrame:
     """J1 + J2: per group, the downloaded paths in message-id walk order.

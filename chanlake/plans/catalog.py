@@ -349,15 +349,20 @@ def _d_first_truthy(v: str, falsy: str) -> str:
             f"ELSE -message_id END)[1]")
 
 
-D_ALBUMS = f"""
+def d_albums(src: str, extra: str = "") -> str:
+    """DuckDB album fold over a per-message relation ``src``."""
+    return f"""
 SELECT channel, {D_GKEY} AS group_id,
   list(message_id ORDER BY message_id DESC) AS message_ids,
   {_d_first_truthy('message_text', "message_text IS NULL OR message_text = ''")} AS text,
   {_d_first_truthy('raw_message', "raw_message IS NULL OR raw_message = ''")} AS message,
   (list(message_date ORDER BY message_id DESC) FILTER (WHERE message_date IS NOT NULL))[1] AS date,
   {_d_first_truthy('sender_id', "sender_id IS NULL OR sender_id = 0")} AS sender_id,
-  CAST(count(media_kind) AS BIGINT) AS media_slots
-FROM {fx.for_duck(fx.msgs)} m GROUP BY 1, 2"""
+  CAST(count(media_kind) AS BIGINT) AS media_slots{extra}
+FROM {src} m GROUP BY 1, 2"""
+
+
+D_ALBUMS = d_albums(fx.for_duck(fx.msgs))
 
 
 def _albums(spark, sf) -> DataFrame:
@@ -858,3 +863,30 @@ def _warehouse_build(spark, sf):
 register("warehouse_build", "\nUNION ALL\n".join(
     f"SELECT {q(name)} AS model, count(*) AS n_rows FROM ({sql}) m"
     for name, sql in WAREHOUSE_COUNTS.items()))(_warehouse_build)
+
+
+
+# --- the batch scrape end to end (W2 -> A1 -> J1/J2) -------------------------------
+
+def _scrape(spark, sf):
+    from chanlake.operators.albums import scrape_records
+    out = scrape_records(_msgs(spark, sf), fx.for_spark(spark, sf, fx.media), NEWEST_N,
+                         msg_id="message_id", text="message_text", message="raw_message",
+                         date="message_date", has_media=F.col("media_kind").isNotNull())
+    return out.select("channel", "group_id", F.array_join("message_ids", ",").alias("message_ids"),
+                      "text", "message", "date", "sender_id", "media_slots",
+                      F.array_join("media_paths", ",").alias("media_paths"))
+
+
+D_SCRAPE_SRC = f"""(
+  SELECT n.*, md.path FROM (
+    SELECT * FROM (SELECT m.*, row_number() OVER (PARTITION BY channel ORDER BY message_id DESC) AS rn
+                   FROM {fx.for_duck(fx.msgs)} m) r WHERE rn <= {NEWEST_N}) n
+  LEFT JOIN {fx.for_duck(fx.media)} md ON n.channel = md.channel AND n.message_id = md.id
+  AND md.path IS NOT NULL)"""
+
+register("channel_scrape", f"""
+SELECT channel, group_id, array_to_string(message_ids, ',') AS message_ids, text, message, date, sender_id,
+  media_slots, array_to_string(coalesce(paths, CAST([] AS VARCHAR[])), ',') AS media_paths
+FROM ({d_albums(D_SCRAPE_SRC, ", list(path ORDER BY message_id DESC) FILTER (WHERE path IS NOT NULL) AS paths")}) a
+""")(_scrape)

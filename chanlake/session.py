@@ -29,6 +29,10 @@ CLUSTER_CONF = {
     # streaming session windows: merge sessions inside each partition before
     # the shuffle, so a busy key ships partial sessions, not every event
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # stream state off the JVM heap, checkpointed incrementally
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
 }

@@ -175,18 +175,21 @@ def channel_of_file() -> Column:
 
 
 def merge_channels(spark: SparkSession, schema: T.StructType, json_glob: str | None = None,
-                   csv_glob: str | None = None, channel: str = "channel") -> DataFrame:
+                   csv_glob: str | None = None, channel: str = "channel",
+                   tolerant: bool = False) -> DataFrame:
     """S8 + U2: every JSON and CSV channel file into one frame with a
     ``channel`` column from the file. CSV text columns are aligned to
     ``schema`` (nested columns decoded from JSON) before the by-name union;
-    columns missing on one side become NULL."""
+    columns missing on one side become NULL. ``tolerant``: unreadable files
+    and malformed records yield no rows instead of failing the job."""
     parts = []
+    lenient = {"mode": "DROPMALFORMED", "ignoreCorruptFiles": "true"} if tolerant else {}
     if json_glob:
-        j = spark.read.schema(schema).option("multiLine", "false").json(json_glob)
+        j = spark.read.schema(schema).options(**lenient).option("multiLine", "false").json(json_glob)
         parts.append(j.select(*schema.fieldNames(), channel_of_file().alias(channel)))
     if csv_glob:
         text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-        c = spark.read.schema(text_schema).options(**CSV_READ).csv(csv_glob)
+        c = spark.read.schema(text_schema).options(**CSV_READ).options(**lenient).csv(csv_glob)
         cols = []
         for f in schema:
             if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):

@@ -56,3 +56,16 @@ def test_json_array_form(spark, workdir):
     df = spark.range(50).select(F.col("id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("t"))
     files.save_json_array(df.repartition(3), workdir + "/a.json")
     assert files.load_json(spark, workdir + "/a.json", array_form=True).count() == 50
+
+
+def test_merge_channels_tolerant(spark, workdir):
+    import os
+    df = spark.createDataFrame([("c1", 1, [1, 2])], "channel string, group_id long, ids array<long>")
+    files.save_by_channel(df, workdir + "/j", fmt="json")
+    bad_dir = (workdir + "/j/channel=broken").replace("file:", "")
+    os.makedirs(bad_dir, exist_ok=True)
+    with open(bad_dir + "/part-0.json", "w") as f:
+        f.write('{"group_id": 7, "ids": [1,\n')
+    merged = files.merge_channels(spark, df.drop("channel").schema, json_glob=workdir + "/j/*/*.json",
+                                  tolerant=True)
+    assert [(r["channel"], r["group_id"]) for r in merged.collect()] == [("c1", 1)]
