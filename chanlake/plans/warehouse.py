@@ -189,6 +189,8 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], location: str,
     shared ``location``, so the tests read stored rows instead of recomputing
     the chain), run the data tests and raise if any fails. Returns the report."""
     from chanlake.operators import quality
+    from chanlake.session import estimated_bytes, size_shuffle_partitions
+    size_shuffle_partitions(spark, sum(estimated_bytes(df) for df in sources.values()))
     built = build(sources)
     how = how or {name: "table" for name in built}
     stored = materialize(spark, built, how=how, location=location)

@@ -20,6 +20,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # coalesce small post-shuffle partitions toward the advisory size instead of
+    # keeping one per core
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Broadcast only sides that are proven small: 64 MB, checked by the planner
     # from statistics and re-checked by AQE on the materialised shuffle.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
@@ -97,3 +100,21 @@ def spread(df, min_bytes: int = 4 * 1024 * 1024):
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     size = int(size) if isinstance(size, int) else int(size.toString())   # BigInt via py4j
     return df.repartition(target) if size >= min_bytes else df
+
+
+def estimated_bytes(df) -> int:
+    """Planner estimate of a DataFrame's size (file sizes for scans)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) if isinstance(size, int) else int(size.toString())
+
+
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
+                            per_partition: int = 256 * 1024 * 1024, cap: int = 200_000) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so each initial shuffle partition
+    holds about ``per_partition`` bytes of input (at least twice the
+    cluster's cores). AQE then coalesces the small ones; it cannot split
+    large ones (except skewed joins), so the start must be large enough."""
+    floor = 2 * spark.sparkContext.defaultParallelism
+    n = max(floor, min(cap, -(-input_bytes // per_partition)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -39,3 +39,20 @@ def test_sessions_shuffle_by_bucket_first(spark):
 def test_album_fold_partial(spark):
     plan = _plan(spark, "album_group")
     assert "partial_min_by" in plan and "partial_collect_list" in plan
+
+
+def test_eq_filter_pushed_to_scan(spark):
+    plan = _plan(spark, "eq_filter")
+    assert "PushedFilters: [IsNotNull(c_mktsegment), IsNotNull(c_nationkey), EqualTo(c_mktsegment,BUILDING)" in plan
+
+
+def test_shuffle_sizing(spark):
+    from chanlake.session import size_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        floor = 2 * spark.sparkContext.defaultParallelism
+        assert size_shuffle_partitions(spark, 10) == floor
+        assert size_shuffle_partitions(spark, 10 * 1024 ** 4) == 10 * 1024 ** 4 // (256 * 1024 ** 2)
+        assert size_shuffle_partitions(spark, 100 * 1024 ** 4) == 200_000       # capped
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
