@@ -20,9 +20,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # coalesce small post-shuffle partitions toward the advisory size instead of
-    # keeping one per core
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Broadcast only sides that are proven small: 64 MB, checked by the planner
     # from statistics and re-checked by AQE on the materialised shuffle.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
@@ -53,6 +50,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.master.startswith("local"):
+        # on a shared cluster coalesce small post-shuffle partitions toward the
+        # advisory size (fewer tiny tasks); locally keep one per core
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     ensure_checkpoint_dir(spark)
     return spark
 
