@@ -91,10 +91,13 @@ def load_conll(spark: SparkSession, path: str, columns: tuple[str, str] = ("toke
     """S3: ``token<TAB>label`` lines; a blank line (after strip) ends a
     sentence; the last one is kept without a trailing blank line.
 
-    Each file is read whole (``wholetext``) and cut into sentences with
-    native expressions; sentences are rows from there on."""
+    The text source reads records separated by an empty line
+    (``lineSep="\\n\\n"``), so files split across tasks like any text
+    file (the line reader finishes a record that crosses a split). A record
+    is then cut at lines holding only whitespace, and every line is stripped
+    and split at the tab, all in native expressions."""
     tok, lab = columns
-    raw = spark.read.text(path, wholetext=True)
+    raw = spark.read.text(path, lineSep="\n\n")
     blocks = raw.select(F.explode(F.split("value", f"\n{WS_CLASS}*\n")).alias("block"))
     lines = blocks.select(F.filter(F.transform(F.split("block", "\n"), lambda x: strip_ws(x)),
                                    lambda x: x != F.lit("")).alias("lines"))

@@ -69,3 +69,23 @@ def test_merge_channels_tolerant(spark, workdir):
     merged = files.merge_channels(spark, df.drop("channel").schema, json_glob=workdir + "/j/*/*.json",
                                   tolerant=True)
     assert [(r["channel"], r["group_id"]) for r in merged.collect()] == [("c1", 1)]
+
+
+def test_conll_split_file(spark, workdir):
+    import os
+    path = (workdir + "/big.conll").replace("file:", "")
+    os.makedirs(path, exist_ok=True)
+    sentences = [[f"w{i}_{j}" for j in range(1 + i % 7)] for i in range(3000)]
+    with open(path + "/one.conll", "w") as f:
+        for k, s in enumerate(sentences):
+            f.write("".join(f"{t}\tO\n" for t in s))
+            f.write("\n" if k % 3 else "  \n\n")                # some separators carry spaces
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = files.load_conll(spark, path)
+        assert df.rdd.getNumPartitions() > 1
+        got = sorted(tuple(r["tokens"]) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == sorted(tuple(s) for s in sentences)
