@@ -74,14 +74,27 @@ def save_json(df: DataFrame, path: str) -> None:
 def save_json_array(df: DataFrame, path: str) -> None:
     """S5 (store variant): every output file is one JSON array of records.
 
-    Records are encoded on the executors; the records of one input partition
-    form one array, written to its own folder so a file never holds two
-    documents. A file is bounded by the partition size."""
-    rec = df.select(F.to_json(F.struct(*df.columns)).alias("r"),
-                    F.spark_partition_id().alias("file_no"))
-    docs = rec.groupBy("file_no").agg(F.collect_list("r").alias("rs"))
-    docs.select("file_no", F.concat(F.lit("[\n"), F.array_join("rs", ",\n"), F.lit("\n]")).alias("value")) \
-        .write.mode("overwrite").partitionBy("file_no").text(path)
+    Records are encoded by ``to_json`` on the JVM; a per-partition pass only
+    frames them (``[``, comma-led records, ``]``) batch by batch, so memory
+    stays at one Arrow batch whatever the partition size."""
+    rec = df.select(F.to_json(F.struct(*df.columns)).alias("r"))
+
+    def frame(batches):
+        import pandas as pd
+        opened = False
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            lead = pd.Series(",", index=pdf.index)
+            if not opened:
+                yield pd.DataFrame({"value": ["["]})
+                lead.iloc[0] = ""
+                opened = True
+            yield pd.DataFrame({"value": lead + pdf["r"]})
+        if opened:
+            yield pd.DataFrame({"value": ["]"]})
+
+    rec.mapInPandas(frame, "value string").write.mode("overwrite").text(path)
 
 
 # --- S3 / S6 ---------------------------------------------------------------------
