@@ -275,19 +275,12 @@ FROM (
 """
 
 
-# Tables whose rows feed CPU-heavy work (regex over whole texts) before any
-# shuffle: worth spreading when the file scans as too few tasks. Elsewhere the
-# first shuffle spreads the work and an extra exchange would only cost.
-SPREAD_TABLES = ("documents",)
-
-
 def read_table(spark, sf_dir: str, name: str):
-    """A driver table; text tables are spread if their file scans too coarsely."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name in SPREAD_TABLES:
-        from chanlake.session import spread
-        df = spread(df)
-    return df
+    """A driver table. Each test file is a single row group and scans as one
+    task; ``spread`` redistributes such a scan when it is large enough to
+    matter (a well-split input is returned as is, so at scale this is free)."""
+    from chanlake.session import spread
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def for_spark(spark, sf_dir: str, sql_fn, **extra_frames):
