@@ -817,15 +817,20 @@ register("stream_session", _d_sessions(
 
 # --- model calls with injected functions (F2, F3) ----------------------------------
 
+FAKE_CLASSES = ("person", "bottle", "pill")
+
+
 def fake_detector_loader():
-    """Deterministic stand-in detector (no model weights here): boxes derived
-    from a checksum of the path."""
-    import zlib
+    """Deterministic stand-in detector (no model weights here): the number of
+    boxes and their classes come from the MD5 hex digest of the path."""
+    import hashlib
 
     def detect(path: str) -> list[dict]:
-        h = zlib.crc32(path.encode())
-        return [{"class": ("person", "bottle", "pill")[(h >> k) % 3], "confidence": ((h >> k) % 100) / 100.0,
-                 "bbox": [float(k), float(k + 1), float(k + 10), float(k + 11)]} for k in range(h % 4)]
+        h = hashlib.md5(path.encode()).hexdigest()
+        n = int(h[0], 16) % 4
+        return [{"class": FAKE_CLASSES[int(h[1 + k], 16) % 3],
+                 "confidence": int(h[5 + 2 * k:7 + 2 * k], 16) / 255.0,
+                 "bbox": [float(k), float(k + 1), float(k + 10), float(k + 11)]} for k in range(n)]
     return detect
 
 
@@ -835,6 +840,13 @@ def fake_ocr(path: str) -> str:
     return "ጽሑፍ " + path.rsplit("/", 1)[-1]
 
 
+def _d_hexdigit(h: str, pos: str) -> str:
+    return f"(instr('0123456789abcdef', substr({h}, {pos}, 1)) - 1)"
+
+
+D_IMAGES = f"(SELECT DISTINCT image_path FROM {fx.for_duck(fx.dets)} d)"
+
+
 def _detect_udf(spark, sf):
     from chanlake.operators.media import detect
     images = fx.for_spark(spark, sf, fx.dets).select("image_path").distinct()
@@ -849,8 +861,17 @@ def _ocr_udf(spark, sf):
     return extract_text(images, fake_ocr)
 
 
-register("detect_udf")(_detect_udf)
-register("ocr_udf")(_ocr_udf)
+register("detect_udf", f"""
+SELECT image_path, CAST(n AS INTEGER) AS n_detections,
+  array_to_string(list_transform(range(n), lambda k: ['person', 'bottle', 'pill'][({_d_hexdigit('h', '2 + k')}) % 3 + 1]), '|')
+    AS classes
+FROM (SELECT image_path, md5(image_path) AS h, {_d_hexdigit('md5(image_path)', '1')} % 4 AS n
+      FROM {D_IMAGES} i) x""")(_detect_udf)
+
+register("ocr_udf", f"""
+SELECT image_path, CASE WHEN image_path LIKE '%3.jpg' THEN NULL
+  ELSE 'ጽሑፍ ' || regexp_extract(image_path, '[^/]*$', 0) END AS ocr_text
+FROM {D_IMAGES} i""")(_ocr_udf)
 
 
 # --- model graph and materialisation (M1, M2) ----------------------------------------
