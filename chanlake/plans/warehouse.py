@@ -190,9 +190,14 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], location: str,
     the chain), run the data tests and raise if any fails. Returns the report."""
     from chanlake.operators import quality
     from chanlake.session import estimated_bytes, size_shuffle_partitions
-    size_shuffle_partitions(spark, sum(estimated_bytes(df) for df in sources.values()))
-    built = build(sources)
-    how = how or {name: "table" for name in built}
-    stored = materialize(spark, built, how=how, location=location)
-    report = quality.run_tests(stored, tests or quality.DECLARED_TESTS)
-    return quality.gate(report)
+    sizes = [estimated_bytes(df) for df in sources.values()]
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    size_shuffle_partitions(spark, None if None in sizes else sum(sizes))
+    try:
+        built = build(sources)
+        how = how or {name: "table" for name in built}
+        stored = materialize(spark, built, how=how, location=location)
+        report = quality.run_tests(stored, tests or quality.DECLARED_TESTS)
+        return quality.gate(report)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)

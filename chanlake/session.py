@@ -98,23 +98,28 @@ def spread(df, min_bytes: int = 4 * 1024 * 1024):
     target = sc.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    size = int(size) if isinstance(size, int) else int(size.toString())   # BigInt via py4j
-    return df.repartition(target) if size >= min_bytes else df
+    size = estimated_bytes(df)
+    return df.repartition(target) if size is not None and size >= min_bytes else df
 
 
-def estimated_bytes(df) -> int:
-    """Planner estimate of a DataFrame's size (file sizes for scans)."""
+def estimated_bytes(df) -> int | None:
+    """Planner estimate of a DataFrame's size (file sizes for scans); None
+    when the plan has no statistics (Spark then reports its default size,
+    which is a placeholder, not a measurement)."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) if isinstance(size, int) else int(size.toString())
+    size = int(size) if isinstance(size, int) else int(size.toString())
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1)))
+    return None if size >= unknown else size
 
 
-def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int | None,
                             per_partition: int = 256 * 1024 * 1024, cap: int = 200_000) -> int:
     """Set ``spark.sql.shuffle.partitions`` so each initial shuffle partition
     holds about ``per_partition`` bytes of input (at least twice the
     cluster's cores). AQE then coalesces the small ones; it cannot split
     large ones (except skewed joins), so the start must be large enough."""
+    if input_bytes is None:                       # no estimate: keep the setting
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
     floor = 2 * spark.sparkContext.defaultParallelism
     n = max(floor, min(cap, -(-input_bytes // per_partition)))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))

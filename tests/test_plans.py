@@ -56,3 +56,12 @@ def test_shuffle_sizing(spark):
         assert size_shuffle_partitions(spark, 100 * 1024 ** 4) == 200_000       # capped
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_unknown_size_leaves_partitions(spark):
+    from chanlake.session import estimated_bytes, size_shuffle_partitions
+    df = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")   # no statistics
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert estimated_bytes(df) is None
+    assert size_shuffle_partitions(spark, estimated_bytes(df)) == int(before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
