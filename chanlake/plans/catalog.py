@@ -14,8 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanlake.functions import arrays, dates, text
+from chanlake.operators import albums, media, quality, reads
 from chanlake.plans import fixtures as fx
+from chanlake.plans import warehouse
 from chanlake.plans.cleaning import clean_frame
+from chanlake.session import ensure_checkpoint_dir, shared_path
+from chanlake.sources import files, store
+from chanlake.streaming import sessions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -65,8 +70,9 @@ D_STEPS = {
 PIPELINE = ["amharic", "punct", "emoji", "repeat", "url", "link", "space"]
 
 
-def d_chain(src: str, key: str, col: str, steps: list[str], keep: str = "") -> str:
-    """CTE chain applying DuckDB text steps one per CTE (no nested repeats)."""
+def d_chain(src: str, key: str, col: str, steps: list[str], keep: str = "") -> tuple[str, str]:
+    """CTE chain applying DuckDB text steps one per CTE (no nested repeats);
+    returns the WITH clause and the name of the last CTE."""
     ctes = [f"s0 AS (SELECT {key}, {keep}{col} AS m0, {col} AS m FROM {src} src)"]
     for i, step in enumerate(steps, 1):
         ctes.append(f"s{i} AS (SELECT * REPLACE ({D_STEPS[step]('m')} AS m) FROM s{i - 1})")
@@ -193,7 +199,6 @@ FROM events
 
 def prepare(spark: SparkSession) -> None:
     """Session settings the queries rely on (UTC rendering, shared folder)."""
-    from chanlake.session import ensure_checkpoint_dir
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
 
@@ -218,7 +223,6 @@ def _wh_sources(spark, sf) -> dict[str, DataFrame]:
 
 
 def _model(spark, sf, name) -> DataFrame:
-    from chanlake.plans import warehouse
     return warehouse.build(_wh_sources(spark, sf), [name])[name]
 
 
@@ -322,14 +326,11 @@ def _d_test(t) -> str:
 
 
 def _dq_report(spark, sf):
-    from chanlake.operators.quality import run_tests
-    from chanlake.plans import warehouse
-    return run_tests(warehouse.build(_wh_sources(spark, sf)))
+    return quality.run_tests(warehouse.build(_wh_sources(spark, sf)))
 
 
 def _dq_oracle() -> str:
-    from chanlake.operators.quality import DECLARED_TESTS
-    return "\nUNION ALL\n".join(_d_test(t) for t in DECLARED_TESTS)
+    return "\nUNION ALL\n".join(_d_test(t) for t in quality.DECLARED_TESTS)
 
 
 register("dq_report", _dq_oracle())(_dq_report)
@@ -366,8 +367,7 @@ D_ALBUMS = d_albums(fx.for_duck(fx.msgs))
 
 
 def _albums(spark, sf) -> DataFrame:
-    from chanlake.operators.albums import fold_albums
-    return fold_albums(_msgs(spark, sf), msg_id="message_id", text="message_text",
+    return albums.fold_albums(_msgs(spark, sf), msg_id="message_id", text="message_text",
                        message="raw_message", date="message_date",
                        has_media=F.col("media_kind").isNotNull())
 
@@ -380,13 +380,12 @@ SELECT channel, group_id, array_to_string(message_ids, ',') AS message_ids, text
 register("album_filter", f"""
 SELECT channel, group_id, CAST(len(message_ids) AS INTEGER) AS n_messages
 FROM ({D_ALBUMS}) a WHERE len(message_ids) > 1""")(
-    lambda spark, sf: __import__("chanlake.operators.albums", fromlist=["x"]).albums_only(
+    lambda spark, sf: albums.albums_only(
         _albums(spark, sf)).select("channel", "group_id", F.size("message_ids").alias("n_messages")))
 
 
 def _media_attach(spark, sf):
-    from chanlake.operators.albums import attach_media
-    out = attach_media(_msgs(spark, sf), fx.for_spark(spark, sf, fx.media), msg_id="message_id")
+    out = albums.attach_media(_msgs(spark, sf), fx.for_spark(spark, sf, fx.media), msg_id="message_id")
     return out.select("channel", "group_id", F.array_join("media_paths", ",").alias("media_paths"))
 
 
@@ -402,8 +401,7 @@ NEWEST_N = 10     # messages per channel and run in the scraper's main
 
 
 def _newest(spark, sf):
-    from chanlake.operators.albums import newest_per_channel
-    out = newest_per_channel(_msgs(spark, sf), NEWEST_N, msg_id="message_id")
+    out = albums.newest_per_channel(_msgs(spark, sf), NEWEST_N, msg_id="message_id")
     return out.select("channel", "message_id", F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -419,11 +417,10 @@ WHERE channel NOT IN ('chan5', 'chan6') GROUP BY channel"""
 
 
 def _incremental(spark, sf):
-    from chanlake.sources.store import advance_marks, new_since
     m = _msgs(spark, sf)
     state = spark.sql(STATE_SQL, m=m)
-    loaded = new_since(m, state, msg_id="message_id")
-    return advance_marks(state, loaded, msg_id="message_id")
+    loaded = store.new_since(m, state, msg_id="message_id")
+    return store.advance_marks(state, loaded, msg_id="message_id")
 
 
 register("incremental_load", f"""
@@ -438,11 +435,9 @@ FROM st FULL OUTER JOIN agg ON st.channel = agg.channel""")(_incremental)
 
 
 def _unique_append(spark, sf):
-    from chanlake.operators.albums import group_key
-    from chanlake.sources.store import unique_violations
-    batch = _msgs(spark, sf).select(group_key("grouped_id", "message_id").alias("group_id"))
+    batch = _msgs(spark, sf).select(albums.group_key("grouped_id", "message_id").alias("group_id"))
     target = fx.for_spark(spark, sf, fx.raw_data)
-    return unique_violations(batch, target, "group_id")
+    return store.unique_violations(batch, target, "group_id")
 
 
 register("unique_append", f"""
@@ -458,10 +453,9 @@ ALLOWED_MEDIA = ("photo", "document")
 
 
 def _media_path_derive(spark, sf):
-    from chanlake.operators.albums import media_file_path
     return _msgs(spark, sf).select(
         "channel", "message_id",
-        media_file_path(MEDIA_DIR, ALLOWED_MEDIA, msg_id="message_id").alias("path"))
+        albums.media_file_path(MEDIA_DIR, ALLOWED_MEDIA, msg_id="message_id").alias("path"))
 
 
 register("media_path_derive", f"""
@@ -474,8 +468,7 @@ FROM {fx.for_duck(fx.msgs)} m""")(_media_path_derive)
 
 
 def _media_paths(spark, sf):
-    from chanlake.sources.store import image_copies
-    return image_copies(fx.for_spark(spark, sf, fx.raw_data), "media_paths", "out/images",
+    return store.image_copies(fx.for_spark(spark, sf, fx.raw_data), "media_paths", "out/images",
                         keep=["group_id"])
 
 
@@ -499,13 +492,12 @@ def _customer(spark, sf):
 register("eq_filter", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 WHERE c_mktsegment = 'BUILDING' AND c_nationkey = 3""")(
-    lambda spark, sf: __import__("chanlake.sources.store", fromlist=["x"]).eq_filter(
+    lambda spark, sf: store.eq_filter(
         _customer(spark, sf), EQ_QUERY))
 
 
 def _regex_filter(spark, sf):
-    from chanlake.operators.reads import regex_filter
-    return regex_filter(fx.for_spark(spark, sf, fx.biz), "business_name", REGEX_PATTERN).select(
+    return reads.regex_filter(fx.for_spark(spark, sf, fx.biz), "business_name", REGEX_PATTERN).select(
         "id", "business_name", "phone_number", "address", "scraped_date")
 
 
@@ -517,13 +509,12 @@ ORDER BY b.id LIMIT 10""")(_regex_filter)
 register("slice_rows", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 ORDER BY c_custkey LIMIT 5 OFFSET 10""")(
-    lambda spark, sf: __import__("chanlake.operators.reads", fromlist=["x"]).slice_rows(
+    lambda spark, sf: reads.slice_rows(
         _customer(spark, sf), "c_custkey", 10, 15))
 
 
 def _served(spark, sf):
-    from chanlake.operators.reads import served_rows
-    out = served_rows(fx.for_spark(spark, sf, fx.biz), limit=None)
+    out = reads.served_rows(fx.for_spark(spark, sf, fx.biz), limit=None)
     return out.select("id", "business_name", "phone_number", "address", "scraped_date",
                       F.array_join("media_paths", ",").alias("media_paths"),
                       F.array_join("links", ",").alias("links"),
@@ -539,8 +530,7 @@ FROM {fx.for_duck(fx.biz)} b WHERE business_name IS NOT NULL AND scraped_date IS
 
 
 def _profile(spark, sf):
-    from chanlake.operators.reads import profile
-    return profile(fx.for_spark(spark, sf, fx.biz))
+    return reads.profile(fx.for_spark(spark, sf, fx.biz))
 
 
 def _d_profile() -> str:
@@ -556,8 +546,7 @@ register("profile", _d_profile())(_profile)
 
 
 def _nested(spark, sf):
-    from chanlake.operators.media import nest_detections
-    return nest_detections(fx.for_spark(spark, sf, fx.dets))
+    return media.nest_detections(fx.for_spark(spark, sf, fx.dets))
 
 
 D_NESTED = f"""
@@ -576,8 +565,7 @@ FROM ({D_NESTED}) n""")(lambda spark, sf: _nested(spark, sf).select(
 
 
 def _flat(spark, sf):
-    from chanlake.operators.media import flatten_detections
-    out = flatten_detections(_nested(spark, sf))
+    out = media.flatten_detections(_nested(spark, sf))
     return out.select("image_path", F.col("box_no").cast("int").alias("box_no"), "class",
                       "confidence", "x1", "y1", "x2", "y2")
 
@@ -592,8 +580,7 @@ DETECTION_PATTERN = "BOX"
 
 
 def _detection_filter(spark, sf):
-    from chanlake.operators.reads import detection_filter
-    out = detection_filter(_nested(spark, sf), DETECTION_PATTERN, limit=None)
+    out = reads.detection_filter(_nested(spark, sf), DETECTION_PATTERN, limit=None)
     return out.select("image_path", F.size("detections").alias("n_detections"))
 
 
@@ -606,7 +593,6 @@ GROUP BY image_path HAVING bool_or(regexp_matches(class, {q(DETECTION_PATTERN)},
 # --- file sources and sinks (S1-S8, S12) ------------------------------------------
 
 def _work(spark, name: str) -> str:
-    from chanlake.session import shared_path
     return shared_path(spark, "io", name)
 
 
@@ -615,7 +601,6 @@ def _conv(spark, sf):
 
 
 def _csv_roundtrip(spark, sf):
-    from chanlake.sources import files
     src = _conv(spark, sf)
     path = _work(spark, "conversations.csv")
     files.save_csv(src, path)
@@ -626,7 +611,6 @@ register("csv_roundtrip", "SELECT conv_id, turn, role, text FROM conversations")
 
 
 def _scan_csv(spark, sf):
-    from chanlake.sources import files
     path = _work(spark, "customer.csv")
     files.save_csv(_customer(spark, sf), path, lossless=False)
     return files.load_csv(spark, path, infer=True)
@@ -638,7 +622,6 @@ SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTE
 
 
 def _json_roundtrip(spark, sf):
-    from chanlake.sources import files
     path = _work(spark, "conversations.json")
     files.save_json(_conv(spark, sf), path)
     return files.load_json(spark, path, array_form=False).select("conv_id", "turn", "role", "text")
@@ -648,7 +631,6 @@ register("json_roundtrip", "SELECT conv_id, turn, role, text FROM conversations"
 
 
 def _scan_json(spark, sf):
-    from chanlake.sources import files
     path = _work(spark, "customer_arrays.json")
     files.save_json_array(_customer(spark, sf), path)
     out = files.load_json(spark, path, array_form=True)
@@ -673,7 +655,6 @@ def _conll_source(spark, sf):
 
 
 def _conll_roundtrip(spark, sf):
-    from chanlake.sources import files
     path = _work(spark, "sentences.conll")
     files.save_conll(_conll_source(spark, sf), path)
     back = files.load_conll(spark, path)
@@ -699,7 +680,6 @@ MSG_COLS = ["message_id", "grouped_id", "sender_id", "message_text", "media_path
 
 
 def _channel_store(spark, sf):
-    from chanlake.sources import files
     m = _msgs(spark, sf).select(*MSG_COLS)
     path = _work(spark, "by_channel")
     files.save_by_channel(m, path, fmt="json")
@@ -714,12 +694,11 @@ CSV_CHANNELS = ("chan4", "chan5", "chan6")
 
 
 def _merge_channels(spark, sf):
-    from chanlake.sources import files
-    albums = _albums(spark, sf).select("channel", *ALBUM_COLS)
+    records = _albums(spark, sf).select("channel", *ALBUM_COLS)
     jpath, cpath = _work(spark, "landed_json"), _work(spark, "landed_csv")
-    files.save_by_channel(albums.where(~F.col("channel").isin(*CSV_CHANNELS)), jpath, fmt="json")
-    files.save_by_channel(albums.where(F.col("channel").isin(*CSV_CHANNELS)), cpath, fmt="csv")
-    schema = albums.drop("channel").schema
+    files.save_by_channel(records.where(~F.col("channel").isin(*CSV_CHANNELS)), jpath, fmt="json")
+    files.save_by_channel(records.where(F.col("channel").isin(*CSV_CHANNELS)), cpath, fmt="csv")
+    schema = records.drop("channel").schema
     merged = files.merge_channels(spark, schema, json_glob=f"{jpath}/*/*.json",
                                   csv_glob=f"{cpath}/*/*.csv")
     return merged.select("channel", "group_id", F.array_join("message_ids", ",").alias("message_ids"),
@@ -741,8 +720,7 @@ def _events(spark, sf) -> DataFrame:
 
 
 def _fold_events(df: DataFrame) -> DataFrame:
-    from chanlake.streaming.sessions import fold_sessions
-    return fold_sessions(df, ["user_id"], "ts", "event_id", f"{SESSION_GAP_HOURS} hours",
+    return sessions.fold_sessions(df, ["user_id"], "ts", "event_id", f"{SESSION_GAP_HOURS} hours",
                          texts=["event_type"], firsts=["value"])
 
 
@@ -779,12 +757,12 @@ STREAM_CHANNELS = ("chan0", "chan2", "chan3", "chan5")
 
 
 def _stream_messages(spark, sf):
-    from chanlake.streaming.sessions import read_landed, subscribe, write_append
     m = _msgs(spark, sf).select(*MSG_COLS)
     landing, sink, ckpt = _work(spark, "landing_msgs"), _work(spark, "sink_msgs"), _work(spark, "ckpt_msgs")
     m.write.mode("overwrite").json(landing)
-    s = subscribe(read_landed(spark, landing, m.schema, fmt="json", max_files=2), STREAM_CHANNELS)
-    write_append(s, sink, ckpt).awaitTermination()
+    s = sessions.subscribe(sessions.read_landed(spark, landing, m.schema, fmt="json", max_files=2),
+                           STREAM_CHANNELS)
+    sessions.write_append(s, sink, ckpt).awaitTermination()
     return spark.read.schema(m.schema).parquet(sink)
 
 
@@ -795,11 +773,10 @@ WHERE channel IN ({', '.join(q(c) for c in STREAM_CHANNELS)})""")(_stream_messag
 
 def _stream_session(spark, sf):
     """ST2-ST5 over landed events: closed sessions once the watermark passes."""
-    from chanlake.streaming.sessions import run_session_stream
     ev = fx.read_table(spark, sf, "events")
     landing, sink, ckpt = _work(spark, "landing_events"), _work(spark, "sink_sessions"), _work(spark, "ckpt_sessions")
     ev.write.mode("overwrite").parquet(landing)
-    run_session_stream(spark, landing, ev.schema, sink, ckpt, ["user_id"], "ts", "event_id",
+    sessions.run_session_stream(spark, landing, ev.schema, sink, ckpt, ["user_id"], "ts", "event_id",
                        f"{SESSION_GAP_HOURS} hours", f"{STREAM_LATENESS_HOURS} hour", texts=["event_type"],
                        firsts=["value"]).awaitTermination()
     return _render_sessions(spark.read.parquet(sink))
@@ -848,17 +825,15 @@ D_IMAGES = f"(SELECT DISTINCT image_path FROM {fx.for_duck(fx.dets)} d)"
 
 
 def _detect_udf(spark, sf):
-    from chanlake.operators.media import detect
     images = fx.for_spark(spark, sf, fx.dets).select("image_path").distinct()
-    out = detect(images, fake_detector_loader)
+    out = media.detect(images, fake_detector_loader)
     return out.select("image_path", F.size("detections").alias("n_detections"),
                       F.array_join(F.transform("detections", lambda d: d["class"]), "|").alias("classes"))
 
 
 def _ocr_udf(spark, sf):
-    from chanlake.operators.media import extract_text
     images = fx.for_spark(spark, sf, fx.dets).select("image_path").distinct()
-    return extract_text(images, fake_ocr)
+    return media.extract_text(images, fake_ocr)
 
 
 register("detect_udf", f"""
@@ -886,7 +861,6 @@ WAREHOUSE_COUNTS = {
 
 
 def _warehouse_build(spark, sf):
-    from chanlake.plans import warehouse
     built = warehouse.build(_wh_sources(spark, sf))
     done = warehouse.materialize(spark, built, how={"stg_telegram": "table"},
                                  location=_work(spark, "warehouse"))
@@ -907,8 +881,7 @@ register("warehouse_build", "\nUNION ALL\n".join(
 # --- the batch scrape end to end (W2 -> A1 -> J1/J2) -------------------------------
 
 def _scrape(spark, sf):
-    from chanlake.operators.albums import scrape_records
-    out = scrape_records(_msgs(spark, sf), fx.for_spark(spark, sf, fx.media), NEWEST_N,
+    out = albums.scrape_records(_msgs(spark, sf), fx.for_spark(spark, sf, fx.media), NEWEST_N,
                          msg_id="message_id", text="message_text", message="raw_message",
                          date="message_date", has_media=F.col("media_kind").isNotNull())
     return out.select("channel", "group_id", F.array_join("message_ids", ",").alias("message_ids"),
