@@ -131,3 +131,17 @@ def run_session_stream(spark: SparkSession, source: str, schema: T.StructType, s
     s = with_event_time(read_landed(spark, source, schema, fmt, max_files), ts, lateness)
     out = fold_sessions(s, keys, ts, msg_id, gap, texts, firsts)
     return write_append(out, sink, checkpoint)
+
+
+def fold_live_albums(messages: DataFrame, gap: str = INACTIVITY_GAP, channel: str = "channel",
+                     msg_id: str = "id", grouped_id: str = "grouped_id", ts: str = "date",
+                     message: str = "message", text: str = "text", sender_id: str = "sender_id",
+                     bucket_seconds: int | None = 86400) -> DataFrame:
+    """ST2 for messages (batch or stream): members of one album that arrive
+    with no pause longer than ``gap`` fold into one record: ``message_ids`` in
+    arrival order, ``message``/``text`` as the non-blank values joined by
+    newline, ``sender_id`` of the first arrival, ``session_start`` its date."""
+    from chanlake.operators.albums import group_key
+    keyed = messages.withColumn("group_id", group_key(grouped_id, msg_id))
+    return fold_sessions(keyed, [channel, "group_id"], ts, msg_id, gap, texts=[message, text],
+                         firsts=[sender_id], bucket_seconds=bucket_seconds)

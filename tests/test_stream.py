@@ -74,3 +74,19 @@ def test_stream_resumes_from_checkpoint(spark, workdir):
     a = sorted(tuple(r) for r in streamed.select(*cols).collect())
     b = sorted(tuple(r) for r in batch.select(*cols).collect())
     assert 0 < first < len(b) and a == b
+
+
+def test_live_album_fold(spark):
+    from chanlake.streaming.sessions import fold_live_albums
+    df = spark.createDataFrame([
+        ("c", 11, 900, "2024-01-01 00:00:00", "first", "", 5),
+        ("c", 12, 900, "2024-01-01 00:00:05", "", "t2", 6),        # exactly 5 s later: same album
+        ("c", 13, 900, "2024-01-01 00:00:10.5", "late", None, 6),   # 5.5 s later: new record, same id
+        ("d", 7, None, "2024-01-01 00:00:01", "other channel", "x", 1),
+        ("c", 7, 0, "2024-01-01 00:00:02", "id 7 in c", "y", 2)],   # fallback key 7, own channel
+        "channel string, id long, grouped_id long, date string, message string, text string, sender_id long"
+    ).withColumn("date", F.col("date").cast("timestamp"))
+    got = sorted((r["channel"], r["group_id"], r["message_ids"], r["message"], r["text"], r["sender_id"])
+                 for r in fold_live_albums(df).collect())
+    assert got == [("c", 7, [7], "id 7 in c", "y", 2), ("c", 900, [11, 12], "first", "t2", 5),
+                   ("c", 900, [13], "late", "", 6), ("d", 7, [7], "other channel", "x", 1)]
