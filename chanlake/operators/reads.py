@@ -17,6 +17,12 @@ def _limit(df: DataFrame, order_by: str, limit: int | None) -> DataFrame:
     return df.orderBy(order_by).limit(limit) if limit is not None else df
 
 
+def scraped_rows(df: DataFrame, limit: int | None = DEFAULT_LIMIT, order_by: str = "_id") -> DataFrame:
+    """L1 + P12: the raw scraped records, first ``limit`` by ``order_by``,
+    with the document id rendered as a string."""
+    return _limit(df, order_by, limit).withColumn(order_by, F.col(order_by).cast("string"))
+
+
 def regex_filter(df: DataFrame, column: str, pattern: str | None, limit: int | None = DEFAULT_LIMIT,
                  order_by: str = "id") -> DataFrame:
     """P7 + L1 + P12: case-insensitive regex on ``column`` (blank pattern = all

@@ -506,6 +506,13 @@ SELECT CAST(id AS VARCHAR) AS id, business_name, phone_number, address, scraped_
 FROM {fx.for_duck(fx.biz)} b WHERE regexp_matches(business_name, {q(REGEX_PATTERN)}, 'i')
 ORDER BY b.id LIMIT 10""")(_regex_filter)
 
+register("scraped_data", f"""
+SELECT _id, group_id, {d_render('message_ids')} AS message_ids, message_text, sender, scraped_date
+FROM {fx.for_duck(fx.raw_data)} r ORDER BY _id LIMIT 10""")(
+    lambda spark, sf: reads.scraped_rows(fx.for_spark(spark, sf, fx.raw_data)).select(
+        "_id", "group_id", arrays.render("message_ids").alias("message_ids"), "message_text", "sender",
+        "scraped_date"))
+
 register("slice_rows", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 ORDER BY c_custkey LIMIT 5 OFFSET 10""")(

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanlake.functions import arrays, text
+from chanlake.functions import arrays, dates, text
 from chanlake.operators.dedupe import keep_latest
 
 PASS_THROUGH = ("business_name", "phone_number", "address")
@@ -101,7 +101,7 @@ def standardize_formats(filled: DataFrame) -> DataFrame:
     """P4 + D1: lower-case trimmed text, parsed timestamp (NULL when malformed)."""
     return filled.select(
         "message_id", "sender_id", F.lower(F.trim("message_text")).alias("message_text"),
-        F.try_to_timestamp(F.col("message_date"), F.lit("yyyy-MM-dd HH:mm:ss")).alias("formatted_date"),
+        dates.parse_sql_timestamp("message_date").alias("formatted_date"),
         "media_path", "channel")
 
 

@@ -144,3 +144,14 @@ def test_run_gate(spark, workdir):
                                    "stg_telegram_messages": raw["clean_messages"]},
                            workdir + "/wh", tests=tests)
     assert report.where("failures > 0").count() == 0
+
+
+def test_plain_append(spark, workdir):
+    path = workdir + "/docs"
+    empty = spark.createDataFrame([], "id int, t string")
+    store.append(empty, path)
+    import os
+    assert not os.path.exists(path.replace("file:", ""))
+    store.append(spark.createDataFrame([(1, "a")], empty.schema), path)
+    store.append(spark.createDataFrame([(1, "a")], empty.schema), path)
+    assert spark.read.parquet(path).count() == 2
