@@ -63,15 +63,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
     and is used as is. Only when it is unset (local runs, tests) a fresh folder
-    is created and registered.
-    """
-    current = spark.sparkContext.getCheckpointDir()
+    is created and registered. A remote (Connect) session has no
+    SparkContext; there the setting is read from the session conf."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no JVM context on this side
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            current = tempfile.mkdtemp(prefix="chanlake-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", current)
+        return current
+    current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
             current = tempfile.mkdtemp(prefix="chanlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(current)
-        current = spark.sparkContext.getCheckpointDir() or current
+        sc.setCheckpointDir(current)
+        current = sc.getCheckpointDir() or current
     return current
 
 
@@ -94,11 +102,13 @@ def spread(df, min_bytes: int = 4 * 1024 * 1024):
     partitions than the default parallelism and its estimated size is above
     ``min_bytes``, redistribute it round robin; a well-split input (the
     normal case at scale) is returned untouched, with no extra shuffle."""
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+        size = estimated_bytes(df)
+    except Exception:  # noqa: BLE001 - no plan access (remote session): leave as is
         return df
-    size = estimated_bytes(df)
     return df.repartition(target) if size is not None and size >= min_bytes else df
 
 
