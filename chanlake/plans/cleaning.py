@@ -49,11 +49,15 @@ def clean_frame(df: DataFrame, as_of: str, message: str = "message", media: str
     media_default = F.array(F.lit(NO_MEDIA))
     if media in df.columns and not str(df.schema[media].dataType).startswith("Array"):
         media_default = F.lit(NO_MEDIA)
-    return df.withColumns({
+    steps = {
         "emojis": text.extract_emojis(raw),
         "links": text.extract_links(raw),
         message: text.clean_text(F.coalesce(text.remove_urls(raw), F.lit(text.NO_MESSAGE))),
-        media: F.coalesce(F.col(media), media_default),
-        date: dates.coerce_timestamp(F.col(date), as_of),
-        channel: text.strip_ws(F.col(channel)),
-    })
+    }
+    if media in df.columns:
+        steps[media] = F.coalesce(F.col(media), media_default)
+    if date in df.columns:
+        steps[date] = dates.coerce_timestamp(F.col(date), as_of)
+    if channel in df.columns:
+        steps[channel] = text.strip_ws(F.col(channel))
+    return df.withColumns(steps)
