@@ -30,3 +30,22 @@ def test_cli_parses(spark, workdir):
     import pytest
     with pytest.raises(SystemExit):
         jobs.main(["clean", "--input", "x"])           # missing required options
+
+
+def test_listen_job_once(spark, workdir):
+    src = workdir.replace("file:", "") + "/live"
+    os.makedirs(src, exist_ok=True)
+    msgs = [
+        {"channel": "c", "id": 11, "grouped_id": 900, "date": "2024-01-01 00:00:00", "message": "a",
+         "text": "a", "sender_id": 5},
+        {"channel": "c", "id": 12, "grouped_id": 900, "date": "2024-01-01 00:00:03", "message": "b",
+         "text": "", "sender_id": 5},
+        {"channel": "c", "id": 20, "grouped_id": None, "date": "2024-01-01 01:00:00", "message": "later",
+         "text": "later", "sender_id": 6},
+    ]
+    with open(src + "/batch-1.json", "w") as f:
+        f.write("\n".join(json.dumps(m) for m in msgs))
+    sink = workdir + "/albums"
+    jobs.listen(spark, src, sink, workdir + "/ckpt", "1 minute", fmt="json", once=True)
+    rows = [(r["group_id"], r["message_ids"], r["message"]) for r in spark.read.parquet(sink).collect()]
+    assert rows == [(900, [11, 12], "a\nb")]          # the later message still waits for its gap
