@@ -114,7 +114,8 @@ def test_fuzz_against_python(spark, name):
         assert got[i] == PY[name](s), (name, repr(s), repr(got[i]))
 
 
-def test_fuzz_pipeline(spark):
+@pytest.mark.parametrize("wide", [False, True])
+def test_fuzz_pipeline(spark, wide):
     def py_pipeline(t):
         if not t:
             return ""
@@ -122,7 +123,7 @@ def test_fuzz_pipeline(spark):
                   "remove_urls", "normalize_links", "normalize_spaces"):
             t = PY[f](t)
         return t
-    data = _samples(seed=11)
+    data = _wide_samples(seed=29) if wide else _samples(seed=11)
     df = spark.createDataFrame([(i, s) for i, s in enumerate(data)], "i int, s string")
     got = {r["i"]: r["o"] for r in df.select("i", T.clean_text("s").alias("o")).collect()}
     for i, s in enumerate(data):
@@ -133,3 +134,31 @@ def test_standardize_columns(spark):
     from chanlake.plans.cleaning import standardize_columns
     df = spark.createDataFrame([(1, "x", "c")], "`Group ID` int, Message string, other string")
     assert standardize_columns(df).columns == ["group_id", "message", "other"]
+
+
+def _wide_samples(n=600, seed=23):
+    """Random code points from every plane (no surrogates), mixed with
+    whitespace and URL fragments."""
+    rnd = random.Random(seed)
+    pieces = ["http", "https://", "www.", "?", " ", "\n", "\t", "　", " ", "\x85"]
+
+    def cp():
+        while True:
+            c = rnd.choice([rnd.randint(0x20, 0x7F), rnd.randint(0x80, 0xFFFF), rnd.randint(0x10000, 0x10FFFF),
+                            rnd.randint(0x1F300, 0x1FAFF), rnd.randint(0x1200, 0x137F)])
+            if not 0xD800 <= c <= 0xDFFF:
+                return chr(c)
+    out = []
+    for _ in range(n):
+        k = rnd.randint(1, 25)
+        out.append("".join(rnd.choice(pieces) if rnd.random() < 0.25 else cp() for _ in range(k)))
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(PY))
+def test_wide_unicode_against_python(spark, name):
+    data = _wide_samples()
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(data)], "i int, s string")
+    got = {r["i"]: r["o"] for r in df.select("i", getattr(T, name)("s").alias("o")).collect()}
+    bad = [(repr(s), repr(got[i]), repr(PY[name](s))) for i, s in enumerate(data) if got[i] != PY[name](s)]
+    assert not bad, (name, len(bad), bad[:3])
