@@ -15,15 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DETECTION = T.StructType([
-    T.StructField("class", T.StringType()),
-    T.StructField("confidence", T.DoubleType()),
-    T.StructField("bbox", T.ArrayType(T.DoubleType())),
-])
-DETECTIONS = T.StructType([
-    T.StructField("image_path", T.StringType()),
-    T.StructField("detections", T.ArrayType(DETECTION)),
-])
+from chanlake.schemas import DETECTION, DETECTIONS  # noqa: F401  (re-exported)
 
 
 def nest_detections(boxes: DataFrame, image: str = "image_path", order: str = "box_no") -> DataFrame:

@@ -17,14 +17,18 @@ from pyspark.sql import SparkSession
 
 from chanlake.plans import warehouse
 from chanlake.plans.cleaning import clean_frame, standardize_columns
+from chanlake.schemas import LIVE_MESSAGE, RAW_GROUP
 from chanlake.session import build_session, shared_path
 from chanlake.sources import files
 
 
-def clean(spark: SparkSession, inputs: str, output: str, as_of: str, fmt: str = "parquet") -> None:
+def clean(spark: SparkSession, inputs: str, output: str, as_of: str, fmt: str = "parquet",
+          infer: bool = False) -> None:
     """Entry A: landed group records -> cleaned records (T15), written by channel
-    when a channel column is present."""
-    raw = standardize_columns(files.load(spark, inputs))
+    when a channel column is present. JSON input is read with the declared
+    record schema unless ``infer`` (inference is an extra pass over the input)."""
+    declared = {} if infer or not inputs.rstrip("/").endswith(".json") else {"schema": RAW_GROUP}
+    raw = standardize_columns(files.load(spark, inputs, **declared))
     cols = set(raw.columns)
     out = clean_frame(raw, as_of, message="message", media="media_path",
                       date="message_date" if "message_date" in cols else "date",
@@ -50,10 +54,10 @@ def build_warehouse(spark: SparkSession, raw_data: str, raw_data_flat: str | Non
 
 def listen(spark: SparkSession, source: str, sink: str, checkpoint: str | None, lateness: str,
            fmt: str = "json", once: bool = False) -> None:
-    """Entry C: fold landed live messages into album records by inactivity."""
+    """Entry C: fold landed live messages (declared schema ``LIVE_MESSAGE``)
+    into album records by inactivity."""
     from chanlake.streaming import sessions
-    sample = spark.read.format(fmt).load(source)
-    stream = sessions.with_event_time(sessions.read_landed(spark, source, sample.schema, fmt), "date",
+    stream = sessions.with_event_time(sessions.read_landed(spark, source, LIVE_MESSAGE, fmt), "date",
                                       lateness)
     folded = sessions.fold_live_albums(stream)
     q = sessions.write_append(folded, sink, checkpoint or shared_path(spark, "checkpoints", "listen"),
@@ -69,6 +73,7 @@ def main(argv: list[str]) -> int:
     c.add_argument("--output", required=True)
     c.add_argument("--as-of", required=True, help="timestamp used for unparsable dates")
     c.add_argument("--format", default="parquet")
+    c.add_argument("--infer", action="store_true", help="infer the input schema instead of the declared one")
     w = sub.add_parser("warehouse")
     w.add_argument("--raw-data", required=True)
     w.add_argument("--raw-data-flat")
@@ -84,7 +89,7 @@ def main(argv: list[str]) -> int:
     a = p.parse_args(argv)
     spark = build_session()
     if a.job == "clean":
-        clean(spark, a.input, a.output, a.as_of, a.format)
+        clean(spark, a.input, a.output, a.as_of, a.format, a.infer)
     elif a.job == "warehouse":
         build_warehouse(spark, a.raw_data, a.raw_data_flat, a.messages, a.location)
     else:
