@@ -27,11 +27,12 @@ INACTIVITY_GAP = "5 seconds"      # the listener's inactivity gap
 
 def fold_sessions(df: DataFrame, keys: Sequence[str], ts: str, msg_id: str, gap: str,
                   texts: Sequence[str] = (), firsts: Sequence[str] = (),
-                  bucket_seconds: int | None = 86400) -> DataFrame:
+                  bucket_seconds: int | None = 86400, lists: Sequence[str] = ()) -> DataFrame:
     """One row per (keys, session): ``session_start``, ``session_end`` (last
     arrival + gap), ``n_messages``, ``message_ids`` in arrival order, each of
-    ``texts`` as its non-blank values joined by newline, and each of
-    ``firsts`` taken from the first arrival.
+    ``texts`` as its non-blank values joined by newline, each of ``lists`` as
+    its non-NULL values in arrival order, and each of ``firsts`` taken from
+    the first arrival.
 
     Batch input is folded in two phases so one very active key does not land
     in a single task: (1) sessions inside ``(keys, time bucket)``, shuffled on
@@ -42,11 +43,12 @@ def fold_sessions(df: DataFrame, keys: Sequence[str], ts: str, msg_id: str, gap:
     one-phase fold (Spark merges sessions per partition before its shuffle).
     """
     if df.isStreaming or not bucket_seconds:
-        return _present(_fold_rows(df, keys, ts, msg_id, gap, texts, firsts), keys, texts, firsts)
+        return _present(_fold_rows(df, keys, ts, msg_id, gap, [*texts, *lists], firsts), keys, texts,
+                        firsts, lists)
     gap_us = _micros(gap)
     bucket = F.floor(F.unix_micros(F.col(ts)) / F.lit(bucket_seconds * 1_000_000)).alias("_bucket")
     local = df.groupBy(*keys, bucket, F.session_window(ts, gap).alias("_w")).agg(
-        F.count(F.lit(1)).alias("_n"), _members(ts, msg_id, texts).alias("_m"),
+        F.count(F.lit(1)).alias("_n"), _members(ts, msg_id, [*texts, *lists]).alias("_m"),
         F.min(ts).alias("_s"), F.max(ts).alias("_l"),
         F.min(F.struct(F.col(ts), F.col(msg_id))).alias("_first"),
         *[F.min_by(F.col(c), F.struct(F.col(ts), F.col(msg_id))).alias(c) for c in firsts])
@@ -56,7 +58,7 @@ def fold_sessions(df: DataFrame, keys: Sequence[str], ts: str, msg_id: str, gap:
         F.sum("_n").cast("bigint").alias("n_messages"),
         F.array_sort(F.flatten(F.collect_list("_m"))).alias("_m"),
         *[F.min_by(F.col(c), F.col("_first")).alias(c) for c in firsts])
-    return _present(merged, keys, texts, firsts)
+    return _present(merged, keys, texts, firsts, lists)
 
 
 def _members(ts: str, msg_id: str, texts: Sequence[str]):
@@ -72,11 +74,14 @@ def _fold_rows(df: DataFrame, keys, ts, msg_id, gap, texts, firsts) -> DataFrame
         *[F.min_by(F.col(c), order).alias(c) for c in firsts])
 
 
-def _present(g: DataFrame, keys, texts, firsts) -> DataFrame:
+def _present(g: DataFrame, keys, texts, firsts, lists=()) -> DataFrame:
+    n = len(texts)
     return g.select(
         *keys, F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"),
         "n_messages", F.transform("_m", lambda m: m["_id"]).alias("message_ids"),
         *[join_nonblank(F.transform("_m", _field(f"_t{i}"))).alias(t) for i, t in enumerate(texts)],
+        *[F.filter(F.transform("_m", _field(f"_t{n + i}")), lambda v: v.isNotNull()).alias(c)
+          for i, c in enumerate(lists)],
         *firsts)
 
 
@@ -136,12 +141,15 @@ def run_session_stream(spark: SparkSession, source: str, schema: T.StructType, s
 def fold_live_albums(messages: DataFrame, gap: str = INACTIVITY_GAP, channel: str = "channel",
                      msg_id: str = "id", grouped_id: str = "grouped_id", ts: str = "date",
                      message: str = "message", text: str = "text", sender_id: str = "sender_id",
-                     bucket_seconds: int | None = 86400) -> DataFrame:
+                     media_path: str | None = None, bucket_seconds: int | None = 86400) -> DataFrame:
     """ST2 for messages (batch or stream): members of one album that arrive
     with no pause longer than ``gap`` fold into one record: ``message_ids`` in
     arrival order, ``message``/``text`` as the non-blank values joined by
-    newline, ``sender_id`` of the first arrival, ``session_start`` its date."""
+    newline, ``sender_id`` of the first arrival, ``session_start`` its date,
+    and with ``media_path`` (a per-message downloaded path, NULL when none or
+    failed) the album's paths in arrival order."""
     from chanlake.operators.albums import group_key
     keyed = messages.withColumn("group_id", group_key(grouped_id, msg_id))
     return fold_sessions(keyed, [channel, "group_id"], ts, msg_id, gap, texts=[message, text],
-                         firsts=[sender_id], bucket_seconds=bucket_seconds)
+                         firsts=[sender_id], bucket_seconds=bucket_seconds,
+                         lists=[media_path] if media_path else [])

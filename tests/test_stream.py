@@ -90,3 +90,16 @@ def test_live_album_fold(spark):
                  for r in fold_live_albums(df).collect())
     assert got == [("c", 7, [7], "id 7 in c", "y", 2), ("c", 900, [11, 12], "first", "t2", 5),
                    ("c", 900, [13], "late", "", 6), ("d", 7, [7], "other channel", "x", 1)]
+
+
+def test_live_album_media_paths(spark):
+    from chanlake.streaming.sessions import fold_live_albums
+    df = spark.createDataFrame([
+        ("c", 11, 900, "2024-01-01 00:00:00", "a", "a", 5, "m/11.jpg"),
+        ("c", 12, 900, "2024-01-01 00:00:01", "", "", 5, None),            # no media / failed download
+        ("c", 13, 900, "2024-01-01 00:00:02", "", "", 5, "m/13.jpg")],
+        "channel string, id long, grouped_id long, date string, message string, text string, "
+        "sender_id long, path string").withColumn("date", F.col("date").cast("timestamp"))
+    for bucket in (86400, None):
+        r = fold_live_albums(df, media_path="path", bucket_seconds=bucket).first()
+        assert r["message_ids"] == [11, 12, 13] and r["path"] == ["m/11.jpg", "m/13.jpg"]
