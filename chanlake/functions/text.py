@@ -201,7 +201,7 @@ def combine_messages(col) -> Column:
 
 
 def clean_text(col) -> Column:
-    """Message pipeline. Blank/null -> ''; T1, T3, T5, T6, T7, T9, T10."""
+    """Message cleaning chain. Blank/null -> ''; T1, T3, T5, T6, T7, T9, T10."""
     c = _c(col)
     t = normalize_amharic(c)
     t = remove_punctuation(t)

@@ -67,7 +67,7 @@ D_STEPS = {
     "link": lambda x: d_re(x, text.LINK_QUERY, "\\1"),
     "space": lambda x: f"trim({d_re(x, text.WS_CLASS + '+', ' ')})",
 }
-PIPELINE = ["amharic", "punct", "emoji", "repeat", "url", "link", "space"]
+CLEAN_TEXT_STEPS = ["amharic", "punct", "emoji", "repeat", "url", "link", "space"]
 
 
 def d_chain(src: str, key: str, col: str, steps: list[str], keep: str = "") -> tuple[str, str]:
@@ -125,13 +125,13 @@ FROM (SELECT doc_id, {_links_duck('message', text.LINK, 1, True)} AS l FROM {fx.
      .select("doc_id", text.extract_links("message").alias("l"))
      .select("doc_id", F.array_join("l", " ").alias("links"), F.size("l").alias("n_links")))
 
-_ctes, _last = d_chain(fx.for_duck(fx.texts), "doc_id", "message", PIPELINE)
+_ctes, _last = d_chain(fx.for_duck(fx.texts), "doc_id", "message", CLEAN_TEXT_STEPS)
 register("clean_text", _ctes + f"""
 SELECT doc_id, CASE WHEN m0 IS NULL OR m0 = '' THEN '' ELSE m END AS out FROM {_last}
 """)(lambda spark, sf: _texts(spark, sf).select("doc_id", text.clean_text("message").alias("out")))
 
 
-# --- frame pipeline (T15) -----------------------------------------------------
+# --- frame cleaning (T15) -----------------------------------------------------
 
 def _d_coerce(x: str, as_of: str) -> str:
     """DuckDB twin of D2, independent of the DuckDB session time zone."""
@@ -142,7 +142,7 @@ def _d_coerce(x: str, as_of: str) -> str:
 
 _fctes, _flast = d_chain(f"(SELECT *, {d_re('message', text.URL_ANYWHERE, '')} AS m_nourl "
                          f"FROM {fx.for_duck(fx.frame)} f)", "group_id",
-                         f"coalesce(m_nourl, {q(text.NO_MESSAGE)})", PIPELINE,
+                         f"coalesce(m_nourl, {q(text.NO_MESSAGE)})", CLEAN_TEXT_STEPS,
                          keep="message AS raw, channel, date, media_path, ")
 register("clean_frame", _fctes + f"""
 SELECT group_id,

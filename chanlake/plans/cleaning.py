@@ -40,9 +40,9 @@ def clean_frame(df: DataFrame, as_of: str, message: str = "message", media: str
     * URLs removed, then NULL message -> 'No Message';
     * NULL media list -> ``['No Media']``;
     * date parsed, unparsable or NULL -> ``as_of`` (a parameter, so reruns repeat);
-    * message through the text pipeline (T14); channel stripped.
+    * message through the text cleaning chain (T14); channel stripped.
 
-    The text pipeline runs after the 'No Message' fill, so a NULL message ends
+    The text cleaning chain runs after the 'No Message' fill, so a NULL message ends
     as 'No Mesage' (repeated letters collapse), as in the reference.
     """
     raw = F.col(message)

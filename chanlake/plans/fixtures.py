@@ -239,7 +239,7 @@ FROM {c} c JOIN {n} n ON c.c_nationkey = n.n_nationkey
 
 
 def frame(d: Dialect) -> str:
-    """Scraped group records for the frame pipeline, from ``texts``."""
+    """Scraped group records for the frame cleaning job, from ``texts``."""
     t = f"({texts(d)})"
     media_arr = d.arr("'media/' || CAST(doc_id AS STRING) || '.jpg'")
     return f"""

@@ -115,8 +115,8 @@ def test_fuzz_against_python(spark, name):
 
 
 @pytest.mark.parametrize("wide", [False, True])
-def test_fuzz_pipeline(spark, wide):
-    def py_pipeline(t):
+def test_fuzz_clean_text(spark, wide):
+    def py_clean_text(t):
         if not t:
             return ""
         for f in ("normalize_amharic", "remove_punctuation", "remove_emojis", "collapse_repeats",
@@ -127,7 +127,7 @@ def test_fuzz_pipeline(spark, wide):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(data)], "i int, s string")
     got = {r["i"]: r["o"] for r in df.select("i", T.clean_text("s").alias("o")).collect()}
     for i, s in enumerate(data):
-        assert got[i] == py_pipeline(s), repr(s)
+        assert got[i] == py_clean_text(s), repr(s)
 
 
 def test_standardize_columns(spark):
