@@ -8,6 +8,7 @@ way, since every function here takes and returns DataFrames.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
@@ -53,16 +54,25 @@ def unique_violations(batch: DataFrame, target: DataFrame | None, key: str) -> D
     return joined.where((F.col("n_in_batch") > 1) | F.col("in_target"))
 
 
+def append_unique_to(batch: DataFrame, existing: DataFrame | None, key: str,
+                     write: Callable[[DataFrame], None]) -> None:
+    """S9 for any target: ``existing`` reads the target (e.g. ``spark.read.jdbc``)
+    and ``write`` appends to it (e.g. ``df.write.jdbc(..., mode="append")``).
+    Raises and writes nothing when ``key`` would repeat inside the batch or
+    collide with the target."""
+    bad = unique_violations(batch, existing, key).limit(20).collect()   # bounded sample for the error
+    if bad:
+        raise UniqueViolation(f"{key} not unique: " + ", ".join(str(r[key]) for r in bad))
+    write(batch)
+
+
 def append_unique(spark: SparkSession, batch: DataFrame, path: str, key: str,
                   fmt: str = "parquet") -> None:
     """Append ``batch`` to the table at ``path`` only if ``key`` stays
     unique; otherwise raise and write nothing (the transaction rollback of
     the relational store)."""
-    target = _read_if_exists(spark, path, fmt)
-    bad = unique_violations(batch, target, key).limit(20).collect()   # bounded sample for the error
-    if bad:
-        raise UniqueViolation(f"{key} not unique: " + ", ".join(str(r[key]) for r in bad))
-    batch.write.mode("append").format(fmt).save(path)
+    append_unique_to(batch, _read_if_exists(spark, path, fmt), key,
+                     lambda df: df.write.mode("append").format(fmt).save(path))
 
 
 def append(batch: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -155,3 +155,15 @@ def test_plain_append(spark, workdir):
     store.append(spark.createDataFrame([(1, "a")], empty.schema), path)
     store.append(spark.createDataFrame([(1, "a")], empty.schema), path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_append_unique_to_any_target(spark, workdir):
+    written = []
+    existing = spark.createDataFrame([(1,)], "group_id int")
+    ok = spark.createDataFrame([(2,), (3,)], "group_id int")
+    store.append_unique_to(ok, existing, "group_id", written.append)
+    assert len(written) == 1
+    with pytest.raises(store.UniqueViolation):
+        store.append_unique_to(spark.createDataFrame([(1,)], "group_id int"), existing, "group_id",
+                               written.append)
+    assert len(written) == 1
