@@ -29,6 +29,9 @@ def clean(spark: SparkSession, inputs: str, output: str, as_of: str, fmt: str =
     record schema unless ``infer`` (inference is an extra pass over the input)."""
     declared = {} if infer or not inputs.rstrip("/").endswith(".json") else {"schema": RAW_GROUP}
     raw = standardize_columns(files.load(spark, inputs, **declared))
+    if raw.isEmpty():                    # nothing landed: write nothing (one-row probe job)
+        print(f"clean: no records in {inputs}; nothing written", file=sys.stderr)
+        return
     cols = set(raw.columns)
     out = clean_frame(raw, as_of, message="message", media="media_path",
                       date="message_date" if "message_date" in cols else "date",
