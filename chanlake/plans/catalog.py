@@ -368,8 +368,8 @@ D_ALBUMS = d_albums(fx.for_duck(fx.msgs))
 
 def _albums(spark, sf) -> DataFrame:
     return albums.fold_albums(_msgs(spark, sf), msg_id="message_id", text="message_text",
-                       message="raw_message", date="message_date",
-                       has_media=F.col("media_kind").isNotNull())
+                              message="raw_message", date="message_date",
+                              has_media=F.col("media_kind").isNotNull())
 
 
 register("album_group", f"""
@@ -469,7 +469,7 @@ FROM {fx.for_duck(fx.msgs)} m""")(_media_path_derive)
 
 def _media_paths(spark, sf):
     return store.image_copies(fx.for_spark(spark, sf, fx.raw_data), "media_paths", "out/images",
-                        keep=["group_id"])
+                              keep=["group_id"])
 
 
 register("media_paths", f"""
@@ -784,8 +784,8 @@ def _stream_session(spark, sf):
     landing, sink, ckpt = _work(spark, "landing_events"), _work(spark, "sink_sessions"), _work(spark, "ckpt_sessions")
     ev.write.mode("overwrite").parquet(landing)
     sessions.run_session_stream(spark, landing, ev.schema, sink, ckpt, ["user_id"], "ts", "event_id",
-                       f"{SESSION_GAP_HOURS} hours", f"{STREAM_LATENESS_HOURS} hour", texts=["event_type"],
-                       firsts=["value"]).awaitTermination()
+                                f"{SESSION_GAP_HOURS} hours", f"{STREAM_LATENESS_HOURS} hour",
+                                texts=["event_type"], firsts=["value"]).awaitTermination()
     return _render_sessions(spark.read.parquet(sink))
 
 
@@ -889,8 +889,8 @@ register("warehouse_build", "\nUNION ALL\n".join(
 
 def _scrape(spark, sf):
     out = albums.scrape_records(_msgs(spark, sf), fx.for_spark(spark, sf, fx.media), NEWEST_N,
-                         msg_id="message_id", text="message_text", message="raw_message",
-                         date="message_date", has_media=F.col("media_kind").isNotNull())
+                                msg_id="message_id", text="message_text", message="raw_message",
+                                date="message_date", has_media=F.col("media_kind").isNotNull())
     return out.select("channel", "group_id", F.array_join("message_ids", ",").alias("message_ids"),
                       "text", "message", "date", "sender_id", "media_slots",
                       F.array_join("media_paths", ",").alias("media_paths"))
