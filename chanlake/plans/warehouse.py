@@ -167,18 +167,27 @@ def _resolvable(name: str, sources: dict[str, DataFrame]) -> bool:
 def materialize(spark: SparkSession, models: dict[str, DataFrame], how: dict[str, str] | None = None,
                 location: str | None = None) -> dict[str, DataFrame]:
     """M2: ``view`` -> temp view (default); ``table`` -> parquet written to
-    ``location`` (a shared folder) and read back, which also cuts lineage."""
+    ``location`` (a shared folder) and read back, which also cuts lineage;
+    ``catalog`` -> the same files registered as an external catalog table
+    (``saveAsTable`` with its path in ``location``), visible to later sessions."""
     how = how or {}
     result = {}
     for name, df in models.items():
         kind = how.get(name, "view")
-        if kind == "table":
+        if kind in ("table", "catalog"):
             if location is None:
-                raise ValueError("a table materialisation needs a location")
+                raise ValueError(f"a {kind} materialisation needs a location")
             path = f"{location.rstrip('/')}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            df = spark.read.parquet(path)
-        df.createOrReplaceTempView(name)
+            if kind == "table":
+                df.write.mode("overwrite").parquet(path)
+                df = spark.read.parquet(path)
+            else:
+                df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+                df = spark.table(name)
+        elif kind != "view":
+            raise ValueError(f"unknown materialisation: {kind}")
+        if kind != "catalog":
+            df.createOrReplaceTempView(name)
         result[name] = df
     return result
 

@@ -114,6 +114,15 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return r.load(path)
 
 
+def read_kafka(spark: SparkSession, servers: str, topic: str, schema: T.StructType) -> DataFrame:
+    """Stream of JSON messages from a Kafka topic (ST1 with a broker instead
+    of landed files). Needs the Spark Kafka connector on the classpath; the
+    value is decoded with ``from_json`` against the declared schema."""
+    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+           .option("subscribe", topic).option("startingOffsets", "earliest").load())
+    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("m")).select("m.*")
+
+
 def with_event_time(stream: DataFrame, ts: str, lateness: str) -> DataFrame:
     """Watermark on an event-time column (NTZ is cast: watermarks need TIMESTAMP)."""
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)

@@ -11,7 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
     from chanlake.session import CLUSTER_CONF
-    b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+    b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8") \
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="chanlake-test-wh-"))
     for k, v in CLUSTER_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()

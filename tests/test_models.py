@@ -167,3 +167,14 @@ def test_append_unique_to_any_target(spark, workdir):
         store.append_unique_to(spark.createDataFrame([(1,)], "group_id int"), existing, "group_id",
                                written.append)
     assert len(written) == 1
+
+
+def test_materialize_kinds(spark, workdir):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    out = warehouse.materialize(spark, {"m_view": df, "m_table": df, "m_catalog": df},
+                                how={"m_table": "table", "m_catalog": "catalog"}, location=workdir + "/wh")
+    assert spark.table("m_view").count() == 2 and spark.table("m_table").count() == 2
+    assert spark.table("m_catalog").count() == 2 and out["m_catalog"].count() == 2
+    spark.sql("DROP TABLE IF EXISTS m_catalog")          # external: files stay in the shared folder
+    with pytest.raises(ValueError):
+        warehouse.materialize(spark, {"x": df}, how={"x": "table"})
