@@ -42,13 +42,16 @@ def eq_filter(df: DataFrame, query: dict[str, Any], null_safe: bool = False,
 
 def unique_violations(batch: DataFrame, target: DataFrame | None, key: str) -> DataFrame:
     """Keys of ``batch`` that repeat inside the batch or already exist in the
-    target: ``key, n_in_batch, in_target``. Both sides are reduced to
-    distinct keys by partial aggregation before the join."""
+    target: ``key, n_in_batch, in_target``. The batch keys are counted with
+    partial aggregation; the target is first cut to the batch's keys by a
+    semi join (broadcast when the batch-key side is small, else a runtime
+    filter on the target scan), so an append never shuffles every key of a
+    large target."""
     counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n_in_batch"))
     if target is None:
         return counts.where(F.col("n_in_batch") > 1).withColumn("in_target", F.lit(False))
-    existing = target.select(key).where(F.col(key).isNotNull()).distinct() \
-        .withColumn("in_target", F.lit(True))
+    existing = target.select(key).where(F.col(key).isNotNull()) \
+        .join(counts.select(key), key, "left_semi").distinct().withColumn("in_target", F.lit(True))
     joined = counts.join(existing, key, "left").withColumn(
         "in_target", F.coalesce(F.col("in_target"), F.lit(False)))
     return joined.where((F.col("n_in_batch") > 1) | F.col("in_target"))
