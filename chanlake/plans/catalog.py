@@ -583,6 +583,27 @@ SELECT image_path,
   class, confidence, bbox[1] AS x1, bbox[2] AS y1, bbox[3] AS x2, bbox[4] AS y2
 FROM {fx.for_duck(fx.dets)} d""")(_flat)
 
+D_FLAT = f"""
+SELECT image_path,
+  CAST(row_number() OVER (PARTITION BY image_path ORDER BY box_no, class, confidence, bbox) AS INTEGER) AS box_no,
+  class, confidence, bbox[1] AS x1, bbox[2] AS y1, bbox[3] AS x2, bbox[4] AS y2
+FROM {fx.for_duck(fx.dets)} d"""
+
+
+def _detections_store(spark, sf):
+    """The nested detection records written as a JSON document store and
+    read back with the declared schema, then flattened."""
+    from chanlake.schemas import DETECTIONS
+    path = _work(spark, "detected_objects.json")
+    files.save_json(_nested(spark, sf), path)
+    back = files.load_json(spark, path, array_form=False, schema=DETECTIONS)
+    out = media.flatten_detections(back)
+    return out.select("image_path", F.col("box_no").cast("int").alias("box_no"), "class",
+                      "confidence", "x1", "y1", "x2", "y2")
+
+
+register("detections_store", D_FLAT)(_detections_store)
+
 DETECTION_PATTERN = "BOX"
 
 
