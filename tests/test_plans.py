@@ -65,3 +65,51 @@ def test_unknown_size_leaves_partitions(spark):
     assert estimated_bytes(df) is None
     assert size_shuffle_partitions(spark, estimated_bytes(df)) == int(before)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def _shuffle_records(df) -> list[int]:
+    """Records written by each shuffle of an executed adaptive plan."""
+    out = []
+
+    def walk(p):
+        recs = p.metrics().get("shuffleRecordsWritten")
+        if recs.isDefined():
+            out.append(int(recs.get().value()))
+        if p.getClass().getSimpleName().endswith("QueryStageExec"):
+            walk(p.plan())
+        ch = p.children()
+        for i in range(ch.size()):
+            walk(ch.apply(i))
+    walk(df._jdf.queryExecution().executedPlan().finalPhysicalPlan())
+    return out
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+    from chanlake.operators.dedupe import keep_latest
+    # key 0 holds a third of all rows, spread over 8 map tasks
+    df = spark.range(30000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        F.col("id").cast("string").alias("d"))
+    out = keep_latest(df, "k", "d")
+    out.write.format("noop").mode("overwrite").save()
+    # 20000 other keys + at most one row of the hot key per map task
+    assert _shuffle_records(out) == [20000 + 8]
+    assert out.where("k = 0").first()["d"] == "9999"         # max string among ids % 3 == 0
+
+
+def test_hot_user_session_reaches_phase_two_as_partials(spark):
+    from pyspark.sql import functions as F
+    from chanlake.streaming.sessions import fold_sessions
+    # one user active every minute for 3 days: a single session of 4320 events
+    n = 3 * 24 * 60
+    ev = spark.range(0, n, numPartitions=8).select(
+        F.lit(1).alias("user_id"), F.col("id").alias("event_id"),
+        (F.lit(1_700_000_000) + F.col("id") * 60).cast("timestamp").alias("ts"))
+    out = fold_sessions(ev, ["user_id"], "ts", "event_id", "5 minutes")
+    rows = out.collect()
+    assert len(rows) == 1 and rows[0]["n_messages"] == n and rows[0]["message_ids"] == list(range(n))
+    records = _shuffle_records(out)
+    # phase 1 ships events (partially merged per map task, shuffled by user and day);
+    # phase 2 sees only the per-day partial sessions, at most one per map task and day
+    assert len(records) == 2 and max(records) <= n and min(records) <= 8 * 4
