@@ -113,3 +113,25 @@ def test_hot_user_session_reaches_phase_two_as_partials(spark):
     # phase 1 ships events (partially merged per map task, shuffled by user and day);
     # phase 2 sees only the per-day partial sessions, at most one per map task and day
     assert len(records) == 2 and max(records) <= n and min(records) <= 8 * 4
+
+
+def test_hot_channel_and_album_reduced_map_side(spark):
+    from pyspark.sql import functions as F
+    from chanlake.operators import albums
+    # channel 'hot' and album 7 hold a third of all rows, spread over 8 map tasks
+    msgs = spark.range(1, 30001, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), (F.col("id") % 50).cast("string")))
+        .alias("channel"),
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.lit(None)).cast("long").alias("grouped_id"),
+        F.col("id").cast("string").alias("text"), F.lit("m").alias("message"), F.lit("d").alias("date"),
+        F.lit(1).cast("long").alias("sender_id"))
+    newest = albums.newest_per_channel(msgs, 10)
+    newest.write.format("noop").mode("overwrite").save()
+    # at most n rows per channel and map task reach the window: 51 channels x 8 tasks x 10
+    assert _shuffle_records(newest)[0] <= 51 * 8 * 10
+    folded = albums.fold_albums(msgs)
+    folded.write.format("noop").mode("overwrite").save()
+    # the hot album's 10,000 messages cross as one partial buffer per map task
+    assert _shuffle_records(folded)[0] == 20000 + 8
+    hot = folded.where("channel = 'hot'").first()
+    assert hot["group_id"] == 7 and len(hot["message_ids"]) == 10000 and hot["message_ids"][0] == 30000
