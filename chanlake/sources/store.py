@@ -25,15 +25,23 @@ class UniqueViolation(RuntimeError):
 # --- P6 / S10 ----------------------------------------------------------------
 
 def eq_filter(df: DataFrame, query: dict[str, Any], null_safe: bool = False,
-              drop: tuple[str, ...] = ("_id",)) -> DataFrame:
+              drop: tuple[str, ...] = ("_id",), missing_as_null: bool = False) -> DataFrame:
     """Rows matching every ``column == value`` of ``query``; ``{}`` keeps all.
 
     SQL semantics by default (``k = NULL`` matches nothing, as the relational
-    store); ``null_safe=True`` gives ``None == None`` (file store). The
+    store); ``null_safe=True`` gives ``None == None`` (file store); adding
+    ``missing_as_null=True`` treats a field absent from the schema as NULL
+    (document store: ``{k: None}`` matches records without ``k``). The
     predicate is a plain conjunction, so it is pushed into the scan."""
-    conds: list[Column] = [
-        (F.col(k).eqNullSafe(F.lit(v)) if null_safe else F.col(k) == F.lit(v))
-        for k, v in query.items()]
+    conds: list[Column] = []
+    for k, v in query.items():
+        if k not in df.columns:
+            if not missing_as_null:
+                raise KeyError(f"no field {k!r}")
+            c = F.lit(None)
+        else:
+            c = F.col(k)
+        conds.append(c.eqNullSafe(F.lit(v)) if null_safe else c == F.lit(v))
     out = df.where(reduce(lambda a, b: a & b, conds)) if conds else df
     return out.drop(*[c for c in drop if c in out.columns])
 

@@ -77,6 +77,10 @@ def test_eq_filter_null_semantics(spark):
     assert store.eq_filter(df, {"v": None}).count() == 0
     assert store.eq_filter(df, {"v": None}, null_safe=True).count() == 1
     assert store.eq_filter(df, {}).count() == 2
+    assert store.eq_filter(df, {"absent": None}, null_safe=True, missing_as_null=True).count() == 2
+    assert store.eq_filter(df, {"absent": "x"}, null_safe=True, missing_as_null=True).count() == 0
+    with pytest.raises(KeyError):
+        store.eq_filter(df, {"absent": None})
 
 
 def test_marks_advance(spark):
