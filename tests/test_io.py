@@ -89,3 +89,20 @@ def test_conll_split_file(spark, workdir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == sorted(tuple(s) for s in sentences)
+
+
+def test_csv_infer_or_all_strings(spark, workdir):
+    df = spark.createDataFrame([(1, 2.5, "a"), (2, 3.0, "b")], "i int, d double, s string")
+    files.save_csv(df, workdir + "/t.csv", lossless=False)
+    inferred = files.load_csv(spark, workdir + "/t.csv", infer=True)
+    as_text = files.load_csv(spark, workdir + "/t.csv", infer=False)
+    assert [f.dataType.simpleString() for f in inferred.schema] == ["int", "double", "string"]
+    assert {f.dataType.simpleString() for f in as_text.schema} == {"string"}
+    assert sorted(r["i"] for r in as_text.collect()) == ["1", "2"]
+
+
+def test_json_array_with_empty_partitions(spark, workdir):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, t string").repartition(8)
+    files.save_json_array(df, workdir + "/sparse.json")
+    back = files.load_json(spark, workdir + "/sparse.json", array_form=True, schema=df.schema)
+    assert sorted(tuple(r) for r in back.collect()) == [(1, "a"), (2, "b"), (3, "c")]
