@@ -34,37 +34,54 @@ def fold_sessions(df: DataFrame, keys: Sequence[str], ts: str, msg_id: str, gap:
     its non-NULL values in arrival order, and each of ``firsts`` taken from
     the first arrival.
 
-    Batch input is folded in two phases so one very active key does not land
-    in a single task: (1) sessions inside ``(keys, time bucket)``, shuffled on
-    the bucket too; (2) those partial sessions merged per key with a session
-    window whose gap is each partial session's span plus ``gap``, which joins
-    exactly the partial sessions that the one-phase fold would join. Phase 2
-    sees one row per partial session, not per message. A stream uses the
-    one-phase fold (Spark merges sessions per partition before its shuffle).
+    Batch input is folded in three exact steps so a very active key neither
+    ships every event nor lands in one task:
+
+    1. events closer than ``gap`` always share a session, so each gap-sized
+       time slot is summarised by an ordinary aggregate (first/last time,
+       members), which Spark combines map-side before the shuffle;
+    2. the slot summaries are merged into sessions inside (keys, day bucket)
+       with a session window whose gap is each summary's span plus ``gap``;
+    3. those partial sessions are merged per key the same way.
+
+    A stream uses the one-phase fold (Spark merges sessions per partition
+    before its shuffle).
     """
+    member_cols = [*texts, *lists]
     if df.isStreaming or not bucket_seconds:
-        return _present(_fold_rows(df, keys, ts, msg_id, gap, [*texts, *lists], firsts), keys, texts,
+        return _present(_fold_rows(df, keys, ts, msg_id, gap, member_cols, firsts), keys, texts,
                         firsts, lists)
     gap_us = _micros(gap)
-    bucket = F.floor(F.unix_micros(F.col(ts)) / F.lit(bucket_seconds * 1_000_000)).alias("_bucket")
-    local = df.groupBy(*keys, bucket, F.session_window(ts, gap).alias("_w")).agg(
-        F.count(F.lit(1)).alias("_n"), _members(ts, msg_id, [*texts, *lists]).alias("_m"),
-        F.min(ts).alias("_s"), F.max(ts).alias("_l"),
-        F.min(F.struct(F.col(ts), F.col(msg_id))).alias("_first"),
-        *[F.min_by(F.col(c), F.struct(F.col(ts), F.col(msg_id))).alias(c) for c in firsts])
+    order = F.struct(F.col(ts), F.col(msg_id))
+    slot = F.floor(F.unix_micros(F.col(ts)) / F.lit(gap_us)).alias("_slot")
+    slots = df.groupBy(*keys, slot).agg(
+        F.count(F.lit(1)).alias("_n"), _members(ts, msg_id, member_cols, ordered=False).alias("_m"),
+        F.min(ts).alias("_s"), F.max(ts).alias("_l"), F.min(order).alias("_first"),
+        *[F.min_by(F.col(c), order).alias(c) for c in firsts])
+    bucket = F.floor(F.col("_slot") * F.lit(gap_us) / F.lit(bucket_seconds * 1_000_000)).alias("_bucket")
+    per_bucket = _merge_spans(slots, [*keys, bucket], gap_us, firsts)
+    merged = _merge_spans(per_bucket, list(keys), gap_us, firsts)
+    return _present(merged.withColumn("_m", F.array_sort("_m")), keys, texts, firsts, lists)
+
+
+def _merge_spans(parts: DataFrame, group_cols: list, gap_us: int, firsts: Sequence[str]) -> DataFrame:
+    """Merge partial sessions ``[_s, _l]`` (with ``_n``, ``_m``, ``_first``):
+    a session window over ``_s`` whose gap is the span plus ``gap`` joins two
+    parts exactly when the later one starts within ``gap`` of the earlier
+    one's last arrival, the rule the event-level fold applies."""
     span_gap = F.expr("make_interval(0, 0, 0, 0, 0, 0, CAST(unix_micros(_l) - unix_micros(_s) + "
                       f"{gap_us} AS DECIMAL(18, 0)) / 1000000)")
-    merged = local.groupBy(F.session_window("_s", span_gap).alias("session"), *keys).agg(
-        F.sum("_n").cast("bigint").alias("n_messages"),
-        F.array_sort(F.flatten(F.collect_list("_m"))).alias("_m"),
+    return parts.groupBy(F.session_window("_s", span_gap).alias("session"), *group_cols).agg(
+        F.sum("_n").cast("bigint").alias("_n"), F.flatten(F.collect_list("_m")).alias("_m"),
+        F.min("_s").alias("_s"), F.max("_l").alias("_l"), F.min("_first").alias("_first"),
         *[F.min_by(F.col(c), F.col("_first")).alias(c) for c in firsts])
-    return _present(merged, keys, texts, firsts, lists)
 
 
-def _members(ts: str, msg_id: str, texts: Sequence[str]):
-    return F.array_sort(F.collect_list(F.struct(
+def _members(ts: str, msg_id: str, texts: Sequence[str], ordered: bool = True):
+    items = F.collect_list(F.struct(
         F.col(ts).alias("_ts"), F.col(msg_id).alias("_id"),
-        *[F.col(t).alias(f"_t{i}") for i, t in enumerate(texts)])))
+        *[F.col(t).alias(f"_t{i}") for i, t in enumerate(texts)]))
+    return F.array_sort(items) if ordered else items
 
 
 def _fold_rows(df: DataFrame, keys, ts, msg_id, gap, texts, firsts) -> DataFrame:
@@ -76,6 +93,8 @@ def _fold_rows(df: DataFrame, keys, ts, msg_id, gap, texts, firsts) -> DataFrame
 
 def _present(g: DataFrame, keys, texts, firsts, lists=()) -> DataFrame:
     n = len(texts)
+    if "_n" in g.columns:
+        g = g.withColumnRenamed("_n", "n_messages")
     return g.select(
         *keys, F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"),
         "n_messages", F.transform("_m", lambda m: m["_id"]).alias("message_ids"),

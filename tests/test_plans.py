@@ -26,14 +26,16 @@ def test_keep_latest_is_partial_aggregate(spark):
     assert "partial_max_by" in plan
 
 
-def test_sessions_shuffle_by_bucket_first(spark):
+def test_sessions_shuffle_by_slot_then_bucket(spark):
     import re
     plan = _plan(spark, "session_fold")
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    # outermost first: partial sessions by key, then raw rows by (key, time bucket)
-    assert len(exchanges) == 2
+    # outermost first: partial sessions by key, slot summaries by (key, day bucket),
+    # events pre-aggregated by (key, gap-sized slot)
+    assert len(exchanges) == 3
     assert exchanges[0].startswith("user_id") and exchanges[0].count(",") == 1
-    assert "_groupingexpression" in exchanges[1]
+    assert all("_groupingexpression" in e for e in exchanges[1:])
+    assert "partial_collect_list" in plan
 
 
 def test_album_fold_partial(spark):
@@ -98,7 +100,7 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert out.where("k = 0").first()["d"] == "9999"         # max string among ids % 3 == 0
 
 
-def test_hot_user_session_reaches_phase_two_as_partials(spark):
+def test_hot_user_session_pre_aggregated_and_spread(spark):
     from pyspark.sql import functions as F
     from chanlake.streaming.sessions import fold_sessions
     # one user active every minute for 3 days: a single session of 4320 events
@@ -109,10 +111,11 @@ def test_hot_user_session_reaches_phase_two_as_partials(spark):
     out = fold_sessions(ev, ["user_id"], "ts", "event_id", "5 minutes")
     rows = out.collect()
     assert len(rows) == 1 and rows[0]["n_messages"] == n and rows[0]["message_ids"] == list(range(n))
-    records = _shuffle_records(out)
-    # phase 1 ships events (partially merged per map task, shuffled by user and day);
-    # phase 2 sees only the per-day partial sessions, at most one per map task and day
-    assert len(records) == 2 and max(records) <= n and min(records) <= 8 * 4
+    final_merge, per_day, slots = _shuffle_records(out)
+    # events one minute apart pre-aggregate into 5-minute slots before the first
+    # shuffle (about n / 5 rows, plus one partial per map task at slot edges);
+    # the per-day merge sees slot summaries; the final merge one part per day
+    assert slots <= n // 5 + 8 * 4 and per_day <= slots and final_merge <= 8 * 4
 
 
 def test_hot_channel_and_album_reduced_map_side(spark):
