@@ -5,7 +5,9 @@
     spark-submit chanlake/plans/jobs.py listen --source /landed/messages --sink /albums --checkpoint ...
 
 Inputs and outputs are paths on a shared file system; every job reads and
-writes through Spark (nothing passes through the driver).
+writes through Spark (nothing passes through the driver). Ship the package to
+the executors with the job, e.g. ``zip -r chanlake.zip chanlake`` and
+``spark-submit --py-files chanlake.zip chanlake/plans/jobs.py ...``.
 """
 
 from __future__ import annotations
