@@ -27,7 +27,8 @@ INACTIVITY_GAP = "5 seconds"      # the listener's inactivity gap
 
 def fold_sessions(df: DataFrame, keys: Sequence[str], ts: str, msg_id: str, gap: str,
                   texts: Sequence[str] = (), firsts: Sequence[str] = (),
-                  bucket_seconds: int | None = 86400, lists: Sequence[str] = ()) -> DataFrame:
+                  bucket_seconds: int | None = 86400, lists: Sequence[str] = (),
+                  pre_aggregate: bool = True) -> DataFrame:
     """One row per (keys, session): ``session_start``, ``session_end`` (last
     arrival + gap), ``n_messages``, ``message_ids`` in arrival order, each of
     ``texts`` as its non-blank values joined by newline, each of ``lists`` as
@@ -44,8 +45,10 @@ def fold_sessions(df: DataFrame, keys: Sequence[str], ts: str, msg_id: str, gap:
        with a session window whose gap is each summary's span plus ``gap``;
     3. those partial sessions are merged per key the same way.
 
-    A stream uses the one-phase fold (Spark merges sessions per partition
-    before its shuffle).
+    With ``pre_aggregate=False`` step 1 is skipped: events are sessionized
+    directly inside (keys, day bucket); for sparse data (events mostly more
+    than one gap apart) that saves an exchange. A stream uses the one-step
+    fold (Spark merges sessions per partition before its shuffle).
     """
     member_cols = [*texts, *lists]
     if df.isStreaming or not bucket_seconds:
@@ -53,13 +56,18 @@ def fold_sessions(df: DataFrame, keys: Sequence[str], ts: str, msg_id: str, gap:
                         firsts, lists)
     gap_us = _micros(gap)
     order = F.struct(F.col(ts), F.col(msg_id))
-    slot = F.floor(F.unix_micros(F.col(ts)) / F.lit(gap_us)).alias("_slot")
-    slots = df.groupBy(*keys, slot).agg(
-        F.count(F.lit(1)).alias("_n"), _members(ts, msg_id, member_cols, ordered=False).alias("_m"),
-        F.min(ts).alias("_s"), F.max(ts).alias("_l"), F.min(order).alias("_first"),
-        *[F.min_by(F.col(c), order).alias(c) for c in firsts])
-    bucket = F.floor(F.col("_slot") * F.lit(gap_us) / F.lit(bucket_seconds * 1_000_000)).alias("_bucket")
-    per_bucket = _merge_spans(slots, [*keys, bucket], gap_us, firsts)
+    summary = [F.count(F.lit(1)).alias("_n"), _members(ts, msg_id, member_cols, ordered=False).alias("_m"),
+               F.min(ts).alias("_s"), F.max(ts).alias("_l"), F.min(order).alias("_first"),
+               *[F.min_by(F.col(c), order).alias(c) for c in firsts]]
+    bucket_us = bucket_seconds * 1_000_000
+    if pre_aggregate:
+        slot = F.floor(F.unix_micros(F.col(ts)) / F.lit(gap_us)).alias("_slot")
+        slots = df.groupBy(*keys, slot).agg(*summary)
+        bucket = F.floor(F.col("_slot") * F.lit(gap_us) / F.lit(bucket_us)).alias("_bucket")
+        per_bucket = _merge_spans(slots, [*keys, bucket], gap_us, firsts)
+    else:
+        bucket = F.floor(F.unix_micros(F.col(ts)) / F.lit(bucket_us)).alias("_bucket")
+        per_bucket = df.groupBy(F.session_window(ts, gap).alias("session"), *keys, bucket).agg(*summary)
     merged = _merge_spans(per_bucket, list(keys), gap_us, firsts)
     return _present(merged.withColumn("_m", F.array_sort("_m")), keys, texts, firsts, lists)
 

@@ -103,3 +103,16 @@ def test_live_album_media_paths(spark):
     for bucket in (86400, None):
         r = fold_live_albums(df, media_path="path", bucket_seconds=bucket).first()
         assert r["message_ids"] == [11, 12, 13] and r["path"] == ["m/11.jpg", "m/13.jpg"]
+
+
+def test_session_fold_variants_agree(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet") \
+        .withColumn("ts", F.col("ts").cast("timestamp")).withColumn("user_id", F.col("user_id") % 4)
+    args = (["user_id"], "ts", "event_id", "30 minutes")
+    kw = dict(texts=["event_type"], firsts=["value"])
+    cols = ["user_id", "session_start", "session_end", "n_messages", "message_ids", "event_type", "value"]
+    runs = [fold_sessions(ev, *args, **kw, bucket_seconds=3600),
+            fold_sessions(ev, *args, **kw, bucket_seconds=3600, pre_aggregate=False),
+            fold_sessions(ev, *args, **kw, bucket_seconds=None)]
+    got = [sorted(tuple(r) for r in df.select(*cols).collect()) for df in runs]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 0
