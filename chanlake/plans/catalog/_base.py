@@ -68,6 +68,8 @@ def d_chain(src: str, key: str, col: str, steps: list[str], keep: str = "") -> t
     return "WITH " + ",\n".join(ctes) + f"\n", f"s{len(steps)}"
 
 
+# --- shared readers of the driver tables and derived relations -------------
+
 def _texts(spark, sf):
     return fx.for_spark(spark, sf, fx.texts)
 
@@ -88,6 +90,8 @@ def _msgs(spark, sf) -> DataFrame:
     return fx.for_spark(spark, sf, fx.msgs)
 
 
+# --- DuckDB rendering of arrays and links ------------------------------------
+
 def d_render(x: str) -> str:
     return f"array_to_string(list_transform({x}, lambda e: coalesce(CAST(e AS VARCHAR), 'NULL')), ',')"
 
@@ -104,6 +108,8 @@ def _links_duck(x: str, pattern: str, group: int, blank_empty: bool) -> str:
     return f"coalesce({found}, CAST([] AS VARCHAR[]))"
 
 
+# --- session settings ---------------------------------------------------------
+
 def prepare(spark: SparkSession) -> None:
     """Session settings the queries rely on (UTC rendering, shared folder)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
