@@ -40,7 +40,7 @@ def test_stream_equals_batch(spark, workdir):
     assert len(a) == len(b) > 0 and a == b
 
 
-def test_two_phase_equals_one_phase_across_buckets(spark):
+def test_bucketed_fold_equals_one_step(spark):
     # one hot key whose sessions straddle many small buckets
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet") \
         .withColumn("ts", F.col("ts").cast("timestamp")).withColumn("user_id", F.col("user_id") % 3)
