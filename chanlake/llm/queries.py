@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chanlake.llm import common, packing, tokencount
+from chanlake.llm import common, mixing, packing, tokencount, warc
+from chanlake.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +37,26 @@ def op1(spark, sf_dir):
     return tokencount.count_tokens(docs, vocabulary("word_bpe_49k.json"), limit=2048)
 
 
+@query("op2_mixing")
+def op2(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, members=F.array(F.col("source")), size=F.size(common.words(F.col("text"))),
+                       weight_of=lambda i, source: i % 3 + 1, max_repeats=3)
+    return mixed.select("doc_id", "size", F.col("source_sizes")[0].cast("long").alias("source_size"),
+                        F.col("targets")[0].alias("target"), "taken")
+
+
+@query("op3_warc")
+def op3(spark, sf_dir):
+    pages = common.table(spark, sf_dir, "pages")
+    path = shared_path(spark, "llm", "warc")
+    warc.write_archives(warc.plan_records(pages, "page_id", "url", "html", min_bytes=100), path)
+    back = warc.read_records(spark, path)
+    return back.select(warc.row_id(F.col("record_id")).alias("page_id"), "payload_bytes",
+                       F.col("digest").alias("payload_digest"), "record_type",
+                       warc.row_id(F.col("refers_to")).alias("refers_to"), "complete")
+
+
 @query("op8_packing")
 def op8(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
