@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanlake.llm import common, mixing, packing, tokencount, warc
+from chanlake.llm import common, mixing, packing, quality, tokencount, warc
 from chanlake.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,13 @@ def op3(spark, sf_dir):
                        warc.row_id(F.col("refers_to")).alias("refers_to"), "complete")
 
 
+@query("op4_quality_rules", quality.SQL)
+def op4(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents")
+    return quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                      "n_repeat_words", "words_left", "base_failed", "kept")
+
+
 @query("op8_packing")
 def op8(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
