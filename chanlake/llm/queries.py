@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanlake.llm import common, mixing, packing, quality, tokencount, warc
+from chanlake.llm import common, mixing, packing, quality, substring, tokencount, warc
 from chanlake.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,12 @@ def op4(spark, sf_dir):
                                       "n_repeat_words", "words_left", "base_failed", "kept")
 
 
+@query("op5_substring_dedup")
+def op5(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents")
+    return substring.remove_passages(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query("op8_packing")
 def op8(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
