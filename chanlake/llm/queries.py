@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanlake.llm import common, mixing, packing, quality, substring, tokencount, warc
+from chanlake.llm import common, jaccard, mixing, packing, quality, substring, tokencount, warc
 from chanlake.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,11 @@ def op5(spark, sf_dir):
     return substring.remove_passages(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query("op7_jaccard_join")
+def op7(spark, sf_dir):
+    return jaccard.join(common.table(spark, sf_dir, "documents"))
+
+
 @query("op8_packing")
 def op8(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
