@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanlake.llm import common, jaccard, mixing, packing, quality, substring, tokencount, warc
+from chanlake.llm import common, jaccard, mixing, nearest, packing, quality, substring, tokencount, warc
 from chanlake.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,9 @@ def op7(spark, sf_dir):
 def op8(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"), window=2048, end_id=1)
+
+
+@query("op9_nearest_neighbours")
+def op9(spark, sf_dir):
+    vectors = common.table(spark, sf_dir, "embeddings")
+    return nearest.search(vectors, F.col("vec_id") % 100 == 0, k=10)
