@@ -10,9 +10,10 @@ offset, at most 16, in all its occurrences; the 32 words from there are its phra
 
 Rounds on Spark. (1) Tasks name their texts and send (phrase, document) once per batch to
 buckets; a bucket finds the phrases held by two or more documents and tells the documents.
-(2) Documents compare only the 50-word windows that hold a shared phrase: window names (96 bits) go
-to buckets with the smallest document id, and the windows that start in a smaller document
-come back. (3) Covered words are cut. All groups are pre-aggregated per batch (one entry for a
+(2) Documents compare only the 50-word windows that hold a shared phrase: window names go to
+buckets with the smallest document id, and the windows that start in a smaller document
+come back. (3) Covered words are cut. Exact copies of a text are known by its hash and send no windows:
+all their words go. The texts are shuffled once, by id; both joins read that exchange. All groups are pre-aggregated per batch (one entry for a
 phrase or window, however many copies a batch holds), so a hot passage costs one entry
 per batch; buckets scale with the input.
 
@@ -39,7 +40,8 @@ ROUNDS, PHRASE, WINDOW = 4, 32, 50
 SLICE_WORDS = 300_000                       # words named at once in a task
 PIECE = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 U = np.uint64
-ENTRY = "bucket int, names binary, docs binary, at binary, own boolean"
+# Packed entries: names (64 bits each), the documents they belong to with a count each, positions.
+ENTRY = "bucket int, names binary, docs binary, counts binary, at binary, own boolean"
 
 
 class _Names(dict):
@@ -147,22 +149,33 @@ def _phrases(ids: list, lists: list) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return names, row, at, span[at]
 
 
+def _pack(bucket: int, names: np.ndarray, docs: np.ndarray, at: np.ndarray | None, own: bool) -> tuple:
+    """A row of ENTRY; entries come sorted by document, so ids are stored once with a count."""
+    head = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
+    counts = np.diff(np.append(head, len(docs))).astype("<u4")
+    return (bucket, names.tobytes(), docs[head].tobytes(), counts.tobytes(),
+            at.astype("<u4").tobytes() if at is not None else None, own)
+
+
+def _docs_of(docs, counts) -> np.ndarray:
+    return np.repeat(np.frombuffer(docs.as_py(), np.int64), np.frombuffer(counts.as_py(), "<u4"))
+
+
 def _by_bucket(buckets: int, names: np.ndarray, docs: np.ndarray, at: np.ndarray | None = None):
-    """Rows of ENTRY: packed entries per bucket (the bucket comes from the name's high bits)."""
+    """Rows of ENTRY, one per bucket (the bucket comes from the name's high bits)."""
     b = ((names >> U(40)) % U(buckets)).astype(np.int64)
-    order = np.argsort(b, kind="stable")
+    order = np.lexsort((docs, b))
     b, names, docs = b[order], names[order], docs[order]
     at = at[order] if at is not None else None
     edges = np.flatnonzero(np.append(True, b[1:] != b[:-1])) if len(b) else np.zeros(0, np.int64)
     for s, e in zip(edges, np.append(edges[1:], len(b))):
-        yield (int(b[s]), names[s:e].tobytes(), docs[s:e].tobytes(), at[s:e].tobytes() if at is not None else None,
-               False)
+        yield _pack(int(b[s]), names[s:e], docs[s:e], at[s:e] if at is not None else None, False)
 
 
 def _flush(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()]
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                                      ["bucket", "names", "docs", "at", "own"])
+                                      ["bucket", "names", "docs", "counts", "at", "own"])
 
 
 def _shared_in(names: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +201,8 @@ def _send_phrases(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[p
             if many.any():                                            # known to be shared: only to be told
                 fresh = many & np.append(True, (p[1:] != p[:-1]) | (d[1:] != d[:-1]))[: len(p)]
                 turn += 1
-                rows.append((buckets + turn % buckets, p[fresh].tobytes(), d[fresh].tobytes(), None, True))
+                by_doc = np.argsort(d[fresh], kind="stable")
+                rows.append(_pack(buckets + turn % buckets, p[fresh][by_doc], d[fresh][by_doc], None, True))
             if rows:
                 yield _flush(rows)
 
@@ -197,7 +211,7 @@ def _find_shared(table: pa.Table) -> pa.Table:
     """One bucket: (doc_id, phrase) rows for every phrase that two documents hold."""
     own = np.asarray(table.column("own").combine_chunks())
     names = [np.frombuffer(x.as_py(), U) for x in table.column("names")]
-    docs = [np.frombuffer(x.as_py(), np.int64) for x in table.column("docs")]
+    docs = [_docs_of(d, c) for d, c in zip(table.column("docs"), table.column("counts"))]
     out_n = [n for n, o in zip(names, own) if o]
     out_d = [d for d, o in zip(docs, own) if o]
     if not own.all():
@@ -209,44 +223,28 @@ def _find_shared(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": np.concatenate(out_d), "phrase": np.concatenate(out_n).view(np.int64)})
 
 
-RESULT = "kind int, doc_id long, n_words long, n_removed long, sha string, text string, " + ENTRY
-RESULT_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.binary(),
-                pa.binary(), pa.binary(), pa.bool_()]
-DONE, OPEN, SEND = 0, 1, 2
-
-
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), RESULT_TYPES)],
-                                      [f.split()[0] for f in RESULT.split(", ")])
-
-
 def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
 def _send_windows(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    turn = 0
     for b in batches:
-        ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
-        told = dict()
-        rest_ids, rest_texts, rows = [], [], []
-        for i, (doc, text, cell) in enumerate(zip(ids, texts, b.column("phrases"))):
-            if cell.is_valid and doc is not None:
-                told[doc] = np.asarray(cell.values).view(U)
-                rest_ids.append(doc)
-                rest_texts.append(text)
-                rows.append((OPEN, doc, None, None, None, text, None, None, None, None, None))
-            else:
-                words = (text or "").encode("utf-8", "surrogatepass").split()
-                rows.append((DONE, doc, len(words), 0, _digest(words), None, None, None, None, None, None))
-        yield _rows(rows)
-        for own_ids, lists in _slices(rest_ids, rest_texts):
-            names, row, at, phrase = _phrases(own_ids, lists)
+        told, some_ids, some_texts = {}, [], []
+        cells, copy = b.column("phrases"), b.column("copy").to_pylist()
+        for i, doc in enumerate(b.column("doc_id").to_pylist()):
+            if doc is not None and not copy[i] and cells[i].is_valid and len(cells[i]):
+                told[doc] = np.asarray(cells[i].values).view(U)
+                some_ids.append(doc)
+                some_texts.append(b.column("text")[i].as_py())
+        for ids, lists in _slices(some_ids, some_texts):
+            names, row, at, phrase = _phrases(ids, lists)
             lens = np.fromiter(map(len, lists), np.int64, len(lists))
             ends = np.cumsum(lens)
             hit = np.zeros(len(at), bool)
             for r in range(len(lists)):
                 lo, hi = np.searchsorted(at, (ends[r] - lens[r], ends[r]))
-                hit[lo:hi] = np.isin(phrase[lo:hi], told[own_ids[r]])
+                hit[lo:hi] = np.isin(phrase[lo:hi], told[ids[r]])
             # windows that hold a shared phrase: they start at most WINDOW - PHRASE words before it
             reach = np.zeros(len(names) + 1, np.int64)
             at = at[hit]
@@ -256,56 +254,49 @@ def _send_windows(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[p
             w = w[w + WINDOW <= ends[row[w]]]
             if not len(w):
                 continue
-            name, check = spans(names, WINDOW)[w], (spans(names, WINDOW, 0xD6E8FEB86659FD93)[w] >> U(32))
-            docs = np.array(own_ids, np.int64)[row[w]]
-            pos = (w - (ends[row[w]] - lens[row[w]])).astype(np.int64)
-            order = np.lexsort((docs, check, name))
-            n, c, d, p = name[order], check[order], docs[order], pos[order]
-            new = np.append(True, (n[1:] != n[:-1]) | (c[1:] != c[:-1]))
+            name = spans(names, WINDOW)[w]
+            docs, pos = np.array(ids, np.int64)[row[w]], w - (ends[row[w]] - lens[row[w]])
+            order = np.lexsort((docs, name))
+            n, d, p = name[order], docs[order], pos[order]
+            new = np.append(True, n[1:] != n[:-1])
             least = np.repeat(d[new], np.diff(np.append(np.flatnonzero(new), len(n))))
-            lone = d == least                                   # of the slice's smallest document: ask the bucket
-            cell = (c << U(32)) | p.astype(U)
-            # one position per (window, slice); further ones of the same document follow below
-            rows = [(SEND, None, None, None, None, None, *x)
-                    for x in _by_bucket(buckets, n[lone], d[lone], cell[lone])]
-            if (~lone).any():
-                rows.append((SEND, None, None, None, None, None, -1, None, d[~lone].tobytes(), cell[~lone].tobytes(),
-                             True))
-            yield _rows(rows)
-
-
-def _covered(docs: np.ndarray, at: np.ndarray) -> pa.Table:
-    """(doc_id, starts): packed window starts per document."""
-    order = np.argsort(docs, kind="stable")
-    d, a = docs[order], (at[order] & U(0xFFFFFFFF)).astype("<u4")
-    edges = np.flatnonzero(np.append(True, d[1:] != d[:-1])) if len(d) else np.zeros(0, np.int64)
-    cells = [a[s:e].tobytes() for s, e in zip(edges, np.append(edges[1:], len(d)))]
-    return pa.table({"doc_id": d[edges], "starts": pa.array(cells, pa.binary())})
+            lone = d == least                           # of the slice's smallest document: ask the bucket
+            rows = list(_by_bucket(buckets, n[lone], d[lone], p[lone]))
+            if not lone.all():                          # covered for certain: only to be told
+                turn += 1
+                by_doc = np.argsort(d[~lone], kind="stable")
+                rows.append(_pack(buckets + turn % buckets, np.zeros(0, U), d[~lone][by_doc], p[~lone][by_doc], True))
+            yield _flush(rows)
 
 
 def _find_covered(table: pa.Table) -> pa.Table:
-    """One bucket: the windows that also start in a document with a smaller id."""
-    n = np.concatenate([np.frombuffer(x.as_py(), U) for x in table.column("names")])
-    d = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("docs")])
-    a = np.concatenate([np.frombuffer(x.as_py(), U) for x in table.column("at")])
-    order = np.lexsort((d, a >> U(32), n))
-    n, d, a = n[order], d[order], a[order]
-    new = np.append(True, (n[1:] != n[:-1]) | (a[1:] >> U(32) != a[:-1] >> U(32)))
-    least = np.repeat(d[new], np.diff(np.append(np.flatnonzero(new), len(n))))
-    return _covered(d[d > least], a[d > least])
-
-
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for docs, at in zip(b.column("docs"), b.column("at")):
-            yield from _covered(np.frombuffer(docs.as_py(), np.int64), np.frombuffer(at.as_py(), U)).to_batches()
+    """One bucket: (doc_id, starts) of the windows that also start in a document with a smaller id."""
+    own = np.asarray(table.column("own").combine_chunks())
+    d = [_docs_of(x, c) for x, c in zip(table.column("docs"), table.column("counts"))]
+    a = [np.frombuffer(x.as_py(), "<u4") for x in table.column("at")]
+    docs, at = [x for x, o in zip(d, own) if o], [x for x, o in zip(a, own) if o]
+    if not own.all():
+        n = np.concatenate([np.frombuffer(x.as_py(), U) for x, o in zip(table.column("names"), own) if not o])
+        d = np.concatenate([x for x, o in zip(d, own) if not o])
+        a = np.concatenate([x for x, o in zip(a, own) if not o])
+        order = np.lexsort((d, n))
+        n, d, a = n[order], d[order], a[order]
+        new = np.append(True, n[1:] != n[:-1])
+        least = np.repeat(d[new], np.diff(np.append(np.flatnonzero(new), len(n))))
+        docs.append(d[d > least])
+        at.append(a[d > least])
+    d, a = np.concatenate(docs), np.concatenate(at)
+    order = np.argsort(d, kind="stable")
+    d, a = d[order], a[order]
+    head = np.flatnonzero(np.append(True, d[1:] != d[:-1])) if len(d) else np.zeros(0, np.int64)
+    cells = [a[s:e].tobytes() for s, e in zip(head, np.append(head[1:], len(d)))]
+    return pa.table({"doc_id": d[head], "starts": pa.array(cells, pa.binary())})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out = []
-        for doc, text, cells in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(),
-                                    b.column("starts").to_pylist()):
+        for doc, text, cells, copy in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "starts", "copy"))):
             data = (text or "").encode("utf-8", "surrogatepass")
             words = data.split()
             mark = np.zeros(len(words) + 1, np.int64)
@@ -314,6 +305,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(mark, at, 1)
                 np.add.at(mark, at + WINDOW, -1)
             gone = np.cumsum(mark[:-1]) > 0
+            if copy and len(words) >= WINDOW:
+                gone[:] = True
             n = int(gone.sum())
             kept = [w for w, g in zip(words, gone) if not g]
             left = None
@@ -326,25 +319,33 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_words", "n_removed", "kept_sha256", "left_text"])
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """Ids of the documents whose whole text is also that of a smaller id (stored: ids only)."""
+    keyed = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(
+        "doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(77), "text").alias("b"))
+    keyed = stored(keyed, "text-keys")
+    first = keyed.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    first = first.filter("first < last").select("a", "b", "first")
+    return stored(keyed.join(first, ["a", "b"]).filter("doc_id > first").select("doc_id").distinct(), "copies")
+
+
 def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     bytes_per_bucket: int = 16 << 20) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by spaces) and
     left_text (what is left of the text, white space kept; NULL where nothing was removed)."""
     buckets = blocks_for(docs, bytes_per_bucket)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    copies = _copies(rows)
     sent = rows.mapInArrow(functools.partial(_send_phrases, buckets), ENTRY)
     told = sent.groupBy("bucket").applyInArrow(_find_shared, "doc_id long, phrase long")
-    told = told.groupBy("doc_id").agg(F.collect_list("phrase").alias("phrases"))
-    known = rows.join(told, "doc_id", "left").select("doc_id", "text", "phrases")
-    step = stored(known.mapInArrow(functools.partial(_send_windows, buckets), RESULT), "windows")
-    sends = step.filter(F.col("kind") == SEND)
-    covered = (sends.filter(~F.col("own")).select("bucket", "names", "docs", "at")
-               .groupBy("bucket").applyInArrow(_find_covered, "doc_id long, starts binary"))
-    local = sends.filter("own").select("docs", "at").mapInArrow(_unpack, "doc_id long, starts binary")
-    starts = covered.union(local).groupBy("doc_id").agg(F.collect_list("starts").alias("starts"))
-    open_ = step.filter(F.col("kind") == OPEN).select("doc_id", "text")
-    cut = open_.join(starts, "doc_id", "left").mapInArrow(
+    told = told.withColumn("copy", F.lit(False)).union(copies.select("doc_id", F.lit(None).cast("long"), F.lit(True)))
+    # joins by shuffle at every size: these tables grow with the input
+    told = told.groupBy("doc_id").agg(F.collect_list("phrase").alias("phrases"), F.max("copy").alias("copy"))
+    windows = rows.join(told.hint("merge"), "doc_id", "left").select("doc_id", "text", "phrases", "copy").mapInArrow(
+        functools.partial(_send_windows, buckets), ENTRY)
+    starts = windows.groupBy("bucket").applyInArrow(_find_covered, "doc_id long, starts binary")
+    starts = starts.withColumn("copy", F.lit(False)).union(
+        copies.select("doc_id", F.lit(None).cast("binary"), F.lit(True)))
+    starts = starts.groupBy("doc_id").agg(F.collect_list("starts").alias("starts"), F.max("copy").alias("copy"))
+    return rows.join(starts.hint("merge"), "doc_id", "left").select("doc_id", "text", "starts", "copy").mapInArrow(
         _cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, left_text string")
-    done = step.filter(F.col("kind") == DONE).select("doc_id", "n_words", "n_removed", F.col("sha").alias("kept_sha256"),
-                                                    F.lit(None).cast("string").alias("left_text"))
-    return done.union(cut)
