@@ -48,10 +48,19 @@ def unescape(text: str) -> str:
     return ESCAPED.sub(r"\1\2\3", text)
 
 
+def role_line(role: str) -> str:
+    """A role as one line without control strings."""
+    return escape(role.replace("\\", "\\\\").replace("\n", "\\n"))
+
+
+def role_of(line: str) -> str:
+    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(line))
+
+
 def render(role: str, text: str) -> tuple[str, int, int]:
     """The formatted turn and where its (escaped) text starts and ends in it."""
     body = escape(text)
-    head = "<s>" if role == "assistant" else f"[INST]{escape(role).replace(chr(10), ' ')}\n"
+    head = "<s>" if role == "assistant" else f"[INST]{role_line(role)}\n"
     return head + body + ("</s>" if role == "assistant" else "[/INST]"), len(head), len(head) + len(body)
 
 
@@ -154,7 +163,7 @@ DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
 
 def parse(text: str) -> list[tuple[str, str]]:
     """(role, text) of the turns of a formatted window."""
-    return [("assistant", unescape(m[3])) if m[3] is not None else (unescape(m[1]), unescape(m[2]))
+    return [("assistant", unescape(m[3])) if m[3] is not None else (role_of(m[1]), unescape(m[2]))
             for m in TURN.finditer(text)]
 
 

@@ -6,7 +6,7 @@ writes. A payload above ``segment_bytes`` is cut into a first record and
 continuation records (WARC segments). Of equal payloads the smallest id is the
 response, the others are revisits that refer to it.
 
-Reading: files are streamed fragment by fragment (text between blank lines) into
+Reading: files are streamed fragment by fragment (bytes between blank lines) into
 rows (record id, chunk number, bytes so far, digest so far); a running SHA-256
 follows the chunks of a record across its segments, so the last chunk's digest is that
 of the full payload and no record is ever held whole. Archives are gzip files,
@@ -96,84 +96,113 @@ def write_archives(records: DataFrame, path: str, segment_bytes: int = 1 << 20,
     lines.write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
+def _headers(block: bytes) -> dict[str, str]:
+    lines = block.decode("utf-8", "replace").split("\r\n")[1:]
+    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+
+
 class _Record:
-    """What is known of the record being read; carried over its segments."""
+    """What is known of the record being read; its digest and size go on over its segments."""
 
     def __init__(self, head: dict[str, str], before: "_Record | None"):
-        self.head, self.need, self.got, self.http = head, int(head.get("content-length", "-1")), 0, None
+        self.head, self.need, self.got = head, int(head.get("content-length", "0")), 0
         self.type, self.segment = head.get("warc-type", ""), int(head.get("warc-segment-number", "0"))
-        self.fragments = 0
-        follows = (before is not None and self.type == "continuation" and before.ok
-                   and before.id == head.get("warc-segment-origin-id", "").strip("<>")
+        going_on = self.type == "continuation"
+        self.id = head.get("warc-segment-origin-id" if going_on else "warc-record-id", "").strip("<>")
+        follows = (going_on and before is not None and before.ok and before.id == self.id
                    and before.segment + 1 == self.segment)
-        self.id = (head.get("warc-segment-origin-id") if self.type == "continuation"
-                   else head.get("warc-record-id", "")).strip("<>")
-        self.ok = follows or self.type != "continuation"
-        origin = before if follows else self
-        self.origin_type = origin.origin_type if follows else self.type
-        self.origin_head = origin.origin_head if follows else head
+        self.ok = follows or not going_on
+        self.origin = before.origin if follows else self
         self.sha = before.sha if follows else hashlib.sha256()
         self.bytes, self.chunks = (before.bytes, before.chunks) if follows else (0, 0)
-        self.is_http = "application/http" in head.get("content-type", "")
-
-
-def _headers(block: bytes) -> dict[str, str]:
-    lines = block.decode("utf-8", "replace").split("\r\n")[1:]
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-
+        self.front = b"" if "application/http" in head.get("content-type", "") else None
+        self.http: dict[str, str] = {}
+
+    def feed(self, data: bytes) -> int:
+        """Take bytes of the block; returns how many of them are payload."""
+        self.got += len(data)
+        if self.front is not None:                       # still in the HTTP header
+            front, sep, rest = (self.front + data).partition(END.encode())
+            if not sep:
+                self.front = front
+                return 0
+            self.http, self.front, data = _headers(front), None, rest
+        self.sha.update(data)
+        self.bytes += len(data)
+        return len(data)
+
+    def row(self, n: int, complete: bool) -> tuple:
+        total, digest, head = self.bytes, self.sha.copy().hexdigest(), self.origin.head
+        stated = head.get("warc-payload-digest", "").partition(":")[2] or None
+        if self.origin.type == "revisit":                # the payload lies elsewhere: size and digest are stated
+            total, digest = int(self.http.get("content-length", -1)), stated
+        done = self.got >= self.need
+        last = not complete or done and (self.segment == 0 or "warc-segment-total-length" in self.head)
+        return (self.id, self.origin.type, head.get("warc-refers-to", "").strip("<>") or None,
+                head.get("warc-target-uri"), self.segment, self.chunks, n, total, digest, stated, last,
+                complete and self.ok)
+
+
+class _Stream:
+    """The bytes of one file, in order, cut into records."""
+
+    def __init__(self):
+        self.record: _Record | None = None
+        self.before: _Record | None = None
+        self.front, self.begun = b"", False
+
+    def feed(self, part: bytes) -> Iterator[tuple]:
+        """Rows of CHUNKS for the next fragment (fragments are what stands between blank lines)."""
+        data, self.begun = (END.encode() if self.begun else b"") + part, True
+        while True:
+            if self.record is None:
+                self.front = (self.front + data).lstrip(b"\r\n")
+                head, sep, data = self.front.partition(END.encode())
+                if not sep:
+                    return
+                self.front = b""
+                if not head.startswith(b"WARC/"):
+                    continue
+                self.record = _Record(_headers(head), self.before)
+            r = self.record
+            take = data[:r.need - r.got]
+            n, data = r.feed(take), data[len(take):]
+            if r.got >= r.need:
+                yield r.row(n, True)
+                r.chunks += 1
+                self.before, self.record = r, None
+            else:
+                if n:
+                    yield r.row(n, True)
+                    r.chunks += 1
+                return
 
-def _row(r: _Record, n: int, last: bool, complete: bool) -> tuple:
-    total, digest = r.bytes, r.sha.copy().hexdigest()
-    stated = r.origin_head.get("warc-payload-digest", "").partition(":")[2] or None
-    if r.origin_type == "revisit":                       # the payload lies elsewhere: its size and digest are stated
-        total, digest = int((r.http or {}).get("content-length", -1)), stated
-    return (r.id, r.origin_type, (r.origin_head.get("warc-refers-to") or "").strip("<>") or None,
-            r.origin_head.get("warc-target-uri"), r.segment, r.chunks, n, total, digest, stated, last,
-            complete and r.ok)
+    def end(self) -> Iterator[tuple]:
+        if self.record is not None:                      # the file stops inside a record
+            yield self.record.row(0, False)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in CHUNKS.split(", ")]
-    schema = pa.schema([(f.split()[0], {"string": pa.string(), "int": pa.int32(), "long": pa.int64(),
-                                        "boolean": pa.bool_()}[f.split()[1]]) for f in CHUNKS.split(", ")])
-    record, before, file = None, None, None
-    out: list[tuple] = []
+    kinds = [{"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_()}[f.split()[1]]
+             for f in CHUNKS.split(", ")]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
+    stream, file = _Stream(), None
     for b in batches:
+        out: list[tuple] = []
         for name, cell in zip(b.column("file").to_pylist(), b.column("value")):
-            part = cell.as_py()
             if name != file:
-                if record is not None:
-                    out.append(_row(record, 0, True, False))
-                record, before, file = None, None, name
-            if record is None:
-                if part.startswith(b"WARC/"):
-                    record = _Record(_headers(part), before)
-                continue
-            record.got += len(part) + (len(END) if record.fragments else 0)
-            record.fragments += 1
-            if record.fragments == 1 and record.is_http:
-                record.http = _headers(part)
-                n = 0
-            else:
-                glue = record.fragments > (2 if record.is_http else 1)
-                data = (END.encode() if glue else b"") + part
-                record.sha.update(data)
-                record.bytes += len(data)
-                n = len(data)
-            done = record.got >= record.need >= 0
-            if n or done:
-                total = record.head.get("warc-segment-total-length")
-                ended = done and (record.segment == 0 or total is not None)
-                out.append(_row(record, n, ended, record.got == record.need))
-                record.chunks += 1
-            if done:
-                before, record = record, None
+                out += stream.end()
+                stream, file = _Stream(), name
+            out += stream.feed(cell.as_py())
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], names)
-            out = []
-    if record is not None:
-        out.append(_row(record, 0, True, False))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], names)
+            yield batch(out)
+    out = list(stream.end())
+    if out:
+        yield batch(out)
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
