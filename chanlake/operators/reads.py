@@ -29,7 +29,7 @@ def regex_filter(df: DataFrame, column: str, pattern: str | None, limit: int | N
     rows), ordered by ``order_by``, first ``limit`` rows, id as string."""
     out = df
     if pattern:
-        out = out.where(F.col(column).rlike("(?i)" + pattern))
+        out = out.where(F.col(column).rlike("(?iu)" + pattern))
     out = _limit(out, order_by, limit)
     return out.withColumn(order_by, F.col(order_by).cast("string"))
 
@@ -41,7 +41,7 @@ def detection_filter(df: DataFrame, pattern: str | None, limit: int | None = DEF
     case-insensitive regex."""
     out = df
     if pattern:
-        out = out.where(F.exists(column, lambda d: d[field].rlike("(?i)" + pattern)))
+        out = out.where(F.exists(column, lambda d: d[field].rlike("(?iu)" + pattern)))
     return _limit(out, order_by, limit)
 
 
@@ -51,17 +51,24 @@ def slice_rows(df: DataFrame, order_by: str, start: int, stop: int) -> DataFrame
 
 
 def served_rows(df: DataFrame, limit: int | None = DEFAULT_LIMIT, order_by: str = "id") -> DataFrame:
-    """P14 + N4: the served row shape. ``business_name`` and ``scraped_date``
-    are required (rows without them are not servable); JSON array columns
-    parse to ``array<string>``, missing -> ``[]``."""
+    """P14 + N4: the served row shape; JSON array columns parse to ``array<string>``, missing -> ``[]``. Rows
+    without a ``business_name`` or ``scraped_date`` are returned as they are; the response
+    schema of a server has to refuse them (``require_served``)."""
     empty = F.array().cast("array<string>")
-    out = df.where(F.col("business_name").isNotNull() & F.col("scraped_date").isNotNull()).select(
+    out = df.select(
         F.col("id"), "business_name", "phone_number", "address", "scraped_date",
         F.coalesce(F.from_json("media_paths", "array<string>"), empty).alias("media_paths"),
         F.coalesce(F.from_json("links", "array<string>"), empty).alias("links"))
     return _limit(out, order_by, limit)
 
 
+def require_served(df: DataFrame) -> DataFrame:
+    """Fail on the first served row that lacks a required field, as a validated response does."""
+    missing = F.col("business_name").isNull() | F.col("scraped_date").isNull()
+    checked = F.when(missing, F.raise_error(F.concat(F.lit("required field missing in row "), F.col("id").cast("string"))))
+    return df.withColumn("id", F.coalesce(checked.cast(df.schema["id"].dataType), F.col("id")))
+
+
 def profile(df: DataFrame) -> DataFrame:
     """``info()``/``shape``: per column its type, non-null count and the
     row count, from one aggregate pass, unpivoted with ``stack``."""

@@ -13,7 +13,7 @@ from chanlake.plans.catalog._base import _customer, _work, d_render, q, register
 
 # --- served reads, profile, detections (P6-P8, P12, P14, L1-L3, A6, A7, N3) -----
 
-REGEX_PATTERN = "customer#0000001"
+REGEX_PATTERN = "ÇUSTOMER#0000001"
 EQ_QUERY = {"c_mktsegment": "BUILDING", "c_nationkey": 3}
 
 
@@ -61,7 +61,7 @@ SELECT id, business_name, phone_number, address, scraped_date,
   array_to_string(coalesce(CAST(media_paths AS JSON)::VARCHAR[], CAST([] AS VARCHAR[])), ',') AS media_paths,
   array_to_string(coalesce(CAST(links AS JSON)::VARCHAR[], CAST([] AS VARCHAR[])), ',') AS links,
   CAST(len(coalesce(CAST(links AS JSON)::VARCHAR[], CAST([] AS VARCHAR[]))) AS INTEGER) AS n_links
-FROM {fx.for_duck(fx.biz)} b WHERE business_name IS NOT NULL AND scraped_date IS NOT NULL""")(_served)
+FROM {fx.for_duck(fx.biz)} b""")(_served)
 
 
 def _profile(spark, sf):
@@ -87,16 +87,20 @@ def _nested(spark, sf):
 D_NESTED = f"""
 SELECT image_path, list(class ORDER BY box_no, class, confidence, bbox) AS classes,
   list(confidence ORDER BY box_no, class, confidence, bbox) AS confs,
+  list(list_transform(bbox, lambda v: CAST(round(v * 100) AS BIGINT)) ORDER BY box_no, class, confidence, bbox) AS boxes,
   count(*) AS n FROM {fx.for_duck(fx.dets)} d GROUP BY image_path"""
 
 register("detections_nest", f"""
 SELECT image_path, CAST(n AS INTEGER) AS n_detections, array_to_string(classes, '|') AS classes,
-  array_to_string(list_transform(confs, lambda c: CAST(round(c * 100) AS BIGINT)), ',') AS confidence_pct
+  array_to_string(list_transform(confs, lambda c: CAST(round(c * 100) AS BIGINT)), ',') AS confidence_pct,
+  array_to_string(list_transform(boxes, lambda b: array_to_string(b, ',')), '|') AS boxes_pct
 FROM ({D_NESTED}) n""")(lambda spark, sf: _nested(spark, sf).select(
     "image_path", F.size("detections").alias("n_detections"),
     F.array_join(F.transform("detections", lambda d: d["class"]), "|").alias("classes"),
     F.array_join(F.transform("detections", lambda d: F.round(d["confidence"] * 100).cast("bigint")),
-                 ",").alias("confidence_pct")))
+                 ",").alias("confidence_pct"),
+    F.array_join(F.transform("detections", lambda d: F.array_join(F.transform(
+        d["bbox"], lambda v: F.round(v * 100).cast("bigint")), ",")), "|").alias("boxes_pct")))
 
 
 def _flat(spark, sf):
@@ -105,18 +109,13 @@ def _flat(spark, sf):
                       "confidence", "x1", "y1", "x2", "y2")
 
 
-register("detections_flat", f"""
-SELECT image_path,
-  CAST(row_number() OVER (PARTITION BY image_path ORDER BY box_no, class, confidence, bbox) AS INTEGER) AS box_no,
-  class, confidence, bbox[1] AS x1, bbox[2] AS y1, bbox[3] AS x2, bbox[4] AS y2
-FROM {fx.for_duck(fx.dets)} d""")(_flat)
-
 D_FLAT = f"""
 SELECT image_path,
   CAST(row_number() OVER (PARTITION BY image_path ORDER BY box_no, class, confidence, bbox) AS INTEGER) AS box_no,
   class, confidence, bbox[1] AS x1, bbox[2] AS y1, bbox[3] AS x2, bbox[4] AS y2
 FROM {fx.for_duck(fx.dets)} d"""
 
+register("detections_flat", D_FLAT)(_flat)
 
 def _detections_store(spark, sf):
     """The nested detection records written as a JSON document store and
@@ -124,7 +123,7 @@ def _detections_store(spark, sf):
     from chanlake.schemas import DETECTIONS
     path = _work(spark, "detected_objects.json")
     files.save_json(_nested(spark, sf), path)
-    back = files.load_json(spark, path, array_form=False, schema=DETECTIONS)
+    back = files.load_json(spark, path, schema=DETECTIONS)
     out = media.flatten_detections(back)
     return out.select("image_path", F.col("box_no").cast("int").alias("box_no"), "class",
                       "confidence", "x1", "y1", "x2", "y2")
@@ -132,7 +131,7 @@ def _detections_store(spark, sf):
 
 register("detections_store", D_FLAT)(_detections_store)
 
-DETECTION_PATTERN = "BOX"
+DETECTION_PATTERN = "BÓX"
 
 
 def _detection_filter(spark, sf):

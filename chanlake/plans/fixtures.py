@@ -212,7 +212,7 @@ def dets(d: Dialect) -> str:
     return f"""
 SELECT 'img/' || CAST(l_orderkey AS STRING) || '.jpg' AS image_path,
   l_linenumber AS box_no,
-  CASE l_returnflag WHEN 'R' THEN 'Bottle' WHEN 'A' THEN 'pill box' ELSE 'Person' END AS class,
+  CASE l_returnflag WHEN 'R' THEN 'Bottle' WHEN 'A' THEN 'pill bóx' ELSE 'Person' END AS class,
   l_discount AS confidence,
   {bbox} AS bbox
 FROM {li}
@@ -225,7 +225,8 @@ def biz(d: Dialect) -> str:
     n = d.table("nation")
     return f"""
 SELECT c.c_custkey AS id,
-  CASE WHEN c.c_custkey % 10 = 0 THEN NULL ELSE c.c_name END AS business_name,
+  CASE WHEN c.c_custkey % 10 = 0 THEN NULL WHEN c.c_custkey % 2 = 0 THEN replace(c.c_name, 'C', 'Ç')
+       ELSE replace(c.c_name, 'C', 'ç') END AS business_name,
   CASE WHEN c.c_custkey % 4 = 0 THEN NULL ELSE '+2519' || lpad(CAST(c.c_custkey AS STRING), 8, '0') END AS phone_number,
   n.n_name AS address,
   '2024-01-' || lpad(CAST(1 + c.c_custkey % 28 AS STRING), 2, '0') AS scraped_date,

@@ -8,6 +8,8 @@ passes through the driver. Paths should live in a shared folder
 from __future__ import annotations
 
 import os
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,21 +19,35 @@ from chanlake.functions.text import WS_CLASS, strip_ws
 
 # CSV options for a lossless text round trip: '' stays '' and NULL stays NULL,
 # padding is kept and embedded quotes/newlines survive.
-CSV_WRITE = {"header": "true", "escape": '"', "nullValue": "\\N",
+CSV_WRITE = {"header": "true", "escape": '"', "nullValue": "\\N", "emptyValue": '""',
              "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-CSV_READ = {"header": "true", "escape": '"', "nullValue": "\\N", "multiLine": "true",
-            "lineSep": "\n", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_READ = {"header": "true", "escape": '"', "nullValue": "\\N", "emptyValue": "",
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 # --- S1 / S4 ---------------------------------------------------------------------
 
+def has_quoted_newlines(spark: SparkSession, path) -> bool:
+    """Whether some record of the CSV files spans lines: then a line holds an odd number of quotes.
+    One distributed pass that stops at the first such line."""
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
+    return not spark.read.text(path).where(odd).limit(1).isEmpty()
+
+
+def _csv_reader(spark: SparkSession, path, lossless: bool, multi_line: bool | None):
+    """Files whose records are lines split across tasks; only files with quoted newlines are read whole."""
+    r = spark.read.options(**CSV_READ) if lossless else spark.read.option("header", "true").option("escape", '"')
+    whole = has_quoted_newlines(spark, path) if multi_line is None else multi_line
+    return r.option("multiLine", "true").option("lineSep", "\n") if whole else r
+
+
 def load_csv(spark: SparkSession, path: str, delimiter: str = ",", infer: bool = True,
-             schema: T.StructType | str | None = None, lossless: bool = False) -> DataFrame:
-    """Header row; types inferred (``infer``) or all strings; an explicit
-    schema wins. Input splits replace the reference's chunked read."""
-    r = spark.read.option("sep", delimiter)
-    r = r.options(**CSV_READ) if lossless else r.option("header", "true").option("multiLine", "true") \
-        .option("escape", '"')
+             schema: T.StructType | str | None = None, lossless: bool = True,
+             multi_line: bool | None = None) -> DataFrame:
+    """Header row; types inferred (``infer``) or all strings; an explicit schema wins. Reads back what
+    ``save_csv`` writes; ``lossless=False`` takes an empty field as NULL instead. Input splits replace the
+    reference's chunked read."""
+    r = _csv_reader(spark, path, lossless, multi_line).option("sep", delimiter)
     if schema is not None:
         r = r.schema(schema)
     else:
@@ -41,34 +57,85 @@ def load_csv(spark: SparkSession, path: str, delimiter: str = ",", infer: bool =
 
 def save_csv(df: DataFrame, path: str, delimiter: str = ",", lossless: bool = True) -> None:
     """Overwrite with a header; array/struct columns become JSON text."""
-    out = df.select(*[F.to_json(c).alias(c) if _nested(df, c) else F.col(c) for c in df.columns])
-    w = out.write.mode("overwrite").option("sep", delimiter)
+    w = _flat_columns(df).write.mode("overwrite").option("sep", delimiter)
     w = w.options(**CSV_WRITE) if lossless else w.option("header", "true")
     w.csv(path)
 
 
+def _flat_columns(df: DataFrame) -> DataFrame:
+    return df.select(*[F.to_json(c, {"ignoreNullFields": "false"}).alias(c) if _nested(df, c) else F.col(c)
+                       for c in df.columns])
+
+
 def _nested(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, (T.ArrayType, T.StructType, T.MapType))
 
 
 # --- S2 / S5 ---------------------------------------------------------------------
 
-def load_json(spark: SparkSession, path: str, array_form: bool = True,
+# One record per line, as JSON Lines or as the lines of an array file: framing is dropped, commas are cut.
+_LINE = r"^[\s\[,]*(\{.*\})[\s\],]*$"
+_FRAME = r"^[\s\[\],\x{FEFF}]*$"
+
+
+def _literal(uri: str) -> str:
+    """A file's URI as a read path: percent signs decoded, glob characters taken literally."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
+def json_forms(spark: SparkSession, path) -> tuple[list[str], list[str]]:
+    """(files with one record per line, files with records over several lines), from one pass over the
+    lines; only file names reach the driver."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"))
+    broken = ~F.col("value").rlike(_FRAME) & ~F.col("value").rlike(_LINE)
+    rows = lines.groupBy("file").agg(F.count_if(broken).alias("n"),
+                                     F.count_if(F.col("value").rlike(_LINE)).alias("ok")).collect()
+    whole = [r["file"] for r in rows if r["n"] and (not r["ok"] or r["n"] > r["ok"])]
+    return [_literal(r["file"]) for r in rows if r["file"] not in set(whole)], [_literal(f) for f in whole]
+
+
+def _json_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(line, file): the records of one-record-per-line files, framing removed; splits like any text."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"),
+                                          F.col("_metadata.file_name").alias("name"))
+    lines = lines.where(~F.col("value").rlike(_FRAME))
+    record = F.regexp_extract("value", _LINE, 1)
+    return lines.select(F.when(record != "", record).otherwise(F.col("value")).alias("line"), "file", "name")
+
+
+def load_json(spark: SparkSession, path: str, array_form: bool | None = None,
               schema: T.StructType | str | None = None) -> DataFrame:
-    """``array_form`` reads whole documents (a top-level array gives one
-    row per element, as the reference's array files); otherwise JSON Lines,
-    which splits across tasks."""
-    r = spark.read.option("multiLine", "true" if array_form else "false")
-    if array_form:
-        r = r.option("recursiveFileLookup", "true")     # one document per file, any folder
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
+    """JSON Lines and arrays of records, told apart per file; files may be mixed. Records on lines of
+    their own split across tasks; only files with records over several lines are read whole, one task
+    each. ``array_form`` forces one reading: True whole documents, False JSON Lines.
+    A line that is no JSON record gives a row of NULLs, as Spark's own reader does."""
+    if array_form is not None:
+        lines, whole = ([path], []) if not array_form else ([], [path])
+    else:
+        lines, whole = json_forms(spark, path)
+    parts = []
+    if lines:
+        declared = schema
+        if declared is None:
+            plain = spark.read.json(_json_lines(spark, lines).select("line").rdd.map(lambda r: r[0]))
+            declared = plain.schema
+        parsed = _json_lines(spark, lines).select(F.from_json("line", declared).alias("r"))
+        parts.append(parsed.select("r.*"))
+    if whole:
+        r = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true")
+        parts.append((r.schema(schema) if schema is not None else r).json(whole))
+    if not parts:                                # no file has a record
+        return spark.createDataFrame([], schema if schema is not None else T.StructType([]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 def save_json(df: DataFrame, path: str) -> None:
-    """JSON Lines (the pandas branch of the reference), overwrite."""
-    df.write.mode("overwrite").json(path)
+    """JSON Lines (the pandas branch of the reference), overwrite; NULL fields are written."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def save_json_array(df: DataFrame, path: str) -> None:
@@ -77,7 +144,7 @@ def save_json_array(df: DataFrame, path: str) -> None:
     Records are encoded by ``to_json`` on the JVM; a per-partition pass only
     frames them (``[``, comma-led records, ``]``) batch by batch, so memory
     stays at one Arrow batch whatever the partition size."""
-    rec = df.select(F.to_json(F.struct(*df.columns)).alias("r"))
+    rec = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("r"))
 
     def frame(batches):
         import pandas as pd
@@ -108,14 +175,19 @@ def load_conll(spark: SparkSession, path: str, columns: tuple[str, str] = ("toke
     (``lineSep="\\n\\n"``), so files split across tasks like any text
     file (the line reader finishes a record that crosses a split). A record
     is then cut at lines holding only whitespace, and every line is stripped
-    and split at the tab, all in native expressions."""
+    and split at the tab, all in native expressions. Files with CRLF line ends split at
+    their own empty lines. A line without exactly one tab fails the read."""
     tok, lab = columns
-    raw = spark.read.text(path, lineSep="\n\n")
+    crlf = not spark.read.text(path, lineSep="\n").where(F.col("value").endswith("\r")).limit(1).isEmpty()
+    raw = spark.read.text(path, lineSep="\r\n\r\n" if crlf else "\n\n")
     blocks = raw.select(F.explode(F.split("value", f"\n{WS_CLASS}*\n")).alias("block"))
     lines = blocks.select(F.filter(F.transform(F.split("block", "\n"), lambda x: strip_ws(x)),
                                    lambda x: x != F.lit("")).alias("lines"))
     pairs = lines.select(F.transform("lines", lambda x: F.split(x, "\t")).alias("p"))
-    return pairs.where(F.size("p") > 0).select(
+    bad = F.exists("p", lambda a: F.size(a) != 2)
+    pairs = pairs.where(F.size("p") > 0).select(F.when(bad, F.raise_error(F.concat(
+        F.lit("not a token and a label: "), F.array_join(F.flatten("p"), " ")))).otherwise(F.col("p")).alias("p"))
+    return pairs.select(
         F.transform("p", lambda a: a[0]).alias(tok),
         F.transform("p", lambda a: a[1]).alias(lab))
 
@@ -133,25 +205,39 @@ def save_conll(df: DataFrame, path: str, columns: tuple[str, str] = ("tokens", "
 
 # --- S7 ------------------------------------------------------------------------
 
+def _load_parquet(spark: SparkSession, path: str, **kw) -> DataFrame:
+    return spark.read.parquet(path, **kw)
+
+
+def _save_parquet(df: DataFrame, path: str, **kw) -> None:
+    df.write.mode("overwrite").parquet(path, **kw)
+
+
+# extension -> (reader, writer)
+FORMATS = {".json": (load_json, save_json), ".csv": (load_csv, save_csv), ".conll": (load_conll, save_conll),
+           ".parquet": (_load_parquet, _save_parquet)}
+
+
+def _format_of(path: str):
+    try:
+        return FORMATS[_ext(path)]
+    except KeyError:
+        raise ValueError(f"no reader or writer for {_ext(path) or 'a path without extension'!r}; "
+                         f"known: {', '.join(FORMATS)}") from None
+
+
 def load(spark: SparkSession, path: str, **kw) -> DataFrame:
-    """Dispatch on the extension; unknown -> ValueError, missing -> FileNotFoundError."""
+    """Read by extension: ValueError for an unknown one, FileNotFoundError for a path without files."""
+    reader, _ = _format_of(path)
     if not _exists(spark, path):
-        raise FileNotFoundError(f"File not found: {path}")
-    ext = _ext(path)
-    readers = {".json": load_json, ".csv": load_csv, ".conll": load_conll,
-               ".parquet": lambda s, p, **k: s.read.parquet(p)}
-    if ext not in readers:
-        raise ValueError(f"Unsupported file format: {ext}")
-    return readers[ext](spark, path, **kw)
+        raise FileNotFoundError(f"nothing to read at {path}")
+    return reader(spark, path, **kw)
 
 
 def save(df: DataFrame, path: str, **kw) -> None:
-    ext = _ext(path)
-    writers = {".json": save_json, ".csv": save_csv, ".conll": save_conll,
-               ".parquet": lambda d, p, **k: d.write.mode("overwrite").parquet(p)}
-    if ext not in writers:
-        raise ValueError(f"Unsupported file format: {ext}")
-    writers[ext](df, path, **kw)
+    """Write by extension, in the form that ``load`` reads back."""
+    _, writer = _format_of(path)
+    writer(df, path, **kw)
 
 
 def _ext(path: str) -> str:
@@ -167,55 +253,95 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 # --- S12 / S8 / U2 -------------------------------------------------------------
 
-def save_by_channel(df: DataFrame, path: str, fmt: str = "json", channel: str = "channel") -> None:
+def save_by_channel(df: DataFrame, path: str, fmt: str = "json", channel: str = "channel",
+                    rows_per_file: int = 1_000_000) -> None:
     """One folder per channel; a rerun replaces only the channels it
-    carries (dynamic partition overwrite). Empty input writes nothing."""
-    if df.isEmpty():
-        return
-    out = df
-    if fmt == "csv":
-        out = df.select(*[F.to_json(c).alias(c) if _nested(df, c) else F.col(c) for c in df.columns])
+    carries (dynamic partition overwrite). Empty input writes nothing.
+
+    Rows are clustered by channel first, so a channel has few files; ``REBALANCE`` lets AQE split a large
+    channel over several tasks, and a file holds at most ``rows_per_file`` rows."""
+    out = (_flat_columns(df) if fmt == "csv" else df).hint("rebalance", channel)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(channel)
-    if fmt == "csv":
-        w = w.options(**CSV_WRITE)
+    w = w.option("maxRecordsPerFile", str(rows_per_file))
+    w = w.options(**CSV_WRITE) if fmt == "csv" else w.option("ignoreNullFields", "false")
     w.format(fmt).save(path)
 
 
-def channel_of_file() -> Column:
-    """Channel named by a file: its ``channel=<name>`` folder when written by
-    ``save_by_channel``, else the file name without extension."""
-    fp = F.col("_metadata.file_path")
-    folder = F.regexp_extract(fp, r"/channel=([^/]+)/[^/]*$", 1)
-    base = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
-    return F.when(folder != F.lit(""), F.url_decode(folder)).otherwise(base)
+def channel_of_file(file: str = "_metadata.file_path") -> Column:
+    """Channel named by a file: its ``channel=<name>`` folder when written by ``save_by_channel``, else the
+    file name without extension. Paths are URIs (one percent level); folder values carry one more level,
+    and the default partition stands for NULL."""
+    def decoded(c):                               # percent only: a plus sign is a plus sign
+        return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    path = decoded(F.col(file))
+    folder = F.regexp_extract(path, r"/channel=([^/]+)/[^/]*$", 1)
+    base = F.regexp_extract(path, r"([^/]*?)(\.[^./]*)?$", 1)
+    value = F.when(folder != "__HIVE_DEFAULT_PARTITION__", decoded(folder))
+    return F.when(folder != F.lit(""), value).otherwise(base)
+
+
+def python_literals(c: Column) -> Column:
+    """A list or dict written by Python's ``repr`` as JSON text (None, True and False, single quotes)."""
+    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
+        c = F.regexp_replace(c, rf"(?<![\w'\"]){word}(?![\w'\"])", json_word)
+    return F.replace(c, F.lit("'"), F.lit('"'))
+
+
+def _csv_by_header(spark: SparkSession, glob: str, schema: T.StructType, tolerant: bool) -> list[DataFrame]:
+    """CSV channel files read by their own headers: files are grouped by header line, columns taken by name,
+    columns a file lacks become NULL."""
+    lines = spark.read.text(glob).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"))
+    heads = lines.groupBy("file").agg(F.min_by("value", F.struct("at", "n")).alias("head")).collect()
+    by_head: dict[str, list[str]] = {}
+    for r in heads:                               # names and header lines only
+        by_head.setdefault(r["head"].rstrip("\r"), []).append(_literal(r["file"]))
+    lenient = {"mode": "DROPMALFORMED", "ignoreCorruptFiles": "true"} if tolerant else {}
+    parts = []
+    for files_ in by_head.values():
+        c = _csv_reader(spark, files_, True, None).options(**lenient).option("inferSchema", "false").csv(files_)
+        cols = []
+        for f in schema:
+            if f.name not in c.columns:
+                cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+                first = F.from_json(f.name, f.dataType)
+                cols.append(F.coalesce(first, F.from_json(python_literals(F.col(f.name)), f.dataType)).alias(f.name))
+            else:
+                value = F.col(f.name)
+                cols.append((value.try_cast(f.dataType) if tolerant else value.cast(f.dataType)).alias(f.name))
+        parts.append(c.select(*cols, channel_of_file().alias("_channel")))
+    return parts
 
 
 def merge_channels(spark: SparkSession, schema: T.StructType, json_glob: str | None = None,
                    csv_glob: str | None = None, channel: str = "channel",
                    tolerant: bool = False) -> DataFrame:
-    """S8 + U2: every JSON and CSV channel file into one frame with a
-    ``channel`` column from the file. CSV text columns are aligned to
-    ``schema`` (nested columns decoded from JSON) before the by-name union;
-    columns missing on one side become NULL. ``tolerant``: unreadable files
-    and malformed records yield no rows instead of failing the job."""
+    """S8 + U2: every JSON and CSV channel file into one frame with a ``channel`` column from the file. JSON
+    files may be JSON Lines or arrays; CSV columns are matched by header and decoded to ``schema``
+    (nested columns from JSON or Python literals). ``tolerant``: records that cannot be read yield no
+    rows (and bad numbers NULL) instead of failing the job."""
     parts = []
-    lenient = {"mode": "DROPMALFORMED", "ignoreCorruptFiles": "true"} if tolerant else {}
     if json_glob:
-        j = spark.read.schema(schema).options(**lenient).option("multiLine", "false").json(json_glob)
-        parts.append(j.select(*schema.fieldNames(), channel_of_file().alias(channel)))
+        lines, whole = json_forms(spark, json_glob)
+        if lines:
+            mode = {} if tolerant else {"mode": "FAILFAST"}
+            j = _json_lines(spark, lines).select(F.from_json("line", schema, mode).alias("r"), "file", "line")
+            if tolerant:                          # an unreadable line parses to NULL fields only
+                j = j.where(F.col("line").rlike(_LINE))
+            parts.append(j.select("r.*", channel_of_file("file").alias("_channel")))
+        if whole:
+            lenient = {"mode": "DROPMALFORMED", "ignoreCorruptFiles": "true"} if tolerant else {"mode": "FAILFAST"}
+            w = spark.read.schema(schema).options(**lenient).option("multiLine", "true").json(whole)
+            parts.append(w.select(*schema.fieldNames(), channel_of_file().alias("_channel")))
     if csv_glob:
-        text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-        c = spark.read.schema(text_schema).options(**CSV_READ).options(**lenient).csv(csv_glob)
-        cols = []
-        for f in schema:
-            if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
-                cols.append(F.from_json(f.name, f.dataType).alias(f.name))
-            else:
-                cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        parts.append(c.select(*cols, channel_of_file().alias(channel)))
+        parts += _csv_by_header(spark, csv_glob, schema, tolerant)
     if not parts:
-        raise ValueError("nothing to merge")
+        if not (json_glob or csv_glob):
+            raise ValueError("nothing to merge")
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(channel, T.StringType())]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    return out.withColumnRenamed("_channel", channel)

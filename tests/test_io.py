@@ -106,3 +106,83 @@ def test_json_array_with_empty_partitions(spark, workdir):
     files.save_json_array(df, workdir + "/sparse.json")
     back = files.load_json(spark, workdir + "/sparse.json", array_form=True, schema=df.schema)
     assert sorted(tuple(r) for r in back.collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def _write(workdir, name, text):
+    import os
+    path = os.path.join(workdir.replace("file:", ""), name)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="") as f:
+        f.write(text)
+    return path
+
+
+def test_load_reads_what_save_writes(spark, workdir):
+    rows = [(i, None if i % 7 == 0 else ["", "\\N x", 'q"', "a\nb", "  p "][i % 5]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "i int, t string").repartition(3)
+    for name in ("x.json", "x.csv", "x.parquet"):
+        files.save(df, f"{workdir}/{name}")
+        back = files.load(spark, f"{workdir}/{name}")
+        assert sorted(((int(r["i"]), r["t"]) for r in back.collect())) == sorted(rows), name
+
+
+def test_json_forms_in_one_folder(spark, workdir):
+    import json
+    _write(workdir, "in/lines.json", '{"a": 1, "s": "x, y]"}\n\n{"a": 2, "s": null}\n')
+    _write(workdir, "in/array.json", '[\n{"a": 3, "s": "[z"},\n{"a": 4}\n]\n')
+    _write(workdir, "in/indented.json", json.dumps([{"a": 5, "s": "é"}, {"a": 6, "s": "w"}], indent=2))
+    _write(workdir, "in/one.json", '[{"a": 7, "s": "only"}]')
+    got = files.load_json(spark, workdir + "/in", schema="a int, s string")
+    assert sorted((r["a"], r["s"]) for r in got.collect()) == [
+        (1, "x, y]"), (2, None), (3, "[z"), (4, None), (5, "é"), (6, "w"), (7, "only")]
+    inferred = files.load_json(spark, workdir + "/in")
+    assert sorted(r["a"] for r in inferred.collect()) == list(range(1, 8))
+
+
+def test_all_null_column_survives_json(spark, workdir):
+    df = spark.createDataFrame([(1, None), (2, None)], "a long, b string")
+    files.save_json(df, workdir + "/n.json")
+    assert files.load(spark, workdir + "/n.json").columns == ["a", "b"]
+
+
+def test_channel_names_and_headers(spark, workdir):
+    names = ["a+b", "a:b", "a/b", "a=b", "a%b", "shop one", None]
+    df = spark.createDataFrame([(n, i, [f"p{i}", None]) for i, n in enumerate(names)],
+                               "channel string, group_id long, media array<string>")
+    for fmt in ("json", "csv"):
+        files.save_by_channel(df, f"{workdir}/{fmt}", fmt=fmt)
+        merged = files.merge_channels(spark, df.drop("channel").schema, **{f"{fmt}_glob": f"{workdir}/{fmt}/*/*.{fmt}"})
+        assert sorted(((str(r["channel"]), r["group_id"], r["media"]) for r in merged.collect())) == sorted(
+            (str(n), i, [f"p{i}", None]) for i, n in enumerate(names))
+
+
+def test_merge_arrays_swapped_headers_and_python_lists(spark, workdir):
+    schema = spark.createDataFrame([], "message string, note long, media array<string>").schema
+    _write(workdir, "j/shop one.json", '[\n  {"message": "hi", "note": 1, "media": ["m", null]},\n  {"note": 2}\n]')
+    _write(workdir, "j/two+.json", '[\n{"message": "x"},\n{"message": "y", "note": 3}\n]')
+    _write(workdir, "c/three.csv", "note,message,media\n7,hello,\"['a.jpg', None]\"\n")
+    _write(workdir, "c/four.csv", "message,note\nbad,not a number\n")
+    got = files.merge_channels(spark, schema, workdir + "/j/*.json", workdir + "/c/*.csv", tolerant=True)
+    assert sorted((r["channel"], str(r["message"]), str(r["note"]), str(r["media"])) for r in got.collect()) == [
+        ("four", "bad", "None", "None"), ("shop one", "None", "2", "None"), ("shop one", "hi", "1", "['m', None]"),
+        ("three", "hello", "7", "['a.jpg', None]"), ("two+", "x", "None", "None"), ("two+", "y", "3", "None")]
+
+
+def test_large_files_split(spark, workdir):
+    body = "".join(f"{i},text {i}\n" for i in range(5000))
+    csv = _write(workdir, "s/a.csv", "i,t\n" + body)
+    conll = _write(workdir, "s/a.conll", "".join(f"w{i}\tO\r\nv\tB\r\n\r\n" for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        c, k = files.load_csv(spark, csv), files.load_conll(spark, conll)
+        assert c.rdd.getNumPartitions() > 1 and k.rdd.getNumPartitions() > 1
+        assert c.count() == 5000 and sorted(r["tokens"][0] for r in k.collect()) == sorted(f"w{i}" for i in range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_conll_third_field_fails(spark, workdir):
+    path = _write(workdir, "bad.conll", "a\tO\tx\n")
+    with pytest.raises(Exception, match="not a token and a label"):
+        files.load_conll(spark, path).collect()
