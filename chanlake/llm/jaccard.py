@@ -136,7 +136,7 @@ def _send_bands(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         if len(u):
             turn += 1
             pairs = np.unique(np.stack([u, v]), axis=1)
-            rows.append((buckets + turn % buckets, pairs[0].tobytes(), pairs[1].tobytes(), None, True))
+            rows.append((buckets + turn % buckets, pairs[0].tobytes(), pairs[1].tobytes(), None, None, True))
         yield S._flush(rows)
 
 
@@ -145,14 +145,13 @@ def _meet(table: pa.Table) -> pa.Table:
     own = np.asarray(table.column("own").combine_chunks())
     us, vs = [], []
     keys, reps = [], []
-    for n, d, o in zip(table.column("names"), table.column("docs"), own):
-        a, b = n.as_py(), np.frombuffer(d.as_py(), np.int64)
+    for n, d, counts, o in zip(table.column("names"), table.column("docs"), table.column("counts"), own):
         if o:
-            us.append(np.frombuffer(a, np.int64))
-            vs.append(b)
+            us.append(np.frombuffer(n.as_py(), np.int64))
+            vs.append(np.frombuffer(d.as_py(), np.int64))
         else:
-            keys.append(np.frombuffer(a, U))
-            reps.append(b)
+            keys.append(np.frombuffer(n.as_py(), U))
+            reps.append(S._docs_of(d, counts))
     if keys:
         _, u, v = _stars(np.concatenate(keys), np.concatenate(reps))
         us.append(u)
@@ -162,6 +161,8 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"u": pairs[0], "v": pairs[1]})
 
 
+# Sides of a member: 0 and 1 in a pair of two tiles, where only pairs across count; WITHIN where all pairs do.
+WITHIN = 2
 MEMBER = "tile string, c long, rep long, copies long, side int, n int, grams binary"
 
 
@@ -182,12 +183,12 @@ def _send_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue                                    # another text under the same id
                 cell = grams[ends[i] - n[i]:ends[i]].tobytes()
                 if m["tiles"] == 1:
-                    out.append((f"block {m['block']}", m["c"], doc, m["copies"], 0, int(n[i]), cell))
+                    out.append((f"block {m['block']}", m["c"], doc, m["copies"], WITHIN, int(n[i]), cell))
                 else:
                     for t in range(m["tiles"]):
                         lo, hi = min(t, m["slot"]), max(t, m["slot"])
-                        out.append((f"{m['c']} {lo} {hi}", m["c"], doc, m["copies"], 0 if m["slot"] == lo else 1,
-                                    int(n[i]), cell))
+                        side = WITHIN if lo == hi else int(m["slot"] == hi)
+                        out.append((f"{m['c']} {lo} {hi}", m["c"], doc, m["copies"], side, int(n[i]), cell))
             done += len(ids)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
@@ -217,7 +218,7 @@ def _links_small(cluster, gram, member, n):
     return i[ok], j[ok]
 
 
-def _links_large(gram, member, n, side):
+def _links_large(gram, member, n):
     """Linked pairs of one cluster or tile pair, by blocks of a dense membership matrix."""
     m = len(n)
     order = np.lexsort((member, gram))
@@ -241,8 +242,6 @@ def _links_large(gram, member, n, side):
     i, j = np.nonzero(inter)
     both = inter[i, j].astype(np.int64)
     ok = both * den >= num * (n[i] + n[j] - both)
-    if side.any():                                      # two different tiles: only pairs across them
-        ok &= side[i] != side[j]
     return i[ok], j[ok]
 
 
@@ -289,13 +288,15 @@ def _verify(table: pa.Table) -> pa.Table:
             gram, member = flat(np.arange(len(rows)) if len(rows) == len(n) else rows)
             local = np.zeros(len(n), np.int64)
             local[rows] = np.arange(len(rows))
-            i, j = _links_large(gram, local[member], n[rows], side[rows])
+            i, j = _links_large(gram, local[member], n[rows])
             found_i.append(rows[i])
             found_j.append(rows[j])
     if batch:
         small()
     i = np.concatenate(found_i) if found_i else np.zeros(0, np.int64)
     j = np.concatenate(found_j) if found_j else np.zeros(0, np.int64)
+    counted = (side[i] == WITHIN) | (side[i] != side[j])
+    i, j = i[counted], j[counted]
     links = (np.bincount(i, copies[j], minlength=len(n)) + np.bincount(j, copies[i], minlength=len(n))).astype(np.int64)
     root = np.arange(len(n))
     while len(i):                                       # spanning edges: smallest reachable member
@@ -332,7 +333,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: fl
         F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int").alias("slot"),
         F.pmod(F.xxhash64("c"), F.lit(buckets)).cast("int").alias("block"))
     members = stored(members, "members")
-    sets = texts.join(members, "doc_id").mapInArrow(_send_sets, MEMBER)
+    # always by a shuffle of the texts: the members grow with the input, whatever the size of a test
+    sets = texts.join(members.hint("merge"), "doc_id").mapInArrow(_send_sets, MEMBER)
     verified = stored(sets.groupBy("tile").applyInArrow(_verify, "u long, v long, links long"), "links")
     final = components(verified, "classes")
 
