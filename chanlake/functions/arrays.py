@@ -25,6 +25,18 @@ def ordered_list(value: str, order: Column) -> Column:
     return F.transform(F.array_sort(items), lambda s: s["v"])
 
 
+def ordered_lists(order: list[str], values: list[str]) -> Column:
+    """Several ``ARRAY_AGG`` over one input in one order: position i of every list comes from the same row. One
+    struct per row crosses the shuffle; ties of ``order`` are broken by the values."""
+    items = F.collect_list(F.struct(*[F.col(c) for c in dict.fromkeys([*order, *values])]))
+    rows = F.array_sort(items)
+    return F.struct(*[F.transform(rows, _pick(c)).alias(c) for c in values])
+
+
+def _pick(name: str):
+    return lambda s: s[name]
+
+
 def distinct_arrays(value: str) -> Column:
     """``ARRAY_AGG(DISTINCT array_col)``: the distinct arrays, sorted, NULL
     arrays kept as one element."""

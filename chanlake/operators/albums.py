@@ -72,6 +72,13 @@ def fold_albums(messages: DataFrame, channel: str = "channel", msg_id: str = "id
     )
 
 
+def one_path(media: DataFrame, channel: str) -> DataFrame:
+    """One downloaded path per (channel, id): failed downloads are left out, and of several downloads of one
+    message the greatest path counts."""
+    return media.where(F.col("path").isNotNull()).groupBy(
+        F.col(channel).alias("_ch"), F.col("id").alias("_mid")).agg(F.max("path").alias("_path"))
+
+
 def scrape_records(messages: DataFrame, media: DataFrame, limit: int, channel: str = "channel",
                    msg_id: str = "id", **fold_args) -> DataFrame:
     """The batch scrape of every channel at once: the ``limit`` newest
@@ -81,8 +88,7 @@ def scrape_records(messages: DataFrame, media: DataFrame, limit: int, channel: s
     One window with a partial group limit, one equi-join on ``(channel, id)``
     (AQE broadcasts the media side when it is small), one aggregate."""
     newest = newest_per_channel(messages, limit, channel, msg_id).drop("rank")
-    m = media.select(F.col(channel).alias("_ch"), F.col("id").alias("_mid"),
-                     F.col("path").alias("_path")).where(F.col("_path").isNotNull())
+    m = one_path(media, channel)
     joined = newest.join(m, (newest[channel] == m["_ch"]) & (newest[msg_id] == m["_mid"]), "left") \
         .drop("_ch", "_mid")
     return fold_albums(joined, channel=channel, msg_id=msg_id, media_path="_path", **fold_args)
@@ -97,8 +103,7 @@ def attach_media(messages: DataFrame, media: DataFrame, channel: str = "channel"
     AQE turns it into a broadcast when the media side is small at run time),
     then one aggregate. A group without any hit gets ``[]``.
     """
-    m = media.select(F.col(channel).alias("_ch"), F.col("id").alias("_mid"), "path") \
-        .where(F.col("path").isNotNull())
+    m = one_path(media, channel).withColumnRenamed("_path", "path")
     keyed = messages.select(channel, msg_id, group_key(grouped_id, msg_id).alias("group_id"))
     joined = keyed.join(m, (keyed[channel] == m["_ch"]) & (keyed[msg_id] == m["_mid"]), "left")
     hits = F.collect_list(F.when(F.col("path").isNotNull(),

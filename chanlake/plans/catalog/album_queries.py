@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from chanlake.operators import albums
-from chanlake.plans import fixtures as fx
+from chanlake.operators import albums, dedupe
+from chanlake.plans import cleaning, fixtures as fx
 from chanlake.sources import store
-from chanlake.plans.catalog._base import _msgs, register
+from chanlake.plans.catalog._base import _msgs, _work, register
 
 
 # --- albums, media and stores (P9, P10, P15, P16, A1, J1-J3, W2, S9) --------------
@@ -55,6 +55,11 @@ FROM ({D_ALBUMS}) a WHERE len(message_ids) > 1""")(
         _albums(spark, sf)).select("channel", "group_id", F.size("message_ids").alias("n_messages")))
 
 
+# One path per message: failed downloads out, the greatest path of several.
+D_MEDIA = (f"(SELECT channel, id, max(path) AS path FROM {fx.for_duck(fx.media)} dl WHERE path IS NOT NULL "
+           "GROUP BY channel, id)")
+
+
 def _media_attach(spark, sf):
     out = albums.attach_media(_msgs(spark, sf), fx.for_spark(spark, sf, fx.media), msg_id="message_id")
     return out.select("channel", "group_id", F.array_join("media_paths", ",").alias("media_paths"))
@@ -64,7 +69,7 @@ register("media_attach", f"""
 SELECT m.channel, {D_GKEY.replace('grouped_id', 'm.grouped_id').replace('message_id', 'm.message_id')} AS group_id,
   array_to_string(coalesce(list(md.path ORDER BY m.message_id DESC) FILTER (WHERE md.path IS NOT NULL),
     CAST([] AS VARCHAR[])), ',') AS media_paths
-FROM {fx.for_duck(fx.msgs)} m LEFT JOIN {fx.for_duck(fx.media)} md
+FROM {fx.for_duck(fx.msgs)} m LEFT JOIN {D_MEDIA} md
   ON m.channel = md.channel AND m.message_id = md.id
 GROUP BY 1, 2""")(_media_attach)
 
@@ -119,6 +124,83 @@ SELECT bc.group_id, CAST(bc.n_in_batch AS BIGINT) AS n_in_batch, (t.group_id IS
 FROM bc LEFT JOIN t ON bc.group_id = t.group_id
 WHERE bc.n_in_batch > 1 OR t.group_id IS NOT NULL""")(_unique_append)
 
+
+def _append_runs(spark, sf):
+    """S9 + S11 on a stored table: a first batch, an empty append, a second batch, a batch that is
+    rejected whole, and rows without key (never a collision); the table as it is then."""
+    m = _msgs(spark, sf).select("message_id", "channel", "message_text")
+    path = _work(spark, "messages")
+    store.append_unique(spark, m.where("message_id % 2 = 0"), path, "message_id")
+    store.append(m.where("message_id < 0"), path)
+    store.append_unique(spark, m.where("message_id % 2 = 1"), path, "message_id")
+    try:
+        store.append_unique(spark, m.where("channel = 'chan1'"), path, "message_id")
+    except store.UniqueViolation:
+        pass
+    store.append_unique(spark, m.where("channel = 'chan2'").withColumn("message_id", F.lit(None).cast("bigint")), path,
+                        "message_id")
+    return spark.read.schema(m.schema).parquet(path)
+
+
+register("append_runs", f"""
+SELECT message_id, channel, message_text FROM {fx.for_duck(fx.msgs)} m
+UNION ALL SELECT NULL, channel, message_text FROM {fx.for_duck(fx.msgs)} m2 WHERE channel = 'chan2'""")(_append_runs)
+
+
+def _load_runs(spark, sf):
+    """J3 + ST4: two runs with stored marks; the second loads only what the first had not seen."""
+    m = _msgs(spark, sf).select("channel", "message_id", "conv_id")
+    marks, sink = _work(spark, "marks"), _work(spark, "loaded")
+    half = f"conv_id < {LOAD_SPLIT}"
+    store.load_new(spark, m.where(half), marks, lambda df: df.withColumn("run", F.lit(1)).write.mode("append")
+                   .parquet(sink), msg_id="message_id")
+    store.load_new(spark, m, marks, lambda df: df.withColumn("run", F.lit(2)).write.mode("append").parquet(sink),
+                   msg_id="message_id")
+    loaded = spark.read.parquet(sink).groupBy("channel").agg(
+        F.count_if(F.col("run") == 1).alias("first_run"), F.count_if(F.col("run") == 2).alias("second_run"))
+    return loaded.join(store.load_marks(spark, marks), "channel").select(
+        "channel", "first_run", "second_run", "last_id", "n_new")
+
+
+LOAD_SPLIT = 40
+register("load_runs", f"""
+WITH m AS {fx.for_duck(fx.msgs)},
+one AS (SELECT channel, max(message_id) AS mark FROM m WHERE conv_id < {LOAD_SPLIT} GROUP BY channel),
+r AS (SELECT m.channel, m.message_id, m.conv_id < {LOAD_SPLIT} AS first,
+        m.message_id > coalesce(one.mark, 0) AS second FROM m LEFT JOIN one USING (channel))
+SELECT channel, count_if(first) AS first_run, count_if(second) AS second_run, max(message_id) AS last_id,
+  count_if(second) AS n_new FROM r GROUP BY channel""")(_load_runs)
+
+
+def _dedupe_id_lists(spark, sf):
+    """Newest record per list of message ids (an array key)."""
+    a = _albums(spark, sf).select("message_ids", "channel", "date")
+    again = a.where(F.size("message_ids") > 1).withColumn("date", F.lit("2023-01-01 00:00:00"))
+    out = dedupe.keep_latest(a.unionByName(again), "message_ids", "date", nulls_first=False, tiebreak=["channel"])
+    return out.select(F.array_join("message_ids", ",").alias("message_ids"), "channel", "date")
+
+
+register("dedupe_id_lists", f"""
+WITH a AS (SELECT message_ids, channel, date FROM ({D_ALBUMS}) al),
+u AS (SELECT * FROM a UNION ALL SELECT message_ids, channel, '2023-01-01 00:00:00' FROM a WHERE len(message_ids) > 1)
+SELECT array_to_string(message_ids, ',') AS message_ids, channel, date FROM (
+  SELECT DISTINCT ON (message_ids) * FROM u
+  ORDER BY message_ids, date DESC NULLS LAST, channel DESC NULLS LAST) d""")(_dedupe_id_lists)
+
+
+def _standard_columns(spark, sf):
+    """Landed field names to column names."""
+    landed = _msgs(spark, sf).select(F.col("message_id").alias("Group ID"), F.col("message_text").alias("Message"),
+                                     F.col("raw_message").alias("Text"), F.col("sender_id").alias("Sender ID"),
+                                     F.col("message_date").alias("Date"), F.col("channel").alias("Channel"))
+    out = cleaning.standardize_columns(landed)
+    return out.select("group_id", "message", "text", "sender_id", "message_date", F.col("Channel").alias("channel"))
+
+
+register("standard_columns", f"""
+SELECT message_id AS group_id, message_text AS message, raw_message AS text, sender_id, message_date, channel
+FROM {fx.for_duck(fx.msgs)} m""")(_standard_columns)
+
 MEDIA_DIR = "media"
 ALLOWED_MEDIA = ("photo", "document")
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chanlake.functions import text
+from chanlake.functions import arrays, text
 from chanlake.plans import fixtures as fx
 from chanlake.sources import files
-from chanlake.plans.catalog._base import _conv, _customer, _msgs, _work, q, register
+from chanlake.plans.catalog._base import _conv, _customer, _msgs, _work, d_render, q, register
 from chanlake.plans.catalog.album_queries import D_ALBUMS, _albums
 
 
@@ -24,6 +24,22 @@ def _csv_roundtrip(spark, sf):
 register("csv_roundtrip", "SELECT conv_id, turn, role, text FROM conversations")(_csv_roundtrip)
 
 
+def _load_save(name):
+    """``save`` then ``load`` by extension with the defaults of both."""
+    def run(spark, sf):
+        path = _work(spark, "turns") + name
+        m = _msgs(spark, sf).select("message_id", "grouped_id", "channel", "message_text", "raw_message")
+        files.save(m, path)
+        return files.load(spark, path, schema=m.schema).select(*m.columns)
+    return run
+
+
+for _ext in ("json", "csv"):
+    register(f"load_save_{_ext}", f"""
+SELECT message_id, grouped_id, channel, message_text, raw_message FROM {fx.for_duck(fx.msgs)} m""")(
+        _load_save(f".{_ext}"))
+
+
 def _scan_csv(spark, sf):
     path = _work(spark, "customer.csv")
     files.save_csv(_customer(spark, sf), path, lossless=False)
@@ -107,6 +123,34 @@ ALBUM_COLS = ["group_id", "message_ids", "text", "message", "date", "sender_id",
 CSV_CHANNELS = ("chan4", "chan5", "chan6")
 
 
+# Channel names as the merge must return them: marks, spaces, path characters.
+ODD_CHANNELS = {"chan0": "a+b", "chan1": "a:b", "chan2": "a/b", "chan3": "shop one", "chan4": "a%b", "chan5": "a=b"}
+
+
+def _merge_array_files(spark, sf):
+    """Array files (one record per line), JSON Lines and CSV files with reordered headers, under
+    awkward channel names; NULL fields and lists that hold NULL survive."""
+    odd = F.coalesce(*[F.when(F.col("channel") == k, F.lit(v)) for k, v in ODD_CHANNELS.items()])
+    m = _msgs(spark, sf).select(
+        odd.alias("channel"), "message_id", "message_text", F.array("media_path", "sender").alias("media"))
+    jpath, apath, cpath = (_work(spark, n) for n in ("lines", "arrays", "headers"))
+    files.save_by_channel(m.where(F.col("channel").isin("a+b", "a:b", "a/b")), jpath, fmt="json")
+    files.save_json_array(m.where(F.col("channel").isNull()).drop("channel"), f"{apath}/channel=__HIVE_DEFAULT_PARTITION__")
+    files.save_by_channel(m.where(F.col("channel").isin("shop one", "a%b")), cpath, fmt="csv")
+    files.save_by_channel(m.where(F.col("channel") == "a=b").select("media", "message_text", "message_id", "channel"),
+                          cpath, fmt="csv")
+    schema = m.drop("channel").schema
+    out = files.merge_channels(spark, schema, f"{jpath}/*/*.json", f"{cpath}/*/*.csv").unionByName(
+        files.merge_channels(spark, schema, f"{apath}/*/*.txt"))
+    return out.select("channel", "message_id", "message_text", arrays.render("media").alias("media"))
+
+
+register("merge_array_files", f"""
+SELECT CASE channel {' '.join(f"WHEN {q(k)} THEN {q(v)}" for k, v in ODD_CHANNELS.items())} END AS channel,
+  message_id, message_text, {d_render('[media_path, sender]')} AS media FROM {fx.for_duck(fx.msgs)} m""")(
+    _merge_array_files)
+
+
 def _merge_channels(spark, sf):
     records = _albums(spark, sf).select("channel", *ALBUM_COLS)
     jpath, cpath = _work(spark, "landed_json"), _work(spark, "landed_csv")

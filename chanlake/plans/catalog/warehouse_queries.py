@@ -36,8 +36,10 @@ D_DIM = f"""
 SELECT DISTINCT group_id, business_name, phone_number, address FROM ({D_STG}) stg
 WHERE business_name IS NOT NULL"""
 D_CLEANED_DATA = f"""
-SELECT group_id, list(message_id ORDER BY message_id) AS message_ids, max(message_text) AS message_text,
-  list(media_path ORDER BY message_id) AS media_paths, list(link ORDER BY message_id) AS links,
+SELECT group_id, list(message_id ORDER BY message_id, media_path NULLS FIRST, link NULLS FIRST) AS message_ids,
+  max(message_text) AS message_text,
+  list(media_path ORDER BY message_id, media_path NULLS FIRST, link NULLS FIRST) AS media_paths,
+  list(link ORDER BY message_id, media_path NULLS FIRST, link NULLS FIRST) AS links,
   business_name, phone_number, address, scraped_date
 FROM {fx.for_duck(fx.raw_data_flat)} f
 GROUP BY group_id, business_name, phone_number, address, scraped_date"""

@@ -177,7 +177,8 @@ FROM {m} m GROUP BY conv_id
 
 
 def raw_data_flat(d: Dialect) -> str:
-    """Per-message rows carrying group attributes (input of ``cleaned_data``)."""
+    """Per-message rows carrying group attributes (input of ``cleaned_data``); some messages come twice
+    with other media and links."""
     m = f"({msgs(d)})"
     g = _group_cols()
     return f"""
@@ -190,17 +191,25 @@ SELECT
   {g['address']} AS address,
   {g['scraped_date']} AS scraped_date
 FROM {m} m
+UNION ALL
+SELECT CASE WHEN conv_id % 13 = 0 THEN NULL ELSE CAST(conv_id AS BIGINT) END, message_id, message_text,
+  'media/second.jpg', 'https://a.example/' || CAST(turn AS STRING),
+  {g['business_name']}, {g['phone_number']}, {g['address']}, {g['scraped_date']}
+FROM {m} m2 WHERE conv_id % 4 = 2
 """
 
 
 def media(d: Dialect) -> str:
-    """Download results: one row per media message; failed downloads NULL."""
+    """Download results per media message; failed downloads NULL, some downloaded twice."""
     m = f"({msgs(d)})"
     return f"""
 SELECT channel, message_id AS id,
   CASE WHEN (conv_id + turn) % 6 = 5 THEN NULL
        ELSE 'media/' || channel || '/' || CAST(message_id AS STRING) || '.jpg' END AS path
 FROM {m} m WHERE media_kind IS NOT NULL
+UNION ALL
+SELECT channel, message_id AS id, 'media/' || channel || '/' || CAST(message_id AS STRING) || '-again.png' AS path
+FROM {m} m2 WHERE media_kind = 'photo' AND conv_id % 5 = 1
 """
 
 
@@ -278,8 +287,8 @@ FROM (
 
 def read_table(spark, sf_dir: str, name: str):
     """A driver table. Each test file is a single row group and scans as one
-    task; ``spread`` redistributes such a scan when it is large enough to
-    matter (a well-split input is returned as is, so at scale this is free)."""
+    task; ``spread`` redistributes such a scan when that gains four times the
+    tasks, and never more than a gigabyte."""
     from chanlake.session import spread
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 

@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 from chanlake.plans import warehouse
 from chanlake.plans.cleaning import clean_frame, standardize_columns
 from chanlake.schemas import LIVE_MESSAGE, RAW_GROUP
-from chanlake.session import build_session, shared_path
+from chanlake.session import build_session
 from chanlake.sources import files
 
 
@@ -47,27 +47,35 @@ def clean(spark: SparkSession, inputs: str, output: str, as_of: str, fmt: str =
 def build_warehouse(spark: SparkSession, raw_data: str, raw_data_flat: str | None, messages: str | None,
                     location: str) -> None:
     """Entry B: build and store every model, run the data tests, fail on any
-    failure; the report is written next to the models."""
+    failure; the report is stored next to the models before that."""
     sources = {"raw_data": spark.read.parquet(raw_data)}
     if raw_data_flat:
         sources["raw_data_flat"] = spark.read.parquet(raw_data_flat)
     if messages:
         sources["stg_telegram_messages"] = spark.read.parquet(messages)
-    report = warehouse.run(spark, sources, location)
-    report.write.mode("overwrite").parquet(location.rstrip("/") + "/_data_tests")
+    warehouse.run(spark, sources, location)
 
 
-def listen(spark: SparkSession, source: str, sink: str, checkpoint: str | None, lateness: str,
-           fmt: str = "json", once: bool = False) -> None:
-    """Entry C: fold landed live messages (declared schema ``LIVE_MESSAGE``)
-    into album records by inactivity."""
+def listen(spark: SparkSession, source: str, sink: str, checkpoint: str, lateness: str,
+           fmt: str = "json", once: bool = False, channels: list[str] | None = None,
+           media_dir: str = "media", media_kinds: tuple[str, ...] = ("photo", "document")) -> None:
+    """Entry C: fold landed live messages (declared schema ``LIVE_MESSAGE``) of the listed channels (all without
+    a list) into album records by inactivity, with the paths of their media. Messages without a readable
+    date go to ``<sink>_rejected``. The checkpoint is required: a restart goes on where it stopped."""
+    from chanlake.operators.albums import media_file_path
     from chanlake.streaming import sessions
-    stream = sessions.with_event_time(sessions.read_landed(spark, source, LIVE_MESSAGE, fmt), "date",
-                                      lateness)
-    folded = sessions.fold_live_albums(stream)
-    q = sessions.write_append(folded, sink, checkpoint or shared_path(spark, "checkpoints", "listen"),
-                              available_now=once)
-    q.awaitTermination()
+    landed = sessions.read_landed(spark, source, LIVE_MESSAGE, fmt)
+    if channels:
+        landed = sessions.subscribe(landed, channels)
+    stream = sessions.with_event_time(landed, "date", lateness).withColumn(
+        "media_path", media_file_path(media_dir, media_kinds))
+    base = checkpoint.rstrip("/")
+    queries = [sessions.write_append(sessions.fold_live_albums(stream, media_path="media_path"), sink, base,
+                                     available_now=once),
+               sessions.write_append(sessions.without_time(landed, "date"), sink.rstrip("/") + "_rejected",
+                                     base + "_rejected", available_now=once)]
+    for q in queries:
+        q.awaitTermination()
 
 
 def main(argv: list[str]) -> int:
@@ -87,7 +95,8 @@ def main(argv: list[str]) -> int:
     s = sub.add_parser("listen")
     s.add_argument("--source", required=True)
     s.add_argument("--sink", required=True)
-    s.add_argument("--checkpoint")
+    s.add_argument("--checkpoint", required=True, help="shared folder of the stream's state and progress")
+    s.add_argument("--channel", action="append", help="listen to this channel only (repeatable)")
     s.add_argument("--lateness", default="1 minute")
     s.add_argument("--format", default="json")
     s.add_argument("--once", action="store_true", help="process what has landed, then stop")
@@ -98,7 +107,7 @@ def main(argv: list[str]) -> int:
     elif a.job == "warehouse":
         build_warehouse(spark, a.raw_data, a.raw_data_flat, a.messages, a.location)
     else:
-        listen(spark, a.source, a.sink, a.checkpoint, a.lateness, a.format, a.once)
+        listen(spark, a.source, a.sink, a.checkpoint, a.lateness, a.format, a.once, a.channel)
     return 0
 
 

@@ -60,15 +60,14 @@ def transformed_telegram_data(stg: DataFrame) -> DataFrame:
 
 def cleaned_data(raw_data_flat: DataFrame) -> DataFrame:
     """A2: per group and business attributes, ordered arrays that keep NULL
-    elements (as Postgres ``ARRAY_AGG`` does) and the greatest text."""
+    elements (as Postgres ``ARRAY_AGG`` does) and the greatest text. The three arrays are
+    aligned: position i of each comes from the same message row."""
     keys = ["group_id", "business_name", "phone_number", "address", "scraped_date"]
-    order = F.col("message_id")
     return raw_data_flat.groupBy(*keys).agg(
-        arrays.ordered_list("message_id", order).alias("message_ids"),
+        arrays.ordered_lists(["message_id"], ["message_id", "media_path", "link"]).alias("lists"),
         F.max("message_text").alias("message_text"),
-        arrays.ordered_list("media_path", order).alias("media_paths"),
-        arrays.ordered_list("link", order).alias("links"),
-    ).select("group_id", "message_ids", "message_text", "media_paths", "links", *keys[1:])
+    ).select("group_id", F.col("lists.message_id").alias("message_ids"), "message_text",
+             F.col("lists.media_path").alias("media_paths"), F.col("lists.link").alias("links"), *keys[1:])
 
 
 # --- per-message chain -----------------------------------------------------
@@ -164,49 +163,68 @@ def _resolvable(name: str, sources: dict[str, DataFrame]) -> bool:
     return name in GRAPH and all(_resolvable(i, sources) for i in GRAPH[name][0])
 
 
+def store_model(spark: SparkSession, name: str, df: DataFrame, kind: str, location: str | None) -> DataFrame:
+    """M2, one model: ``view`` -> temp view; ``table`` -> parquet under ``location`` (a shared folder), read
+    back; ``catalog`` -> the same files registered as an external catalog table, visible to later sessions."""
+    if kind not in ("view", "table", "catalog"):
+        raise ValueError(f"unknown materialisation: {kind}")
+    if kind != "view":
+        if location is None:
+            raise ValueError(f"a {kind} materialisation needs a location")
+        path = f"{location.rstrip('/')}/{name}"
+        writer = df.write.mode("overwrite").format("parquet")
+        if kind == "catalog":
+            writer.option("path", path).saveAsTable(name)
+            return spark.table(name)
+        writer.save(path)
+        df = spark.read.schema(df.schema).parquet(path)
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def materialize(spark: SparkSession, models: dict[str, DataFrame], how: dict[str, str] | None = None,
                 location: str | None = None) -> dict[str, DataFrame]:
-    """M2: ``view`` -> temp view (default); ``table`` -> parquet written to
-    ``location`` (a shared folder) and read back, which also cuts lineage;
-    ``catalog`` -> the same files registered as an external catalog table
-    (``saveAsTable`` with its path in ``location``), visible to later sessions."""
-    how = how or {}
-    result = {}
-    for name, df in models.items():
-        kind = how.get(name, "view")
-        if kind in ("table", "catalog"):
-            if location is None:
-                raise ValueError(f"a {kind} materialisation needs a location")
-            path = f"{location.rstrip('/')}/{name}"
-            if kind == "table":
-                df.write.mode("overwrite").parquet(path)
-                df = spark.read.parquet(path)
-            else:
-                df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
-                df = spark.table(name)
-        elif kind != "view":
-            raise ValueError(f"unknown materialisation: {kind}")
-        if kind != "catalog":
-            df.createOrReplaceTempView(name)
-        result[name] = df
-    return result
+    """M2 for frames that are already built (default ``view``); ``build_stored`` walks the graph instead."""
+    return {name: store_model(spark, name, df, (how or {}).get(name, "view"), location) for name, df in models.items()}
+
+
+def build_stored(spark: SparkSession, sources: dict[str, DataFrame], location: str | None,
+                 how: dict[str, str] | None = None, models: list[str] | None = None) -> dict[str, DataFrame]:
+    """M1 + M2 along the graph: parents are stored first and children read the stored frame, so every raw source
+    and every model is computed once however many children it has (default ``table``)."""
+    frames, done = dict(sources), {}
+
+    def make(name: str) -> DataFrame:
+        if name not in frames:
+            if name not in GRAPH:
+                raise KeyError(f"unknown model or missing source: {name}")
+            inputs, fn = GRAPH[name]
+            df = fn(*[make(i) for i in inputs])
+            frames[name] = done[name] = store_model(spark, name, df, (how or {}).get(name, "table"), location)
+        return frames[name]
+
+    for name in models or list(GRAPH):
+        if models is not None or all(_resolvable(i, sources) for i in GRAPH[name][0]):
+            make(name)
+    return done
+
+
+REPORT = "_data_tests"
 
 
 def run(spark: SparkSession, sources: dict[str, DataFrame], location: str,
         how: dict[str, str] | None = None, tests=None) -> DataFrame:
-    """M3: build every model, materialise them (tables by default, in the
-    shared ``location``, so the tests read stored rows instead of recomputing
-    the chain), run the data tests and raise if any fails. Returns the report."""
+    """M3: build and store every model along the graph, run the data tests on the stored rows, store the
+    report under ``location`` and only then raise if any test fails. Returns the stored report."""
     from chanlake.operators import quality
     from chanlake.session import estimated_bytes, size_shuffle_partitions
     sizes = [estimated_bytes(df) for df in sources.values()]
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     size_shuffle_partitions(spark, None if None in sizes else sum(sizes))
     try:
-        built = build(sources)
-        how = how or {name: "table" for name in built}
-        stored = materialize(spark, built, how=how, location=location)
-        report = quality.run_tests(stored, tests or quality.DECLARED_TESTS)
-        return quality.gate(report)
+        models = build_stored(spark, sources, location, how)
+        path = f"{location.rstrip('/')}/{REPORT}"
+        quality.run_tests(models, tests or quality.DECLARED_TESTS).write.mode("overwrite").parquet(path)
+        return quality.gate(spark.read.parquet(path))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", previous)

@@ -60,26 +60,29 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _local_folder(master: str) -> str:
+    """A fresh folder for runs on one machine; a cluster has to name a shared one."""
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="chanlake-ckpt-")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used as is. Only when it is unset (local runs, tests) a fresh folder
-    is created and registered. A remote (Connect) session has no
-    SparkContext; there the setting is read from the session conf."""
+    On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and is used as is;
+    without it the call fails. Only a local run (tests) gets a fresh folder. A remote (Connect)
+    session has no SparkContext; there the setting is read from the session conf."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: no JVM context on this side
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
-            current = tempfile.mkdtemp(prefix="chanlake-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", current)
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share") from None
         return current
     current = sc.getCheckpointDir()
     if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-        if not current:
-            current = tempfile.mkdtemp(prefix="chanlake-ckpt-")
+        current = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(sc.master)
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
     return current
@@ -96,22 +99,18 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return base.rstrip("/") + "/" + name
 
 
-def spread(df, min_bytes: int = 4 * 1024 * 1024):
-    """Spread a scan over the cluster when its input is too coarse.
+def spread(df, min_bytes: int = 4 * 1024 * 1024, max_bytes: int = 1024 * 1024 * 1024):
+    """Spread a scan over the cores when its input is far too coarse.
 
-    A file written as one row group scans as one task, so CPU-heavy work after
-    it (text cleaning) runs on one core. When the scan yields fewer
-    partitions than the default parallelism and its estimated size is above
-    ``min_bytes``, redistribute it round robin; a well-split input (the
-    normal case at scale) is returned untouched, with no extra shuffle."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-        size = estimated_bytes(df)
-    except Exception:  # noqa: BLE001 - no plan access (remote session): leave as is
+    A file written as one row group scans as one task, so CPU-heavy work after it runs on one core. The
+    scan is redistributed only when that at least quadruples its tasks and its estimated size lies between
+    ``min_bytes`` and ``max_bytes``: the shuffle is bounded, and a larger input, which has
+    more splits than that, is left alone."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    size = estimated_bytes(df)
+    if size is None or not min_bytes <= size <= max_bytes or df.rdd.getNumPartitions() * 4 > target:
         return df
-    return df.repartition(target) if size is not None and size >= min_bytes else df
+    return df.repartition(target)
 
 
 def estimated_bytes(df) -> int | None:
@@ -125,7 +124,7 @@ def estimated_bytes(df) -> int | None:
 
 
 def size_shuffle_partitions(spark: SparkSession, input_bytes: int | None,
-                            per_partition: int = 256 * 1024 * 1024, cap: int = 200_000) -> int:
+                            per_partition: int = 256 * 1024 * 1024) -> int:
     """Set ``spark.sql.shuffle.partitions`` so each initial shuffle partition
     holds about ``per_partition`` bytes of input (at least twice the
     cluster's cores). AQE then coalesces the small ones; it cannot split
@@ -133,6 +132,6 @@ def size_shuffle_partitions(spark: SparkSession, input_bytes: int | None,
     if input_bytes is None:                       # no estimate: keep the setting
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     floor = 2 * spark.sparkContext.defaultParallelism
-    n = max(floor, min(cap, -(-input_bytes // per_partition)))
+    n = max(floor, -(-input_bytes // per_partition))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n

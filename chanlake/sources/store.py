@@ -50,12 +50,13 @@ def eq_filter(df: DataFrame, query: dict[str, Any], null_safe: bool = False,
 
 def unique_violations(batch: DataFrame, target: DataFrame | None, key: str) -> DataFrame:
     """Keys of ``batch`` that repeat inside the batch or already exist in the
-    target: ``key, n_in_batch, in_target``. The batch keys are counted with
+    target: ``key, n_in_batch, in_target``. NULL keys never collide, as under a UNIQUE
+    column. The batch keys are counted with
     partial aggregation; the target is first cut to the batch's keys by a
     semi join (broadcast when the batch-key side is small, else a runtime
     filter on the target scan), so an append never shuffles every key of a
     large target."""
-    counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n_in_batch"))
+    counts = batch.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_in_batch"))
     if target is None:
         return counts.where(F.col("n_in_batch") > 1).withColumn("in_target", F.lit(False))
     existing = target.select(key).where(F.col(key).isNotNull()) \
@@ -66,14 +67,19 @@ def unique_violations(batch: DataFrame, target: DataFrame | None, key: str) -> D
 
 
 def append_unique_to(batch: DataFrame, existing: DataFrame | None, key: str,
-                     write: Callable[[DataFrame], None]) -> None:
+                     write: Callable[[DataFrame], None], report: Callable[[DataFrame], None] | None = None) -> None:
     """S9 for any target: ``existing`` reads the target (e.g. ``spark.read.jdbc``)
     and ``write`` appends to it (e.g. ``df.write.jdbc(..., mode="append")``).
     Raises and writes nothing when ``key`` would repeat inside the batch or
-    collide with the target."""
-    bad = unique_violations(batch, existing, key).limit(20).collect()   # bounded sample for the error
-    if bad:
-        raise UniqueViolation(f"{key} not unique: " + ", ".join(str(r[key]) for r in bad))
+    collide with the target. The error names the number of such keys and the first few;
+    ``report`` gets all of them."""
+    bad = unique_violations(batch, existing, key)
+    if report is not None and not bad.isEmpty():
+        report(bad)
+    some = bad.orderBy(key).limit(5).collect()
+    if some:
+        raise UniqueViolation(f"{key} not unique: {bad.count()} keys, first "
+                              + ", ".join(str(r[key]) for r in some))
     write(batch)
 
 
@@ -81,9 +87,10 @@ def append_unique(spark: SparkSession, batch: DataFrame, path: str, key: str,
                   fmt: str = "parquet") -> None:
     """Append ``batch`` to the table at ``path`` only if ``key`` stays
     unique; otherwise raise and write nothing (the transaction rollback of
-    the relational store)."""
+    the relational store). All offending keys are then listed in ``<path>_violations``."""
     append_unique_to(batch, _read_if_exists(spark, path, fmt), key,
-                     lambda df: df.write.mode("append").format(fmt).save(path))
+                     lambda df: df.write.mode("append").format(fmt).save(path),
+                     lambda df: df.write.mode("overwrite").format(fmt).save(path.rstrip("/") + "_violations"))
 
 
 def append(batch: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -104,21 +111,63 @@ def _read_if_exists(spark: SparkSession, path: str, fmt: str) -> DataFrame | Non
 
 # --- J3 / ST4 -----------------------------------------------------------------
 
+STATE_BROADCAST_ROWS = 100_000      # channels; a row is a name and a number, so some ten megabytes at most
+
+
 def new_since(messages: DataFrame, state: DataFrame, channel: str = "channel",
               msg_id: str = "id") -> DataFrame:
-    """Messages above their channel's saved mark (no mark -> 0). The state has
-    one row per channel; AQE broadcasts it when its measured size is small."""
+    """Messages above their channel's saved mark (no mark -> 0).
+
+    The state has one row per channel. Up to ``STATE_BROADCAST_ROWS`` rows, counted first, it is broadcast,
+    so messages are not shuffled on their few channel values; beyond that, the join
+    is a shuffle that AQE splits where a channel is large."""
     st = state.select(F.col(channel).alias("_st_ch"), F.col("last_id").alias("_last"))
-    j = messages.join(st, messages[channel] == st["_st_ch"], "left")
+    if st.limit(STATE_BROADCAST_ROWS + 1).count() <= STATE_BROADCAST_ROWS:
+        st = F.broadcast(st)
+    j = messages.join(st, messages[channel] == F.col("_st_ch"), "left")
     return j.where(F.col(msg_id) > F.coalesce(F.col("_last"), F.lit(0))).drop("_st_ch", "_last")
 
 
+def save_marks(spark: SparkSession, marks: DataFrame, path: str) -> None:
+    """Store the marks as the next version under ``path``; readers see the old version until it is complete."""
+    version = _versions(spark, path)[-1:] or [0]
+    marks.write.parquet(f"{path.rstrip('/')}/version={version[0] + 1}")
+
+
+def load_marks(spark: SparkSession, path: str, channel: str = "channel") -> DataFrame:
+    """The newest complete version of the stored marks; no version: no marks."""
+    versions = _versions(spark, path)
+    if not versions:
+        return spark.createDataFrame([], f"{channel} string, last_id bigint")
+    return spark.read.parquet(f"{path.rstrip('/')}/version={versions[-1]}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/version=*/_SUCCESS")
+    fs = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(done) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+
+def load_new(spark: SparkSession, messages: DataFrame, marks_path: str, write: Callable[[DataFrame], None],
+             channel: str = "channel", msg_id: str = "id") -> DataFrame:
+    """J3 + ST4 as one job: rows above the stored marks are handed to ``write``, then the marks advance. A
+    run that fails in between loads the same rows again. Returns the new marks with ``n_new``."""
+    state = load_marks(spark, marks_path, channel)
+    fresh = new_since(messages, state, channel, msg_id)
+    write(fresh)
+    marks = advance_marks(state, fresh, channel, msg_id)
+    save_marks(spark, marks, marks_path)
+    return load_marks(spark, marks_path, channel)
+
+
 def advance_marks(state: DataFrame, loaded: DataFrame, channel: str = "channel",
                   msg_id: str = "id") -> DataFrame:
     """New state: per channel ``greatest(old mark, max loaded id)``; channels
     not in this load keep their mark, new channels are added."""
     agg = loaded.groupBy(channel).agg(F.max(msg_id).alias("_mx"), F.count(F.lit(1)).alias("n_new"))
-    j = state.join(agg, channel, "full_outer")
+    j = state.select(channel, "last_id").join(agg, channel, "full_outer")
     return j.select(
         channel,
         F.greatest(F.coalesce(F.col("last_id"), F.lit(0)), F.coalesce(F.col("_mx"), F.lit(0)))

@@ -28,15 +28,16 @@ INACTIVITY_GAP = "5 seconds"      # the listener's inactivity gap
 def fold_sessions(df: DataFrame, keys: Sequence[str], ts: str, msg_id: str, gap: str,
                   texts: Sequence[str] = (), firsts: Sequence[str] = (),
                   bucket_seconds: int | None = 86400, lists: Sequence[str] = (),
-                  pre_aggregate: bool = True) -> DataFrame:
+                  pre_aggregate: bool = False) -> DataFrame:
     """One row per (keys, session): ``session_start``, ``session_end`` (last
     arrival + gap), ``n_messages``, ``message_ids`` in arrival order, each of
     ``texts`` as its non-blank values joined by newline, each of ``lists`` as
     its non-NULL values in arrival order, and each of ``firsts`` taken from
     the first arrival.
 
-    Batch input is folded in three exact steps so a very active key neither
-    ships every event nor lands in one task:
+    Batch input is sessionized inside (keys, day bucket) and the partial sessions are merged per key, so
+    a very active key is spread over its days. For dense data (many events per gap)
+    ``pre_aggregate`` folds in three exact steps, so such a key does not ship every event either:
 
     1. events closer than ``gap`` always share a session, so each gap-sized
        time slot is summarised by an ordinary aggregate (first/last time,
@@ -45,9 +46,8 @@ def fold_sessions(df: DataFrame, keys: Sequence[str], ts: str, msg_id: str, gap:
        with a session window whose gap is each summary's span plus ``gap``;
     3. those partial sessions are merged per key the same way.
 
-    With ``pre_aggregate=False`` step 1 is skipped: events are sessionized
-    directly inside (keys, day bucket); for sparse data (events mostly more
-    than one gap apart) that saves an exchange. A stream uses the one-step
+    Without it step 1 is skipped, which saves an exchange where events are mostly more than one gap
+    apart. A stream uses the one-step
     fold (Spark merges sessions per partition before its shuffle).
     """
     member_cols = [*texts, *lists]
@@ -151,8 +151,23 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, schema: T.StructTy
 
 
 def with_event_time(stream: DataFrame, ts: str, lateness: str) -> DataFrame:
-    """Watermark on an event-time column (NTZ is cast: watermarks need TIMESTAMP)."""
-    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
+    """Watermark on an event-time column (NTZ is cast: watermarks need TIMESTAMP). A value that is no
+    time becomes NULL and joins no session; ``without_time`` gives those rows to a side sink."""
+    return stream.withColumn(ts, F.col(ts).try_cast("timestamp")).withWatermark(ts, lateness)
+
+
+def without_time(stream: DataFrame, ts: str) -> DataFrame:
+    """Rows whose event time cannot be read, as they landed."""
+    return stream.where(F.col(ts).try_cast("timestamp").isNull())
+
+
+def late_members(landed: DataFrame, folded: DataFrame, keys: Sequence[str], msg_id: str,
+                 ids: str = "message_ids") -> DataFrame:
+    """Batch check of a finished run: landed rows whose key has closed records but that are in none of them
+    (members that came after the watermark). The rows to re-fold or to keep beside the records."""
+    seen = folded.select(*keys, F.explode(ids).alias(msg_id))
+    closed = folded.select(*keys).distinct()
+    return landed.join(closed, list(keys), "left_semi").join(seen, [*keys, msg_id], "left_anti")
 
 
 def write_append(out: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",

@@ -26,16 +26,61 @@ def test_keep_latest_is_partial_aggregate(spark):
     assert "partial_max_by" in plan
 
 
-def test_sessions_shuffle_by_slot_then_bucket(spark):
+def _exchanges(plan):
     import re
-    plan = _plan(spark, "session_fold")
-    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    # outermost first: partial sessions by key, slot summaries by (key, day bucket),
-    # events pre-aggregated by (key, gap-sized slot)
-    assert len(exchanges) == 3
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+
+
+def test_sessions_shuffle_by_bucket_then_key(spark):
+    exchanges = _exchanges(_plan(spark, "session_fold"))
+    # outermost first: partial sessions by key, events by (key, day bucket)
+    assert len(exchanges) == 2
     assert exchanges[0].startswith("user_id") and exchanges[0].count(",") == 1
-    assert all("_groupingexpression" in e for e in exchanges[1:])
-    assert "partial_collect_list" in plan
+    assert "_groupingexpression" in exchanges[1]
+
+
+def test_dense_sessions_are_pre_aggregated_by_slot(spark):
+    from chanlake.streaming.sessions import fold_sessions
+    ev = spark.range(100).selectExpr("id AS event_id", "id % 3 AS user_id", "timestamp_seconds(id * 60) AS ts")
+    plan = fold_sessions(ev, ["user_id"], "ts", "event_id", "5 minutes", pre_aggregate=True)
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert len(_exchanges(plan)) == 3 and "partial_collect_list" in plan
+
+
+def test_marks_do_not_shuffle_messages_on_channel(spark):
+    from chanlake.sources import store
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = spark.range(1000).selectExpr("id", "concat('c', id % 3) AS channel")
+        state = spark.createDataFrame([("c1", 500)], "channel string, last_id bigint")
+        new = store.new_since(m, state)
+        # ids above 0, and of c1 above 500
+        assert new.count() == sum(1 for i in range(1, 1000) if i % 3 != 1 or i > 500)
+        plan = new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_spread_is_bounded_and_needs_a_gain(spark, workdir):
+    from chanlake.session import spread
+    n = spark.sparkContext.defaultParallelism
+    spark.range(200_000).selectExpr("id", "repeat('x', 30) AS t").coalesce(1).write.parquet(workdir + "/coarse")
+    coarse = spark.read.parquet(workdir + "/coarse")
+    few = {"min_bytes": 1}
+    assert spread(coarse, **few).rdd.getNumPartitions() == n            # one task on n cores
+    assert spread(coarse, min_bytes=1, max_bytes=10).rdd.getNumPartitions() == 1
+    split = spark.range(1000).repartition(max(1, n // 2))
+    assert spread(split, **few).rdd.getNumPartitions() == max(1, n // 2)     # left alone
+
+
+def test_cluster_needs_a_shared_folder():
+    import pytest
+    from chanlake.session import _local_folder
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            _local_folder(master)
 
 
 def test_album_fold_partial(spark):
@@ -55,7 +100,7 @@ def test_shuffle_sizing(spark):
         floor = 2 * spark.sparkContext.defaultParallelism
         assert size_shuffle_partitions(spark, 10) == floor
         assert size_shuffle_partitions(spark, 10 * 1024 ** 4) == 10 * 1024 ** 4 // (256 * 1024 ** 2)
-        assert size_shuffle_partitions(spark, 100 * 1024 ** 4) == 200_000       # capped
+        assert size_shuffle_partitions(spark, 100 * 1024 ** 4) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
@@ -108,7 +153,7 @@ def test_hot_user_session_pre_aggregated_and_spread(spark):
     ev = spark.range(0, n, numPartitions=8).select(
         F.lit(1).alias("user_id"), F.col("id").alias("event_id"),
         (F.lit(1_700_000_000) + F.col("id") * 60).cast("timestamp").alias("ts"))
-    out = fold_sessions(ev, ["user_id"], "ts", "event_id", "5 minutes")
+    out = fold_sessions(ev, ["user_id"], "ts", "event_id", "5 minutes", pre_aggregate=True)
     rows = out.collect()
     assert len(rows) == 1 and rows[0]["n_messages"] == n and rows[0]["message_ids"] == list(range(n))
     final_merge, per_day, slots = _shuffle_records(out)

@@ -111,8 +111,15 @@ def test_session_fold_variants_agree(spark):
     args = (["user_id"], "ts", "event_id", "30 minutes")
     kw = dict(texts=["event_type"], firsts=["value"])
     cols = ["user_id", "session_start", "session_end", "n_messages", "message_ids", "event_type", "value"]
-    runs = [fold_sessions(ev, *args, **kw, bucket_seconds=3600),
+    runs = [fold_sessions(ev, *args, **kw, bucket_seconds=3600, pre_aggregate=True),
             fold_sessions(ev, *args, **kw, bucket_seconds=3600, pre_aggregate=False),
             fold_sessions(ev, *args, **kw, bucket_seconds=None)]
     got = [sorted(tuple(r) for r in df.select(*cols).collect()) for df in runs]
     assert got[0] == got[1] == got[2] and len(got[0]) > 0
+
+
+def test_late_members_are_found(spark):
+    from chanlake.streaming.sessions import late_members
+    landed = spark.createDataFrame([("a", 1), ("a", 2), ("a", 9), ("b", 5)], "k string, id long")
+    folded = spark.createDataFrame([("a", [1, 2])], "k string, message_ids array<long>")
+    assert [tuple(r) for r in late_members(landed, folded, ["k"], "id").collect()] == [("a", 9)]

@@ -76,19 +76,96 @@ def _emoji_set():
 EMOJI = _emoji_set()
 FOLD = dict(zip(T.AMHARIC_FOLD_FROM, T.AMHARIC_FOLD_TO))
 
+SPACES = frozenset(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def _keep(text, wanted):
+    return None if text is None else "".join(c for c in text if wanted(c))
+
+
+def _runs(text, inside):
+    """(inside?, run) pieces of a text."""
+    out = []
+    for c in text:
+        k = inside(c)
+        if out and out[-1][0] == k:
+            out[-1][1].append(c)
+        else:
+            out.append((k, [c]))
+    return [(k, "".join(r)) for k, r in out]
+
+
+def _word_end(text, at):
+    while at < len(text) and text[at] not in SPACES:
+        at += 1
+    return at
+
+
+def _scan(text, starts, least):
+    """Spans that begin with one of ``starts``, go on to white space and have ``least`` more characters."""
+    spans, at = [], 0
+    while at < len(text):
+        head = next((s for s in starts if text.startswith(s, at)), None)
+        end = _word_end(text, at + len(head)) if head else at
+        if head and end - at - len(head) >= least:
+            spans.append((at, end))
+            at = end
+        else:
+            at += 1
+    return spans
+
+
+def _cut(text, spans):
+    out, at = [], 0
+    for s, e in spans:
+        out.append(text[at:s])
+        at = e
+    return "".join(out) + text[at:]
+
+
+def _without_query(text):
+    """Links lose what follows their last question mark (if anything stands before it)."""
+    cuts = []
+    for s, e in _scan(text, ("https://", "http://"), 1):
+        host = s + text[s:e].index("//") + 2
+        mark = text.rfind("?", host + 1, e)
+        if mark >= 0:
+            cuts.append((mark, e))
+    return _cut(text, cuts)
+
+
+def _no_repeats(text):
+    return "".join(c for i, c in enumerate(text) if i == 0 or c != text[i - 1] or c == chr(10))
+
+
+def _newlines(text):
+    if text is None:
+        return "No Message"
+    spaced = "".join(" " if k else r for k, r in _runs(text, lambda c: c == chr(10)))
+    while spaced and spaced[0] in SPACES:
+        spaced = spaced[1:]
+    while spaced and spaced[-1] in SPACES:
+        spaced = spaced[:-1]
+    return spaced
+
+
+def _is_mark(c):
+    return 0x1361 <= ord(c) <= 0x1368
+
+
+# What each function means, as scanners over characters (none shares a pattern with the code).
 PY = {
     "normalize_amharic": lambda t: None if t is None else "".join(FOLD.get(c, c) for c in t),
-    "remove_punctuation": lambda t: None if t is None else re.sub("[፡-፨]+", " ", t),
-    "remove_emojis": lambda t: t if not t else "".join(c for c in t if ord(c) not in EMOJI),
-    "extract_emojis": lambda t: "No Emoji" if not t else (
-        "".join(c for c in t if ord(c) in EMOJI) or "No Emoji"),
-    "collapse_repeats": lambda t: t if not t else re.sub(r"(.)\1+", r"\1", t),
-    "remove_urls": lambda t: t if not t else re.sub(r"http\S+|www\S+", "", t),
-    "extract_links": lambda t: [] if not t else re.findall(r"(https?://\S+|www\.\S+)", t),
-    "normalize_links": lambda t: t if not t else re.sub(r"(https?://[^\s]+)\?[^\s]*", r"\1", t),
-    "normalize_spaces": lambda t: t if not t else " ".join(t.split()),
-    "remove_non_amharic": lambda t: t if not t else re.sub(r"[^ሀ-፿0-9\s]", "", t),
-    "clean_newlines": lambda t: "No Message" if t is None else re.sub(r"\n+", " ", t).strip(),
+    "remove_punctuation": lambda t: None if t is None else "".join(" " if k else r for k, r in _runs(t, _is_mark)),
+    "remove_emojis": lambda t: _keep(t, lambda c: ord(c) not in EMOJI),
+    "extract_emojis": lambda t: _keep(t or "", lambda c: ord(c) in EMOJI) or "No Emoji",
+    "collapse_repeats": lambda t: t and _no_repeats(t),
+    "remove_urls": lambda t: t and _cut(t, _scan(t, ("http", "www"), 1)),
+    "extract_links": lambda t: [t[s:e] for s, e in _scan(t or "", ("https://", "http://", "www."), 1)],
+    "normalize_links": lambda t: t and _without_query(t),
+    "normalize_spaces": lambda t: t and " ".join(r for k, r in _runs(t, SPACES.__contains__) if not k),
+    "remove_non_amharic": lambda t: _keep(t, lambda c: 0x1200 <= ord(c) <= 0x137F or c in "0123456789" or c in SPACES),
+    "clean_newlines": _newlines,
 }
 
 ALPHABET = list("abhtpw.:/?=1100 ") + ["\n", "\r", "\t", "\x0b", "\x1c", "\x85", " ",
