@@ -14,8 +14,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 # Arrow batches are cut by rows and by bytes, so that a run of very long texts
 # never meets in one Python batch.
-BATCH_ROWS = 2000
-BATCH_BYTES = 8 * 1024 * 1024
+BATCH_ROWS = 1000
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def prepare(spark: SparkSession) -> None:

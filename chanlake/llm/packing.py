@@ -58,12 +58,11 @@ def ids_of(uniq: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     for piece in uniq:
         ids = cache.get(piece)
         if ids is None:
-            ids = bpe.encode_ordinary(piece)
+            ids = np.array(bpe.encode_ordinary(piece), "<u4").tobytes()
             cache.put(piece, ids)
         out.append(ids)
-    lens = np.fromiter(map(len, out), np.int64, len(out))
-    flat = np.fromiter((i for ids in out for i in ids), np.uint32, int(lens.sum()))
-    return flat, lens
+    lens = np.fromiter(map(len, out), np.int64, len(out)) // 4
+    return np.frombuffer(b"".join(out), "<u4"), lens
 
 
 def gather(flat: np.ndarray, lens: np.ndarray, index: np.ndarray) -> np.ndarray:
@@ -77,7 +76,7 @@ def gather(flat: np.ndarray, lens: np.ndarray, index: np.ndarray) -> np.ndarray:
 
 def _tokenise(path: str, end: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, begin = TaskContext.get().partitionId(), 0
-    for b in batches:
+    for b in P.small(batches):
         offsets, values = P.list_parts(b.column("pieces"))
         uniq, index = P.distinct(values)
         flat, lens = ids_of(uniq, path)
@@ -136,7 +135,8 @@ def with_offsets(ids: DataFrame) -> DataFrame:
     plus its start there."""
     totals = ids.groupBy("part").agg(F.sum("n").alias("total"))
     base = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
-    return ids.join(base, "part").select("doc_id", "ids", "n", (F.col("base") + F.col("begin")).alias("at"))
+    # one row of 12 bytes per scan task: small by construction, so the ids need not move to meet it
+    return ids.join(F.broadcast(base), "part").select("doc_id", "ids", "n", (F.col("base") + F.col("begin")).alias("at"))
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, doc_id: str = "doc_id",

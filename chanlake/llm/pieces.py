@@ -48,7 +48,7 @@ def pretokens(text, split: str, whole: str, specials: list[str]):
 class Bounded(dict):
     """A dict that forgets its older half when full."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 
@@ -91,11 +91,22 @@ def token_bytes(token: str) -> bytes:
 def list_parts(column) -> tuple[np.ndarray, pa.Array]:
     """Offsets (from 0) and flat values of an Arrow list column."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    offsets = np.asarray(column.offsets, dtype=np.int64)
+    offsets = np.asarray(column.offsets, dtype=np.int64)      # of this slice, into the shared values
     values = column.values.slice(offsets[0], offsets[-1] - offsets[0])
     return offsets - offsets[0], values
 
 
+def small(batches, column: str = "pieces", most: int = 400_000):
+    """Cut batches so that each holds about ``most`` list items (a single row may hold more)."""
+    for b in batches:
+        ends = np.asarray(b.column(column).offsets, dtype=np.int64)
+        a = 0
+        while a < b.num_rows:
+            e = max(a + 1, int(np.searchsorted(ends, ends[a] + most, side="right")) - 1)
+            yield b.slice(a, e - a)
+            a = e
+
+
 def distinct(values: pa.Array) -> tuple[list[str], np.ndarray]:
     """Distinct strings of a flat column and each row's index among them."""
     coded = values.dictionary_encode()

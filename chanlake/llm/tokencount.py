@@ -67,7 +67,7 @@ def counts_of(uniq: list[str], path: str) -> np.ndarray:
 
 
 def _count(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in P.small(batches):
         offsets, values = P.list_parts(b.column("pieces"))
         uniq, index = P.distinct(values)
         n = P.row_sums(counts_of(uniq, path)[index], offsets) if len(uniq) else np.zeros(b.num_rows, np.int64)
