@@ -5,7 +5,8 @@ documents: lines are normalised (lower case, digit runs to 0, white space to one
 space, trimmed) and hashed; per host the number of *distinct* documents (texts) that hold a
 line is counted, so exact copies of one document count once and are left to
 deduplication. A line held by more than ``max(min_docs, share * documents of the host)``
-is boilerplate: it is removed, and a document that has too few words left is rejected.
+is boilerplate: it is removed, and a document of which less than ``min_left_pct`` percent of its words is
+left is rejected (depleted); short clean documents that carry one such line stay.
 
 Frequent lines are few by construction (each takes more than ``share`` of its host's
 documents, so a host has at most 1/share times its mean lines per document); they are stored
@@ -120,7 +121,7 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: s
     words_left = F.when(hit, F.size(words(F.col("clean_text"))).cast("long")).otherwise(F.col("n_words"))
     rows = rows.withColumn("words_left", words_left)
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_pct)
-    depleted = (F.col("words_left") < min_words) | (F.col("words_left") * 100 < F.col("n_words") * min_left_pct)
+    depleted = F.col("words_left") * 100 < F.col("n_words") * min_left_pct
     return rows.select(
         F.col("_id").alias(doc_id), F.col("_host").alias(host),
         *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)],
@@ -155,6 +156,6 @@ base AS (SELECT d.u, d.doc_id, len(w) AS n_words, CAST(length(array_to_string(w,
 judged AS (SELECT *, (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words) AS base_failed
            FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, words_left, base_failed,
-       NOT base_failed AND words_left >= {MIN_WORDS} AND words_left * 100 >= n_words * {MIN_LEFT_PCT} AS kept
+       NOT base_failed AND words_left * 100 >= n_words * {MIN_LEFT_PCT} AS kept
 FROM judged
 """
