@@ -52,3 +52,39 @@ def near(rows, num=4, den=5):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
     return {i: (find(i), links[i]) for i, _ in rows}
+
+
+def quality(rows, min_docs=20, share=10, left_pct=30):
+    """{id: cleaned text} of kept documents; rows are (id, text, host) with distinct ids."""
+    import re
+    from collections import defaultdict
+
+    def norm(line):
+        return re.sub(r"[ \t\x0b\x0c\r]+", " ", re.sub(r"[0-9]+", "0", line.lower())).strip(" ")
+
+    held, hosts = defaultdict(set), defaultdict(set)
+    for _, text, host in rows:
+        hosts[host].add(text or "")
+        for line in (text or "").split("\n"):
+            if norm(line):
+                held[host, norm(line)].add(text)
+    out = {}
+    for doc, text, host in rows:
+        w, n = words(text), 0
+        wins = [tuple(w[i:i + 8]) for i in range(len(w) - 7)]
+        twice = {x for x in wins if wins.count(x) > 1}
+        mark = [False] * len(w)
+        for i, x in enumerate(wins):
+            if x in twice:
+                mark[i:i + 8] = [True] * 8
+        n = sum(mark)
+        if len(w) < 20 or 100 * n > 30 * len(w):
+            continue
+
+        def frequent(line):
+            k = len(held.get((host, norm(line)), ()))
+            return norm(line) != "" and k > min_docs and k * 100 > len(hosts[host]) * share
+        left = "\n".join(x for x in text.split("\n") if not frequent(x))
+        if len(words(left)) * 100 >= len(w) * left_pct:
+            out[doc] = left
+    return out
