@@ -42,12 +42,15 @@ BOILERPLATE_TAGS = {"nav", "aside", "footer", "form", "button", "select", "menu"
                     "svg", "canvas", "object", "audio", "video", "fieldset"}
 BOILERPLATE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "menu", "menubar", "dialog",
                      "alert", "alertdialog", "form", "toolbar", "tablist"}
-BOILERPLATE_NAMES = {"ad", "ads", "adv", "advert", "advertisement", "adverts", "banner", "breadcrumb", "breadcrumbs",
-                     "comment", "comments", "consent", "cookie", "cookies", "copyright", "disclaimer", "disqus", "footer",
-                     "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice",
-                     "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "respond",
-                     "responses", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored",
-                     "subscribe", "tags", "toolbar", "widget"}
+BOILERPLATE_NAMES = {"ad", "adbox", "ads", "adsense", "adslot", "adunit", "adv", "advert", "advertisement", "advertising",
+                     "adverts", "alert", "alerts", "aside", "banner", "banners", "breadcrumb", "breadcrumbs", "comment",
+                     "comments", "consent", "cookie", "cookies", "copyright", "disclaimer", "discussion", "disqus",
+                     "footer", "form", "gdpr", "login", "masthead", "menu", "menus", "modal", "nav", "navbar",
+                     "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo",
+                     "promotion", "rail", "recommended", "related", "replies", "reply", "respond", "responses", "share",
+                     "sharing", "sidebar", "sidebars", "signup", "skip", "social", "sponsor", "sponsored", "subscribe",
+                     "tags", "toolbar", "widget", "widgets"}
+OUTSIDE_NAMES = {"header", "topbar"}                    # boilerplate only outside the article
 CONTENT_TAGS = {"article", "main"}
 CONTENT_NAMES = {"article", "body", "content", "entry", "main", "post", "story", "text"}
 # Classifier weights (positive speaks for content) and edge weights.
@@ -82,7 +85,7 @@ class _Node:
                     self.good |= value.lower() in ("main", "article")
                 elif name in ("class", "id") and tag not in ("html", "body", "article", "main"):
                     words = {p.lower() for p in PARTS.findall(value)}
-                    self.bad |= bool(words & BOILERPLATE_NAMES)
+                    self.bad |= bool(words & BOILERPLATE_NAMES) or bool(words & OUTSIDE_NAMES) and not self.good
                     if words & CONTENT_NAMES:
                         self.weight += W_NAMED
                 elif name == "aria-hidden":
