@@ -182,3 +182,44 @@ def test_materialize_kinds(spark, workdir):
     spark.sql("DROP TABLE IF EXISTS m_catalog")          # external: files stay in the shared folder
     with pytest.raises(ValueError):
         warehouse.materialize(spark, {"x": df}, how={"x": "table"})
+
+
+def test_children_read_stored_parents(spark, workdir, monkeypatch):
+    raw = _tiny_warehouse(spark)
+    raw["clean_messages"].write.parquet(workdir + "/messages")
+    files, keep = {}, warehouse.store_model
+
+    def watch(s, name, df, kind, location):
+        files[name] = df.inputFiles()
+        return keep(s, name, df, kind, location)
+    monkeypatch.setattr(warehouse, "store_model", watch)
+    stored = warehouse.build_stored(spark, {"stg_telegram_messages": spark.read.parquet(workdir + "/messages")},
+                                    workdir + "/wh")
+    chain = ["clean_messages", "remove_duplicates", "handle_missing", "standardized"]
+    assert list(stored) == chain
+    for parent, child in zip(chain, chain[1:]):
+        assert files[child] and all(f"/wh/{parent}/" in f for f in files[child])
+
+
+def test_failed_gate_leaves_its_report(spark, workdir):
+    raw = _tiny_warehouse(spark, unknown_sender=True)
+    with pytest.raises(quality.DataTestFailure):
+        warehouse.run(spark, {"stg_telegram_messages": raw["clean_messages"].withColumn(
+            "sender_id", F.lit(None).cast("string"))}, workdir + "/wh")
+    assert spark.read.parquet(workdir + "/wh/" + warehouse.REPORT).where("failures > 0").count() > 0
+
+
+def test_null_keys_never_collide(spark, workdir):
+    rows = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "k long, t string")
+    store.append_unique(spark, rows, workdir + "/u", "k")
+    store.append_unique(spark, rows.where("k IS NULL"), workdir + "/u", "k")
+    with pytest.raises(store.UniqueViolation, match="1 keys"):
+        store.append_unique(spark, rows, workdir + "/u", "k")
+    assert spark.read.parquet(workdir + "/u").count() == 5
+    assert [r["k"] for r in spark.read.parquet(workdir + "/u_violations").collect()] == [1]
+
+
+def test_regex_folds_unicode_case(spark):
+    from chanlake.operators import reads
+    df = spark.createDataFrame([(1, "CAFÉ Аптека"), (2, "other")], "id long, n string")
+    assert [reads.regex_filter(df, "n", p).count() for p in ("café", "АПТЕКА", "x+y")] == [1, 1, 0]

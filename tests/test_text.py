@@ -239,3 +239,16 @@ def test_wide_unicode_against_python(spark, name):
     got = {r["i"]: r["o"] for r in df.select("i", getattr(T, name)("s").alias("o")).collect()}
     bad = [(repr(s), repr(got[i]), repr(PY[name](s))) for i, s in enumerate(data) if got[i] != PY[name](s)]
     assert not bad, (name, len(bad), bad[:3])
+
+
+def test_emoji_table_against_an_independent_source():
+    """The regex module's own Unicode tables: nothing of ours is missing there, and what we lack is newer than
+    Python's character database (added after the table's Emoji 16)."""
+    import unicodedata
+
+    import regex
+    known = regex.compile(r"\p{Emoji}")
+    other = {c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF and known.match(chr(c))}
+    other -= set(map(ord, "#*0123456789")) | set(range(0x1F1E6, 0x1F200))      # keycaps, regional indicators
+    assert EMOJI <= other
+    assert all(unicodedata.category(chr(c)) == "Cn" for c in other - EMOJI)
