@@ -37,17 +37,17 @@ def flatten_detections(nested: DataFrame, image: str = "image_path") -> DataFram
                        *[F.col("d.bbox")[i].alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))])
 
 
-def detect(images: DataFrame, loader: Callable[[], Callable[[str], list[dict]]],
+def detect(images: DataFrame, loader: Callable[[], Callable[[list[str]], list[list[dict]]]],
            path: str = "image_path") -> DataFrame:
     """run a detector over a column of image paths.
 
-    ``loader()`` builds the detector once per task; the detector maps a path
-    to ``[{class, confidence, bbox}]``. Output follows ``DETECTIONS``.
+    ``loader()`` builds the detector once per task; the detector maps a batch of paths to one
+    ``[{class, confidence, bbox}]`` per path. Output follows ``DETECTIONS``.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = loader()
         for pdf in batches:
-            found = [[dict(d) for d in model(p)] for p in pdf[path]]
+            found = [[dict(d) for d in image] for image in model(pdf[path].tolist())]
             yield pd.DataFrame({"image_path": pdf[path], "detections": found})
     return images.select(F.col(path).alias(path)).mapInPandas(run, DETECTIONS)
 

@@ -32,7 +32,7 @@ def fake_detector_loader():
         return [{"class": FAKE_CLASSES[int(h[1 + k], 16) % 3],
                  "confidence": int(h[5 + 2 * k:7 + 2 * k], 16) / 255.0,
                  "bbox": [float(k), float(k + 1), float(k + 10), float(k + 11)]} for k in range(n)]
-    return detect
+    return lambda paths: [detect(p) for p in paths]
 
 
 def fake_ocr(path: str) -> str:

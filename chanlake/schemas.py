@@ -34,40 +34,6 @@ LIVE_MESSAGE = T.StructType([
     T.StructField("mime_type", T.StringType()),
 ])
 
-# The relational store's messages table.
-MESSAGES_TABLE = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("group_id", T.LongType()),
-    T.StructField("message_ids", T.ArrayType(T.LongType())),
-    T.StructField("message", T.StringType()),
-    T.StructField("date", T.TimestampType()),
-    T.StructField("sender_id", T.LongType()),
-    T.StructField("media_path", T.ArrayType(T.StringType())),
-])
-
-# Staging source of the warehouse (group level) and its per-message variant.
-RAW_DATA = T.StructType([
-    T.StructField("_id", T.StringType()),
-    T.StructField("group_id", T.LongType()),
-    T.StructField("message_ids", T.ArrayType(T.LongType())),
-    T.StructField("message_text", T.StringType()),
-    T.StructField("sender", T.StringType()),
-    T.StructField("scraped_date", T.StringType()),
-    T.StructField("media_paths", T.ArrayType(T.StringType())),
-    T.StructField("business_name", T.StringType()),
-    T.StructField("phone_number", T.StringType()),
-    T.StructField("address", T.StringType()),
-])
-
-STG_MESSAGES = T.StructType([
-    T.StructField("message_id", T.LongType()),
-    T.StructField("sender_id", T.StringType()),
-    T.StructField("message_text", T.StringType()),
-    T.StructField("message_date", T.StringType()),
-    T.StructField("media_path", T.StringType()),
-    T.StructField("channel", T.StringType()),
-])
-
 DETECTION = T.StructType([
     T.StructField("class", T.StringType()),
     T.StructField("confidence", T.DoubleType()),
@@ -78,11 +44,7 @@ DETECTIONS = T.StructType([
     T.StructField("detections", T.ArrayType(DETECTION)),
 ])
 
-CONLL = T.StructType([
-    T.StructField("tokens", T.ArrayType(T.StringType())),
-    T.StructField("labels", T.ArrayType(T.StringType())),
-])
-
+# Stored high-water marks.
 LAST_ID = T.StructType([
     T.StructField("channel", T.StringType()),
     T.StructField("last_id", T.LongType()),

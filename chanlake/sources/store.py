@@ -15,6 +15,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chanlake.schemas import LAST_ID
+
 IMAGE_SUFFIX = r"\.(jpg|png|jpeg)$"   # case-sensitive, as str.endswith
 
 
@@ -138,7 +140,7 @@ def load_marks(spark: SparkSession, path: str, channel: str = "channel") -> Data
     """The newest complete version of the stored marks; no version: no marks."""
     versions = _versions(spark, path)
     if not versions:
-        return spark.createDataFrame([], f"{channel} string, last_id bigint")
+        return spark.createDataFrame([], LAST_ID).withColumnRenamed("channel", channel)
     return spark.read.parquet(f"{path.rstrip('/')}/version={versions[-1]}")
 
 
