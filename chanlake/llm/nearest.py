@@ -83,7 +83,9 @@ def _entries(tables: int, probes: int, asks: bool, parts: dict[str, int],
     """Index entries (one per table, in one part of its bucket) or query entries (all parts of each probe)."""
     for b in batches:
         for ids, m in _by_length(b):
-            cells = [row.tobytes() for row in m]
+            half = m.astype("<f4")                       # vectors of floats travel as floats: exact, half the bytes
+            small = (half == m).all(axis=1)
+            cells = [(h if s else row).tobytes() for row, h, s in zip(m, half, small)]
             for t in range(tables):
                 chosen = axes(m, t, probes if asks else 1)
                 out = []
@@ -117,16 +119,21 @@ def nearest_of(vectors: np.ndarray, ids: np.ndarray, query: np.ndarray, k: int)
     return at[order], d[order]
 
 
+def _vector(cell: bytes, length: int) -> np.ndarray:
+    return np.frombuffer(cell, "<f4" if len(cell) == 4 * length else "<f8").astype(np.float64)
+
+
 def _search(k: int, table: pa.Table) -> pa.Table:
+    length = int(table.column("bucket")[0].as_py().split(" ")[0])
     asks = np.asarray(table.column("asks").combine_chunks())
     out = []
     if asks.any() and not asks.all():
         ids = np.asarray(table.column("cid").combine_chunks(), dtype=np.int64)
         cells = table.column("vec")
         stored_ids = ids[~asks]
-        vectors = np.stack([np.frombuffer(cells[int(i)].as_py()) for i in np.flatnonzero(~asks)])
+        vectors = np.stack([_vector(cells[int(i)].as_py(), length) for i in np.flatnonzero(~asks)])
         for i in np.flatnonzero(asks):
-            at, d = nearest_of(vectors, stored_ids, np.frombuffer(cells[int(i)].as_py()), k)
+            at, d = nearest_of(vectors, stored_ids, _vector(cells[int(i)].as_py(), length), k)
             out += [(int(ids[i]), int(c), float(x)) for c, x in zip(stored_ids[at], d)]
     cols = list(zip(*out)) or [(), (), ()]
     return pa.table({"qid": pa.array(cols[0], pa.int64()), "cid": pa.array(cols[1], pa.int64()),
