@@ -325,7 +325,8 @@ def _copies(rows: DataFrame) -> DataFrame:
         "doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(77), "text").alias("b"))
     keyed = stored(keyed, "text-keys")
     first = keyed.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    first = first.filter("first < last").select("a", "b", "first")
+    # stored, so that the join is between two scans: small maps are broadcast, large hot groups split
+    first = stored(first.filter("first < last").select("a", "b", "first"), "first-copies")
     return stored(keyed.join(first, ["a", "b"]).filter("doc_id > first").select("doc_id").distinct(), "copies")
 
 
