@@ -96,8 +96,9 @@ def measure(docs: DataFrame, doc_id: str, host: str, text: str, keep: list[str])
     rows = rows.withColumn("_wins", F.when(F.size("_w") >= WINDOW, wins).otherwise(F.array().cast("array<long>")))
     pairs = F.sort_array(F.transform("_wins", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     rows = rows.withColumn("_order", F.when(F.size(F.array_distinct("_wins")) < F.size("_wins"), pairs))
-    return rows.withColumn("n_repeat_words", repeated_words(F.col("_wins"), F.col("_order"))).drop(
+    rows = rows.withColumn("n_repeat_words", repeated_words(F.col("_wins"), F.col("_order"))).drop(
         "_w", "_wins", "_order")
+    return rows.withColumn("row", F.monotonically_increasing_id())
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: str = "text",
@@ -105,7 +106,7 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: s
           min_words: int = MIN_WORDS, max_repeat_pct: int = MAX_REPEAT_PCT,
           min_left_pct: int = MIN_LEFT_PCT) -> DataFrame:
     """One row per document: the counts, words_left, base_failed, kept, and ``clean_text`` without its
-    frequent lines (plus the ``keep`` columns)."""
+    frequent lines (plus the ``keep`` columns). Filter with ``kept_rows``."""
     keep = [c for c in (keep or []) if c not in (doc_id, host, text)]
     frequent = frequent_lines(docs, host, text, min_docs, share_pct)
     rows = measure(docs, doc_id, host, text, keep)
@@ -126,7 +127,13 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: s
         F.col("_id").alias(doc_id), F.col("_host").alias(host),
         *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)],
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "words_left",
-        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "clean_text")
+        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "clean_text", "row")
+
+
+def kept_rows(judged: DataFrame) -> DataFrame:
+    """The kept documents. The row number in the condition keeps the optimizer from moving the filter below the
+    counts, where it would work them out inside their own lambda expressions again."""
+    return judged.filter(F.col("kept") & (F.col("row") >= 0))
 
 
 SQL = rf"""

@@ -6,7 +6,7 @@ the packed pieces. All stages work on whole tables and whole texts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chanlake.llm import common, jaccard, mixing, packing, quality, substring
@@ -23,22 +23,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Operator 4: rejected documents go; lines above their host's limit are taken out of the others."""
     common.prepare(spark)
     judged = quality.judge(docs.select(*COLUMNS), keep=["lang"])
-    # stored before the filter: pushed down, it would be worked out inside the counting expressions again
-    judged = common.stored(judged.select("doc_id", "clean_text", "lang", "source", "kept"), "judged")
-    return _documents(judged.filter("kept"), F.col("clean_text"))
+    return _documents(quality.kept_rows(judged), F.col("clean_text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: of each group of linked documents the smallest id stays, once."""
     common.prepare(spark)
-    found = common.stored(jaccard.join(docs).select("doc_id", "class_id"), "near-duplicates")
-    gone = found.filter("doc_id <> class_id").select("doc_id").distinct()
-    stay = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    again = common.stored(found.filter("doc_id = class_id").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id"), "repeated-ids")
-    # rows that repeat an id are one document; there are few, so only they are compared
-    single = stay.join(again, "doc_id", "left_anti")
-    return single.unionByName(stay.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*COLUMNS)
+    found = jaccard.join(docs).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    # the texts move once, by id, at every size; repeated rows of an id then lie side by side and one stays
+    joined = docs.select(*COLUMNS).join(found.hint("merge"), "doc_id", "left")
+    one = Window.partitionBy("doc_id").orderBy("doc_id")
+    ranked = joined.filter(F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True))).withColumn(
+        "copy", F.row_number().over(one))
+    return ranked.filter((F.col("copy") == 1) | F.col("doc_id").isNull()).select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +43,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     common.prepare(spark)
     cut = substring.remove_passages(docs).filter("n_removed > 0").select(
         "doc_id", "left_text", (F.col("n_words") == F.col("n_removed")).alias("empty")).dropDuplicates(["doc_id"])
-    joined = docs.select(*COLUMNS).join(cut, "doc_id", "left").filter(~F.coalesce("empty", F.lit(False)))
+    joined = docs.select(*COLUMNS).join(cut.hint("merge"), "doc_id", "left").filter(~F.coalesce("empty", F.lit(False)))
     return _documents(joined, F.coalesce("left_text", "text"))
 
 
