@@ -9,6 +9,9 @@ Equal vectors form a class that is indexed once with its smallest k + 1 ids, so
 vector costs one entry. Buckets of more than ``split`` classes are salted into parts (sizes are counted
 first; there are tables * 2 * dimension of them), and a query visits all parts: nothing is capped.
 
+A query that met fewer than k rows is compared with all vectors of its length. These queries go out in blocks of
+``BLOCK`` bytes, each task keeps the k + 1 best.
+
 Defined results: vectors that are NULL, empty or zero, or hold NULL or non-finite components, take no part;
 vectors are compared with those of the same length; rows with one id and one vector count once; ties go to
 the smaller id; fewer candidates than k give fewer rows; an empty table gives no rows; other columns are ignored.
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from chanlake.llm.common import stored
 
 TABLES, PROBES, SPLIT, SEED = 24, 4, 8192, 41
+BLOCK = 8 << 20
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -53,6 +57,11 @@ def axes(vectors: np.ndarray, table: int, probes: int) -> np.ndarray:
     return np.argsort(-score, axis=1, kind="stable")[:, :probes]
 
 
+def open_norms(bound: float | None) -> tuple[float, float] | None:
+    """Range of norms a query is to be compared with: all without a bound."""
+    return (0.0, float("inf")) if bound is None else None
+
+
 def _by_length(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(ids, matrix) of the batch's vectors, per vector length."""
     column = b.column("vec")
@@ -140,6 +149,73 @@ def _search(k: int, table: pa.Table) -> pa.Table:
                      "score": pa.array(cols[2], pa.float64())})
 
 
+OPEN = "cid long, vec binary, length int, low double, high double, bound double"
+
+
+def _open(tables: int, probes: int, norms: dict[int, list[tuple[float, float]]],
+          batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The queries that are to be compared with all vectors of a range of norms that holds any."""
+    for b in batches:
+        bound = dict(zip(b.column("cid").to_pylist(), b.column("bound").to_pylist()))
+        out = []
+        for ids, m in _by_length(b):
+            for cid, row in zip(ids.tolist(), m):
+                span = open_norms(bound[cid])
+                if span and any(lo <= span[1] and hi >= span[0] for lo, hi in norms[m.shape[1]]):
+                    out.append((cid, row.astype("<f8").tobytes(), m.shape[1], *span, bound[cid]))
+        if out:
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
+                                             [f.split()[0] for f in OPEN.split(", ")])
+
+
+def _scan(k: int, asked: list[tuple], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per query the k nearest of the task's vectors whose norm is in its range and that lie within its bound."""
+    held = {}
+    for length in {a[2] for a in asked}:
+        rows = [a for a in asked if a[2] == length]
+        low, high, bound = (np.array([float("inf") if a[i] is None else a[i] for a in rows]) for i in (3, 4, 5))
+        held[length] = (np.array([a[0] for a in rows]), np.stack([np.frombuffer(a[1], "<f8") for a in rows]), low, high,
+                        bound * (1 + 1e-12), np.full((len(rows), k), np.inf), np.zeros((len(rows), k), np.int64))
+    for b in batches:
+        for ids, m in _by_length(b):
+            if m.shape[1] not in held:
+                continue
+            _, queries, low, high, bound, best, who = held[m.shape[1]]
+            norm, square = np.linalg.norm(m, axis=1), (m * m).sum(axis=1)
+            for s in range(0, len(queries), 64):
+                part = slice(s, s + 64)
+                q = queries[part]
+                total = (q * q).sum(axis=1)[:, None] + square
+                rough = total - 2 * (q @ m.T)
+                off = (norm < low[part, None]) | (norm > high[part, None])
+                most = np.minimum(bound[part], best[part, -1]) ** 2 * (1 + 1e-9)
+                upper = np.where(off, np.inf, rough + 1e-9 * total)
+                if len(ids) > k:
+                    most = np.minimum(most, np.partition(upper, k - 1, axis=1)[:, k - 1])
+                i, j = np.nonzero(~off & (rough - 1e-9 * total <= most[:, None]))
+                gap = m[j] - q[i]
+                d = np.sqrt((gap * gap).sum(axis=1))
+                near = d <= bound[part][i]
+                if not near.any():
+                    continue
+                old, at = np.nonzero(np.isfinite(best[part]))
+                row = np.concatenate([i[near], old])
+                d = np.concatenate([d[near], best[part][old, at]])
+                c = np.concatenate([ids[j[near]], who[part][old, at]])
+                order = np.lexsort((c, d, row))
+                row, d, c = row[order], d[order], c[order]
+                head = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+                rank = np.arange(len(row)) - np.repeat(head, np.diff(np.append(head, len(row))))
+                top = rank < k
+                best[part][row[top], rank[top]] = d[top]
+                who[part][row[top], rank[top]] = c[top]
+    for cid, _, _, _, _, best, who in held.values():
+        row, at = np.nonzero(np.isfinite(best))
+        yield pa.RecordBatch.from_arrays([pa.array(cid[row]), pa.array(who[row, at]), pa.array(best[row, at])],
+                                         ["qid", "cid", "score"])
+
+
 def usable(vec: Column) -> Column:
     """True for vectors that are not NULL, have only finite components, and are not zero."""
     sound = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -170,11 +246,43 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec: str
         return _search(k + 1, entries)
 
     found = index.union(probe).groupBy("bucket").applyInArrow(one_bucket, "qid long, cid long, score double")
-    found = found.groupBy("qid", "cid").agg(F.min("score").alias("score"))
-    best = Window.partitionBy("qid").orderBy("score", "cid")
-    found = found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).drop("r")
-    found = found.join(classes.select("cid", "ids"), "cid").select("qid", "score", F.explode("ids").alias("vec_id"))
-    pairs = asked.join(found, "qid").filter(F.col("vec_id") != F.col("query"))
+    found = stored(_least(found, k + 1), "found")
+
+    # the distance of each query's k-th row bounds what it can have missed; without k rows nothing does
+    first = Window.partitionBy("query", "qid").orderBy("score", "vec_id")
+    kth = _pairs(asked, found, classes).withColumn("r", F.row_number().over(first)).filter(F.col("r") == k)
+    bound = asked.join(kth.select("query", "qid", "score"), ["query", "qid"], "left").groupBy("qid").agg(
+        F.when(F.count("score") == F.count(F.lit(1)), F.max("score")).alias("bound"))
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    norms: dict[int, list[tuple[float, float]]] = {}
+    bands = classes.select(F.size("vec").alias("length"), norm.alias("norm"))
+    for r in bands.groupBy("length", F.floor(8 * F.log2("norm")).alias("band")).agg(
+            F.min("norm").alias("low"), F.max("norm").alias("high")).collect():      # 8 bands per doubling of the norm
+        norms.setdefault(r["length"], []).append((r["low"] * (1 - 1e-9), r["high"] * (1 + 1e-9)))
+    missed = classes.select("cid", "vec").join(bound.withColumnRenamed("qid", "cid"), "cid").mapInArrow(
+        functools.partial(_open, tables, probes, norms), OPEN)
+    missed = stored(missed, "open-queries")
+    blocks = -(-(missed.agg(F.sum(F.length("vec"))).first()[0] or 0) // BLOCK)
+    for n in range(blocks):
+        some = [tuple(r) for r in missed.filter(F.pmod(F.xxhash64("cid"), F.lit(blocks)) == n).collect()]
+        scanned = classes.select("cid", "vec").mapInArrow(functools.partial(_scan, k + 1, some),
+                                                          "qid long, cid long, score double")
+        found = found.union(stored(_least(scanned, k + 1), "scanned"))
+    if blocks:
+        found = _least(found, k + 1)
     last = Window.partitionBy("query").orderBy("score", "vec_id")
-    ranked = pairs.withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k)
+    ranked = _pairs(asked, found, classes).withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k)
     return ranked.select("query", "rank", "vec_id", "score")
+
+
+def _least(found: DataFrame, k: int) -> DataFrame:
+    """The k nearest classes of each query class."""
+    best = Window.partitionBy("qid").orderBy("score", "cid")
+    found = found.groupBy("qid", "cid").agg(F.min("score").alias("score"))
+    return found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k).drop("r")
+
+
+def _pairs(asked: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
+    """query, qid, score, vec_id: the other rows that stand for the classes found."""
+    found = found.join(classes.select("cid", "ids"), "cid").select("qid", "score", F.explode("ids").alias("vec_id"))
+    return asked.join(found, "qid").filter(F.col("vec_id") != F.col("query"))

@@ -164,6 +164,30 @@ def test_nearest_recall(spark):
     assert nearest.search(_vectors(spark, rows).filter("vec_id < 0"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def _agreement(spark, rows, **kw):
+    """Share of the exact neighbours found; every query has as many rows as there are candidates, up to 10."""
+    got, want = {}, _exact(rows)
+    for r in nearest.search(_vectors(spark, rows), F.col("vec_id") % 100 == 0, **kw).collect():
+        got.setdefault(r["query"], {})[r["vec_id"]] = r["rank"]
+    assert {q: sorted(x.values()) for q, x in got.items()} == {q: [r for r, *_ in x] for q, x in want.items() if x}
+    return sum(i in got[q] for q, x in want.items() for _, i, _ in x) / sum(map(len, want.values()))
+
+
+def test_nearest_small_groups_find_all(spark):
+    rng = np.random.default_rng(5)
+    rows = [(1000 * n + i * 20, rng.normal(size=n).tolist()) for n in (61, 62, 63, 64) for i in range(n - 56)]
+    rows += [(100, [1.0] * 40), (900_000, rng.normal(size=64).tolist())]      # a query without any candidate
+    assert _agreement(spark, rows) == 1.0
+
+
+def test_nearest_isolated_queries_of_a_tight_cone(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK", 2048)                               # several blocks of queries
+    rng = np.random.default_rng(6)
+    axis = rng.normal(size=64)
+    rows = [(i, (rng.normal(size=64) if i % 100 == 0 else axis + 0.05 * rng.normal(size=64)).tolist()) for i in range(1500)]
+    assert _agreement(spark, rows) >= 0.9
+
+
 def test_pseudo_rotation_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 16))
     assert np.allclose(np.linalg.norm(nearest.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
