@@ -9,8 +9,11 @@ Equal vectors form a class that is indexed once with its smallest k + 1 ids, so
 vector costs one entry. Buckets of more than ``split`` classes are salted into parts (sizes are counted
 first; there are tables * 2 * dimension of them), and a query visits all parts: nothing is capped.
 
-A query that met fewer than k rows is compared with all vectors of its length. These queries go out in blocks of
-``BLOCK`` bytes, each task keeps the k + 1 best.
+Buckets know directions only, so what a query met is checked against its distances. With the distance R of its k-th
+row found, a vector of norm L can be nearer only at a cosine of at least (|q|^2 + L^2 - R^2) / (2 |q| L). ``reach``
+gives the cosine from which on a pair shares a probed bucket nine times in ten; norms that leave smaller cosines open
+are a range, and the query is compared with all vectors of that range. A query that met fewer than k rows is compared
+with all vectors of its length. These queries go out in blocks of ``BLOCK`` bytes, each task keeps the k + 1 best.
 
 Defined results: vectors that are NULL, empty or zero, or hold NULL or non-finite components, take no part;
 vectors are compared with those of the same length; rows with one id and one vector count once; ties go to
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from chanlake.llm.common import stored
 
 TABLES, PROBES, SPLIT, SEED = 24, 4, 8192, 41
-BLOCK = 8 << 20
+REACHED, BLOCK = 0.9, 8 << 20
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -57,9 +60,35 @@ def axes(vectors: np.ndarray, table: int, probes: int) -> np.ndarray:
     return np.argsort(-score, axis=1, kind="stable")[:, :probes]
 
 
-def open_norms(bound: float | None) -> tuple[float, float] | None:
-    """Range of norms a query is to be compared with: all without a bound."""
-    return (0.0, float("inf")) if bound is None else None
+@functools.cache
+def reach(width: int, tables: int, probes: int) -> float:
+    """Least cosine at which two vectors share a probed bucket with probability ``REACHED`` (on seeded random pairs)."""
+    if probes >= 2 * width:
+        return -1.0                                     # every bucket is probed
+    if width == 1:
+        return 1.0
+    x, z = np.random.default_rng(SEED).normal(size=(2, 256, width))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    probed = [axes(x, t, probes) for t in range(tables)]
+    low, high = 0.0, 1.0
+    for _ in range(7):
+        c = (low + high) / 2
+        y = c * x + np.sqrt(1 - c * c) * z
+        met = np.any([(p == axes(y, t, 1)).any(axis=1) for t, p in enumerate(probed)], axis=0)
+        low, high = (low, c) if met.mean() >= REACHED else (c, high)
+    return high
+
+
+def open_norms(norm: float, bound: float | None, least: float) -> tuple[float, float] | None:
+    """Range of norms at which a vector within ``bound`` can lie at a cosine below ``least``; all without a bound."""
+    if bound is None:
+        return 0.0, float("inf")
+    room = bound * bound - norm * norm * (1 - least * least)
+    if least <= -1 or room <= 0:
+        return None
+    return norm * least - room ** 0.5, norm * least + room ** 0.5
 
 
 def _by_length(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -159,8 +188,9 @@ def _open(tables: int, probes: int, norms: dict[int, list[tuple[float, float]]],
         bound = dict(zip(b.column("cid").to_pylist(), b.column("bound").to_pylist()))
         out = []
         for ids, m in _by_length(b):
-            for cid, row in zip(ids.tolist(), m):
-                span = open_norms(bound[cid])
+            width = 1 << max(0, (m.shape[1] - 1).bit_length())
+            for cid, row, norm in zip(ids.tolist(), m, np.linalg.norm(m, axis=1).tolist()):
+                span = open_norms(norm, bound[cid], reach(width, tables, probes))
                 if span and any(lo <= span[1] and hi >= span[0] for lo, hi in norms[m.shape[1]]):
                     out.append((cid, row.astype("<f8").tobytes(), m.shape[1], *span, bound[cid]))
         if out:

@@ -188,6 +188,12 @@ def test_nearest_isolated_queries_of_a_tight_cone(spark, monkeypatch):
     assert _agreement(spark, rows) >= 0.9
 
 
+def test_nearest_recall_on_unequal_lengths(spark):
+    rng = np.random.default_rng(7)
+    rows = [(20 * i, (rng.normal(size=64) * np.exp(rng.normal())).tolist()) for i in range(1500)]
+    assert _agreement(spark, rows) >= 0.95
+
+
 def test_pseudo_rotation_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 16))
     assert np.allclose(np.linalg.norm(nearest.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
