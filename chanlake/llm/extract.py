@@ -10,7 +10,8 @@ algorithm.
 The classifier's weights are fixed values below. No shuffle; a page is a row of bounded batches.
 
 Defined results: NULL or empty html, or a page without content, gives empty text; an unfinished tag at the end is
-dropped, unfinished elements end with the page; repeated rows are extracted row by row; an empty table gives no
+dropped, unfinished elements end with the page; '<' before anything but an ASCII letter, '/', '!' or '?' is text, and
+'</' before anything but an ASCII letter is a comment up to the next '>'; repeated rows are extracted row by row; an empty table gives no
 rows; columns other than id, url and html are ignored.
 """
 
@@ -155,8 +156,13 @@ def blocks_of(page: str) -> list[Block]:
             continue
         m = TAG.match(page, lt) or LOOSE.match(page, lt)
         if not m:
-            if nxt.isalpha() or nxt == "/":
-                break                                   # an unfinished tag ends the page
+            first = page[lt + 2:lt + 3] if nxt == "/" else nxt
+            if first.isascii() and first.isalpha():
+                break                                   # an unfinished tag (no '>' is left) ends the page
+            if nxt == "/" and first:                    # as in HTML: a comment up to the next '>'
+                end = page.find(">", lt + 2)
+                at = size if end < 0 else end + 1
+                continue
             say("<")
             at = lt + 1
             continue

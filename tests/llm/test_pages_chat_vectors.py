@@ -230,6 +230,15 @@ def test_extract_edges(page, text):
     assert got == text or (page == "plain" and got in ("", "plain"))
 
 
+@pytest.mark.parametrize("mark,left", [("x <é y", "x <é y"), ("价格<中间", "价格<中间"), ("I </3 you", "I"), ("a</ div>b", "ab"),
+                                       ("a</>b", "ab"), ("1 <2", "1 <2")])
+def test_extract_goes_on_after_a_stray_mark(mark, left):
+    rest = "The article goes on for long after the odd mark in its first line."
+    assert extract.main_text(f"<article><div>{mark}</div><p>{rest}</p></article>").replace("\n\n", " ").replace(
+        " " + rest, "") == left
+    assert extract.main_text("<article><p>at the end </") == "at the end </"
+
+
 def test_min_cut_equals_brute_force():
     rng = random.Random(4)
     for _ in range(300):
