@@ -51,11 +51,13 @@ BOILERPLATE_NAMES = {"ad", "adbox", "ads", "adsense", "adslot", "adunit", "adv",
                      "promotion", "rail", "recommended", "related", "replies", "reply", "respond", "responses", "share",
                      "sharing", "sidebar", "sidebars", "signup", "skip", "social", "sponsor", "sponsored", "subscribe",
                      "tags", "toolbar", "widget", "widgets"}
+TALK_NAMES = {"comment", "comments", "discussion", "disqus", "replies", "reply", "respond", "responses"}
 OUTSIDE_NAMES = {"header", "topbar"}                    # boilerplate only outside the article
 CONTENT_TAGS = {"article", "main"}
 CONTENT_NAMES = {"article", "body", "content", "entry", "main", "post", "story", "text"}
 # Classifier weights (positive speaks for content) and edge weights.
 W_BOILERPLATE, W_CONTENT, W_NAMED, W_LINKS, W_LONG, W_SHORT, W_STOP = -40.0, 12.0, 4.0, -6.0, 3.0, -1.5, 1.0
+W_MARKED = -24.0
 E_NEXT, E_PARENT, E_SIBLING = 0.6, 0.8, 0.6
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
@@ -65,7 +67,7 @@ PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "weight", "bad", "link", "good")
+    __slots__ = ("tag", "parent", "weight", "bad", "link", "good", "mark", "outer", "words", "talk")
 
     def __init__(self, tag: str, attrs: str, parent: "_Node | None"):
         self.tag, self.parent = tag, parent
@@ -73,6 +75,10 @@ class _Node:
         self.good = parent.good if parent else False
         self.link = (parent.link if parent else False) or tag == "a"
         self.weight = parent.weight if parent else 0.0
+        # the nearest node from here up that bears a boilerplate name, and the nearest above the outermost article
+        self.mark = parent.mark if parent else None
+        self.outer = parent.outer if parent else None
+        self.words, self.talk = frozenset(), False
         if tag in CONTENT_TAGS:
             self.good = True
         # a header inside the article holds its title; elsewhere it is the page's
@@ -86,13 +92,18 @@ class _Node:
                     self.good |= value.lower() in ("main", "article")
                 elif name in ("class", "id") and tag not in ("html", "body", "article", "main"):
                     words = {p.lower() for p in PARTS.findall(value)}
-                    self.bad |= bool(words & BOILERPLATE_NAMES) or bool(words & OUTSIDE_NAMES) and not self.good
+                    self.words |= words & (BOILERPLATE_NAMES if self.good else BOILERPLATE_NAMES | OUTSIDE_NAMES)
+                    self.talk |= not TALK_NAMES.isdisjoint(value.lower().split())
                     if words & CONTENT_NAMES:
                         self.weight += W_NAMED
                 elif name == "aria-hidden":
                     self.bad |= value.lower() == "true"
             self.bad |= bool(re.search(r"\bhidden\b(?!\s*=)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attrs)))
             self.bad |= bool(re.search(r"display\s*:\s*none", attrs))
+        if self.good and not (parent and parent.good):
+            self.outer = self.mark
+        if self.words:
+            self.mark = self
 
 
 class Block:
@@ -210,13 +221,70 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
+def marked(blocks: list[Block]) -> list[bool]:
+    """Per block: whether a boilerplate name stands against it.
+
+    A name says nothing where it holds more than half of the page's unlinked text, in one element or in all that bear
+    it (wrappers such as has-sidebar, builders that call every block a widget). The names around an article or main
+    element count for its blocks only if the page has other article text without names, as comments that are articles
+    of their own. A discussion (a class or id that is just such a name) stays one beside article text, however long."""
+    size = [0 if b.node.bad else max(0, len(b.text.replace(" ", "")) - b.linked) for b in blocks]
+    half = sum(size) / 2
+    held: dict[_Node, int] = {}                         # the named nodes, outer ones first
+    for b in blocks:
+        chain, node = [], b.node.mark
+        while node is not None and node not in held:
+            chain.append(node)
+            node = node.parent.mark
+        held.update(dict.fromkeys(reversed(chain), 0))
+    if not held:
+        return [False] * len(blocks)
+    named = list(held)
+    for b, n in zip(blocks, size):
+        if b.node.mark:
+            held[b.node.mark] += n
+    own = dict(held)
+    for node in reversed(named):
+        if node.parent.mark:
+            held[node.parent.mark] += held[node]
+    void = {node for node in named if held[node] > half}
+    spread: dict[str, int] = {}
+    words: dict[_Node | None, frozenset] = {None: frozenset()}
+    for node in named:
+        words[node] = words[node.parent.mark] | (frozenset() if node in void else node.words)
+        for word in words[node]:
+            spread[word] = spread.get(word, 0) + own[node]
+    void |= {node for node in named if all(spread.get(word, 0) > half for word in node.words)}
+
+    def stands() -> tuple[dict, dict]:
+        """Whether a name stands from each node up: inside the outermost article, and on the whole page."""
+        inside, whole = {None: False}, {None: False}
+        for node in named:
+            up = node.parent.mark
+            inside[node] = node not in void or up is not node.outer and inside[up]
+            whole[node] = node not in void or whole[up]
+        return inside, whole
+
+    talk = {None: False}
+    for node in named:
+        talk[node] = node.talk or talk[node.parent.mark]
+    _, whole = stands()
+    if any(n and b.node.good and not whole[b.node.mark] and not talk[b.node.mark] for b, n in zip(blocks, size)):
+        void = {node for node in void if not node.talk}
+    inside, whole = stands()
+    beside = any(n and b.node.good and not whole[b.node.mark] for b, n in zip(blocks, size))
+    return [b.node.mark is not b.node.outer and inside[b.node.mark] or beside and whole[b.node.outer] for b in blocks]
+
+
 def costs(blocks: list[Block]) -> list[float]:
     """Per block: the cost of calling it boilerplate minus the cost of calling it content."""
     out = []
-    for b in blocks:
+    for b, named in zip(blocks, marked(blocks)):
         score = b.node.weight + (W_CONTENT if b.node.good else 0.0)
         if b.node.bad:
             score += W_BOILERPLATE
+        if named:
+            score += W_MARKED
         n = len(b.text)
         score += W_LINKS * (b.linked / max(1, len(b.text.replace(" ", ""))))
         score += W_LONG if n > 120 else W_SHORT if n < 25 and not b.node.tag.startswith("h") else 0.0

@@ -239,6 +239,42 @@ def test_extract_goes_on_after_a_stray_mark(mark, left):
     assert extract.main_text("<article><p>at the end </") == "at the end </"
 
 
+STORY = "".join(f"<p>Sentence number {i} of the whole story, which is long enough to count as text.</p>" for i in range(8))
+TOLD = [f"Sentence number {i} of the whole story, which is long enough to count as text." for i in range(8)]
+BESIDE = '<div class="sidebar"><p>More stories that you may like to read after this one.</p></div>'
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "post comments-open",
+                                  "elementor-widget-theme-post-content", "widget", "share-wrap"])
+@pytest.mark.parametrize("inner", ["<article>%s</article>", "<main><article>%s</article></main>"])
+def test_extract_keeps_wrapped_articles(name, inner):
+    for key in ("class", "id"):
+        page = f'<body><div {key}="{name}">{inner % STORY}{BESIDE}</div><footer><p>Imprint of the site.</p></footer></body>'
+        assert extract.main_text(page).split("\n\n") == TOLD
+        page = f'<body><main><h1>Title</h1><div {key}="{name}">{STORY}</div></main>{BESIDE}</body>'
+        assert extract.main_text(page).split("\n\n") == ["Title", *TOLD]
+
+
+def test_extract_builder_blocks_and_short_articles():
+    parts = "".join(f'<div class="elementor-widget"><div>{p}</p></div></div>' for p in STORY.split("</p>")[:-1])
+    assert extract.main_text(f"<main>{parts}</main>{BESIDE}").split("\n\n") == TOLD
+    page = f'<div class="no-sidebar"><article><p>{TOLD[0]}</p></article></div><div class="sidebar">{STORY}</div>'
+    assert TOLD[0] in extract.main_text(page)
+
+
+def test_extract_deep_names_stay_cheap():
+    page = "<article>" + '<div class="ad">a line of text' * 20_000 + f"</article><article>{STORY * 9000}</article>"
+    assert extract.main_text(page).count("Sentence number 0") == 9000
+
+
+@pytest.mark.parametrize("item", ["<article class='comment-body'><p>%s</p></article>", "<div class='comment'><p>%s</p></div>"])
+def test_extract_still_drops_discussions(item):
+    said = "".join(item % f"Remark {i} of a reader who liked this very much and says so at length." for i in range(20))
+    for page in (f'<article>{STORY}</article><div id="comments">{said}</div>',
+                 f'<div class="has-sidebar"><article>{STORY}<section class="comments">{said}</section></article></div>'):
+        assert extract.main_text(page).split("\n\n") == TOLD
+
+
 def test_min_cut_equals_brute_force():
     rng = random.Random(4)
     for _ in range(300):
