@@ -136,7 +136,7 @@ def _send_bands(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         if len(u):
             turn += 1
             pairs = np.unique(np.stack([u, v]), axis=1)
-            rows.append((buckets + turn % buckets, pairs[0].tobytes(), pairs[1].tobytes(), None, None, True))
+            rows.append((buckets + turn % buckets, pairs[0].tobytes(), pairs[1].tobytes(), None, None, True, None))
         yield S._flush(rows)
 
 

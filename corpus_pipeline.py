@@ -27,12 +27,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each group of linked documents the smallest id stays, once."""
+    """Operator 7: of each group of linked documents the smallest id stays, once with each of its texts."""
     common.prepare(spark)
     found = jaccard.join(docs).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    # the texts move once, by id, at every size; repeated rows of an id then lie side by side and one stays
+    # the texts move once, by id, at every size; repeated rows of an id then lie side by side and one of each text stays
     joined = docs.select(*COLUMNS).join(found.hint("merge"), "doc_id", "left")
-    one = Window.partitionBy("doc_id").orderBy("doc_id")
+    one = Window.partitionBy("doc_id", F.xxhash64("text"), F.xxhash64(F.lit(77), "text")).orderBy("doc_id")
     ranked = joined.filter(F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True))).withColumn(
         "copy", F.row_number().over(one))
     return ranked.filter((F.col("copy") == 1) | F.col("doc_id").isNull()).select(*COLUMNS)
@@ -42,8 +42,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Operator 5: repeated passages are cut; a document that held nothing else goes."""
     common.prepare(spark)
     cut = substring.remove_passages(docs).filter("n_removed > 0").select(
-        "doc_id", "left_text", (F.col("n_words") == F.col("n_removed")).alias("empty")).dropDuplicates(["doc_id"])
-    joined = docs.select(*COLUMNS).join(cut.hint("merge"), "doc_id", "left").filter(~F.coalesce("empty", F.lit(False)))
+        "doc_id", "text_key", "left_text", (F.col("n_words") == F.col("n_removed")).alias("empty")).dropDuplicates(
+            ["doc_id", "text_key"])
+    keyed = docs.select(*COLUMNS, F.xxhash64("text").alias("text_key"))
+    joined = keyed.join(cut.hint("merge"), ["doc_id", "text_key"], "left").filter(~F.coalesce("empty", F.lit(False)))
     return _documents(joined, F.coalesce("left_text", "text"))
 
 

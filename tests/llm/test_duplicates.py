@@ -60,6 +60,25 @@ def test_hot_passage_and_slices(spark, make_docs, monkeypatch):
     assert sorted(r.n_removed for r in got) == [0, 0, 64, 64, 64, 64]
 
 
+@pytest.mark.parametrize("words", [200, 300_000])
+def test_one_id_on_two_texts(spark, make_docs, monkeypatch, words):
+    """Each text of an id is cut by itself, whichever of them is long, a copy, or shares a passage."""
+    monkeypatch.setattr(substring, "SLICE_WORDS", words)
+    rng = random.Random(9)
+    shared = [" ".join(_say(rng, 60)) for _ in range(3)]
+    rows = [(1, shared[0] + " " + " ".join(_say(rng, 20))), (2, " ".join(_say(rng, 70)))]
+    rows += [(5, " ".join(_say(rng, 300)) + " " + shared[0]), (5, " ".join(_say(rng, 55)))]       # long, and short
+    rows += [(6, rows[1][1]), (6, " ".join(_say(rng, 90)) + " " + shared[0]), (6, " ".join(_say(rng, 80)))]  # a copy
+    rows += [(7, "a " + shared[1]), (7, "b c " + shared[1] + " " + shared[2]), (8, shared[2] + " d " + shared[1])]
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256)
+                 for r in substring.remove_passages(make_docs([(i, t, "s") for i, t in rows], 2)).collect())
+    want = []
+    for i, t in rows:
+        alone = [(j, u) for j, u in rows if j != i] + [(i, t)]
+        want.append((i, *brute.passages(alone)[i]))
+    assert got == sorted(want)
+
+
 def test_symbols_are_the_same_inside_equal_substrings():
     rng = np.random.default_rng(4)
     for _ in range(200):

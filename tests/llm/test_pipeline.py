@@ -82,6 +82,18 @@ def test_repeated_ids_stay_once(spark, make_docs):
     assert sorted(str(r.doc_id) for r in out) == ["1", "None"]
 
 
+def test_one_id_keeps_each_of_its_texts(spark, make_docs):
+    rng = random.Random(3)
+    say = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    passage, texts = say(60), [say(40), say(90)]
+    docs = make_docs([(1, passage + " " + say(30), "a"), (2, texts[0], "a"), (2, texts[1] + " " + passage, "a"),
+                      (2, texts[0], "a")])
+    two = common.stored(corpus_pipeline.near_duplicates(spark, docs, ""), "t")
+    assert sorted(r.text for r in two.collect() if r.doc_id == 2) == sorted([texts[0], texts[1] + " " + passage])
+    three = corpus_pipeline.substring_dedup(spark, two, "").collect()
+    assert sorted(r.text.strip() for r in three if r.doc_id == 2) == sorted(texts)
+
+
 def test_empty_documents(spark, make_docs):
     docs = make_docs([(1, "x", "a")]).filter("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
