@@ -124,7 +124,7 @@ def _stars(keys: np.ndarray, reps: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _send_bands(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    turn = 0
+    turn = S.first_turn()
     for b in batches:
         cells = [np.frombuffer(x.as_py(), U) for x in b.column("bands")]
         if not cells:

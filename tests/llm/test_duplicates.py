@@ -1,9 +1,11 @@
 """Operators 5 and 7 against all-pairs versions."""
 
+import functools
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chanlake.llm import components, jaccard, substring
 from tests.llm import brute
@@ -79,6 +81,26 @@ def test_one_id_on_two_texts(spark, make_docs, monkeypatch, words):
     assert got == sorted(want)
 
 
+def test_own_rows_of_the_tasks_spread(spark):
+    """Every task has one row of its own; 40 tasks fill many of the 64 groups, not one."""
+    rng = random.Random(4)
+    hot = " ".join(_say(rng, 64))
+    docs = spark.createDataFrame([(i, i, hot + f" {i}") for i in range(400)], "doc_id long, text_key long, text string")
+    sent = docs.repartition(40).mapInArrow(functools.partial(substring._send_phrases, 64), substring.ENTRY)
+    told = docs.withColumn("phrases", F.array(*[F.lit(int(x)) for x in _phrases_of(hot)])).withColumn("copy", F.lit(False))
+    windows = told.repartition(40).mapInArrow(functools.partial(substring._send_windows, 64), substring.ENTRY)
+    bands = docs.select(F.col("doc_id").alias("rep"), F.lit(bytes(8)).alias("bands")).repartition(40)
+    stars = bands.mapInArrow(functools.partial(jaccard._send_bands, 64), substring.ENTRY)
+    for frame in (sent, windows, stars):
+        groups = [r["bucket"] for r in frame.filter("own").collect()]
+        assert len(groups) >= 30 and max(map(groups.count, groups)) <= 8
+
+
+def _phrases_of(text):
+    _, _, _, phrase = substring._phrases([0], [text.encode().split()])
+    return phrase.view(np.int64)
+
+
 def test_symbols_are_the_same_inside_equal_substrings():
     rng = np.random.default_rng(4)
     for _ in range(200):
