@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanlake.llm import chat, common, extract, jaccard, mixing, nearest, packing, quality, substring, tokencount, warc
+from chanlake.llm import chat, common, extract, jaccard, logbilinear, mixing, nearest, packing, quality, substring, tokencount, warc
 from chanlake.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ def op9(spark, sf_dir):
 @query("op10_html_main_text")
 def op10(spark, sf_dir):
     return extract.extract(common.table(spark, sf_dir, "pages"))
+
+
+@query("op11_lm_scoring")
+def op11(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents")
+    return logbilinear.score(docs, ~logbilinear.held_out(F.col("doc_id")), rounds=3)
