@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chanlake.llm import chat, common, extract, jaccard, logbilinear, mixing, nearest, packing, quality, substring, tokencount, warc
+from chanlake.llm import (chat, collocations, common, extract, jaccard, logbilinear, mixing, nearest, packing, quality,
+                          substring, tokencount, trie, warc)
 from chanlake.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +107,14 @@ def op10(spark, sf_dir):
 def op11(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
     return logbilinear.score(docs, ~logbilinear.held_out(F.col("doc_id")), rounds=3)
+
+
+@query("op12_collocations", collocations.SQL)
+def op12(spark, sf_dir):
+    return collocations.mine(common.table(spark, sf_dir, "documents"))
+
+
+@query("op13_prefix_trie", trie.SQL)
+def op13(spark, sf_dir):
+    turns = common.table(spark, sf_dir, "conversations")
+    return trie.build(turns, taken=F.crc32(F.col("conv").cast("string")) % 9)
