@@ -39,11 +39,11 @@ from chanlake.llm.common import stored
 from chanlake.llm.pieces import list_parts
 
 END = b""                  # the end of a text; no word is empty
-SPAN, DIM, BUCKETS = 3, 16, 2048
+SPAN, DIM, BUCKETS = 2, 16, 2048
 SHORTLIST, ENDINGS = 128, 32
-HEAD = 100_000             # words whose counts travel to every task
+HEAD = 200_000             # words whose counts travel to every task
 NOISE, STEP, BATCH = 16, 0.03, 1024
-CHARS = 4_000_000          # characters coded at a time (one text may hold more)
+CHARS = 16_000_000         # bytes of text coded at a time (one text may hold more)
 FLUSH = 200_000            # distinct words a task holds before it passes them on
 
 
@@ -76,14 +76,29 @@ def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     return np.insert(index[kept], before, end), before + np.arange(1, len(before) + 1), distinct
 
 
-def few(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Cut a column of texts into runs of about CHARS bytes."""
-    sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64))
-    a = 0
-    while a < len(texts):
-        e = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + CHARS, side="right")))
-        yield a, e
-        a = e
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows again, about CHARS bytes of text (the column ``text``) at a time: a distinct word is then looked up
+    once for many tokens."""
+    held, size = [], 0
+    for b in batches:
+        sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(b.column("text")), 0), np.int64))
+        a = 0
+        while a < b.num_rows:
+            e = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + CHARS - size, side="right")))
+            e = min(e, b.num_rows)
+            held.append(b.slice(a, e - a))
+            size += int(sizes[e - 1] - (sizes[a - 1] if a else 0))
+            a = e
+            if size >= CHARS or a < b.num_rows:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def texts_of(table: pa.Table) -> pa.Array:
+    column = table.column("text")
+    return column.chunk(0) if column.num_chunks == 1 else column.combine_chunks()
 
 
 def ending(word: bytes) -> int:
@@ -107,14 +122,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()),
                                            pa.array(list(found.values()), pa.int64())], ["word", "c"])
 
-    for b in batches:
-        for a, e in few(b.column(0)):
-            index, _, distinct = split(b.column(0).slice(a, e - a))
-            for w, c in zip(distinct, np.bincount(index, minlength=len(distinct)).tolist()):
-                found[w] += c
-            if len(found) > FLUSH:
-                yield rows()
-                found.clear()
+    for table in runs(batches):
+        index, _, distinct = split(texts_of(table))
+        for w, c in zip(distinct, np.bincount(index, minlength=len(distinct)).tolist()):
+            found[w] += c
+        if len(found) > FLUSH:
+            yield rows()
+            found.clear()
     if found:
         yield rows()
 
@@ -124,27 +138,34 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _sizes(head: frozenset, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens and distinct words of each ending class among the words outside the shortlist."""
-    tokens, words = np.zeros(ENDINGS, np.int64), np.zeros(ENDINGS, np.int64)
-    for b in batches:
-        for w, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            if w not in head:
-                k = ending(w)
-                tokens[k] += c
-                words[k] += 1
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(ENDINGS)), pa.array(tokens), pa.array(words)],
-                                     ["k", "tokens", "words"])
+def frequent(counts: DataFrame, most: int) -> tuple[int, list[tuple[bytes, int]]]:
+    """(least count, words) of the most frequent words, at most ``most``: eighths of powers of two are filled from
+    above, so only those sums and these words reach the driver."""
+    step = F.floor(F.log2("c") * 8)
+    filled, least = 0, None
+    for r in sorted(counts.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c")).collect(),
+                    key=lambda r: -r["s"]):
+        filled += r["n"]
+        if filled > most:
+            break
+        least = r["c"]
+    if least is None:                          # no word, or too many with the highest counts
+        return 1 << 62, []
+    return least, [(bytes(r["word"]), r["c"]) for r in counts.filter(F.col("c") >= least).collect()]
 
 
 def start(counts: DataFrame, shortlist: list[tuple[bytes, int]], seed: int = 7) -> Model:
     """The untrained model: ENDINGS rows of class sizes reach the driver."""
     words = {w: i for i, (w, _) in enumerate(shortlist)}
-    sizes = counts.select("word", "c").mapInArrow(functools.partial(_sizes, frozenset(words)),
-                                                  "k long, tokens long, words long")
+    tail = F.substring("word", F.greatest(F.length("word") - 1, F.lit(1)), F.lit(2))      # as ending() has it
     tokens, distinct = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    for r in sizes.groupBy("k").agg(F.sum("tokens").alias("t"), F.sum("words").alias("w")).collect():
+    for r in counts.groupBy((F.crc32(tail) % ENDINGS).alias("k")).agg(
+            F.sum("c").alias("t"), F.count(F.lit(1)).alias("w")).collect():
         tokens[r["k"]], distinct[r["k"]] = r["t"], r["w"]
+    for w, c in shortlist:
+        if c:
+            tokens[ending(w)] -= c
+            distinct[ending(w)] -= 1
     n = np.concatenate([[float(c) for _, c in shortlist], tokens])
     noise = (n + 1) / (n + 1).sum()
     rng = np.random.default_rng(seed)
@@ -292,9 +313,8 @@ def with_parameters(model: Model, flat: np.ndarray) -> Model:
 
 def _train(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     trainer, n = Trainer(model, TaskContext.get().partitionId()), 0
-    for b in batches:
-        for a, e in few(b.column(0)):
-            n += trainer.learn(code(model, b.column(0).slice(a, e - a)))
+    for table in runs(batches):
+        n += trainer.learn(code(model, texts_of(table)))
     if n:
         flat = flat_parameters(trainer.model).astype("<f4")
         for at in range(0, len(flat), PIECE):
@@ -340,55 +360,52 @@ SCORED = ("row string, doc_id long, held_out boolean, n_tokens long, n_known lon
 def _score(model: Model, head: dict[bytes, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document and, for words whose counts are not here, a row for each document and word."""
     part, number, shares = TaskContext.get().partitionId(), 0, class_shares(model)
-    shown = len(model.words)
-    for b in batches:
-        for a, e in few(b.column("text")):
-            some = b.slice(a, e - a)
-            coded = code(model, some.column("text"))
-            known = np.fromiter((head.get(w, -1) for w in coded.distinct), np.int64, len(coded.distinct))
-            c = known[coded.index]
-            own = np.log(np.maximum(c, 0) + 1.0)                      # zero where the join will add it
-            score = log_probs(model, coded) + shares[coded.out] + np.where(coded.out < shown, 0, own)
-            sums = [np.add.reduceat(x, np.concatenate([[0], coded.ends[:-1]])) for x in
-                    (score, own, (c > 0).astype(np.int64))]
-            lens = np.diff(coded.ends, prepend=0)
-            rows = [f"{part}-{number + i}" for i in range(len(some))]
-            number += len(some)
-            lens = np.diff(coded.ends, prepend=0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), some.column("doc_id"), some.column("held_out"), pa.array(lens), pa.array(sums[2]),
-                 pa.array(sums[1]), pa.array(sums[0]), pa.nulls(len(some), pa.binary()), pa.nulls(len(some), pa.int64())],
-                [f.split()[0] for f in SCORED.split(", ")])
-            where = np.flatnonzero(c < 0)
-            doc = np.repeat(np.arange(len(some)), lens)[where]
-            pair, times = np.unique(doc * len(coded.distinct) + coded.index[where], return_counts=True)
-            n = len(pair)
-            if n:
-                none = [pa.nulls(n, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([rows[i] for i in pair // len(coded.distinct)]), *none,
-                     pa.array([coded.distinct[i] for i in pair % len(coded.distinct)], pa.binary()), pa.array(times)],
-                    [f.split()[0] for f in SCORED.split(", ")])
+    shown, fields = len(model.words), [f.split()[0] for f in SCORED.split(", ")]
+    for table in runs(batches):
+        some = table.to_batches()[0]
+        coded = code(model, texts_of(table))
+        known = np.fromiter((head.get(w, -1) for w in coded.distinct), np.int64, len(coded.distinct))
+        own = np.log(np.maximum(known, 0) + 1.0)                      # zero where the join will add it
+        starts = np.concatenate([[0], coded.ends[:-1]])
+        score = log_probs(model, coded) + shares[coded.out]
+        base = own[coded.index]
+        score += np.where(coded.out < shown, 0, base)
+        sums = [np.add.reduceat(x, starts) for x in (score, base, (known > 0).astype(np.int64)[coded.index])]
+        rows = [f"{part}-{number + i}" for i in range(len(some))]
+        number += len(some)
+        lens = coded.ends - starts
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rows), some.column("doc_id"), some.column("held_out"), pa.array(lens), pa.array(sums[2]),
+             pa.array(sums[1]), pa.array(sums[0]), pa.nulls(len(some), pa.binary()), pa.nulls(len(some), pa.int64())],
+            fields)
+        where = np.flatnonzero((known < 0)[coded.index])
+        doc = np.searchsorted(coded.ends, where, side="right")
+        pair, times = np.unique(doc * len(coded.distinct) + coded.index[where], return_counts=True)
+        names = pa.array(coded.distinct, pa.binary())
+        for a in range(0, len(pair), 50_000):
+            doc, word = np.divmod(pair[a:a + 50_000], len(coded.distinct))
+            none = [pa.nulls(len(doc), t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(),
+                                                    pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array(rows).take(pa.array(doc)), *none, names.take(pa.array(word)),
+                                              pa.array(times[a:a + 50_000])], fields)
 
 
 def score(docs: DataFrame, train_fold: Column, doc_id: str = "doc_id", text: str = "text", rounds: int = 4) -> DataFrame:
     """Learn from the documents where ``train_fold`` holds, score all: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score (add-one unigram), score (the model), both log10."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                        (~train_fold).alias("held_out"), F.xxhash64(F.col(doc_id), F.col(text)).alias("round_key"))
     learnt = rows.filter(~F.col("held_out"))
     counts = stored(count_words(learnt.select("text")), "words")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = [(bytes(r["word"]), r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()]
-    ends = next((c for w, c in top if w == END), 0) or (counts.filter(F.col("word") == END).agg(F.sum("c")).first()[0] or 0)
-    shortlist = [(END, ends), *[x for x in top if x[0] != END][:SHORTLIST - 1]]
+    least, top = frequent(counts, HEAD)
+    ends = counts.filter(F.col("word") == END).agg(F.sum("c")).first()[0] or 0
+    shortlist = [(END, ends), *sorted((x for x in top if x[0] != END), key=lambda x: (-x[1], x[0]))[:SHORTLIST - 1]]
     model = train(learnt.select("text", "round_key"), start(counts, shortlist), rounds)
     head = dict(top) | {END: ends}
     found = stored(rows.select("doc_id", "text", "held_out").mapInArrow(functools.partial(_score, model, head), SCORED),
                    "scored")
-    spread = spark.createDataFrame([(w,) for w in head], "word binary")
-    rest = counts.join(F.broadcast(spread), "word", "left_anti")       # HEAD words at most
+    rest = counts.filter(F.col("c") < least)                   # the others are in head
     tail = found.filter("word is not null").select("row", "word", "n").join(rest, "word", "left")
     c = F.coalesce("c", F.lit(0))
     sums = tail.groupBy("row").agg(F.sum(F.col("n") * F.log(c + 1.0)).alias("more"),
