@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chanlake.functions.text import WS_CLASS, strip_ws
+from chanlake.session import shared_path
+from chanlake.sources import json_scan
 
 # CSV options for a lossless text round trip: '' stays '' and NULL stays NULL,
 # padding is kept and embedded quotes/newlines survive.
@@ -73,9 +75,11 @@ def _nested(df: DataFrame, c: str) -> bool:
 
 # --- S2 / S5 ---------------------------------------------------------------------
 
-# One record per line, as JSON Lines or as the lines of an array file: framing is dropped, commas are cut.
+# A record on a line of its own, with the framing an array file puts around it.
 _LINE = r"^[\s\[,]*(\{.*\})[\s\],]*$"
 _FRAME = r"^[\s\[\],\x{FEFF}]*$"
+# What is left of a line's brackets when strings and other text are gone.
+_BUT_BRACKETS = r'"(?:[^"\\]++|\\.)*+"|[^\[\]{}"]++'
 
 
 def _literal(uri: str) -> str:
@@ -83,48 +87,85 @@ def _literal(uri: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
 
+def one_record(line: Column, nested: int = 6) -> Column:
+    """Whether a line is exactly one JSON object: its outermost pair of braces holds brackets that cancel out. Deeper
+    nesting than ``nested`` says no, which only sends the file to the structural scan."""
+    inner = F.regexp_replace(line, _BUT_BRACKETS, "")
+    inner = F.substring(inner, F.lit(2), F.greatest(F.length(inner) - 2, F.lit(0)))
+    for _ in range(nested):
+        inner = F.regexp_replace(inner, r"\{\}|\[\]", "")
+    return line.rlike(r"^\s*\{.*\}\s*$") & (inner == "")
+
+
 def json_forms(spark: SparkSession, path) -> tuple[list[str], list[str]]:
-    """(files with one record per line, files with records over several lines), from one pass over the
-    lines; only file names reach the driver."""
+    """(files in which every line is one record, all others), by the brackets of each line: a file with one line of
+    another shape is none of the first. One pass over the lines; only file names reach the driver."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
         "value", F.col("_metadata.file_path").alias("file"))
-    broken = ~F.col("value").rlike(_FRAME) & ~F.col("value").rlike(_LINE)
-    rows = lines.groupBy("file").agg(F.count_if(broken).alias("n"),
-                                     F.count_if(F.col("value").rlike(_LINE)).alias("ok")).collect()
-    whole = [r["file"] for r in rows if r["n"] and (not r["ok"] or r["n"] > r["ok"])]
-    return [_literal(r["file"]) for r in rows if r["file"] not in set(whole)], [_literal(f) for f in whole]
+    rows = lines.groupBy("file").agg(F.count_if(~F.col("value").rlike(r"^\s*$") & ~one_record(F.col("value")))
+                                     .alias("n")).collect()
+    return [_literal(r["file"]) for r in rows if not r["n"]], [_literal(r["file"]) for r in rows if r["n"]]
 
 
 def _json_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(line, file): the records of one-record-per-line files, framing removed; splits like any text."""
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"),
-                                          F.col("_metadata.file_name").alias("name"))
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
     lines = lines.where(~F.col("value").rlike(_FRAME))
     record = F.regexp_extract("value", _LINE, 1)
-    return lines.select(F.when(record != "", record).otherwise(F.col("value")).alias("line"), "file", "name")
+    return lines.select(F.when(record != "", record).otherwise(F.col("value")).alias("line"), "file")
+
+
+def json_records(spark: SparkSession, paths: list[str]) -> tuple[DataFrame | None, list[str]]:
+    """((line, file, stray) of the files' records by structure, files whose brackets do not close). The records are
+    written to the shared folder once: they are read more than once."""
+    states = json_scan.entries(spark, paths).collect()
+    broken = {r["file"] for r in states if not r["clean"]}
+    whole = sorted({r["file"] for r in states} - broken)
+    if not whole:
+        return None, [_literal(f) for f in sorted(broken)]
+    found = json_scan.records(spark, [_literal(f) for f in whole], [r for r in states if r["file"] not in broken])
+    path = shared_path(spark, "json", "records")
+    found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path), [_literal(f) for f in sorted(broken)]
+
+
+def _inferred(records: DataFrame) -> T.StructType:
+    """Schema of JSON texts, found on the JVM."""
+    spark = records.sparkSession
+    texts = getattr(records.select("line")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return T._parse_datatype_json_string(spark._jsparkSession.read().json(texts).schema().json())
 
 
 def load_json(spark: SparkSession, path: str, array_form: bool | None = None,
               schema: T.StructType | str | None = None) -> DataFrame:
-    """JSON Lines and arrays of records, told apart per file; files may be mixed. Records on lines of
-    their own split across tasks; only files with records over several lines are read whole, one task
-    each. ``array_form`` forces one reading: True whole documents, False JSON Lines.
-    A line that is no JSON record gives a row of NULLs, as Spark's own reader does."""
+    """JSON Lines, arrays and sequences of records in any layout, told apart by structure; files may be mixed, and
+    all of them split across tasks. ``array_form`` forces one reading by Spark's own reader: True whole documents,
+    False JSON Lines.
+
+    Text that is no record gives a row of NULLs, as Spark's own reader does. A file whose brackets do not close is
+    read by its lines if one of them at least is a record, else it raises: no record is lost without a word."""
     if array_form is not None:
-        lines, whole = ([path], []) if not array_form else ([], [path])
-    else:
-        lines, whole = json_forms(spark, path)
+        r = spark.read.option("multiLine", str(array_form).lower()).option("recursiveFileLookup", "true")
+        return (r.schema(schema) if schema is not None else r).json(path)
+    lines, others = json_forms(spark, path)
     parts = []
     if lines:
-        declared = schema
-        if declared is None:
-            plain = spark.read.json(_json_lines(spark, lines).select("line").rdd.map(lambda r: r[0]))
-            declared = plain.schema
-        parsed = _json_lines(spark, lines).select(F.from_json("line", declared).alias("r"))
-        parts.append(parsed.select("r.*"))
-    if whole:
-        r = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true")
-        parts.append((r.schema(schema) if schema is not None else r).json(whole))
+        r = spark.read.option("recursiveFileLookup", "true")
+        parts.append((r.schema(schema) if schema is not None else r).json(lines))
+    if others:
+        found, broken = json_records(spark, others)
+        texts = [found] if found is not None else []
+        if broken:
+            by_line = _json_lines(spark, broken)
+            good = {_literal(r["file"]) for r in by_line.where(one_record(F.col("line"))).select("file").distinct().collect()}
+            if set(broken) - good:
+                raise ValueError(f"no JSON records in {', '.join(sorted(set(broken) - good)[:5])}: brackets do not close")
+            texts.append(by_line.withColumn("stray", ~one_record(F.col("line"))))
+        for t in texts:
+            declared = schema if schema is not None else _inferred(t.where(~F.col("stray")))
+            if declared == T.StructType([]):
+                continue
+            parts.append(t.select(F.from_json("line", declared).alias("r")).select("r.*"))
     if not parts:                                # no file has a record
         return spark.createDataFrame([], schema if schema is not None else T.StructType([]))
     out = parts[0]
@@ -280,11 +321,23 @@ def channel_of_file(file: str = "_metadata.file_path") -> Column:
     return F.when(folder != F.lit(""), value).otherwise(base)
 
 
+# Strings in either kind of quotes, and what lies between them.
+_TOKEN = r"""'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|[^'"]++"""
+
+
 def python_literals(c: Column) -> Column:
-    """A list or dict written by Python's ``repr`` as JSON text (None, True and False, single quotes)."""
-    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-        c = F.regexp_replace(c, rf"(?<![\w'\"]){word}(?![\w'\"])", json_word)
-    return F.replace(c, F.lit("'"), F.lit('"'))
+    """A list or dict written by Python's ``repr`` as JSON text: strings in single or double quotes with what they
+    hold, None, True and False outside strings."""
+    def token(x):
+        inner = F.substring(x, F.lit(2), F.length(x) - 2)
+        inner = F.replace(F.replace(inner, F.lit("\\'"), F.lit("'")), F.lit('"'), F.lit('\\"'))
+        plain = x
+        for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
+            plain = F.regexp_replace(plain, rf"\b{word}\b", json_word)
+        hexed = r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})"          # JSON knows four digits only
+        return F.when(x.startswith("'"), F.concat(F.lit('"'), F.regexp_replace(inner, hexed, r"$1\\u00$2"), F.lit('"'))
+                      ).when(x.startswith('"'), F.regexp_replace(x, hexed, r"$1\\u00$2")).otherwise(plain)
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_TOKEN), F.lit(0)), token), "")
 
 
 def _csv_by_header(spark: SparkSession, glob: str, schema: T.StructType, tolerant: bool) -> list[DataFrame]:
@@ -306,8 +359,13 @@ def _csv_by_header(spark: SparkSession, glob: str, schema: T.StructType, toleran
             if f.name not in c.columns:
                 cols.append(F.lit(None).cast(f.dataType).alias(f.name))
             elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
-                first = F.from_json(f.name, f.dataType)
-                cols.append(F.coalesce(first, F.from_json(python_literals(F.col(f.name)), f.dataType)).alias(f.name))
+                value = F.coalesce(F.from_json(f.name, f.dataType),
+                                   F.from_json(python_literals(F.col(f.name)), f.dataType))
+                if not tolerant:                  # text that is neither is not lost without a word
+                    lost = value.isNull() & ~F.coalesce(F.trim(f.name), F.lit("")).isin("", "null", "None", "NaN", "nan")
+                    value = F.when(lost, F.raise_error(F.concat(F.lit(f"{f.name} is no {f.dataType.typeName()}: "),
+                                                                F.col(f.name)))).otherwise(value)
+                cols.append(value.alias(f.name))
             else:
                 value = F.col(f.name)
                 cols.append((value.try_cast(f.dataType) if tolerant else value.cast(f.dataType)).alias(f.name))
@@ -324,17 +382,20 @@ def merge_channels(spark: SparkSession, schema: T.StructType, json_glob: str | N
     rows (and bad numbers NULL) instead of failing the job."""
     parts = []
     if json_glob:
-        lines, whole = json_forms(spark, json_glob)
-        if lines:
-            mode = {} if tolerant else {"mode": "FAILFAST"}
-            j = _json_lines(spark, lines).select(F.from_json("line", schema, mode).alias("r"), "file", "line")
-            if tolerant:                          # an unreadable line parses to NULL fields only
-                j = j.where(F.col("line").rlike(_LINE))
-            parts.append(j.select("r.*", channel_of_file("file").alias("_channel")))
-        if whole:
-            lenient = {"mode": "DROPMALFORMED", "ignoreCorruptFiles": "true"} if tolerant else {"mode": "FAILFAST"}
-            w = spark.read.schema(schema).options(**lenient).option("multiLine", "true").json(whole)
-            parts.append(w.select(*schema.fieldNames(), channel_of_file().alias("_channel")))
+        lines, others = json_forms(spark, json_glob)
+        texts = [_json_lines(spark, lines).withColumn("stray", F.lit(False))] if lines else []
+        if others:
+            found, broken = json_records(spark, others)
+            texts += [found] if found is not None else []
+            if broken and not tolerant:
+                raise ValueError(f"brackets do not close in {', '.join(broken[:5])}")
+            if broken:                            # the lines that are records
+                texts.append(_json_lines(spark, broken).withColumn("stray", ~one_record(F.col("line"))))
+        mode = {} if tolerant else {"mode": "FAILFAST"}
+        for t in texts:
+            t = t.where(~F.col("stray")) if tolerant else t
+            parts.append(t.select(F.from_json("line", schema, mode).alias("r"), "file").select(
+                "r.*", channel_of_file("file").alias("_channel")))
     if csv_glob:
         parts += _csv_by_header(spark, csv_glob, schema, tolerant)
     if not parts:
