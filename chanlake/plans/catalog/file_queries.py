@@ -72,6 +72,48 @@ SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal,
 FROM customer""")(_scan_json)
 
 
+# --- layouts that only their structure tells apart -------------------------------------
+
+def _scan_json_layouts(spark, sf):
+    """All customers with a nested list, a third each as compact one-line arrays, several records on a line and
+    indented arrays, read by one load."""
+    c = _customer(spark, sf).withColumn("parts", F.transform(
+        F.sequence(F.lit(0), F.col("c_custkey") % 3), lambda i: F.struct(i.alias("n"), F.concat(
+            F.lit('} ", { \\ '), "c_name").alias("name"))))
+    path = _work(spark, "layouts")
+    for i, layout in enumerate(("compact", "joined", "indented")):
+        files.save_json_layout(c.where(F.col("c_custkey") % 3 == i), f"{path}/{layout}", layout)
+    back = files.load_json(spark, path)
+    return back.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", F.size("parts").alias("n_parts"),
+                       F.element_at("parts", -1)["name"].alias("last_name"))
+
+
+register("scan_json_layouts", """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment,
+  CAST(c_custkey % 3 + 1 AS INTEGER) AS n_parts, '} ", { \\ ' || c_name AS last_name FROM customer""".replace("\\\\", "\\"))(
+    _scan_json_layouts)
+
+
+def _scan_csv_spans(spark, sf):
+    """Whole documents as CSV, most of whose records span lines and hold quotes, in many splits."""
+    docs = fx_documents(spark, sf)
+    path = _work(spark, "spans.csv")
+    files.save_csv(docs, path)
+    return files.load_csv(spark, path, schema=docs.schema)
+
+
+register("scan_csv_spans", """
+SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '"' || text || chr(10) || '5" x 4", "' ELSE text || chr(10) || lang END AS text,
+  lang, source FROM documents""")(_scan_csv_spans)
+
+
+def fx_documents(spark, sf):
+    t = F.col("text")
+    marked = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit('"'), t, F.lit('\n5" x 4", "'))).otherwise(
+        F.concat(t, F.lit("\n"), F.col("lang")))
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", marked.alias("text"), "lang", "source")
+
+
 def _conll_source(spark, sf):
     """Sentences from whole conversation turns: tokens split on whitespace,
     a label per token by length; every fifth conversation has one label

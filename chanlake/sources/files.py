@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from chanlake.functions.text import WS_CLASS, strip_ws
 from chanlake.session import shared_path
-from chanlake.sources import json_scan
+from chanlake.sources import csv_scan, json_scan
 
 # CSV options for a lossless text round trip: '' stays '' and NULL stays NULL,
 # padding is kept and embedded quotes/newlines survive.
@@ -29,18 +29,55 @@ CSV_READ = {"header": "true", "escape": '"', "nullValue": "\\N", "emptyValue": "
 
 # --- S1 / S4 ---------------------------------------------------------------------
 
-def has_quoted_newlines(spark: SparkSession, path) -> bool:
-    """Whether some record of the CSV files spans lines: then a line holds an odd number of quotes.
-    One distributed pass that stops at the first such line."""
+def odd_quotes(spark: SparkSession, path, delimiter: str = ",") -> bool:
+    """Whether some line of the CSV files may leave a quoted field open: its quotes are odd in number, or one of them
+    stands away from a field's edge. One distributed pass that stops at the first such line."""
+    edge = re.escape(delimiter) + r'"\r'
     odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
-    return not spark.read.text(path).where(odd).limit(1).isEmpty()
+    away = F.col("value").rlike(f'[^{edge}]"[^{edge}]')
+    return not spark.read.text(path).where(odd | away).limit(1).isEmpty()
 
 
-def _csv_reader(spark: SparkSession, path, lossless: bool, multi_line: bool | None):
-    """Files whose records are lines split across tasks; only files with quoted newlines are read whole."""
-    r = spark.read.options(**CSV_READ) if lossless else spark.read.option("header", "true").option("escape", '"')
-    whole = has_quoted_newlines(spark, path) if multi_line is None else multi_line
-    return r.option("multiLine", "true").option("lineSep", "\n") if whole else r
+def _csv_options(lossless: bool, delimiter: str) -> dict[str, str]:
+    return (CSV_READ if lossless else {"header": "true", "escape": '"'}) | {"sep": delimiter}
+
+
+def csv_records(spark: SparkSession, path, delimiter: str = ",") -> DataFrame | None:
+    """(line, file, head) of the records of CSV files in which some record spans lines, written to the shared folder
+    once; None where every line is a record, so that Spark's reader splits the files by itself."""
+    if not odd_quotes(spark, path, delimiter):
+        return None
+    states = csv_scan.entries(spark, path, delimiter).collect()
+    if not any(r["spans"] for r in states):                # only marks inside fields
+        return None
+    found = csv_scan.records(spark, path, delimiter, states)
+    stored = shared_path(spark, "csv", "records")
+    found.write.parquet(stored)
+    return spark.read.schema(found.schema).parquet(stored)
+
+
+def _header_of(records: DataFrame, options: dict[str, str]) -> list[str]:
+    """Column names in the first file's header, read as Spark reads it."""
+    head = records.where("head").orderBy("file").limit(1).select("line")
+    names = _csv_texts(head, options | {"header": "false", "nullValue": ""}).first()
+    return [n if n is not None else f"_c{i}" for i, n in enumerate(names)]
+
+
+def _csv_texts(records: DataFrame, options: dict[str, str], infer: bool = False) -> DataFrame:
+    """Spark's CSV reader over records that are rows already."""
+    spark = records.sparkSession
+    texts = getattr(records.select("line")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = spark.read.options(**options).option("multiLine", "true").option("lineSep", "\n").option(
+        "inferSchema", str(infer).lower())
+    return DataFrame(reader._jreader.csv(texts), spark)
+
+
+def _parse_csv(records: DataFrame, schema: T.StructType, options: dict[str, str], *more: str) -> DataFrame:
+    """The fields of the records that are no headers."""
+    kept = {k: v for k, v in options.items() if k != "header"} | {"multiLine": "true", "lineSep": "\n"}
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in nullable)
+    return records.where("not head").select(F.from_csv("line", F.lit(ddl), kept).alias("r"), *more).select("r.*", *more)
 
 
 def load_csv(spark: SparkSession, path: str, delimiter: str = ",", infer: bool = True,
@@ -48,13 +85,22 @@ def load_csv(spark: SparkSession, path: str, delimiter: str = ",", infer: bool =
              multi_line: bool | None = None) -> DataFrame:
     """Header row; types inferred (``infer``) or all strings; an explicit schema wins. Reads back what
     ``save_csv`` writes; ``lossless=False`` takes an empty field as NULL instead. Input splits replace the
-    reference's chunked read."""
-    r = _csv_reader(spark, path, lossless, multi_line).option("sep", delimiter)
-    if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", "true" if infer else "false")
-    return r.csv(path)
+    reference's chunked read, also where quoted fields hold line ends: records are then found by ``csv_scan``.
+    ``multi_line`` forces one reading by Spark's own reader: True whole files, False a record a line."""
+    options = _csv_options(lossless, delimiter)
+    found = csv_records(spark, path, delimiter) if multi_line is None else None
+    if found is None:
+        r = spark.read.options(**options)
+        r = r.option("multiLine", "true").option("lineSep", "\n") if multi_line else r
+        return (r.schema(schema) if schema is not None else r.option("inferSchema", str(infer).lower())).csv(path)
+    if schema is None:
+        names = _header_of(found, options)
+        typed = _csv_texts(found.where("not head"), options | {"header": "false"}, infer)
+        schema = T.StructType([T.StructField(n, typed.schema[i].dataType if i < len(typed.columns) else T.StringType())
+                               for i, n in enumerate(names)])
+    elif isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    return _parse_csv(found, schema, options)
 
 
 def save_csv(df: DataFrame, path: str, delimiter: str = ",", lossless: bool = True) -> None:
@@ -179,30 +225,46 @@ def save_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def _array_frame(batches):
+    """``[``, comma-led records, ``]``, batch by batch; nothing for a partition without records."""
+    import pandas as pd
+    opened = False
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        lead = pd.Series(",", index=pdf.index)
+        if not opened:
+            yield pd.DataFrame({"value": ["["]})
+            lead.iloc[0] = ""
+            opened = True
+        yield pd.DataFrame({"value": lead + pdf["value"]})
+    if opened:
+        yield pd.DataFrame({"value": ["]"]})
+
+
 def save_json_array(df: DataFrame, path: str) -> None:
     """S5 (store variant): every output file is one JSON array of records.
 
     Records are encoded by ``to_json`` on the JVM; a per-partition pass only
     frames them (``[``, comma-led records, ``]``) batch by batch, so memory
     stays at one Arrow batch whatever the partition size."""
-    rec = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("r"))
-
-    def frame(batches):
-        import pandas as pd
-        opened = False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            lead = pd.Series(",", index=pdf.index)
-            if not opened:
-                yield pd.DataFrame({"value": ["["]})
-                lead.iloc[0] = ""
-                opened = True
-            yield pd.DataFrame({"value": lead + pdf["r"]})
-        if opened:
-            yield pd.DataFrame({"value": ["]"]})
-
-    rec.mapInPandas(frame, "value string").write.mode("overwrite").text(path)
+    rec = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    rec.mapInPandas(_array_frame, "value string").write.mode("overwrite").text(path)
+
+
+def save_json_layout(df: DataFrame, path: str, layout: str) -> None:
+    """Records as other tools write them: ``compact`` (an array without line ends), ``joined`` (several records on a
+    line, nothing around them) or ``indented`` (each record over several lines); every output file by itself."""
+    options = {"ignoreNullFields": "false"} | ({"pretty": "true"} if layout == "indented" else {})
+    rec = df.select(F.to_json(F.struct(*df.columns), options).alias("value"))
+    if layout == "compact":
+        framed = rec.mapInPandas(_array_frame, "value string")
+    elif layout in ("joined", "indented"):
+        framed = rec
+    else:
+        raise ValueError(f"no layout {layout!r}")
+    sep = {"compact": " ", "joined": ", ", "indented": "\n"}[layout]
+    framed.write.mode("overwrite").option("lineSep", sep).text(path)
 
 
 # --- S3 / S6 ---------------------------------------------------------------------
@@ -352,8 +414,15 @@ def _csv_by_header(spark: SparkSession, glob: str, schema: T.StructType, toleran
         by_head.setdefault(r["head"].rstrip("\r"), []).append(_literal(r["file"]))
     lenient = {"mode": "DROPMALFORMED", "ignoreCorruptFiles": "true"} if tolerant else {}
     parts = []
+    options = _csv_options(True, ",")
     for files_ in by_head.values():
-        c = _csv_reader(spark, files_, True, None).options(**lenient).option("inferSchema", "false").csv(files_)
+        found = csv_records(spark, files_)
+        if found is None:
+            c = spark.read.options(**options, **lenient).option("inferSchema", "false").csv(files_)
+            c = c.select("*", F.col("_metadata.file_path").alias("_file"))
+        else:
+            texts = T.StructType([T.StructField(n, T.StringType()) for n in _header_of(found, options)])
+            c = _parse_csv(found, texts, options, "file").withColumnRenamed("file", "_file")
         cols = []
         for f in schema:
             if f.name not in c.columns:
@@ -369,7 +438,7 @@ def _csv_by_header(spark: SparkSession, glob: str, schema: T.StructType, toleran
             else:
                 value = F.col(f.name)
                 cols.append((value.try_cast(f.dataType) if tolerant else value.cast(f.dataType)).alias(f.name))
-        parts.append(c.select(*cols, channel_of_file().alias("_channel")))
+        parts.append(c.select(*cols, channel_of_file("_file").alias("_channel")))
     return parts
 
 
