@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +49,7 @@ def merger(path: str):
 
 @functools.lru_cache(maxsize=2)
 def piece_cache(path: str) -> P.Bounded:
-    return P.Bounded()
+    return P.Bounded(400_000)
 
 
 def ids_of(uniq: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +59,7 @@ def ids_of(uniq: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     for piece in uniq:
         ids = cache.get(piece)
         if ids is None:
-            ids = np.array(bpe.encode_ordinary(piece), "<u4").tobytes()
+            ids = array("I", bpe.encode_ordinary(piece)).tobytes()
             cache.put(piece, ids)
         out.append(ids)
     lens = np.fromiter(map(len, out), np.int64, len(out)) // 4
@@ -76,27 +77,51 @@ def gather(flat: np.ndarray, lens: np.ndarray, index: np.ndarray) -> np.ndarray:
 
 def _tokenise(path: str, end: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, begin = TaskContext.get().partitionId(), 0
-    for b in P.small(batches):
+    for b in P.joined(batches):
         offsets, values = P.list_parts(b.column("pieces"))
         uniq, index = P.distinct(values)
         flat, lens = ids_of(uniq, path)
-        all_ids = gather(flat, lens, index) if len(uniq) else flat
-        ends = np.cumsum(P.row_sums(lens[index], offsets)) if len(uniq) else np.zeros(b.num_rows, np.int64)
-        raw, cells, counts = b.column("raw"), [], np.zeros(b.num_rows, np.int64)
-        whole = np.asarray(raw.is_valid())
-        for i in range(b.num_rows):
-            if whole[i]:
-                ids = np.array(P.library(path).encode(raw[i].as_py(), add_special_tokens=False).ids, np.uint32)
-            else:
-                ids = all_ids[ends[i - 1] if i else 0:ends[i]]
-            ids = np.append(ids, np.uint32(end)).astype("<u4")
-            counts[i] = len(ids)
-            cells.append(ids.astype("<u2").tobytes() if end < 65536 and not (ids > 65535).any() else b"\0" + ids.tobytes())
+        ids = gather(flat, lens, index) if len(uniq) else flat
+        counts = P.row_sums(lens[index], offsets) if len(uniq) else np.zeros(b.num_rows, np.int64)
+        raw = b.column("raw")
+        ids, counts = with_whole_texts(ids, counts, raw, path)
+        ids = np.insert(ids, np.cumsum(counts), np.uint32(end))        # the end of every document
+        counts += 1
         begins = begin + np.cumsum(counts) - counts
         begin += int(counts.sum())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(b.num_rows, part, np.int32)), b.column("doc_id"), pa.array(begins), pa.array(counts),
-             pa.array(cells, pa.binary())], ["part", "doc_id", "begin", "n", "ids"])
+             cells(ids, counts)], ["part", "doc_id", "begin", "n", "ids"])
+
+
+def with_whole_texts(ids: np.ndarray, counts: np.ndarray, raw: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows with those of the texts that the library takes whole put in their places."""
+    at = np.flatnonzero(np.asarray(raw.is_valid()))
+    if not len(at):
+        return ids, counts
+    ends, parts, a = np.cumsum(counts), [], 0
+    counts = counts.copy()
+    for i in at:
+        own = np.array(P.library(path).encode(raw[int(i)].as_py(), add_special_tokens=False).ids, np.uint32)
+        parts += [ids[a:ends[i]], own]
+        counts[i], a = len(own), ends[i]
+    return np.concatenate([*parts, ids[a:]]), counts
+
+
+def cells(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """One binary cell a row, cut from one buffer: two bytes an id, or a zero byte and four bytes each in a row that
+    has a larger one."""
+    ends = np.cumsum(counts)
+    large = np.flatnonzero(ids > 65535)
+    if not len(large):
+        offsets = np.concatenate([[0], ends * 2]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets),
+                                                                pa.py_buffer(ids.astype("<u2"))])
+    wide = np.unique(np.searchsorted(ends, large, side="right"))
+    rows = [ids[e - n:e] for e, n in zip(ends, counts)]
+    wide = set(wide.tolist())
+    return pa.array([b"\0" + r.astype("<u4").tobytes() if i in wide else r.astype("<u2").tobytes()
+                     for i, r in enumerate(rows)], pa.binary())
 
 
 def unpack_ids(cell: bytes) -> np.ndarray:

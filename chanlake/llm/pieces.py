@@ -107,6 +107,22 @@ def small(batches, column: str = "pieces", most: int = 400_000):
             a = e
 
 
+def joined(batches, column: str = "pieces", most: int = 3_000_000):
+    """Join batches until they hold about ``most`` list items (a single row may hold more), so that a distinct
+    item is looked up once for many."""
+    held, n = [], 0
+    for b in small(batches, column, most):
+        ends = np.asarray(b.column(column).offsets, dtype=np.int64)
+        size = int(ends[-1] - ends[0])
+        if held and n + size > most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+        held.append(b)
+        n += size
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def distinct(values: pa.Array) -> tuple[list[str], np.ndarray]:
     """Distinct strings of a flat column and each row's index among them."""
     coded = values.dictionary_encode()
