@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chanlake.functions import text
 from chanlake.plans import fixtures as fx
-from chanlake.session import ensure_checkpoint_dir, shared_path
+from chanlake.session import ensure_checkpoint_dir, shared_path, ship_package
 
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +111,7 @@ def _links_duck(x: str, pattern: str, group: int, blank_empty: bool) -> str:
 # --- session settings ---------------------------------------------------------
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings the queries rely on (UTC rendering, shared folder)."""
+    """Session settings the queries rely on (UTC rendering, shared folder), and this package on the workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)

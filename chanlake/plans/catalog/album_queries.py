@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from chanlake.operators import albums, dedupe
 from chanlake.plans import cleaning, fixtures as fx
-from chanlake.sources import store
-from chanlake.plans.catalog._base import _msgs, _work, register
+from chanlake.sources import commits, store
+from chanlake.plans.catalog._base import ORACLES, _msgs, _work, register
 
 
 # --- albums, media and stores (P9, P10, P15, P16, A1, J1-J3, W2, S9) --------------
@@ -172,6 +172,50 @@ SELECT channel, count_if(first) AS first_run, count_if(second) AS second_run, ma
   count_if(second) AS n_new FROM r GROUP BY channel""")(_load_runs)
 
 
+def _commit_append(spark, sf):
+    """S9 as commits: even ids, odd ids in two batches, a batch that collides and one that repeats a key (both refused),
+    rows without key; the committed rows."""
+    m = _msgs(spark, sf).select("message_id", "channel", "message_text")
+    path = _work(spark, "unique")
+    for part in ("message_id % 2 = 0", "message_id % 4 = 1", "message_id % 4 = 3"):
+        commits.append_unique(spark, m.where(part), path, "message_id")
+    for bad in (m.where("channel = 'chan1'"), m.where("message_id % 3 = 0").withColumn("message_id", F.lit(-1).cast("bigint"))):
+        try:
+            commits.append_unique(spark, bad, path, "message_id")
+        except store.UniqueViolation:
+            pass
+    commits.append_unique(spark, m.where("channel = 'chan2'").withColumn("message_id", F.lit(None).cast("bigint")), path,
+                          "message_id")
+    return commits.read(spark, path)
+
+
+register("commit_append", ORACLES["append_runs"])(_commit_append)
+
+
+def _commit_load(spark, sf):
+    """J3 + ST4 as commits: a run, a run that dies before its commit, and the run after it."""
+    m = _msgs(spark, sf).select("channel", "message_id", "conv_id")
+    path = _work(spark, "loads")
+    commits.load_new(spark, m.where(f"conv_id < {LOAD_SPLIT}"), path, msg_id="message_id")
+    first = commits.snapshot(spark, path)["data"]
+
+    def die():
+        raise InterruptedError
+    try:
+        commits.load_new(spark, m, path, msg_id="message_id", before_commit=die)
+    except InterruptedError:
+        pass
+    marks = commits.load_new(spark, m, path, msg_id="message_id")
+    rows = commits.read(spark, path).withColumn("run", F.when(
+        F.col("_metadata.file_path").contains(first[0]), 1).otherwise(2))
+    loaded = rows.groupBy("channel").agg(
+        F.count_if(F.col("run") == 1).alias("first_run"), F.count_if(F.col("run") == 2).alias("second_run"))
+    return loaded.join(marks, "channel").select("channel", "first_run", "second_run", "last_id", "n_new")
+
+
+register("commit_load", ORACLES["load_runs"])(_commit_load)
+
+
 def _dedupe_id_lists(spark, sf):
     """Newest record per list of message ids (an array key)."""
     a = _albums(spark, sf).select("message_ids", "channel", "date")

@@ -57,6 +57,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # advisory size (fewer tiny tasks); locally keep one per core
         spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -102,17 +103,45 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 def spread(df, min_bytes: int = 4 * 1024 * 1024, max_bytes: int = 1024 * 1024 * 1024):
     """Spread a scan over the cores when its input is far too coarse.
 
-    A file written as one row group scans as one task, so CPU-heavy work after it runs on one core. The
-    scan is redistributed only when that at least quadruples its tasks and its estimated size lies between
-    ``min_bytes`` and ``max_bytes``: the shuffle is bounded, and a larger input, which has
-    more splits than that, is left alone."""
+    A file written as one row group is read by one task, however many splits it has, so CPU-heavy work after it runs
+    on one core. The scan is redistributed only when that at least quadruples the tasks that hold rows (counted
+    without reading a column) and its estimated size lies between ``min_bytes`` and ``max_bytes``: the
+    shuffle is bounded, and a larger input, which has more row groups than that, is left alone."""
     target = df.sparkSession.sparkContext.defaultParallelism
     size = estimated_bytes(df)
-    if size is None or not min_bytes <= size <= max_bytes or df.rdd.getNumPartitions() * 4 > target:
+    if size is None or not min_bytes <= size <= max_bytes:
+        return df
+    if df.rdd.getNumPartitions() * 4 > target and occupied_tasks(df) * 4 > target:
         return df
     return df.repartition(target)
 
 
+def occupied_tasks(df) -> int:
+    """Tasks of a scan that hold rows; no column is read."""
+    from pyspark.sql import functions as F
+    return df.select(F.spark_partition_id().alias("p")).groupBy("p").count().count()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started: it is handed to Spark as a zip, once a
+    session, unless the environment names its folder already."""
+    import zipfile
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    named = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root in named or getattr(sc, "_chanlake_shipped", False) or not os.path.isdir(os.path.join(root, "chanlake")):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="chanlake-zip-"), "chanlake.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "chanlake")):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._chanlake_shipped = True
+
+
 def estimated_bytes(df) -> int | None:
     """Planner estimate of a DataFrame's size (file sizes for scans); None
     when the plan has no statistics (Spark then reports its default size,

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanlake.schemas import LAST_ID
+from chanlake.session import shared_path
 
 IMAGE_SUFFIX = r"\.(jpg|png|jpeg)$"   # case-sensitive, as str.endswith
 
@@ -154,10 +155,13 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 def load_new(spark: SparkSession, messages: DataFrame, marks_path: str, write: Callable[[DataFrame], None],
              channel: str = "channel", msg_id: str = "id") -> DataFrame:
-    """J3 + ST4 as one job: rows above the stored marks are handed to ``write``, then the marks advance. A
-    run that fails in between loads the same rows again. Returns the new marks with ``n_new``."""
+    """J3 + ST4 for any sink: rows above the stored marks are fixed in the shared folder first, handed to ``write``, and
+    the marks advance by the same rows, whatever the source does meanwhile. A run that fails in between loads
+    them again; where rows and marks have to be one commit, use ``commits.load_new``. Returns the new marks with ``n_new``."""
     state = load_marks(spark, marks_path, channel)
-    fresh = new_since(messages, state, channel, msg_id)
+    path = shared_path(spark, "fresh")
+    new_since(messages, state, channel, msg_id).write.parquet(path)
+    fresh = spark.read.schema(messages.schema).parquet(path)
     write(fresh)
     marks = advance_marks(state, fresh, channel, msg_id)
     save_marks(spark, marks, marks_path)
