@@ -26,12 +26,12 @@ count each time; ties are broken as stated in ``rank``; an empty table gives no
 from __future__ import annotations
 
 import functools
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,66 +41,107 @@ from chanlake.llm.common import blocks_for, stored
 LEAST, LONGEST, SHARE = 100, 5, 100
 BITS = 1 << 24
 HOT = 4096
-FLUSH = 200_000            # distinct words or suffixes a task holds before it passes them on
-ROUTE_BYTES = 1 << 20      # of the scanned files, for each route
-PIECE_END = re.compile(rb"[.,;:!?\n-\r]+")
-
-
-def pieces_of(text: str | None) -> Iterator[list[bytes]]:
-    """Words of each piece, A-Z in lower case (bytes.lower and bytes.split know ASCII only, and a piece has no white
-    space but space and tab)."""
-    for piece in PIECE_END.split((text or "").encode("utf-8", "surrogatepass").lower()):
-        words = piece.split()
-        if words:
-            yield words
-
-
-class Flushing(dict):
-    """Counters by language, passed on as Arrow rows (lang, key, n) when they hold FLUSH keys."""
-
-    def __missing__(self, lang):
-        self[lang] = Counter()
-        return self[lang]
+CHARS = 16_000_000         # bytes of text taken at a time (one text may hold more)
+FLUSH = 400_000            # distinct words a task holds before it passes them on
+ROUTE_BYTES = 8 << 20      # of the scanned files, for each route
+KIND = np.zeros(256, np.uint8)
+KIND[[0x20, 0x09]] = 1                                   # between words
+KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2               # between pieces
+
+
+# --- words and pieces ------------------------------------------------------------------
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Words of the texts in a row as numbers of distinct words, the number of the piece each lies in, and the distinct
+    words; A-Z in lower case."""
+    texts = pc.ascii_lower(pc.fill_null(texts, "")).cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    buf = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    edges = np.unique(offsets[1:-1] - offsets[0])
+    edges = edges[(edges > 0) & (edges < len(buf))]      # where a text begins behind another
+    kind = KIND[buf]
+    inside = kind == 0
+    before = np.zeros(len(buf), bool)
+    before[1:] = inside[:-1]
+    before[edges] = False
+    starts = np.flatnonzero(inside & ~before)
+    after = np.zeros(len(buf), bool)
+    after[:-1] = inside[1:]
+    after[edges - 1] = False
+    ends = np.flatnonzero(inside & ~after) + 1
+    cuts = (kind == 2).astype(np.uint8)
+    cuts[edges] = 1
+    piece = np.cumsum(cuts, dtype=np.int32)[starts]
+    ends_at = np.concatenate([[0], np.cumsum(ends - starts)])
+    flat = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends_at.astype(np.int64)),
+                                                                  pa.py_buffer(buf[inside])])
+    coded = flat.dictionary_encode()
+    return np.asarray(coded.indices, np.int64), piece, coded.dictionary.to_pylist()
+
+
+def by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
+    """Texts of one language, about CHARS bytes at a time."""
+    def cut():
+        table = pa.Table.from_batches(held).combine_chunks()
+        for lang in pc.unique(table.column("lang")).to_pylist():
+            own = table.filter(pc.equal(table.column("lang"), lang)).column("text").combine_chunks()
+            yield lang, own.chunk(0) if isinstance(own, pa.ChunkedArray) else own
+
+    held, size = [], 0
+    for b in batches:
+        sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(b.column("text")), 0), np.int64))
+        a = 0
+        while a < b.num_rows:
+            e = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + CHARS - size, side="right")))
+            e = min(e, b.num_rows)
+            held.append(b.slice(a, e - a))
+            size += int(sizes[e - 1] - (sizes[a - 1] if a else 0))
+            a = e
+            if size >= CHARS or a < b.num_rows:
+                yield from cut()
+                held, size = [], 0
+    if held:
+        yield from cut()
 
-    def full(self) -> bool:
-        return sum(map(len, self.values())) > FLUSH
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        for lang, found in self.items():
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(found), pa.string()), pa.array(list(found), pa.binary()),
-                     pa.array(list(found.values()), pa.int64())], ["lang", "phrase", "n"])
-        self.clear()
+COUNTED = "lang string, phrase binary, n long"
 
 
-COUNTED = "lang string, phrase binary, n long"
+def _counted(lang: str, phrases: list[bytes], n: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()),
+                                       pa.array(n, pa.int64())], ["lang", "phrase", "n"])
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = Flushing()
-    for b in batches:
-        for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
-            for words in pieces_of(text.as_py()):
-                found[lang].update(words)
-            if found.full():
-                yield from found.rows()
-    yield from found.rows()
+    found: dict[str, Counter] = {}
+    for lang, texts in by_lang(batches):
+        ids, _, distinct = words_of(texts)
+        own = found.setdefault(lang, Counter())
+        for w, n in zip(distinct, np.bincount(ids, minlength=len(distinct)).tolist()):
+            own[w] += n
+        if sum(map(len, found.values())) > FLUSH:
+            for k, c in found.items():
+                yield _counted(k, list(c), list(c.values()))
+            found.clear()
+    for k, c in found.items():
+        if c:
+            yield _counted(k, list(c), list(c.values()))
 
 
 def _pairs(hot: dict[str, frozenset], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of neighbours that are both frequent enough to make a hot pair."""
-    found = Flushing()
-    for b in batches:
-        for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
-            frequent = hot.get(lang)
-            if frequent:
-                for words in pieces_of(text.as_py()):
-                    found[lang].update(b" ".join(p) for p in zip(words, words[1:])
-                                       if p[0] in frequent and p[1] in frequent)
-                if found.full():
-                    yield from found.rows()
-    yield from found.rows()
+    for lang, texts in by_lang(batches):
+        frequent = hot.get(lang)
+        if not frequent:
+            continue
+        ids, piece, distinct = words_of(texts)
+        often = np.fromiter((w in frequent for w in distinct), bool, len(distinct))[ids]
+        at = np.flatnonzero(often[:-1] & often[1:] & (piece[:-1] == piece[1:])) if len(ids) else ids
+        pair, n = np.unique(ids[at] * len(distinct) + ids[at + 1], return_counts=True)
+        first, second = np.divmod(pair, max(1, len(distinct)))
+        if len(pair):
+            yield _counted(lang, [distinct[i] + b" " + distinct[j] for i, j in zip(first.tolist(), second.tolist())],
+                           n.tolist())
 
 
 def bit_of(lang: str, word: bytes) -> int:
@@ -121,68 +162,91 @@ def bitmap_of(frequent: DataFrame) -> bytes:
     return bytes(out)
 
 
-class Frequent(dict):
-    """Whether a word of the language may occur ``least`` times, looked up once for each distinct word."""
+ROUTED = "route int, lang string, spread boolean, words binary, n int, suffixes binary, counts binary"
 
-    def __init__(self, lang: str, bits: bytes):
-        super().__init__()
-        self.lang, self.bits = lang, bits
 
-    def __missing__(self, word: bytes) -> bool:
-        at = bit_of(self.lang, word)
-        if len(self) > 4 * FLUSH:
-            self.clear()
-        self[word] = got = bool(self.bits[at >> 3] >> (at & 7) & 1)
-        return got
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    """One 64-bit number for each row of word hashes, the same in every task."""
+    out = np.zeros(len(hashes), np.uint64)
+    for column in hashes.T:
+        out = (out ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
 
 
-ROUTED = "route int, lang string, spread boolean, phrases binary, counts binary"
+def suffixes_of(ids: np.ndarray, piece: np.ndarray, often: np.ndarray, longest: int) -> np.ndarray:
+    """Rows of word numbers from 1 (0: the suffix has ended) for each position with two words to come at least: a suffix
+    ends with its piece, before a word that is not ``often``, or after ``longest`` words."""
+    rows, going = np.zeros((len(ids), longest), np.int32), often[ids]
+    for k in range(longest):
+        if k:
+            same = np.zeros(len(ids), bool)
+            same[:-k or None] = (piece[k:] == piece[:-k]) & often[ids[k:]]
+            going = going & same
+        n = len(ids) - k
+        rows[:n, k] = np.where(going[:n], ids[k:] + 1, 0)
+    return rows[rows[:, 1] > 0] if longest > 1 else rows[:0]
+
+
+def added_up(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows (or nearly: equal ones always have equal keys) and how often each occurs."""
+    order = np.argsort(keys, kind="stable")
+    rows = rows[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+    first = np.flatnonzero(new)
+    return order[first], np.diff(first, append=len(rows))
+
+
+def narrow(values: np.ndarray) -> bytes:
+    """Unsigned numbers in as few bytes each as the largest needs."""
+    most = int(values.max()) if values.size else 0
+    return values.astype(next(f"<u{w}" for w in (1, 2, 4, 8) if most < 1 << 8 * w)).tobytes()
+
+
+def widened(cell: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(cell, f"<u{len(cell) // n}").astype(np.int64)
 
 
 def _suffixes(bits: bytes, hot: dict[str, frozenset], routes: int, longest: int,
               batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed rows: the suffixes of a route, a line each, and how often each occurs."""
-    found, known = Flushing(), {}
-
-    def rows():
-        for lang, counter in found.items():
-            packed: dict[tuple[int, bool], tuple[list, list]] = {}
-            seed, wide = xxhash.xxh32_intdigest(lang.encode("utf-8", "surrogatepass")), hot.get(lang, frozenset())
-            for suffix, n in counter.items():
-                lead = b" ".join(suffix.split(b" ", 2)[:2])
-                spread = lead in wide
-                route = xxhash.xxh32_intdigest(suffix if spread else lead, seed) % routes
-                one = packed.setdefault((route, spread), ([], []))
-                one[0].append(suffix)
-                one[1].append(n)
-            keys = list(packed)
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in keys], pa.int32()), pa.array([lang] * len(keys), pa.string()),
-                     pa.array([k[1] for k in keys]), pa.array([b"\n".join(packed[k][0]) for k in keys], pa.binary()),
-                     pa.array([np.array(packed[k][1], "<i8").tobytes() for k in keys], pa.binary())],
-                    ["route", "lang", "spread", "phrases", "counts"])
-        found.clear()
-
-    for b in batches:
-        for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
-            frequent = known.get(lang)
-            if frequent is None:
-                if len(known) > 64:
-                    known.clear()
-                frequent = known[lang] = Frequent(lang, bits)
-            for words in pieces_of(text.as_py()):
-                run: list[bytes] = []
-                for word in [*words, None]:
-                    if word is not None and frequent[word]:
-                        run.append(word)
-                        continue
-                    if len(run) > 1:
-                        found[lang].update(b" ".join(run[i:i + longest]) for i in range(len(run) - 1))
-                    run = []
-            if found.full():
-                yield from rows()
-    yield from rows()
+    """Packed rows for each route: the words its suffixes need, the suffixes as numbers of these, how often each
+    occurs."""
+    for lang, texts in by_lang(batches):
+        ids, piece, distinct = words_of(texts)
+        seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 42)
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in distinct), np.uint64, len(distinct))
+        at = (hashes % np.uint64(BITS)).astype(np.int64)
+        often = (np.frombuffer(bits, np.uint8)[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        if not len(ids):
+            continue
+        rows = suffixes_of(ids, piece, often, longest)
+        numbered = np.concatenate([[np.uint64(0)], hashes])
+        key = mixed(numbered[rows])
+        first, n = added_up(rows, key)
+        rows, key = rows[first], key[first]
+        spread = np.zeros(len(rows), bool)
+        if lang in hot:
+            index = {w: i + 1 for i, w in enumerate(distinct)}
+            pairs = [p.split(b" ") for p in hot[lang]]
+            wide = [index[a] * (len(distinct) + 1) + index[b] for a, b in pairs if a in index and b in index]
+            spread = np.isin(rows[:, 0].astype(np.int64) * (len(distinct) + 1) + rows[:, 1], wide)
+        route = (np.where(spread, key, mixed(numbered[rows[:, :2]])) % np.uint64(routes)).astype(np.int64) * 2 + spread
+        order = np.argsort(rows[:, 0].astype(np.int64) * (len(distinct) + 1) + rows[:, 1], kind="stable")
+        order = order[np.argsort(route[order], kind="stable")]        # neighbours share words, which packs well
+        cuts = np.flatnonzero(np.diff(route[order], prepend=-1))
+        out = []
+        for a, e in zip(cuts, [*cuts[1:], len(order)]):
+            own = order[a:e]
+            used, local = np.unique(rows[own], return_inverse=True)
+            if used[0]:                                    # number 0 stays the end
+                used, local = np.concatenate([[0], used]), local + 1
+            out.append((int(route[own[0]]) // 2, lang, bool(spread[own[0]]), b"\n".join([distinct[i - 1] for i in used[1:]]),
+                        len(own), narrow(local.reshape(-1, longest).T), narrow(n[own])))
+        if out:
+            kinds = [pa.int32(), pa.string(), pa.bool_(), pa.binary(), pa.int32(), *[pa.binary()] * 2]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                                             [f.split()[0] for f in ROUTED.split(", ")])
 
 
 def quicksort(words: np.ndarray, weights: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
@@ -215,28 +279,39 @@ def _sort_route(least: int, longest: int, table: pa.Table) -> pa.Table:
     for i, k in enumerate(zip(table.column("lang").to_pylist(), table.column("spread").to_pylist())):
         groups.setdefault(k, []).append(i)
     for (lang, spread), at in groups.items():
-        lines = b"\n".join(table.column("phrases")[i].as_py() for i in at).split(b"\n")
-        weights = np.concatenate([np.frombuffer(table.column("counts")[i].as_py(), "<i8") for i in at])
-        lens = np.fromiter((x.count(b" ") + 1 for x in lines), np.int64, len(lines))
-        flat = pa.array(b" ".join(lines).split(b" "), pa.binary()).dictionary_encode()
-        words = np.zeros((len(lines), longest), np.int32)
-        row = np.repeat(np.arange(len(lines)), lens)
-        words[row, np.arange(len(row)) - np.repeat(np.cumsum(lens) - lens, lens)] = np.asarray(flat.indices) + 1
+        index: dict[bytes, int] = {}
+        parts, weights = [], []
+        for i in at:
+            n = table.column("n")[i].as_py()
+            words = table.column("words")[i].as_py().split(b"\n")
+            numbers = np.fromiter((index.setdefault(w, len(index) + 1) for w in words), np.int32, len(words))
+            parts.append(np.concatenate([[0], numbers]).astype(np.int32)[
+                widened(table.column("suffixes")[i].as_py(), n * longest)].reshape(longest, n).T)
+            weights.append(widened(table.column("counts")[i].as_py(), n))
+        rows, weights, names = np.concatenate(parts), np.concatenate(weights), list(index)
         # of a pair that is dealt over all routes a route sees a part: nothing is abandoned
-        for i, depth, total in quicksort(words, weights, 1 if spread else least):
-            out.append((lang, b" ".join(lines[i].split(b" ")[:depth]), total))
+        for i, depth, total in quicksort(rows, weights, 1 if spread else least):
+            out.append((lang, b" ".join([names[j - 1] for j in rows[i, :depth]]), total))
     cols = list(zip(*out)) or [(), (), ()]
     return pa.table({"lang": pa.array(cols[0], pa.string()), "phrase": pa.array(cols[1], pa.binary()),
                      "n": pa.array(cols[2], pa.int64())})
 
 
-def _by_lang(rows) -> dict[str, frozenset]:
+def _sets(rows) -> dict[str, frozenset]:
     out: dict[str, set] = {}
     for r in rows:
         out.setdefault(r["lang"], set()).add(bytes(r["phrase"]))
     return {k: frozenset(v) for k, v in out.items()}
 
 
+def hot_pairs(texts: DataFrame, words: DataFrame, limit: int) -> dict[str, frozenset]:
+    """Pairs of words that occur ``limit`` times or more, by language: only pairs of words that do so themselves are
+    counted."""
+    often = _sets(words.filter(F.col("f") >= limit).select("lang", "phrase").collect())
+    pairs = texts.mapInArrow(functools.partial(_pairs, often), COUNTED).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    return _sets(pairs.filter(F.col("f") >= limit).select("lang", "phrase").collect())
+
+
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, lang: str = "lang",
                      text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(all phrases of 1 to ``longest`` words with at least ``least`` occurrences: lang, phrase, m words, f;
@@ -247,14 +322,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     totals = stored(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     frequent = words.filter(F.col("f") >= least)
     everything = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    limit = max(least, -(-everything // HOT))               # so at most HOT words and HOT pairs reach it
-    hot_words = _by_lang(words.filter(F.col("f") >= limit).select("lang", "phrase").collect())
-    pairs = texts.mapInArrow(functools.partial(_pairs, hot_words), COUNTED).groupBy("lang", "phrase").agg(
-        F.sum("n").alias("f")).filter(F.col("f") >= limit)
-    hot_pairs = _by_lang(pairs.select("lang", "phrase").collect())
+    wide = hot_pairs(texts, words, max(least, -(-everything // HOT)))     # at most HOT words and HOT pairs reach it
     routes = blocks_for(texts, ROUTE_BYTES)
     suffixes = texts.mapInArrow(
-        functools.partial(_suffixes, bitmap_of(frequent), hot_pairs, routes, longest), ROUTED)
+        functools.partial(_suffixes, bitmap_of(frequent), wide, routes, longest), ROUTED)
 
     def one_route(entries: pa.Table) -> pa.Table:
         return _sort_route(least, longest, entries)
