@@ -377,7 +377,8 @@ def band_nodes(rows: DataFrame, start: int) -> DataFrame:
     """Complete nodes of one band (with its roots), from segments that carry what hangs below them: NODE_COLUMNS, root
     (the fragment it is the root of), hang (the fragment whose root is its parent), follow (the fragment below it)."""
     n = blocks_for(rows, SHARD_BYTES)
-    order = ["root", "key", "conv"]
+    # of the rows at one node those that go on come last, so the last shard that holds the node knows of the band below
+    order = ["root", "key", F.desc("ends"), "conv"]
     shards = stored(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_encode, SHARD), "shards")
     # paths of the edges: two a shard; only two numbers a shard go back to the shards
     w = Window.orderBy("part")
