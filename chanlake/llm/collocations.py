@@ -33,17 +33,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chanlake.llm.common import blocks_for, stored
+from chanlake.llm.common import stored
+from chanlake.session import estimated_bytes
 
 LEAST, LONGEST, SHARE = 100, 5, 100
 BITS = 1 << 24
 HOT = 4096
 CHARS = 16_000_000         # bytes of text taken at a time (one text may hold more)
 FLUSH = 400_000            # distinct words a task holds before it passes them on
-ROUTE_BYTES = 8 << 20      # of the scanned files, for each route
+ROUTE_BYTES = 16 << 20     # of the scanned files, for each route
 KIND = np.zeros(256, np.uint8)
 KIND[[0x20, 0x09]] = 1                                   # between words
 KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2               # between pieces
@@ -199,13 +201,14 @@ def added_up(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def narrow(values: np.ndarray) -> bytes:
-    """Unsigned numbers in as few bytes each as the largest needs."""
+    """Unsigned numbers in as few bytes each as the largest needs, compressed."""
     most = int(values.max()) if values.size else 0
-    return values.astype(next(f"<u{w}" for w in (1, 2, 4, 8) if most < 1 << 8 * w)).tobytes()
+    return zstandard.compress(values.astype(next(f"<u{w}" for w in (1, 2, 4, 8) if most < 1 << 8 * w)).tobytes(), 1)
 
 
 def widened(cell: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(cell, f"<u{len(cell) // n}").astype(np.int64)
+    raw = zstandard.decompress(cell)
+    return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64)
 
 
 def _suffixes(bits: bytes, hot: dict[str, frozenset], routes: int, longest: int,
@@ -241,7 +244,8 @@ def _suffixes(bits: bytes, hot: dict[str, frozenset], routes: int, longest: int,
             used, local = np.unique(rows[own], return_inverse=True)
             if used[0]:                                    # number 0 stays the end
                 used, local = np.concatenate([[0], used]), local + 1
-            out.append((int(route[own[0]]) // 2, lang, bool(spread[own[0]]), b"\n".join([distinct[i - 1] for i in used[1:]]),
+            words = zstandard.compress(b"\n".join([distinct[i - 1] for i in used[1:]]), 1)
+            out.append((int(route[own[0]]) // 2, lang, bool(spread[own[0]]), words,
                         len(own), narrow(local.reshape(-1, longest).T), narrow(n[own])))
         if out:
             kinds = [pa.int32(), pa.string(), pa.bool_(), pa.binary(), pa.int32(), *[pa.binary()] * 2]
@@ -283,7 +287,7 @@ def _sort_route(least: int, longest: int, table: pa.Table) -> pa.Table:
         parts, weights = [], []
         for i in at:
             n = table.column("n")[i].as_py()
-            words = table.column("words")[i].as_py().split(b"\n")
+            words = zstandard.decompress(table.column("words")[i].as_py()).split(b"\n")
             numbers = np.fromiter((index.setdefault(w, len(index) + 1) for w in words), np.int32, len(words))
             parts.append(np.concatenate([[0], numbers]).astype(np.int32)[
                 widened(table.column("suffixes")[i].as_py(), n * longest)].reshape(longest, n).T)
@@ -323,7 +327,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     frequent = words.filter(F.col("f") >= least)
     everything = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     wide = hot_pairs(texts, words, max(least, -(-everything // HOT)))     # at most HOT words and HOT pairs reach it
-    routes = blocks_for(texts, ROUTE_BYTES)
+    # as few as the bytes ask for: a packed row brings its own words
+    least_routes = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2
+    size = estimated_bytes(texts) or 0
+    routes = max(1, least_routes, -(-size // ROUTE_BYTES) if size < 1 << 56 else 0)      # else: no estimate
     suffixes = texts.mapInArrow(
         functools.partial(_suffixes, bitmap_of(frequent), wide, routes, longest), ROUTED)
 
