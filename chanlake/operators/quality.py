@@ -7,10 +7,10 @@ A test counts failures the way the declarative tests do:
 * ``accepted_values``: distinct non-NULL values outside the list;
 * ``rows``: rows matched by a custom predicate (a row test).
 
-All ``not_null``/``accepted_values``/``rows`` tests of one model are counted
-in a single aggregate pass; each ``unique`` test adds one grouped aggregate
-(partial aggregation before the shuffle, so a hot value is combined map-side).
-The report is one small DataFrame: ``model, column, test, failures``.
+All tests of a model are counted in one scan and one shuffle: every row turns into one row of flags (for the tests
+that look at rows) and one for each value a ``unique`` or ``accepted_values`` test has to tell apart, keyed by test
+and value. One grouped aggregate counts both; tasks add up before the shuffle, so the flags leave a task as one row and
+a hot value is combined map-side. The report is one small DataFrame: ``model, column, test, failures``.
 """
 
 from __future__ import annotations
@@ -60,17 +60,45 @@ DECLARED_TESTS = (
 # --- end of fixed values -----------------------------------------------------
 
 
-def _count_expr(t: DataTest) -> Column:
-    c = F.col(t.column)
+def _flag(t: DataTest) -> Column:
+    """Whether a row fails a test that looks at rows."""
     if t.test == "not_null":
-        return F.count_if(c.isNull())
-    if t.test == "accepted_values":
-        return F.count_distinct(F.when(~c.isin(*t.values), c))
+        return F.col(t.column).isNull()
     if t.test == "rows":
-        return F.count_if(F.coalesce(F.expr(t.predicate), F.lit(False)))
+        return F.coalesce(F.expr(t.predicate), F.lit(False))
     raise ValueError(t.test)
 
 
+def _value(t: DataTest) -> Column:
+    """What a test of values has to tell apart, NULL for nothing: all values, or those outside the list."""
+    c = F.col(t.column)
+    return c if t.test == "unique" else F.when(~c.isin(*t.values), c)
+
+
+def count_failures(df: DataFrame, tests: list[DataTest]) -> DataFrame:
+    """One row with the failures of each test (f0, f1, ...) from one scan of the model."""
+    values = {i: _value(t) for i, t in enumerate(tests) if t.test in ("unique", "accepted_values")}
+    flags = {i: _flag(t) for i, t in enumerate(tests) if i not in values}
+    kinds = {i: df.select(v).schema[0].dataType for i, v in values.items()}
+
+    def row(key: int) -> Column:
+        cells = [F.lit(key).alias("_test")]
+        cells += [(f if key < 0 else F.lit(None).cast("boolean")).alias(f"_f{i}") for i, f in flags.items()]
+        cells += [(v if i == key else F.lit(None).cast(kinds[i])).alias(f"_v{i}") for i, v in values.items()]
+        return F.struct(*cells)
+
+    rows = df.select(F.inline(F.array(*[row(k) for k in [*([-1] if flags else []), *values]])))
+    for i in values:
+        rows = rows.where((F.col("_test") != i) | F.col(f"_v{i}").isNotNull())
+    groups = rows.groupBy("_test", *[f"_v{i}" for i in values]).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(f"_f{i}").alias(f"_c{i}") for i in flags])
+    failing = {i: F.coalesce(F.sum(f"_c{i}"), F.lit(0)) for i in flags}
+    for i in values:
+        mine = F.col("_test") == i
+        failing[i] = F.count_if(mine & (F.col("_n") > 1) if tests[i].test == "unique" else mine)
+    return groups.agg(*[failing[i].alias(f"f{i}") for i in range(len(tests))])
+
+
 def _row(t: DataTest, failures: Column) -> Column:
     return F.struct(F.lit(t.model).alias("model"), F.lit(t.column).alias("column"),
                     F.lit(t.label).alias("test"), failures.cast("bigint").alias("failures"))
@@ -84,16 +112,8 @@ def run_tests(models: dict[str, DataFrame], tests=DECLARED_TESTS) -> DataFrame:
         if t.model in models:
             by_model.setdefault(t.model, []).append(t)
     for model, ts in by_model.items():
-        df = models[model]
-        single = [t for t in ts if t.test != "unique"]
-        if single:
-            agg = df.agg(*[_count_expr(t).alias(f"c{i}") for i, t in enumerate(single)])
-            rows = F.array(*[_row(t, F.col(f"c{i}")) for i, t in enumerate(single)])
-            parts.append(agg.select(F.inline(rows)))
-        for t in (t for t in ts if t.test == "unique"):
-            dup = (df.where(F.col(t.column).isNotNull()).groupBy(t.column).count()
-                   .where(F.col("count") > 1))
-            parts.append(dup.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(_row(t, F.col("n"))))))
+        counted = count_failures(models[model], ts)
+        parts.append(counted.select(F.inline(F.array(*[_row(t, F.col(f"f{i}")) for i, t in enumerate(ts)]))))
     if not parts:
         raise ValueError("no test applies to the given models")
     report = parts[0]
