@@ -6,8 +6,13 @@ epoch, each further epoch costs more (convex repetition cost), patterns feed
 the sources they belong to, and each source takes its quota. The min-cost flow
 says how many tokens each pattern gives; whole epochs take every document
 of the pattern, the rest takes documents in seeded order up to a threshold found
-by two rounds of bucket sums (no group is sorted whole), plus one closing
-document, the one whose size comes nearest to what is still missing.
+by two rounds of bucket sums (no group is sorted whole), plus up to CLOSING closing
+documents, each the one whose size comes nearest to what is still missing.
+So a pattern misses less than the size of the document at its threshold, and
+nothing if documents of the missing sizes are left.
+
+The seeded order goes by id, then by a hash of the row, so reruns and other file
+orders take the same documents; equal rows are interchangeable.
 
 Only per-pattern rows reach the driver; more than ``max_patterns`` patterns
 raise an error. Defined results: NULL text has size 0; documents of size 0 are never
@@ -23,6 +28,7 @@ from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chanlake.llm.common import stored
 
@@ -150,7 +156,8 @@ def mix(docs: DataFrame, members: Column, size: Column, weight_of, doc_id: str =
     gives the weight of the i-th source in code-point order, NULL last."""
     spark = docs.sparkSession
     keep = [c for c in (keep or []) if c != doc_id]
-    rows = docs.select(F.col(doc_id).alias("_id"), *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
+    hashed = [f.name for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    rows = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(*hashed).alias("_c"), *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
                        F.coalesce(size, F.lit(0)).cast("long").alias("_size"),
                        F.sort_array(F.array_distinct(members)).alias("_members"))
     rows = rows.withColumn("_key", F.to_json(F.struct(F.col("_members").alias("m")), {"ignoreNullFields": "false"}))
@@ -178,24 +185,24 @@ def mix(docs: DataFrame, members: Column, size: Column, weight_of, doc_id: str =
 
     # threshold of the seeded order: two rounds of 4096 buckets, then the rows of one bucket in order
     b1, b2 = F.shiftright("_h", 52), F.shiftright("_h", 40)
-    part = rows.filter("_rest > 0").select("_key", "_h", "_uid", "_size", "_rest")
+    part = rows.filter("_rest > 0").select("_key", "_h", "_c", "_uid", "_size", "_rest")
     cut1 = part.join(F.broadcast(_cut_bucket(part, b1)), "_key").filter(b1 == F.col("_b")).drop("_b", "_rest")
     cut1 = cut1.withColumnRenamed("_left", "_rest")
     cut2 = cut1.join(F.broadcast(_cut_bucket(cut1, b2)), "_key").filter(b2 == F.col("_b")).drop("_rest")
-    w = Window.partitionBy("_key").orderBy("_h", "_uid")
+    w = Window.partitionBy("_key").orderBy("_h", "_c", "_uid")
     cut2 = cut2.withColumn("cum", F.sum("_size").over(w))
     over = F.col("cum") > F.col("_left")
     edge = cut2.groupBy("_key").agg(
-        F.min(F.when(over, F.struct("_h", "_uid"))).alias("e"),
+        F.min(F.when(over, F.struct("_h", "_c", "_uid"))).alias("e"),
         F.first("_left").alias("left"), F.coalesce(F.sum(F.when(~over, F.col("_size"))), F.lit(0)).alias("got"))
-    edges = {r["_key"]: (r["e"]["_h"], r["e"]["_uid"], int(r["left"] - r["got"])) for r in edge.collect()}
-    edge_df = spark.createDataFrame([(k, h, u) for k, (h, u, _) in edges.items()], "_key string, _eh long, _eu long")
+    edges = {r["_key"]: (*r["e"], int(r["left"] - r["got"])) for r in edge.collect()}
+    edge_df = spark.createDataFrame([(k, h, c, u) for k, (h, c, u, _) in edges.items()],
+                                    "_key string, _eh long, _ec long, _eu long")
     rows = rows.join(F.broadcast(edge_df), "_key", "left")
-    chosen = (F.col("_eh").isNotNull() & ((F.col("_h") < F.col("_eh")) | (F.col("_h").eqNullSafe(F.col("_eh"))
-                                                                         & (F.col("_uid") < F.col("_eu")))))
+    chosen = F.col("_eh").isNotNull() & (F.struct("_h", "_c", "_uid") < F.struct("_eh", "_ec", "_eu"))
     rows = rows.withColumn("_chosen", chosen)
     # closing documents: of those not yet used max_repeats times, the size nearest to what is missing, a few times over
-    missing, closing = {k: m for k, (_, _, m) in edges.items()}, {k: [] for k in edges}
+    missing, closing = {k: m for k, (*_, m) in edges.items()}, {k: [] for k in edges}
     for _ in range(CLOSING):
         want = [(k, m, closing[k]) for k, m in missing.items() if m > 0]
         if not want:
@@ -204,7 +211,8 @@ def mix(docs: DataFrame, members: Column, size: Column, weight_of, doc_id: str =
         gap = F.abs(F.col("_size") - F.col("_missing"))
         near = (rows.filter((F.col("_base") + F.col("_chosen").cast("long") < max_repeats) & (F.col("_size") > 0)).join(open_df, "_key")
                 .filter((gap < F.col("_missing")) & ~F.array_contains("_closed", F.col("_uid")))
-                .groupBy("_key").agg(F.min(F.struct(gap.alias("g"), F.col("_h"), F.col("_uid"), F.col("_size")))
+                .groupBy("_key").agg(F.min(F.struct(gap.alias("g"), F.col("_h"), F.col("_c"), F.col("_uid"),
+                                                             F.col("_size")))
                                      .alias("c")))
         best = {r["_key"]: r["c"] for r in near.collect()}
         for k in [k for k, _, _ in want]:
