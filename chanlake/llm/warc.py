@@ -7,9 +7,12 @@ continuation records (WARC segments). Of equal payloads the smallest id is the
 response, the others are revisits that refer to it.
 
 Reading: files are streamed fragment by fragment (bytes between blank lines) into
-rows (record id, chunk number, bytes so far, digest so far); a running SHA-256
-follows the chunks of a record across its segments, so the last chunk's digest is that
-of the full payload and no record is ever held whole. Archives are gzip files,
+rows (record id, chunk number, the chunk's bytes, bytes and digest so far) of at most
+``chunk_bytes`` payload bytes, whatever the fragments; a running SHA-256 follows the chunks
+of a record across its segments, so the last chunk's digest is that of the full
+payload, the chunks in order are the payload, and Python holds a fragment and a chunk,
+never a record. A fragment is as long as the payload goes without a blank line;
+the writer's segments bound it for its own archives. Archives are gzip files,
 each read by one task.
 
 Defined results: NULL payloads are empty; a NULL URL gives no target header; repeated
@@ -19,6 +22,7 @@ than id, URL and payload are ignored. A record cut short is returned with comple
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -31,7 +35,8 @@ from chanlake.llm.common import stored
 END = "\r\n\r\n"
 ID = "urn:x-row:"
 CHUNKS = ("record_id string, record_type string, refers_to string, target_uri string, segment int, chunk_no int, "
-          "n long, payload_bytes long, digest string, stated_digest string, last boolean, complete boolean")
+          "n long, payload_bytes long, digest string, stated_digest string, last boolean, complete boolean, data binary")
+CHUNK_BYTES = 1 << 16
 
 
 def plan_records(rows: DataFrame, id_col: str, url: str, payload: str, min_bytes: int) -> DataFrame:
@@ -117,36 +122,49 @@ class _Record:
         self.bytes, self.chunks = (before.bytes, before.chunks) if follows else (0, 0)
         self.front = b"" if "application/http" in head.get("content-type", "") else None
         self.http: dict[str, str] = {}
+        self.held = bytearray()
 
-    def feed(self, data: bytes) -> int:
-        """Take bytes of the block; returns how many of them are payload."""
+    def feed(self, data: bytes) -> None:
+        """Take bytes of the block; what is payload waits for ``rows``."""
         self.got += len(data)
         if self.front is not None:                       # still in the HTTP header
             front, sep, rest = (self.front + data).partition(END.encode())
             if not sep:
                 self.front = front
-                return 0
+                return
             self.http, self.front, data = _headers(front), None, rest
-        self.sha.update(data)
-        self.bytes += len(data)
-        return len(data)
-
-    def row(self, n: int, complete: bool) -> tuple:
+        self.held += data
+
+    def rows(self, size: int, data: bool, complete: bool = True) -> Iterator[tuple]:
+        """Full chunks of what was fed and, when the record is done or cut short, the rest."""
+        done = not complete or self.got >= self.need
+        while len(self.held) > size:
+            chunk = bytes(self.held[:size])
+            del self.held[:size]
+            yield self._row(chunk, data, False, True)
+        if done:
+            yield self._row(bytes(self.held), data, True, complete)
+            self.held.clear()
+
+    def _row(self, chunk: bytes, data: bool, final: bool, complete: bool) -> tuple:
+        self.sha.update(chunk)
+        self.bytes += len(chunk)
         total, digest, head = self.bytes, self.sha.copy().hexdigest(), self.origin.head
         stated = head.get("warc-payload-digest", "").partition(":")[2] or None
         if self.origin.type == "revisit":                # the payload lies elsewhere: size and digest are stated
             total, digest = int(self.http.get("content-length", -1)), stated
-        done = self.got >= self.need
-        last = not complete or done and (self.segment == 0 or "warc-segment-total-length" in self.head)
+        last = final and (not complete or self.segment == 0 or "warc-segment-total-length" in self.head)
+        self.chunks += 1
         return (self.id, self.origin.type, head.get("warc-refers-to", "").strip("<>") or None,
-                head.get("warc-target-uri"), self.segment, self.chunks, n, total, digest, stated, last,
-                complete and self.ok)
+                head.get("warc-target-uri"), self.segment, self.chunks - 1, len(chunk), total, digest, stated, last,
+                complete and self.ok, chunk if data else None)
 
 
 class _Stream:
     """The bytes of one file, in order, cut into records."""
 
-    def __init__(self):
+    def __init__(self, size: int, data: bool):
+        self.size, self.data = size, data
         self.record: _Record | None = None
         self.before: _Record | None = None
         self.front, self.begun = b"", False
@@ -166,38 +184,38 @@ class _Stream:
                 self.record = _Record(_headers(head), self.before)
             r = self.record
             take = data[:r.need - r.got]
-            n, data = r.feed(take), data[len(take):]
-            if r.got >= r.need:
-                yield r.row(n, True)
-                r.chunks += 1
-                self.before, self.record = r, None
-            else:
-                if n:
-                    yield r.row(n, True)
-                    r.chunks += 1
+            data = data[len(take):]
+            r.feed(take)
+            yield from r.rows(self.size, self.data)
+            if r.got < r.need:
                 return
+            self.before, self.record = r, None
 
     def end(self) -> Iterator[tuple]:
         if self.record is not None:                      # the file stops inside a record
-            yield self.record.row(0, False)
+            yield from self.record.rows(self.size, self.data, complete=False)
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(size: int, data: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in CHUNKS.split(", ")]
-    kinds = [{"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_()}[f.split()[1]]
-             for f in CHUNKS.split(", ")]
+    kinds = [{"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()
+              }[f.split()[1]] for f in CHUNKS.split(", ")]
 
     def batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-    stream, file = _Stream(), None
+    stream, file = _Stream(size, data), None
     for b in batches:
         out: list[tuple] = []
         for name, cell in zip(b.column("file").to_pylist(), b.column("value")):
             if name != file:
                 out += stream.end()
-                stream, file = _Stream(), name
-            out += stream.feed(cell.as_py())
+                stream, file = _Stream(size, data), name
+            for row in stream.feed(cell.as_py()):
+                out.append(row)
+                if len(out) >= (64 if data else 1000):   # some MB of chunks at a time
+                    yield batch(out)
+                    out = []
         if out:
             yield batch(out)
     out = list(stream.end())
@@ -205,16 +223,18 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(out)
 
 
-def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """The chunked record table of all archives under ``path`` (CHUNKS): sizes and digests so far, per chunk."""
+def read_chunks(spark: SparkSession, path: str, chunk_bytes: int = CHUNK_BYTES, data: bool = True) -> DataFrame:
+    """The chunked record table of all archives under ``path`` (CHUNKS): bytes of each chunk (unless ``data`` is false),
+    sizes and digests so far."""
     text = spark.read.option("lineSep", END).text(path)
     return text.select(F.col("value").cast("binary").alias("value"),
-                       F.col("_metadata.file_path").alias("file")).mapInArrow(_read, CHUNKS)
+                       F.col("_metadata.file_path").alias("file")).mapInArrow(
+        functools.partial(_read, chunk_bytes, data), CHUNKS)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """One row per record: its last chunk, with the digest and size of the full payload."""
-    return read_chunks(spark, path).filter("last").drop("last", "segment", "n")
+    return read_chunks(spark, path, data=False).filter("last").drop("last", "segment", "n", "data")
 
 
 def row_id(record_id):
