@@ -103,8 +103,8 @@ def test_empty_documents(spark, make_docs):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and sum(n.startswith("op") for n in names) == 10
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and sum(n.startswith("op") for n in names) == 13
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality rules", "n-gram Jaccard join", "substring dedup", "mixing sources", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None
