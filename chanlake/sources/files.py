@@ -143,14 +143,41 @@ def one_record(line: Column, nested: int = 6) -> Column:
     return line.rlike(r"^\s*\{.*\}\s*$") & (inner == "")
 
 
+# Files above LARGE bytes are not read by lines unless their lines are MEAN_LINE bytes long at most on average.
+LARGE, MEAN_LINE = 16 << 20, 1 << 20
+
+
+def _files(spark: SparkSession, path) -> dict[str, int]:
+    """Names and sizes of the files; no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
+        F.col("_metadata.file_path").alias("file"), "length")
+    return {r["file"]: r["length"] for r in found.collect()}
+
+
+def _long_lines(spark: SparkSession, sizes: dict[str, int]) -> set[str]:
+    """Large files whose lines are long, an array in one line for instance, which no task should hold: found by
+    fragments that end at ``}``."""
+    large = [_literal(f) for f, n in sizes.items() if n > LARGE]
+    if not large:
+        return set()
+    rows = json_scan.fragments(spark, large).groupBy("file").agg(
+        F.sum(F.octet_length("value") + 1).alias("bytes"), F.count_if(F.contains("value", F.lit("\n"))).alias("n")).collect()
+    return {r["file"] for r in rows if r["bytes"] > MEAN_LINE * (r["n"] + 1)}
+
+
 def json_forms(spark: SparkSession, path) -> tuple[list[str], list[str]]:
     """(files in which every line is one record, all others), by the brackets of each line: a file with one line of
-    another shape is none of the first. One pass over the lines; only file names reach the driver."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"))
+    another shape is none of the first, nor is a large one with long lines. Only file names reach the driver."""
+    sizes = _files(spark, path)
+    long = _long_lines(spark, sizes)
+    rest = [_literal(f) for f, n in sizes.items() if n and f not in long]
+    others = [_literal(f) for f in sorted(long)]
+    if not rest:
+        return [], others
+    lines = spark.read.text(rest).select("value", F.col("_metadata.file_path").alias("file"))
     rows = lines.groupBy("file").agg(F.count_if(~F.col("value").rlike(r"^\s*$") & ~one_record(F.col("value")))
                                      .alias("n")).collect()
-    return [_literal(r["file"]) for r in rows if not r["n"]], [_literal(r["file"]) for r in rows if r["n"]]
+    return [_literal(r["file"]) for r in rows if not r["n"]], others + [_literal(r["file"]) for r in rows if r["n"]]
 
 
 def _json_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -202,6 +229,9 @@ def load_json(spark: SparkSession, path: str, array_form: bool | None = None,
         found, broken = json_records(spark, others)
         texts = [found] if found is not None else []
         if broken:
+            long = {_literal(f) for f in _long_lines(spark, _files(spark, broken))}
+            if long:
+                raise ValueError(f"brackets do not close in {', '.join(sorted(long)[:5])}")
             by_line = _json_lines(spark, broken)
             good = {_literal(r["file"]) for r in by_line.where(one_record(F.col("line"))).select("file").distinct().collect()}
             if set(broken) - good:
@@ -458,7 +488,10 @@ def merge_channels(spark: SparkSession, schema: T.StructType, json_glob: str | N
             texts += [found] if found is not None else []
             if broken and not tolerant:
                 raise ValueError(f"brackets do not close in {', '.join(broken[:5])}")
-            if broken:                            # the lines that are records
+            if broken:                            # the lines that are records; a large file with long lines has none
+                long = {_literal(f) for f in _long_lines(spark, _files(spark, broken))}
+                broken = [f for f in broken if f not in long]
+            if broken:
                 texts.append(_json_lines(spark, broken).withColumn("stray", ~one_record(F.col("line"))))
         mode = {} if tolerant else {"mode": "FAILFAST"}
         for t in texts:

@@ -158,3 +158,30 @@ def test_merge_reads_compact_arrays(spark, tmp_path):
                                    tolerant=tolerant).collect()
         assert sorted((r["id"], tuple(r["media"]), r["channel"]) for r in got) == [
             *[(i, ("o'k.jpg", None), "one") for i in range(5)], (7, ("o'k.jpg", None), "two")]
+
+
+def test_large_file_in_one_line_is_not_read_by_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "LARGE", 1000)
+    monkeypatch.setattr(files, "MEAN_LINE", 500)
+    rows = [{"id": i, "t": "x" * 20} for i in range(200)]
+    (tmp_path / "one.json").write_text("".join(map(json.dumps, rows)))
+    (tmp_path / "many.json").write_text("\n".join(map(json.dumps, rows)))
+    real, read = files.one_record, []
+    monkeypatch.setattr(files, "one_record", lambda c: read.append(1) or real(c))
+    lines, others = files.json_forms(spark, str(tmp_path / "one.json"))
+    assert (len(lines), len(others), read) == (0, 1, [])
+    lines, others = files.json_forms(spark, str(tmp_path))
+    assert [p.rsplit("/", 1)[1] for p in lines + others] == ["many.json", "one.json"]
+    assert files.load_json(spark, str(tmp_path)).count() == 400
+    (tmp_path / "one.json").write_text(json.dumps(rows)[:-30])
+    with pytest.raises(ValueError, match="brackets do not close"):
+        files.load_json(spark, str(tmp_path))
+
+
+def test_names_with_odd_characters(spark, tmp_path):
+    folder = tmp_path / "a b%20{c}[d]"
+    folder.mkdir()
+    (folder / "x+y z.json").write_text('[{"id":1},{"id":2}]')
+    (folder / "l.json").write_text('{"id":3}\n')
+    (folder / "empty.json").write_text("")
+    assert sorted(r["id"] for r in files.load_json(spark, str(tmp_path)).collect()) == [1, 2, 3]
