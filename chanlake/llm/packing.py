@@ -49,7 +49,7 @@ def merger(path: str):
 
 @functools.lru_cache(maxsize=2)
 def piece_cache(path: str) -> P.Bounded:
-    return P.Bounded(400_000)
+    return P.Bounded(200_000)
 
 
 def ids_of(uniq: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:

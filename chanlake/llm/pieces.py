@@ -107,7 +107,7 @@ def small(batches, column: str = "pieces", most: int = 400_000):
             a = e
 
 
-def joined(batches, column: str = "pieces", most: int = 3_000_000):
+def joined(batches, column: str = "pieces", most: int = 1_000_000):
     """Join batches until they hold about ``most`` list items (a single row may hold more), so that a distinct
     item is looked up once for many."""
     held, n = [], 0
