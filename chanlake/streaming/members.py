@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from chanlake.session import estimated_bytes, shared_path
+from chanlake.session import estimated_bytes, keep_state_in_rocksdb, shared_path
 
 TASK_BYTES = 64 * 1024 * 1024
 
@@ -169,7 +169,10 @@ def live_members(stream: DataFrame, keys: Sequence[str], ts: str, msg_id: str, g
     does, as the listener's cache takes it); else it opens the next. A record closes when the watermark (the
     latest time less ``lateness``) passes its last arrival plus the gap; a member that comes after that, however
     old, opens a second record of the group and is not dropped: the watermark's column does not reach the operator.
-    A micro-batch is taken in order of time within each Arrow batch of a group; state is one slim row a group."""
+    A micro-batch is taken in order of time within each Arrow batch of a group; state is one slim row a group.
+
+    State with timers needs the RocksDB store, so the stream's session is set to it for the streams it starts from here."""
+    keep_state_in_rocksdb(stream.sparkSession)
     names = [msg_id, *[c for c in stream.columns if c != msg_id]]
     timed = stream.withColumn("_at", F.col(ts).try_cast("timestamp")).filter("_at is not null").withWatermark(
         "_at", lateness)

@@ -93,3 +93,13 @@ def test_member_joins_what_is_open(spark, workdir):
     live.land([("a", 50, 1)])
     got = live.land([("a", 47, 2), ("a", 54, 3), ("a", 70, 4)])   # older, within the gap, beyond it
     assert got == {1: (0, 0), 2: (0, 1), 3: (0, 2), 4: (1, 0)}
+
+
+def test_live_members_in_a_session_without_our_defaults(spark, workdir):
+    """Spark's default state store refuses state with timers; the operator sets the one it needs itself."""
+    plain_session = spark.newSession()
+    plain_session.conf.set("spark.sql.streaming.stateStore.providerClass",
+                           "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    live = Live(plain_session, workdir)
+    live.land([("a", 0, 1), ("a", 3, 2), ("b", 100, 3)])
+    assert live.land([("a", 1, 4)]) == {1: (0, 0), 2: (0, 1), 3: (0, 0), 4: (1, 0)}
