@@ -128,8 +128,8 @@ class OpenEdge(StatefulProcessor):
     """Passes each member on with its record's number and its place; keeps, for a group, the number and size of its
     newest record, its last arrival and whether it is open. A timer closes it once the watermark has passed the gap."""
 
-    def __init__(self, gap_us: int, names: Sequence[str]):
-        self.gap_us, self.names = gap_us, list(names)
+    def __init__(self, gap_us: int, names: Sequence[str], order: Sequence[str]):
+        self.gap_us, self.names, self.order = gap_us, list(names), list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -138,7 +138,7 @@ class OpenEdge(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         record, place, last, open_ = self.edge.get() if self.edge.exists() else (-1, 0, 0, False)
         for part in rows:
-            part = part.sort_values(["us", "c0"], kind="stable")
+            part = part.sort_values(self.order, kind="stable")
             records, places = [], []
             for us in part["us"].tolist():
                 if not open_ or us - last > self.gap_us:
@@ -146,8 +146,7 @@ class OpenEdge(StatefulProcessor):
                 records.append(record)
                 places.append(place)
                 place, last = place + 1, max(last, us)
-            found = part[[f"c{i}" for i in range(len(self.names))]].set_axis(self.names, axis=1)
-            yield found.assign(record=records, place=places)
+            yield part[self.names].assign(record=records, place=places)
         self.edge.update((int(record), int(place), int(last), bool(open_)))
         for old in list(self.handle.listTimers()):
             self.handle.deleteTimer(old)
@@ -168,7 +167,8 @@ def live_members(stream: DataFrame, keys: Sequence[str], ts: str, msg_id: str, g
     A member joins its group's open record if it is at most the gap after the record's last arrival (an older one always
     does, as the listener's cache takes it); else it opens the next. A record closes when the watermark (the
     latest time less ``lateness``) passes its last arrival plus the gap; a member that comes after that, however
-    old, opens a second record of the group and is not dropped: the watermark's column does not reach the operator.
+    old, opens a second record of the group and is not dropped: the watermark's column does not reach the operator. NULL
+    keys are a key.
     A micro-batch is taken in order of time within each Arrow batch of a group; state is one slim row a group.
 
     State with timers needs the RocksDB store, so the stream's session is set to it for the streams it starts from here."""
@@ -176,10 +176,20 @@ def live_members(stream: DataFrame, keys: Sequence[str], ts: str, msg_id: str, g
     names = [msg_id, *[c for c in stream.columns if c != msg_id]]
     timed = stream.withColumn("_at", F.col(ts).try_cast("timestamp")).filter("_at is not null").withWatermark(
         "_at", lateness)
-    # columns travel under plain names: the workers see rows as named tuples
-    rows = timed.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], F.unix_micros("_at").alias("us"))
-    schema = T.StructType([*[stream.schema[c] for c in names], T.StructField("record", T.LongType()),
-                           T.StructField("place", T.LongType())])
-    return rows.groupBy(*[f"c{names.index(k)}" for k in keys]).transformWithStateInPandas(
-        OpenEdge(int(gap_seconds * 1_000_000), names), outputStructType=schema, outputMode="Append",
+    # columns travel under plain names: the workers see rows as named tuples. There an integer column with NULLs
+    # turns into floats, which find no key's state and lose digits: integers travel filled, with a mark; the key as text
+    kinds = [stream.schema[c].dataType for c in names]
+    whole = [i for i, kind in enumerate(kinds) if isinstance(kind, T.IntegralType)]
+    filled = [F.coalesce(c, F.lit(0).cast(kind)) if i in whole else F.col(c) for i, (c, kind) in enumerate(zip(names, kinds))]
+    rows = timed.select(
+        F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("key"), F.unix_micros("_at").alias("us"),
+        *[c.alias(f"c{i}") for i, c in enumerate(filled)], *[F.col(names[i]).isNull().alias(f"n{i}") for i in whole])
+    schema = T.StructType([*[T.StructField(f"c{i}", kind) for i, kind in enumerate(kinds)],
+                           *[T.StructField(f"n{i}", T.BooleanType()) for i in whole],
+                           T.StructField("record", T.LongType()), T.StructField("place", T.LongType())])
+    order = ["us", "n0", "c0"] if 0 in whole else ["us", "c0"]
+    out = rows.groupBy("key").transformWithStateInPandas(
+        OpenEdge(int(gap_seconds * 1_000_000), schema.names[:-2], order), outputStructType=schema, outputMode="Append",
         timeMode="EventTime")
+    return out.select(*[(F.when(~F.col(f"n{i}"), F.col(f"c{i}")) if i in whole else F.col(f"c{i}")).alias(c)
+                        for i, c in enumerate(names)], "record", "place")

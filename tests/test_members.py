@@ -103,3 +103,28 @@ def test_live_members_in_a_session_without_our_defaults(spark, workdir):
     live = Live(plain_session, workdir)
     live.land([("a", 0, 1), ("a", 3, 2), ("b", 100, 3)])
     assert live.land([("a", 1, 4)]) == {1: (0, 0), 2: (0, 1), 3: (0, 0), 4: (1, 0)}
+
+
+def test_live_members_with_null_keys(spark, workdir):
+    """A NULL among integer keys neither mixes groups nor changes a value; NULL keys are a key."""
+    schema, far = "id long, k long, ts timestamp, small short", 2 ** 60
+
+    def land(rows):
+        full = [(i, k, START + dt.timedelta(seconds=s), small) for i, k, s, small in rows]
+        spark.createDataFrame(full, schema).coalesce(1).write.mode("append").parquet(workdir + "/in")
+        stream = sessions.read_landed(spark, workdir + "/in", spark.createDataFrame([], schema).schema)
+        live = members.live_members(stream, ["k"], "ts", "id", 5, "2 seconds")
+        assert live.dtypes == [("id", "bigint"), ("k", "bigint"), ("ts", "timestamp"), ("small", "smallint"),
+                               ("record", "bigint"), ("place", "bigint")]
+        sessions.write_append(live, workdir + "/out", workdir + "/ck").awaitTermination()
+        return {(r["id"], r["k"], r["small"]): (r["record"], r["place"])
+                for r in spark.read.parquet(workdir + "/out").collect()}
+
+    got = land([(far + i, k, 10 * r, None if i % 2 else i) for r in range(3) for i, k in
+                [(10 * r, None), (10 * r + 1, far + 1), (10 * r + 2, far + 2), (10 * r + 3, 7)]] + [(None, 7, 21, 1)])
+    want = {(far + 10 * r + i, k, None if i % 2 else 10 * r + i): (r, 0)
+            for r in range(3) for i, k in enumerate([None, far + 1, far + 2, 7])}
+    assert got == want | {(None, 7, 1): (2, 1)}
+    land([(1, 100, 100, 0)])                                # the watermark passes every record so far
+    got = land([(2, None, 1, 0), (3, far + 1, 1, 0), (4, 7, 1, 0)])
+    assert (got[2, None, 0], got[3, far + 1, 0], got[4, 7, 0]) == ((3, 0), (3, 0), (3, 0))
